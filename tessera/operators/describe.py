@@ -50,10 +50,12 @@ def five_numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
 
 
 def _fenced(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+    if not by:
+        raise ValueError("name at least one grouping column")
     quartiles = percentiles(df, [column], QUARTILES, by)
     renamed = quartiles.select(*[F.col(b).alias(f"_k{i}") for i, b in enumerate(by)], *QUARTILES)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    joined = df.join(renamed, [df[b].eqNullSafe(renamed[f"_k{i}"]) for i, b in enumerate(by)] or F.lit(True))
+    joined = df.join(renamed, [df[b].eqNullSafe(renamed[f"_k{i}"]) for i, b in enumerate(by)])
     return joined.withColumn(
         "_inside", F.col(column).between(F.col("q1") - reach, F.col("q3") + reach))
 
