@@ -38,8 +38,7 @@ def cleaned_comment(text: Column) -> Column:
 def mail_tokens(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
     """Alphabetic words of two or more letters that are not stop words."""
     words = F.split(F.regexp_replace(F.lower(text), PUNCTUATION, " "), r"\s+")
-    stops = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(words, lambda w: w.rlike(r"^\p{L}{2,}$") & ~F.array_contains(stops, w))
+    return F.filter(words, lambda w: w.rlike(r"^\p{L}{2,}$") & ~w.isin(*stop_words))
 
 
 def cleaned_mail(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
