@@ -99,11 +99,8 @@ def descriptors(images: DataFrame, cell: int = 8, block: int = 2) -> DataFrame:
     return images.select("image", "height", "width", "pixels").mapInPandas(work, f"image {kind}, features array<double>")
 
 
-def pyramid_levels(df: DataFrame, scale: float, window: int) -> DataFrame:
-    """Sizes of the successive reductions of each image, down to the last that holds the window.
-
-    The image itself is level 0 whatever its size. ``df`` has columns image, height, width.
-    """
+def level_path(scale: float, window: int) -> Column:
+    """Array of (level, height, width) made from the columns ``height`` and ``width``."""
     def reduced(side: Column) -> Column:
         return F.floor(side / F.lit(scale)).cast("int")
 
@@ -114,10 +111,18 @@ def pyramid_levels(df: DataFrame, scale: float, window: int) -> DataFrame:
         last = F.element_at(levels, -1)
         height, width = reduced(last["height"]), reduced(last["width"])
         fits = (last["level"] == i - 1) & (height >= window) & (width >= window)
-        return F.when(fits, F.concat(levels, F.array(F.struct(i.alias("level"), height.alias("height"), width.alias("width"))))).otherwise(levels)
+        added = F.array(F.struct(i.alias("level"), height.alias("height"), width.alias("width")))
+        return F.when(fits, F.concat(levels, added)).otherwise(levels)
+
+    return F.aggregate(F.sequence(F.lit(1), most), F.array(start), grow)
 
-    levels = F.aggregate(F.sequence(F.lit(1), most), F.array(start), grow)
-    return df.select("image", F.col("width").alias("_full"), F.inline(levels)).select(
+
+def pyramid_levels(df: DataFrame, scale: float, window: int) -> DataFrame:
+    """Sizes of the successive reductions of each image, down to the last that holds the window.
+
+    The image itself is level 0 whatever its size. ``df`` has columns image, height, width.
+    """
+    return df.select("image", F.col("width").alias("_full"), F.inline(level_path(scale, window))).select(
         "image", "level", "height", "width", (F.col("_full") / F.col("width")).alias("scale_factor"))
 
 
@@ -154,13 +159,13 @@ def detect(
     One row per image and pyramid level is spread over the tasks; a level's windows are
     scored row by row inside the task and only the hits leave it.
     """
-    levels = pyramid_levels(images, scale, window)
-    paths = levels.groupBy("image").agg(F.array_sort(F.collect_list(F.struct("level", "height", "width"))).alias("_path"))
-    work_rows = images.select("image", F.col("height").alias("full_height"), F.col("width").alias("full_width"), "pixels").join(
-        paths, "image").select("*", F.explode("_path").alias("_level")).select(
-        "image", "full_height", "full_width", "pixels", "_level.level",
-        F.transform(F.filter("_path", lambda s: s["level"] <= F.col("_level.level")), lambda s: s["height"]).alias("heights"),
-        F.transform(F.filter("_path", lambda s: s["level"] <= F.col("_level.level")), lambda s: s["width"]).alias("widths"))
+    path = F.filter("_path", lambda s: s["level"] <= F.col("_level"))
+    work_rows = images.withColumn("_path", level_path(scale, window)).withColumn(
+        "_level", F.explode(F.transform("_path", lambda s: s["level"]))
+    ).select(
+        "image", F.col("height").alias("full_height"), F.col("width").alias("full_width"), "pixels",
+        F.col("_level").alias("level"), F.transform(path, lambda s: s["height"]).alias("heights"),
+        F.transform(path, lambda s: s["width"]).alias("widths"))
     weights, offset = np.asarray(coefficients, dtype=np.float64), float(intercept)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

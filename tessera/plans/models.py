@@ -8,6 +8,7 @@ from tessera.operators.describe import class_weights
 from tessera.plans.registry import query, rounded
 from tessera.session import fresh_path, load, written
 from tessera.sources.writers import load_model, save_model
+from tessera.streaming import runs, scoring
 
 LABELS = ["quality", "toxic"]
 
@@ -84,3 +85,10 @@ def centroid_distances(spark, d):
 @query("mean_centroid_distance", f"with {CENTRES} select round(avg(distance), 6) as mean_distance from p")
 def mean_centroid_distance(spark, d):
     return rounded(topics.mean_distance(topics.centroids(load(spark, d, "embeddings"), "label", "embedding")))
+
+
+@query("streamed_comment_flags")
+def streamed_comment_flags(spark, d):
+    model = classify.fit_label_models(corpus(spark, d), "words", {"toxic": 4.0, "quality": 1.0}, 1 << 12, 10)
+    stream = runs.table_stream(spark, d, "documents").select("doc_id", "text")
+    return scoring.flag_available(stream, "text", model, LABELS).drop("text")
