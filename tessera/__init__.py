@@ -1 +1,8 @@
 """Analytics operators for PySpark: DataFrames in, DataFrames out."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -94,7 +94,7 @@ def pair_rules(
     pieces, so that no task pairs a whole one.
     """
     pairs = written(basket_items(df, document, item), "pairs")
-    counts = _frequent(pairs, min_count)
+    counts = written(_frequent(pairs, min_count), "counts")
     kept = written(pairs.join(counts.select("item"), "item", "left_semi"), "frequent")
     widths = kept.groupBy("document").agg(F.count(F.lit(1)).alias("width")).filter(F.col("width") > wide)
     looked_up = [r["document"] for r in widths.orderBy(F.desc("width"), "document").limit(min(min_count - 1, 1000)).collect()]

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tessera.operators.grouped import map_groups
 from tessera.session import written
 
 BOX = ["image", "box", "x", "y", "w", "h"]
@@ -45,19 +46,18 @@ def overlaps(boxes: DataFrame, tile: int = 256) -> DataFrame:
         bottom_a.alias("first_bottom"), bottom_b.alias("second_bottom"))
 
 
-def _kept_in_image(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    rows = rows.sort_values(["bottom", "box"], ascending=False)
-    x, y, w, h = (rows[c].to_numpy(dtype=np.float64) for c in ("x", "y", "w", "h"))
-    area = (w + 1) * (h + 1)
-    waiting, kept = np.arange(len(rows)), []
-    while len(waiting):
-        head, rest = waiting[0], waiting[1:]
-        kept.append(head)
-        across = np.minimum(x[head] + w[head], x[rest] + w[rest]) - np.maximum(x[head], x[rest]) + 1
-        down = np.minimum(y[head] + h[head], y[rest] + h[rest]) - np.maximum(y[head], y[rest]) + 1
-        share = np.maximum(across, 0) * np.maximum(down, 0) / area[rest]
-        waiting = rest[share <= threshold]
-    return rows.iloc[kept][BOX]
+def _kept(block: pd.DataFrame, starts: np.ndarray, threshold: float) -> pd.DataFrame:
+    x, y, w, h = (block[c].to_numpy(dtype=np.float64) for c in ("x", "y", "w", "h"))
+    area, kept = (w + 1) * (h + 1), []
+    for start, end in zip(starts, [*starts[1:], len(block)]):
+        waiting = np.arange(start, end)
+        while len(waiting):
+            head, rest = waiting[0], waiting[1:]
+            kept.append(head)
+            across = np.minimum(x[head] + w[head], x[rest] + w[rest]) - np.maximum(x[head], x[rest]) + 1
+            down = np.minimum(y[head] + h[head], y[rest] + h[rest]) - np.maximum(y[head], y[rest]) + 1
+            waiting = rest[np.maximum(across, 0) * np.maximum(down, 0) / area[rest] <= threshold]
+    return block.iloc[kept][BOX]
 
 
 def suppress(boxes: DataFrame, threshold: float = 0.3, image_limit: int = 20_000, tile: int = 256) -> DataFrame:
@@ -65,7 +65,7 @@ def suppress(boxes: DataFrame, threshold: float = 0.3, image_limit: int = 20_000
 
     Boxes are taken from the largest bottom edge upwards (ties: larger box id first); a
     taken box removes the later ones of which it covers more than ``threshold``. Images
-    of up to ``image_limit`` boxes are handled one per group. Larger ones are never held
+    of up to ``image_limit`` boxes are handled inside a task. Larger ones are never held
     by one task: their overlap pairs are resolved in rounds, where a box is taken once no
     undecided box stands before it. Both ways give the same boxes.
     """
@@ -73,12 +73,14 @@ def suppress(boxes: DataFrame, threshold: float = 0.3, image_limit: int = 20_000
     sizes = written(table.groupBy("image").agg(F.count(F.lit(1)).alias("_n")), "sizes")
     crowded = sizes.filter(F.col("_n") > image_limit).select("image")
     schema = table.schema
-    with_bottom = table.withColumn("bottom", F.col("y") + F.col("h"))
+    order = [F.desc(F.col("y") + F.col("h")), F.desc("box")]
+
+    def ordinary(rows: DataFrame) -> DataFrame:
+        return map_groups(rows, "image", order, lambda block, starts: _kept(block, starts, threshold), schema)
+
     if crowded.isEmpty():
-        return with_bottom.groupBy("image").applyInPandas(lambda rows: _kept_in_image(rows, threshold), schema)
-    ordinary = with_bottom.join(crowded, "image", "left_anti").groupBy("image").applyInPandas(
-        lambda rows: _kept_in_image(rows, threshold), schema)
-    return ordinary.unionByName(_suppress_in_rounds(table.join(crowded, "image", "left_semi"), threshold, tile))
+        return ordinary(table)
+    return ordinary(table.join(crowded, "image", "left_anti")).unionByName(_suppress_in_rounds(table.join(crowded, "image", "left_semi"), threshold, tile))
 
 
 def _suppress_in_rounds(boxes: DataFrame, threshold: float, tile: int) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tessera.operators.grouped import map_groups
 from tessera.operators.ordered import running
 from tessera.session import written
 
@@ -25,17 +26,16 @@ def _with_stops(sales: DataFrame) -> DataFrame:
         "_early", F.when(F.col("line") > F.col("_stop"), "aborted").when(bad, "bad_quantity")).drop("_sale", "_stop")
 
 
-def _fold(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("line")
-    left = int(rows["stock"].iloc[0])
-    available, accepted = [], []
-    for quantity in rows["quantity"].to_numpy():
-        available.append(left)
-        accepted.append(quantity <= left)
-        if quantity <= left:
-            left -= int(quantity)
-    return pd.DataFrame({"product": rows["product"], "line": rows["line"],
-                         "available": np.array(available, dtype=np.int64), "accepted": accepted})
+def _fold(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    quantity, stock = block["quantity"].to_numpy(), block["stock"].to_numpy()
+    available, accepted = np.empty(len(block), dtype=np.int64), np.empty(len(block), dtype=bool)
+    for start, end in zip(starts, [*starts[1:], len(block)]):
+        left = int(stock[start])
+        for i in range(start, end):
+            available[i], accepted[i] = left, quantity[i] <= left
+            if accepted[i]:
+                left -= int(quantity[i])
+    return pd.DataFrame({"product": block["product"], "line": block["line"], "available": available, "accepted": accepted})
 
 
 def _in_phases(lines: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def accept_sales(sales: DataFrame, stock: DataFrame, product_limit: int = 100_00
     it, else ``insufficient`` and the stock stays. A product that is not listed, or was sold
     out, is ``unknown_product``. A quantity that is not positive is ``bad_quantity`` and the
     later lines of that sale are ``aborted``. A product with up to ``product_limit`` lines is
-    folded in one group; one with more is decided in phases. Both give the same rows.
+    folded inside a task; one with more is decided in phases. Both give the same rows.
     """
     kept = [c for c in sales.columns]
     lines = written(_with_stops(sales), "lines")
@@ -94,9 +94,9 @@ def accept_sales(sales: DataFrame, stock: DataFrame, product_limit: int = 100_00
     hot = written(live.groupBy("product").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > product_limit), "hot")
     schema = DECISION.format(kind=sales.schema["product"].dataType.simpleString(), line=sales.schema["line"].dataType.simpleString())
     if hot.isEmpty():
-        decisions = live.groupBy("product").applyInPandas(_fold, schema)
+        decisions = map_groups(live, "product", ["line"], _fold, schema)
     else:
-        folded = live.join(hot, "product", "left_anti").groupBy("product").applyInPandas(_fold, schema)
+        folded = map_groups(live.join(hot, "product", "left_anti"), "product", ["line"], _fold, schema)
         decisions = folded.unionByName(_in_phases(live.join(hot, "product", "left_semi")))
     named = decisions.select(F.col("line").alias("_line"), "available", "accepted")
     out = lines.join(named, lines["line"] == named["_line"], "left").join(

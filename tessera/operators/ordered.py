@@ -10,6 +10,7 @@ the totals of the slices before it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -119,7 +120,7 @@ def percentiles(
 
     First pass: a quantile sketch per group gives, for each percentile, two values that
     are certain to enclose it (the sketch bounds its own rank error by ``1/accuracy``).
-    Second pass: rows below the enclosure are only counted, and rows inside it, a few
+    Then rows below the enclosures are only counted, and rows inside them, a few
     ``1/accuracy`` of the group, are counted per distinct value and scanned in order.
     No task sees a whole group, and almost nothing is shuffled.
     """
@@ -131,13 +132,11 @@ def percentiles(
         F.struct(F.count(c).alias("size"), F.percentile_approx(c, edges, accuracy).alias("edges")).alias(f"_s_{i}")
         for i, c in enumerate(columns)
     ])
-    shape = "array<struct<variable:int,prob:int,size:bigint,low:double,high:double>>"
-    enclosures = F.array(*[
-        F.struct(F.lit(i).alias("variable"), F.lit(j).alias("prob"), F.col(f"_s_{i}.size").alias("size"),
-                 F.col(f"_s_{i}.edges")[j].alias("low"), F.col(f"_s_{i}.edges")[j + len(probs)].alias("high"))
-        for i in range(len(columns)) for j in range(len(probs))
-    ]).cast(shape)
-    limits = written(sketch.select(*by, enclosures.alias("_limits")), "sketch")
+    slots = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
+    limits = written(sketch.select(*by, F.array(*[
+        F.struct(F.col(f"_s_{i}.size").alias("size"), F.col(f"_s_{i}.edges")[j].alias("low"),
+                 F.col(f"_s_{i}.edges")[j + len(probs)].alias("high")) for i, j in slots
+    ]).cast("array<struct<size:bigint,low:double,high:double>>").alias("_limits")), "sketch")
     largest, groups = limits.select(
         F.max(F.array_max(F.transform("_limits", lambda e: e["size"]))), F.count(F.lit(1))).first()
     names = [f"_by_{i}" for i in range(len(by))]
@@ -147,26 +146,37 @@ def percentiles(
         rows = numeric.join(side, _same(numeric, renamed, by, names), "inner")
     else:
         rows = numeric.withColumn("_limits", limits.select("_limits").scalar())
-    # One entry per row and enclosure that is not entirely below the row; null marks "below".
-    values = F.array(*[F.col(c) for c in columns])
-    entries = F.transform(
-        F.filter("_limits", lambda e: F.get(values, e["variable"]) <= e["high"]),
-        lambda e: F.struct(e["variable"].alias("variable"), e["prob"].alias("prob"),
-                           F.when(F.get(values, e["variable"]) >= e["low"], F.get(values, e["variable"])).alias("value")),
-    )
+
+    def limit(slot, side):
+        return F.col("_limits")[slot][side]
+
+    def value_of(slot):
+        return F.col(columns[slots[slot][0]])
+
+    below = rows.groupBy(*by).agg(F.array(*[
+        F.struct(F.lit(i).alias("variable"), F.lit(j).alias("prob"), F.max(limit(slot, "size")).alias("size"),
+                 F.count_if(value_of(slot) < limit(slot, "low")).alias("below"))
+        for slot, (i, j) in enumerate(slots)
+    ]).alias("_b")).select(*[F.col(b).alias(n) for b, n in zip(by, names)], F.inline("_b")).select(
+        *names, F.col("variable").alias("_variable"), F.col("prob").alias("_prob"), "size", "below")
+    inside = [value_of(k).between(limit(k, "low"), limit(k, "high")) for k in range(len(slots))]
+    entries = F.array(*[
+        F.when(inside[slot], F.struct(F.lit(i).alias("variable"), F.lit(j).alias("prob"), value_of(slot).alias("value")))
+        for slot, (i, j) in enumerate(slots)
+    ])
     counts = (
-        rows.select(*by, F.explode(entries).alias("_e")).select(*by, "_e.*")
+        rows.filter(reduce(lambda a, b: a | b, inside)).select(*by, F.explode(entries).alias("_e"))
+        .filter("_e is not null").select(*by, "_e.*")
         .groupBy(*by, "variable", "prob", "value").agg(F.count(F.lit(1)).alias("n"))
     )
     keys = [*by, "variable", "prob"]
     if 2 * margin * (largest or 0) <= window_rows:
-        upto = W.partitionBy(*keys).orderBy(F.asc_nulls_first("value")).rowsBetween(W.unboundedPreceding, 0)
-        scanned = counts.withColumn("upto", F.sum("n").over(upto))
+        order = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+        scanned = counts.withColumn("_upto", F.sum("n").over(order))
     else:
-        scanned = running(counts, [F.asc_nulls_first("value")], keys, sums={"upto": "n"})
-    sizes = limits.select(*[F.col(b).alias(n) for b, n in zip(by, names)], F.explode("_limits").alias("_l")).select(
-        *names, F.col("_l.variable").alias("_variable"), F.col("_l.prob").alias("_prob"), F.col("_l.size").alias("size"))
-    placed = scanned.join(sizes, _same(scanned, sizes, keys, [*names, "_variable", "_prob"]), "inner")
+        scanned = running(counts, ["value"], keys, sums={"_upto": "n"})
+    placed = scanned.join(below, _same(scanned, below, keys, [*names, "_variable", "_prob"]), "inner").withColumn(
+        "upto", F.col("_upto") + F.col("below"))
     share = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("prob") + 1)
     position = (F.col("size") - 1) * share
 

@@ -41,6 +41,12 @@ def future_dates(daily: DataFrame, periods: int, by: Sequence[str] = ()) -> Data
         F.date_add("last", 1), F.date_add("last", periods), F.expr("interval 1 day"))).alias("date"))
 
 
+def with_future_rows(daily: DataFrame, periods: int, by: Sequence[str] = ()) -> DataFrame:
+    """The series followed by its future days with a total of 0."""
+    zero = F.lit(0).cast(daily.schema["total_amount"].dataType).alias("total_amount")
+    return daily.unionByName(future_dates(daily, periods, by).select(*by, "date", zero))
+
+
 def holdout_split(daily: DataFrame, periods: int, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(all but the last ``periods`` days, the last ``periods`` days) of each series.
 

@@ -58,30 +58,35 @@ def block_descriptor(histograms: DataFrame) -> DataFrame:
     return joined.select("image", "cell_y", "cell_x", "bin", value.alias("value"))
 
 
-def hog(raster: np.ndarray, cell: int = 8, block: int = 2) -> np.ndarray:
-    """Descriptor of one window: cell histograms in overlapping blocks, clipped and renormalised."""
-    g = raster.astype(np.float64)
+def hog(windows: np.ndarray, cell: int = 8, block: int = 2) -> np.ndarray:
+    """Descriptors of equally large windows (count, height, width), one row each.
+
+    Cell histograms are gathered in overlapping blocks, which are scaled to unit length,
+    clipped and scaled again.
+    """
+    g = windows.astype(np.float32)
     gx, gy = np.zeros_like(g), np.zeros_like(g)
-    gx[:, 1:-1] = g[:, 2:] - g[:, :-2]
-    gy[1:-1, :] = g[2:, :] - g[:-2, :]
-    magnitude = np.hypot(gx, gy)
-    number = np.minimum((np.rad2deg(np.arctan2(gy, gx)) % 180.0 // (180.0 / BINS)).astype(int), BINS - 1)
-    rows, columns = raster.shape[0] // cell, raster.shape[1] // cell
-    magnitude = magnitude[:rows * cell, :columns * cell]
-    number = number[:rows * cell, :columns * cell]
-    ys, xs = np.indices(magnitude.shape)
-    flat = ((ys // cell) * columns + xs // cell) * BINS + number
-    cells = np.bincount(flat.ravel(), magnitude.ravel(), rows * columns * BINS).reshape(rows, columns, BINS) / cell**2
+    gx[:, :, 1:-1] = g[:, :, 2:] - g[:, :, :-2]
+    gy[:, 1:-1, :] = g[:, 2:, :] - g[:, :-2, :]
+    count, rows, columns = len(g), g.shape[1] // cell, g.shape[2] // cell
+    used = (slice(None), slice(0, rows * cell), slice(0, columns * cell))
+    gx, gy = gx[used], gy[used]
+    number = (np.rad2deg(np.arctan2(gy, gx)) % 180.0 // (180.0 / BINS)).astype(np.int64)
+    np.minimum(number, BINS - 1, out=number)
+    place = (np.arange(rows * cell) // cell)[:, None] * columns + (np.arange(columns * cell) // cell)[None, :]
+    number += (np.arange(count) * rows * columns)[:, None, None] * BINS + place[None] * BINS
+    size = count * rows * columns * BINS
+    cells = np.bincount(number.ravel(), np.hypot(gx, gy).ravel(), size).reshape(count, rows, columns, BINS) / cell**2
     down, across = rows - block + 1, columns - block + 1
     if down <= 0 or across <= 0:
-        return np.zeros(0)
-    blocks = np.stack([cells[i:i + down, j:j + across] for i in range(block) for j in range(block)], axis=2)
-    blocks = blocks.reshape(down, across, -1)
+        return np.zeros((count, 0))
+    blocks = np.stack([cells[:, i:i + down, j:j + across] for i in range(block) for j in range(block)], axis=3)
+    blocks = blocks.reshape(count, down, across, -1)
 
     def unit(b):
-        return b / np.sqrt((b**2).sum(axis=2, keepdims=True) + 1e-10)
+        return b / np.sqrt((b**2).sum(axis=3, keepdims=True) + 1e-10)
 
-    return unit(np.minimum(unit(blocks), 0.2)).ravel()
+    return unit(np.minimum(unit(blocks), 0.2)).reshape(count, -1)
 
 
 def _raster(row) -> np.ndarray:
@@ -93,7 +98,8 @@ def descriptors(images: DataFrame, cell: int = 8, block: int = 2) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({
-                "image": batch["image"], "features": [hog(_raster(r), cell, block) for r in batch.itertuples(index=False)]})
+                "image": batch["image"],
+                "features": [hog(_raster(r)[None], cell, block)[0] for r in batch.itertuples(index=False)]})
 
     kind = images.schema["image"].dataType.simpleString()
     return images.select("image", "height", "width", "pixels").mapInPandas(work, f"image {kind}, features array<double>")
@@ -157,7 +163,7 @@ def detect(
     """Windows with a positive score, as boxes in the coordinates of the full image.
 
     One row per image and pyramid level is spread over the tasks; a level's windows are
-    scored row by row inside the task and only the hits leave it.
+    scored a chunk at a time inside the task and only the hits leave it.
     """
     path = F.filter("_path", lambda s: s["level"] <= F.col("_level"))
     work_rows = images.withColumn("_path", level_path(scale, window)).withColumn(
@@ -167,6 +173,7 @@ def detect(
         F.col("_level").alias("level"), F.transform(path, lambda s: s["height"]).alias("heights"),
         F.transform(path, lambda s: s["width"]).alias("widths"))
     weights, offset = np.asarray(coefficients, dtype=np.float64), float(intercept)
+    chunk = max(1, 4_000_000 // window**2)  # windows held at once
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -175,15 +182,21 @@ def detect(
                 for height, width in list(zip(row.heights, row.widths))[1:]:
                     raster = resized(raster, int(height), int(width))
                 factor = row.full_width / raster.shape[1]
-                found = []
-                for y in range(0, raster.shape[0] - window, step):
-                    for x in range(0, raster.shape[1] - window, step):
-                        score = float(hog(raster[y:y + window, x:x + window], cell, block) @ weights + offset)
-                        if score > 0:
-                            found.append((row.image, row.level, int(x * factor), int(y * factor),
-                                          int(window * factor), int(window * factor), score))
-                if found:
-                    yield pd.DataFrame(found, columns=["image", "level", "x", "y", "w", "h", "score"])
+                ys = np.arange(0, raster.shape[0] - window, step)
+                xs = np.arange(0, raster.shape[1] - window, step)
+                if not len(ys) or not len(xs):
+                    continue
+                views = np.lib.stride_tricks.sliding_window_view(raster, (window, window))
+                at_y, at_x = (a.ravel() for a in np.meshgrid(ys, xs, indexing="ij"))
+                for start in range(0, len(at_y), chunk):
+                    y, x = at_y[start:start + chunk], at_x[start:start + chunk]
+                    score = hog(views[y, x], cell, block) @ weights + offset
+                    hit = score > 0
+                    if hit.any():
+                        yield pd.DataFrame({
+                            "image": row.image, "level": row.level, "x": (x[hit] * factor).astype(int),
+                            "y": (y[hit] * factor).astype(int), "w": int(window * factor), "h": int(window * factor),
+                            "score": score[hit]})
 
     kind = images.schema["image"].dataType.simpleString()
     return work_rows.mapInPandas(work, f"image {kind}, level int, x int, y int, w int, h int, score double")

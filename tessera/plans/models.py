@@ -6,7 +6,7 @@ from tessera.functions import text
 from tessera.operators import balance, classify, evaluate, topics
 from tessera.operators.describe import class_weights
 from tessera.plans.registry import query, rounded
-from tessera.session import fresh_path, load, written
+from tessera.session import fresh_path, load, load_spread, written
 from tessera.sources.writers import load_model, save_model
 from tessera.streaming import runs, scoring
 
@@ -14,7 +14,7 @@ LABELS = ["quality", "toxic"]
 
 
 def corpus(spark, d):
-    documents = load(spark, d, "documents").select(
+    documents = load_spread(spark, d, "documents", "doc_id").select(
         "doc_id", text.mail_tokens(F.col("text")).alias("tokens"),
         text.words(text.cleaned_comment(F.col("text"))).alias("words"))
     return written(documents.join(load(spark, d, "labels"), "doc_id"), "corpus")
@@ -51,7 +51,7 @@ def saved_label_models(spark, d):
 
 @query("linear_svm_confusion")
 def linear_svm_confusion(spark, d):
-    rows = load(spark, d, "embeddings").withColumn("y", (F.col("label") >= 5).cast("int"))
+    rows = load_spread(spark, d, "embeddings", "vec_id").withColumn("y", (F.col("label") >= 5).cast("int"))
     train, test = balance.random_split(rows, "vec_id", 0.2)
     model = classify.fit_linear_svm(train, "embedding", "y")
     return evaluate.confusion(classify.apply_linear_svm(model, test, "embedding"))
@@ -79,12 +79,12 @@ p as (select a.label as first, b.label as second, 1 - sum(a.w * b.w) / (any_valu
 
 @query("centroid_distances", f"with {CENTRES} select first, second, round(distance, 6) as distance from p")
 def centroid_distances(spark, d):
-    return rounded(topics.cosine_distances(topics.centroids(load(spark, d, "embeddings"), "label", "embedding")))
+    return rounded(topics.cosine_distances(topics.centroids(load_spread(spark, d, "embeddings", "vec_id"), "label", "embedding")))
 
 
 @query("mean_centroid_distance", f"with {CENTRES} select round(avg(distance), 6) as mean_distance from p")
 def mean_centroid_distance(spark, d):
-    return rounded(topics.mean_distance(topics.centroids(load(spark, d, "embeddings"), "label", "embedding")))
+    return rounded(topics.mean_distance(topics.centroids(load_spread(spark, d, "embeddings", "vec_id"), "label", "embedding")))
 
 
 @query("streamed_comment_flags")

@@ -146,6 +146,13 @@ def future_dates(spark, d):
     return series.future_dates(nation_series(spark, d), SPAN, ["c_nationkey"])
 
 
+@query("series_with_future_rows", f"""
+with {BY_NATION} select * from s union all select c_nationkey, cast(l + interval (h) day as date), 0::double
+from (select c_nationkey, max(date) as l from s group by 1), range(1, {SPAN + 1}) as r(h)""")
+def series_with_future_rows(spark, d):
+    return _double(series.with_future_rows(nation_series(spark, d), SPAN, ["c_nationkey"]))
+
+
 @query("holdout_days", f"""
 with {BY_NATION}, r as (select *, row_number() over (partition by c_nationkey order by date desc) <= {SPAN} as late from s)
 select c_nationkey, case when late then 'test' else 'train' end as part, count(*) as day_count,

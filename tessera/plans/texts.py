@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text
 from tessera.operators import vocabulary as voc
 from tessera.plans.registry import query, rounded
-from tessera.session import load
+from tessera.session import load, load_spread
 
 CLEAN = r"""trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(text), 'https?://\S+|www\.\S+', '', 'g'),
   chr(10), ' '), '[^a-z\s]', '', 'g'), '\s+', ' ', 'g'))"""
@@ -21,22 +21,22 @@ f as (select token, count(distinct doc_id) as documents, count(distinct doc_id)
 
 
 def comment_tokens(spark, d):
-    return load(spark, d, "documents").select(
+    return load_spread(spark, d, "documents", "doc_id").select(
         "doc_id", text.words(text.cleaned_comment(F.col("text"))).alias("tokens"))
 
 
 def mails(spark, d):
-    return load(spark, d, "documents").select("doc_id", text.mail_tokens(F.col("text")).alias("tokens"))
+    return load_spread(spark, d, "documents", "doc_id").select("doc_id", text.mail_tokens(F.col("text")).alias("tokens"))
 
 
 @query("cleaned_comments", f"select doc_id, {CLEAN} as comment from documents")
 def cleaned_comments(spark, d):
-    return load(spark, d, "documents").select("doc_id", text.cleaned_comment(F.col("text")).alias("comment"))
+    return load_spread(spark, d, "documents", "doc_id").select("doc_id", text.cleaned_comment(F.col("text")).alias("comment"))
 
 
 @query("cleaned_mails", f"select doc_id, array_to_string({MAIL}, ' ') as mail from documents")
 def cleaned_mails(spark, d):
-    return load(spark, d, "documents").select("doc_id", text.cleaned_mail(F.col("text")).alias("mail"))
+    return load_spread(spark, d, "documents", "doc_id").select("doc_id", text.cleaned_mail(F.col("text")).alias("mail"))
 
 
 @query("token_counts", f"with {WORDS}, {TOKENS} select token, count(*) as n from t group by 1")
@@ -123,11 +123,11 @@ MENTIONS = "(select doc_id, unnest(regexp_extract_all(text, '[A-Z][A-Za-z&]+(?:
 
 @query("name_mentions", f"select doc_id, mention, count(*) as n from {MENTIONS} group by 1, 2")
 def name_mentions(spark, d):
-    found = voc.mentions(load(spark, d, "documents"), "doc_id", "text")
+    found = voc.mentions(load_spread(spark, d, "documents", "doc_id"), "doc_id", "text")
     return found.groupBy("doc_id", "mention").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("top_name_mentions", f"select mention, count(*) as n from {MENTIONS} group by 1 order by n desc, mention limit 20")
 def top_name_mentions(spark, d):
-    found = voc.mentions(load(spark, d, "documents"), "doc_id", "text")
+    found = voc.mentions(load_spread(spark, d, "documents", "doc_id"), "doc_id", "text")
     return voc.mention_counts(found).orderBy(F.desc("n"), "mention").limit(20)

@@ -12,6 +12,21 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def load_spread(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """Like ``load``, for work that costs far more per row than reading it.
+
+    A table too small to give every core a full split is spread over the cores by ``key``.
+    A larger one already comes in enough splits and is left where it is.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    cores = spark.sparkContext.defaultParallelism
+    df = load(spark, folder, name)
+    if files.getContentSummary(path).getLength() >= cores * (128 << 20):
+        return df
+    return df.repartition(cores, key)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder that every executor can reach.
 
