@@ -17,16 +17,16 @@ def chi_square(df: DataFrame, row: str, column: str, correct: bool = False) -> D
     Empty cells need not be listed: the statistic equals ``N (sum o^2/(r c) - 1)``.
     ``correct`` applies the continuity correction, which only exists for 2 x 2 tables.
     """
-    counts = df.filter(F.col(row).isNotNull() & F.col(column).isNotNull()).groupBy(row, column).agg(
-        F.count(F.lit(1)).cast("double").alias("o"))
-    rows = counts.groupBy(row).agg(F.sum("o").alias("r"))
-    columns = counts.groupBy(column).agg(F.sum("o").alias("c"))
-    cells = counts.join(rows, row).join(columns, column)
+    named = df.select(F.col(row).alias("_row"), F.col(column).alias("_column")).na.drop()
+    counts = named.groupBy("_row", "_column").agg(F.count(F.lit(1)).cast("double").alias("o"))
+    rows = counts.groupBy("_row").agg(F.sum("o").alias("r"))
+    columns = counts.groupBy("_column").agg(F.sum("o").alias("c"))
+    cells = counts.join(rows, "_row").join(columns, "_column")
     total = F.sum("o")
     plain = total * (F.sum(F.col("o") * F.col("o") / (F.col("r") * F.col("c"))) - 1)
-    levels = F.count_distinct(row), F.count_distinct(column)
-    one = F.first(F.struct("o", "r", "c"))
-    out = cells.agg(plain.alias("plain"), total.alias("n"), levels[0].alias("_r"), levels[1].alias("_c"), one.alias("cell"))
+    out = cells.agg(
+        plain.alias("plain"), total.alias("n"), F.count_distinct("_row").alias("_r"),
+        F.count_distinct("_column").alias("_c"), F.first(F.struct("o", "r", "c")).alias("cell"))
     statistic = F.col("plain")
     if correct:
         o, r, c, n = F.col("cell.o"), F.col("cell.r"), F.col("cell.c"), F.col("n")

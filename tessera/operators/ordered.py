@@ -124,18 +124,26 @@ def percentiles(
     ``1/accuracy`` of the group, are counted per distinct value and scanned in order.
     No task sees a whole group, and almost nothing is shuffled.
     """
-    by, probs = list(by), list(probabilities.values())
+    groups_by, labels, probs = list(by), list(columns), list(probabilities.values())
     margin = 3.0 / accuracy
     edges = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
-    numeric = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    by, columns = [f"_g{i}" for i in range(len(groups_by))], [f"_v{i}" for i in range(len(labels))]
+    numeric = df.select(*[F.col(b).alias(g) for b, g in zip(groups_by, by)],
+                        *[F.col(c).cast("double").alias(v) for c, v in zip(labels, columns)])
     sketch = numeric.groupBy(*by).agg(*[
         F.struct(F.count(c).alias("size"), F.percentile_approx(c, edges, accuracy).alias("edges")).alias(f"_s_{i}")
         for i, c in enumerate(columns)
     ])
     slots = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
+
+    def edge(i, place, whole):
+        # The margin must be worth at least three ranks; a smaller group is taken whole.
+        tiny = F.col(f"_s_{i}.size") * margin < 3
+        return F.when(tiny, F.lit(float(whole))).otherwise(F.col(f"_s_{i}.edges")[place])
+
     limits = written(sketch.select(*by, F.array(*[
-        F.struct(F.col(f"_s_{i}.size").alias("size"), F.col(f"_s_{i}.edges")[j].alias("low"),
-                 F.col(f"_s_{i}.edges")[j + len(probs)].alias("high")) for i, j in slots
+        F.struct(F.col(f"_s_{i}.size").alias("size"), edge(i, j, "-inf").alias("low"),
+                 edge(i, j + len(probs), "inf").alias("high")) for i, j in slots
     ]).cast("array<struct<size:bigint,low:double,high:double>>").alias("_limits")), "sketch")
     largest, groups = limits.select(
         F.max(F.array_max(F.transform("_limits", lambda e: e["size"]))), F.count(F.lit(1))).first()
@@ -189,5 +197,6 @@ def percentiles(
     value = F.col("low") + F.col("part") * (F.col("high") - F.col("low"))
     wide = found.groupBy(*by, "variable").agg(
         *[F.max(F.when(F.col("prob") == j, value)).alias(name) for j, name in enumerate(probabilities)])
-    labels = F.array(*[F.lit(c) for c in columns])
-    return wide.withColumn("variable", F.element_at(labels, F.col("variable") + 1))
+    return wide.select(
+        *[F.col(g).alias(b) for b, g in zip(groups_by, by)],
+        F.element_at(F.array(*[F.lit(c) for c in labels]), F.col("variable") + 1).alias("variable"), *probabilities)
