@@ -11,8 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.operators.grouped import map_groups
-from tessera.operators.ordered import running
-from tessera.session import written
+from tessera.session import shuffle_width, written
 
 DECISION = "product {kind}, line {line}, available bigint, accepted boolean"
 
@@ -26,10 +25,18 @@ def _with_stops(sales: DataFrame) -> DataFrame:
         "_early", F.when(F.col("line") > F.col("_stop"), "aborted").when(bad, "bad_quantity")).drop("_sale", "_stop")
 
 
+def _edges(block: pd.DataFrame, starts: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of each product inside blocks of complete slices."""
+    product = block["product"].to_numpy()
+    changes = np.flatnonzero(product[1:] != product[:-1]) + 1
+    edges = np.unique(np.concatenate([starts, changes]))
+    return list(zip(edges, [*edges[1:], len(block)]))
+
+
 def _fold(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
     quantity, stock = block["quantity"].to_numpy(), block["stock"].to_numpy()
     available, accepted = np.empty(len(block), dtype=np.int64), np.empty(len(block), dtype=bool)
-    for start, end in zip(starts, [*starts[1:], len(block)]):
+    for start, end in _edges(block, starts):
         left = int(stock[start])
         for i in range(start, end):
             available[i], accepted[i] = left, quantity[i] <= left
@@ -38,51 +45,93 @@ def _fold(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"product": block["product"], "line": block["line"], "available": available, "accepted": accepted})
 
 
-def _in_phases(lines: DataFrame) -> DataFrame:
+def _last_stock(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    folded = _fold(block, starts)
+    ends = [end - 1 for _, end in _edges(block, starts)]
+    quantity = np.where(folded["accepted"], block["quantity"], 0)
+    return pd.DataFrame({"product": block["product"].iloc[ends], "slice": block["_slice"].iloc[ends],
+                         "exit": (folded["available"].to_numpy() - quantity)[ends]})
+
+
+def _summary(block: pd.DataFrame, starts: np.ndarray, levels: int) -> pd.DataFrame:
+    quantity, rows = block["quantity"].to_numpy(), []
+    for start, end in _edges(block, starts):
+        q, sums, needs = quantity[start:end], [], []
+        for level in range(levels):
+            small = np.where(q < 1 << level, q, 0)
+            taken = np.cumsum(small)
+            big = q >= 1 << level
+            sums.append(int(taken[-1]))
+            needs.append(int((q + taken - small)[big].min()) if big.any() else None)
+        rows.append((block["product"].iloc[start], block["_slice"].iloc[start], sums, needs))
+    return pd.DataFrame(rows, columns=["product", "slice", "sums", "needs"])
+
+
+def _walk(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    """Stock at the start of each slice, as far as it is known without looking into one."""
+    rows = []
+    for start, end in zip(starts, [*starts[1:], len(block)]):
+        left = int(block["stock"].iloc[start])
+        for i in range(start, end):
+            product, number, known = block["product"].iloc[i], block["slice"].iloc[i], block["exit"].iloc[i]
+            rows.append((product, number, left, False))
+            if not pd.isna(known):
+                left = int(known)
+            elif left > 0:
+                level = left.bit_length() - 1
+                need = block["needs"].iloc[i][level]
+                rest = left - block["sums"].iloc[i][level]
+                if rest < 1 << level or (need is not None and not pd.isna(need) and left >= need):
+                    rows[-1] = (product, number, left, True)
+                    break
+                left = int(rest)
+    return pd.DataFrame(rows, columns=["product", "slice", "entry", "open"])
+
+
+def _in_slices(lines: DataFrame, kind: str, schema: str, slice_rows: int) -> DataFrame:
     """Exact decisions for products with very many lines, without holding one in a task.
 
-    Let ``half`` be the largest power of two within the remaining stock. Quantities below
-    ``half`` are accepted for as long as the stock stays at or above it, so a running sum
-    decides them all at once; the first larger quantity that fits, or the small one that
-    takes the stock below ``half``, ends the phase. Each phase at least halves the
-    magnitude of the stock, so there are about log2(stock) phases.
+    The lines of a product are cut into slices of consecutive lines. Let ``half`` be the
+    largest power of two within the stock at the start of a slice. If the quantities below
+    ``half`` leave at least ``half`` at the end, and no larger one fits on the way, then
+    exactly the smaller ones are accepted, which the slice's sums tell. Otherwise the slice
+    is folded line by line; that brings the stock below ``half``, so it happens at most
+    about log2(stock) times per product. At the end every slice knows its first stock, and
+    all slices are decided in parallel.
     """
-    open_lines = written(lines.select("product", "line", "quantity", "stock"), "open")
-    decided = None
+    spark = lines.sparkSession
+    total, most = lines.agg(F.count(F.lit(1)), F.max("stock")).first()
+    width = max(shuffle_width(spark), -(-total // slice_rows))
+    cut = written(lines.repartitionByRange(width, "product", "line").withColumn("_slice", F.spark_partition_id()), "slices")
+    levels = max(int(most or 0).bit_length(), 1)
+    summaries = written(map_groups(
+        cut, "_slice", ["product", "line"], lambda block, starts: _summary(block, starts, levels),
+        f"product {kind}, slice int, sums array<bigint>, needs array<bigint>"), "summaries")
+    stocks = cut.select("product", "stock").distinct()
+    summaries = written(summaries.join(stocks, "product"), "summaries")
+    exits = spark.createDataFrame([], f"product {kind}, slice int, exit bigint")
     while True:
-        half = F.when(F.col("stock") > 0, F.expr("shiftleft(1L, cast(floor(log2(greatest(stock, 1))) as int))")).otherwise(F.lit(0).cast("long"))
-        phase = open_lines.withColumn("_half", half).withColumn(
-            "_small", F.when(F.col("quantity") < F.col("_half"), F.col("quantity")).otherwise(F.lit(0)))
-        scanned = running(phase, ["line"], ["product"], sums={"_taken": "_small"})
-        before = F.col("stock") - (F.col("_taken") - F.col("_small"))
-        is_small = F.col("quantity") < F.col("_half")
-        ends = F.when(is_small, before - F.col("quantity") < F.col("_half")).otherwise(F.col("quantity") <= before)
-        marked = written(scanned.withColumns({"_before": before, "_ends": ends, "_is_small": is_small}), "phase")
-        last = marked.filter("_ends").groupBy(F.col("product").alias("_product")).agg(
-            F.min(F.struct("line", (F.col("_before") - F.col("quantity")).alias("left"))).alias("_end"))
-        last = written(last, "ends")
-        joined = marked.join(last, marked["product"] == last["_product"], "left")
-        here = F.col("_end").isNull() | (F.col("line") <= F.col("_end.line"))
-        accepted = F.col("_is_small") | F.coalesce(F.col("line") == F.col("_end.line"), F.lit(False))
-        part = written(joined.filter(here).select(
-            "product", "line", F.col("_before").cast("long").alias("available"), accepted.alias("accepted")), "decided")
-        decided = part if decided is None else decided.unionByName(part)
-        if last.isEmpty():
-            return decided
-        open_lines = written(joined.filter(~here).select(
-            "product", "line", "quantity", F.col("_end.left").cast("long").alias("stock")), "open")
-        if open_lines.isEmpty():
-            return decided
-
-
-def accept_sales(sales: DataFrame, stock: DataFrame, product_limit: int = 100_000) -> DataFrame:
+        entries = written(map_groups(
+            summaries.join(exits, ["product", "slice"], "left"), "product", ["slice"], _walk,
+            f"product {kind}, slice int, entry bigint, open boolean"), "entries")
+        placed = cut.drop("stock").join(entries.select("product", F.col("slice").alias("_slice"), "entry", "open"), ["product", "_slice"])
+        rows = placed.withColumnRenamed("entry", "stock")
+        if entries.filter("open").isEmpty():
+            return map_groups(rows, "_slice", ["product", "line"], _fold, schema)
+        found = map_groups(rows.filter("open"), "_slice", ["product", "line"], _last_stock, f"product {kind}, slice int, exit bigint")
+        exits = exits.unionByName(written(found, "exits"))
+
+
+def accept_sales(
+    sales: DataFrame, stock: DataFrame, product_limit: int = 100_000, slice_rows: int = 1_000_000
+) -> DataFrame:
     """Decide every sale line in order: status, stock before the line, gross and net profit.
 
     A line is ``ok`` when its quantity is within the stock left by the lines accepted before
     it, else ``insufficient`` and the stock stays. A product that is not listed, or was sold
     out, is ``unknown_product``. A quantity that is not positive is ``bad_quantity`` and the
     later lines of that sale are ``aborted``. A product with up to ``product_limit`` lines is
-    folded inside a task; one with more is decided in phases. Both give the same rows.
+    folded inside a task; one with more is decided in slices. Both give the same rows.
     """
     kept = [c for c in sales.columns]
     lines = written(_with_stops(sales), "lines")
@@ -92,12 +141,14 @@ def accept_sales(sales: DataFrame, stock: DataFrame, product_limit: int = 100_00
         priced.select("_product", "stock"), F.col("product") == F.col("_product")).drop("_product")
     live = written(live, "live")
     hot = written(live.groupBy("product").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > product_limit), "hot")
-    schema = DECISION.format(kind=sales.schema["product"].dataType.simpleString(), line=sales.schema["line"].dataType.simpleString())
+    kind = sales.schema["product"].dataType.simpleString()
+    schema = DECISION.format(kind=kind, line=sales.schema["line"].dataType.simpleString())
     if hot.isEmpty():
         decisions = map_groups(live, "product", ["line"], _fold, schema)
     else:
         folded = map_groups(live.join(hot, "product", "left_anti"), "product", ["line"], _fold, schema)
-        decisions = folded.unionByName(_in_phases(live.join(hot, "product", "left_semi")))
+        sliced = _in_slices(live.join(hot, "product", "left_semi"), kind, schema, slice_rows)
+        decisions = folded.unionByName(sliced)
     named = decisions.select(F.col("line").alias("_line"), "available", "accepted")
     out = lines.join(named, lines["line"] == named["_line"], "left").join(
         priced.drop("stock"), lines["product"] == F.col("_product"), "left")

@@ -53,12 +53,13 @@ def saved_label_models(spark, d):
 def linear_svm_confusion(spark, d):
     rows = load_spread(spark, d, "embeddings", "vec_id").withColumn("y", (F.col("label") >= 5).cast("int"))
     train, test = balance.random_split(rows, "vec_id", 0.2)
-    model = classify.fit_linear_svm(train, "embedding", "y")
+    model = classify.fit_linear_svm(train, "embedding", "y", 30)
     return evaluate.confusion(classify.apply_linear_svm(model, test, "embedding"))
 
 
 def topic_model(spark, d, k):
-    return topics.fit_topics(corpus(spark, d).filter("toxic = 1"), "tokens", k)
+    """Topics of the junk: documents that are toxic or of low quality."""
+    return topics.fit_topics(corpus(spark, d).filter("toxic = 1 or quality = 0"), "tokens", k)
 
 
 @query("topic_leading_terms")

@@ -13,7 +13,7 @@ def make_session():
 
     spark = (
         SparkSession.builder.master("local[8]").appName("tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("TEST_PARTITIONS", "4"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
