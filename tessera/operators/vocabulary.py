@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tessera.functions.text import name_mentions
 from tessera.operators.ordered import percentiles, running
@@ -18,9 +19,19 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def unfolded(df: DataFrame, keep: Sequence[str], values: Column | str, name: str) -> DataFrame:
+    """One row per array element.
+
+    The outer form is filtered afterwards on purpose: for the inner form the optimizer adds a
+    size check below, which would compute an expensive array once more per row.
+    """
+    return df.select(*keep, F.explode_outer(values).alias(name)).filter(F.col(name).isNotNull())
+
+
 def token_counts(df: DataFrame, document: str, tokens: str) -> DataFrame:
     """Occurrences of each token and the place where it first appears."""
-    placed = df.select(F.col(document).alias("_d"), F.posexplode(tokens).alias("_p", "token"))
+    placed = df.select(F.col(document).alias("_d"), F.posexplode_outer(tokens).alias("_p", "token"))
+    placed = placed.filter("token is not null")
     return placed.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_d", "_p")).alias("first"))
 
 
@@ -32,7 +43,7 @@ def vocabulary(df: DataFrame, document: str, tokens: str) -> DataFrame:
 
 def length_distribution(df: DataFrame, document: str, tokens: str) -> DataFrame:
     """Longest document, its id (the smallest on ties) and high percentiles of the length."""
-    sized = df.select(F.col(document).alias("id"), F.size(tokens).alias("length"))
+    sized = written(df.select(F.col(document).alias("id"), F.size(tokens).alias("length")), "lengths")
     high = percentiles(sized, ["length"], {"p90": 0.90, "p95": 0.95, "p99": 0.99})
     longest = sized.agg(F.max(F.struct("length", -F.col("id"))).alias("m"))
     return high.select(
@@ -56,16 +67,28 @@ def coverage_cutoff(covered: DataFrame, shares: Sequence[float]) -> DataFrame:
     return covered.agg(F.array(*entries).alias("_c")).select(F.inline("_c"))
 
 
-def encode(df: DataFrame, document: str, tokens: str, ranked: DataFrame, num_words: int) -> DataFrame:
+def encode(
+    df: DataFrame, document: str, tokens: str, ranked: DataFrame, num_words: int, shipped_words: int = 200_000
+) -> DataFrame:
     """Token ids per document; 1 stands for words outside the vocabulary or its cap.
 
-    Documents are placed by id before their tokens are unfolded, so that folding them
-    again needs no further shuffle. The capped vocabulary has fewer than ``num_words`` rows.
+    The capped vocabulary has fewer than ``num_words`` rows. Up to ``shipped_words`` of them
+    travel to the tasks as one lookup table, so that documents are neither unfolded nor
+    shuffled. A larger cap joins unfolded tokens; documents are then placed by id first, so
+    that folding them again needs no further shuffle.
     """
     known = written(ranked.filter(F.col("rank") + 1 < num_words).select("token", (F.col("rank") + 1).cast("int").alias("_id")), "vocabulary")
+    if num_words <= shipped_words:
+        lookup = {r["token"]: r["_id"] for r in known.collect()}
+
+        @F.pandas_udf("array<int>")
+        def numbers(column: pd.Series) -> pd.Series:
+            return column.map(lambda words: None if words is None else [lookup.get(w, 1) for w in words])
+
+        return df.select(document, numbers(F.coalesce(F.col(tokens), F.array().cast("array<string>"))).alias("ids"))
     placed = df.select(F.col(document).alias(document), F.col(tokens).alias("_tokens")).repartition(document)
-    unfolded = placed.select(document, F.posexplode_outer("_tokens").alias("_p", "token"))
-    joined = unfolded.join(small(known), "token", "left")
+    tokens_of = placed.select(document, F.posexplode_outer("_tokens").alias("_p", "token"))
+    joined = tokens_of.join(small(known), "token", "left")
     entry = F.when(F.col("_p").isNotNull(), F.struct("_p", F.coalesce("_id", F.lit(1)).alias("_id")))
     return joined.groupBy(document).agg(F.array_sort(F.collect_list(entry)).alias("_e")).select(
         document, F.transform("_e", lambda e: e["_id"]).alias("ids"))
@@ -78,7 +101,7 @@ def padded(ids: Column, length: int) -> Column:
 
 def document_frequency(df: DataFrame, tokens: str) -> DataFrame:
     """Documents containing each token, and their share of all documents."""
-    counts = df.select(F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(
+    counts = unfolded(df, [], F.array_distinct(tokens), "token").groupBy("token").agg(
         F.count(F.lit(1)).alias("documents"))
     total = df.agg(F.count(F.lit(1))).scalar()
     return counts.select("token", "documents", (F.col("documents") / total).alias("share"))
@@ -105,8 +128,7 @@ def numbered(kept: DataFrame) -> DataFrame:
 
 def _term_counts(df: DataFrame, document: str, tokens: str, kept: DataFrame, columns: Sequence[str]) -> DataFrame:
     placed = df.select(document, F.col(tokens).alias("_tokens")).repartition(document)
-    unfolded = placed.select(document, F.explode("_tokens").alias("token"))
-    return unfolded.join(small(kept), "token").groupBy(document, "token", *columns).agg(F.count(F.lit(1)).alias("n"))
+    return unfolded(placed, [document], "_tokens", "token").join(small(kept), "token").groupBy(document, "token", *columns).agg(F.count(F.lit(1)).alias("n"))
 
 
 def bag_of_words(df: DataFrame, document: str, tokens: str, kept: DataFrame) -> DataFrame:
@@ -125,13 +147,12 @@ def tfidf(df: DataFrame, document: str, tokens: str, min_documents: int = 3, max
     idf = (F.log((1 + total) / (1 + F.col("documents"))) + 1).alias("idf")
     terms = written(kept.select("token", idf), "terms")
     weighted = _term_counts(df, document, tokens, terms, ["idf"]).withColumn("raw", F.col("n") * F.col("idf"))
-    lengths = weighted.groupBy(F.col(document).alias("_d")).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_length"))
-    return weighted.join(lengths, weighted[document] == lengths["_d"]).select(
-        document, "token", "n", (F.col("raw") / F.col("_length")).alias("weight"))
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(document)))  # terms of one document
+    return weighted.select(document, "token", "n", (F.col("raw") / length).alias("weight"))
 
 
 def mentions(df: DataFrame, document: str, text: str) -> DataFrame:
-    return df.select(document, F.explode(name_mentions(F.col(text))).alias("mention"))
+    return unfolded(df, [document], name_mentions(F.col(text)), "mention")
 
 
 def mention_counts(found: DataFrame) -> DataFrame:
