@@ -47,22 +47,23 @@ def _frequent(pairs: DataFrame, min_count: int) -> DataFrame:
 
 
 def _pruned_baskets(df: DataFrame, document: str, item: str, min_count: int) -> DataFrame:
-    pairs = basket_items(df, document, item)
+    pairs = written(basket_items(df, document, item), "pairs")
     kept = pairs.join(_frequent(pairs, min_count).select("item"), "item", "left_semi")
     return kept.groupBy("document").agg(F.collect_set("item").alias("items"))
 
 
 def _fitted(df, document, item, min_count, min_confidence):
+    """(fitted miner, number of baskets it has seen)."""
     rows = written(_pruned_baskets(df, document, item, min_count).select("items"), "baskets")
     found = rows.count()
-    return FPGrowth(
-        itemsCol="items", minSupport=relative_support(min_count, found) if found else 1.0,
-        minConfidence=min_confidence).fit(rows)
+    miner = FPGrowth(
+        itemsCol="items", minSupport=relative_support(min_count, found) if found else 1.0, minConfidence=min_confidence)
+    return miner.fit(rows), found
 
 
 def frequent_itemsets(df: DataFrame, document: str, item: str, min_count: int) -> DataFrame:
     """All itemsets in at least ``min_count`` baskets. Rare items leave the baskets first."""
-    return _fitted(df, document, item, min_count, 0.8).freqItemsets.select(
+    return _fitted(df, document, item, min_count, 0.8)[0].freqItemsets.select(
         F.array_sort("items").alias("items"), F.col("freq").alias("n"))
 
 
@@ -72,9 +73,8 @@ def mined_pair_rules(df: DataFrame, document: str, item: str, min_count: int, mi
     Support and lift are restored to the number of all baskets, since the miner sees only
     baskets with a frequent item.
     """
-    model = _fitted(df, document, item, min_count, min_confidence)
+    model, mined = _fitted(df, document, item, min_count, min_confidence)
     total = basket_count(df, document).scalar()
-    mined = written(_pruned_baskets(df, document, item, min_count), "baskets").count()
     one_to_one = model.associationRules.filter("size(antecedent) = 1 and size(consequent) = 1")
     return one_to_one.select(
         F.element_at("antecedent", 1).alias("antecedent"), F.element_at("consequent", 1).alias("consequent"),

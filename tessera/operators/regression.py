@@ -241,6 +241,7 @@ def mean_filled(df: DataFrame, columns: Sequence[str], given: Mapping[str, float
 
 def effect_curve(df: DataFrame, fit: Fit, columns: Sequence[str], varied: str, values: Sequence[float]) -> DataFrame:
     """Expected value with its band over a range of one column, the others at their means."""
-    base = mean_filled(df, columns, {varied: 0.0}).drop(varied)
+    others = [c for c in columns if c != varied]
+    base = mean_filled(df, others, {}) if others else df.sparkSession.range(1).drop("id")
     grid = base.withColumn(varied, F.explode(F.array(*[F.lit(float(v)) for v in values])))
     return fit.with_band(grid).select(varied, "predicted", "standard_error", "low", "high")

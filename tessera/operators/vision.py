@@ -205,8 +205,8 @@ def detect(
 def patch_positions(images: DataFrame, window: int, per_image: int, seed: int = 42) -> DataFrame:
     """Seeded random window corners; images smaller than the window are skipped."""
     def place(axis: str, room: Column) -> Column:
-        drawn = F.xxhash64(F.col("image").cast("string"), F.col("patch"), F.lit(seed), F.lit(axis))
-        return F.pmod(drawn, room - window + 1).cast("int")
+        drawn = F.md5(F.concat_ws("|", F.col("image").cast("string"), F.col("patch").cast("string"), F.lit(str(seed)), F.lit(axis)))
+        return (F.conv(F.substring(drawn, 1, 12), 16, 10).cast("long") % (room - window + 1)).cast("int")
 
     fits = images.filter((F.col("height") >= window) & (F.col("width") >= window))
     return fits.withColumn("patch", F.explode(F.sequence(F.lit(1), F.lit(per_image)))).withColumns(

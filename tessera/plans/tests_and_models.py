@@ -226,3 +226,12 @@ def effect_curve(spark, d):
     data = lines(spark, d)
     fit = regression.moments(data, F.col(Y), terms).fit()
     return rounded(regression.effect_curve(data, fit, [X, "l_tax"], X, range(1, 51)))
+
+
+@query("simple_effect_curve", f"""with {BASE}
+select cast(x as double) as {X}, round(start + slope * x, 4) as predicted, round(sqrt(v * (1 / n + (x - mx) ** 2 / sxx)), 4) as standard_error
+from s, range(1, 51) as r(x)""")
+def simple_effect_curve(spark, d):
+    data = lines(spark, d)
+    curve = regression.effect_curve(data, simple_fit(spark, d), [X], X, range(1, 51))
+    return rounded(curve.select(X, "predicted", "standard_error"), 4)
