@@ -20,6 +20,7 @@ import json
 import re
 import sys
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -164,9 +165,12 @@ def packed(ids: list[int]) -> bytes:
 
 
 class Encoder:
-    """Text to packed token ids and back, for a byte-level vocabulary file."""
+    """Text to packed token ids and back, for a byte-level vocabulary file.
 
-    def __init__(self, path: str):
+    ``pieces`` makes, from the file, the map of what the pattern cuts out to packed ids; by default the automaton's.
+    """
+
+    def __init__(self, path: str, pieces: Callable[[str], dict[str, bytes]] | None = None):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.to_byte = {c: b for b, c in enumerate(byte_characters())}
@@ -175,7 +179,7 @@ class Encoder:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         tokens = {raw(t): i for t, i in model["vocab"].items() if t not in self.special}
-        self.automaton = Automaton(tokens, [(raw(u), raw(v)) for u, v in pairs])
+        self.pieces = pieces(path) if pieces else _Pieces(Automaton(tokens, [(raw(u), raw(v)) for u, v in pairs]).encode)
         top = max([*tokens.values(), *self.special.values()]) + 1
         self.labels = [b""] * top
         for label, token in [*tokens.items(), *((c.encode(), i) for c, i in self.special.items())]:
@@ -184,7 +188,6 @@ class Encoder:
         self.runs = re.compile(f"[{SPACE}]+|[^{SPACE}]+")
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.space = frozenset(SPACE)
-        self.pieces = _Pieces(self.automaton)
         self.after_blank, self.bare = _Chunks(self, " "), _Chunks(self, "")
 
     def missed(self, chunk: str) -> bytes:
@@ -243,14 +246,14 @@ class _Irregular(Exception):
 
 
 class _Pieces(dict):
-    """Packed ids of what the pattern cuts out."""
+    """Packed ids of what the pattern cuts out; forgets everything when it is full."""
 
-    def __init__(self, automaton: Automaton):
+    def __init__(self, to_ids: Callable[[bytes], list[int]]):
         super().__init__()
-        self.automaton = automaton
+        self.to_ids = to_ids
 
     def __missing__(self, piece: str) -> bytes:
-        ids = packed(self.automaton.encode(piece.encode()))
+        ids = packed(self.to_ids(piece.encode()))
         if len(piece) <= 64:
             if len(self) >= CACHED:
                 self.clear()
@@ -279,12 +282,26 @@ class _Chunks(dict):
         return ids
 
 
+def _library_pieces(path: str) -> _Pieces:
+    """The merges of the tokenizers library, on pieces already cut by its pattern."""
+    from tokenizers import Tokenizer
+
+    model, printed = Tokenizer.from_file(path).model, str.maketrans(dict(enumerate(byte_characters())))
+    return _Pieces(lambda piece: [t.id for t in model.tokenize(piece.decode("latin-1").translate(printed))])
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and file."""
+    """One automaton encoder per Python worker and file."""
     return Encoder(path)
 
 
+@lru_cache(maxsize=2)
+def library_encoder(path: str) -> Encoder:
+    """The same with the tokenizers library's merges in place of the automaton."""
+    return Encoder(path, _library_pieces)
+
+
 def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, ids`` for every row: the token ids as little-endian unsigned 32-bit integers.
 
