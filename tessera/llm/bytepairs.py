@@ -72,7 +72,7 @@ class Automaton:
             first, second, whole = tokens[u], tokens[v], tokens[u + v]
             self.made[whole], self.left[whole] = when, first
             state = self.target[first]
-            if not self._has(state, second, when - 1):
+            if self.dead[first] or not self._has(state, second, when - 1):
                 self.dead[whole] = True  # the pair never comes up
                 continue
             self.target[whole] = self.target[second]
