@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tessera.llm.support import only
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A line that begins, after comment signs, with a copyright statement.
-COPYRIGHT = r"\n[ \t\r*#/;>-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: A line that begins, after comment signs, with a copyright statement: a sign, a year or an owner must follow the word.
+COPYRIGHT = (r"\n[ \t\r*#/;>-]*((copyright[ \t]*)?(\(c\)|©)|copyright:?[ \t]+(by[ \t]|[12][0-9][0-9][0-9])|all rights reserved)"
+             r"[^\n]*")
 #: Fixed: spellings taken as equal, the first written as the second.
 SPELLINGS = (
     ("licence", "license"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("copyright holder", "copyright owner"),
