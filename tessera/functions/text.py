@@ -22,17 +22,22 @@ ENGLISH_STOP_WORDS = (
 
 # The ASCII punctuation marks, as character ranges.
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
-URL = r"https?://\S+|www\.\S+"
+# White space of Unicode texts, as ranges.
+SPACE = r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+URL = f"https?://[^{SPACE}]+"
 # Two or more capitalised words in a row.
 NAME_RUN = r"[A-Z][A-Za-z&]+(?: [A-Z][A-Za-z&]+)+"
 
 
 def cleaned_comment(text: Column) -> Column:
-    """Lower case, no links, only a-z and single spaces."""
+    """Lower case, no http links, only a-z and white space; line ends become spaces and runs of spaces one space.
+
+    Other white space stays as it is, except at the ends.
+    """
     out = F.regexp_replace(F.lower(text), URL, "")
     out = F.regexp_replace(out, "\n", " ")
-    out = F.regexp_replace(out, r"[^a-z\s]", "")
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    out = F.regexp_replace(out, f"[^a-z{SPACE}]", "")
+    return F.regexp_replace(F.regexp_replace(out, " +", " "), f"^[{SPACE}]+|[{SPACE}]+$", "")
 
 
 def mail_tokens(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
@@ -46,8 +51,8 @@ def cleaned_mail(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -
 
 
 def words(text: Column) -> Column:
-    """Non-empty pieces between spaces."""
-    return F.filter(F.split(text, " "), lambda w: w != "")
+    """Non-empty pieces between white space."""
+    return F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != "")
 
 
 def name_mentions(text: Column, pattern: str = NAME_RUN) -> Column:

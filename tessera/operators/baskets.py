@@ -19,20 +19,19 @@ def basket_count(df: DataFrame, document: str) -> DataFrame:
     return df.select(document).distinct().agg(F.count(F.lit(1)).alias("baskets"))
 
 
-def baskets(df: DataFrame, document: str, item: str, part_size: int = 100_000) -> DataFrame:
-    """Sorted array of distinct items per document.
+def baskets(df: DataFrame, document: str, item: str) -> DataFrame:
+    """One row per document: the sorted array of its distinct items, empty if all its items are null.
 
-    A basket of more than ``part_size`` items comes as several rows, numbered by
-    ``part``, because one array of it would be one task's work. Documents whose items
-    are all null give an empty basket.
+    For baskets that are too large for a row, ``basket_items`` gives the same as (document, item) rows.
     """
     pairs = df.select(F.col(document).alias("document"), F.col(item).alias("item")).distinct()
-    sizes = pairs.groupBy("document").agg(F.count("item").alias("size"))
-    wide = sizes.filter(F.col("size") > part_size).select(
-        F.col("document").alias("_document"), F.ceil(F.col("size") / part_size).alias("_parts"))
-    placed = pairs.join(wide, pairs["document"].eqNullSafe(wide["_document"]), "left").withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64("item"), F.col("_parts")), F.lit(0)).cast("int"))
-    return placed.groupBy("document", "part").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return pairs.groupBy("document").agg(F.array_sort(F.collect_set("item")).alias("items"))
+
+
+def _keyed(df: DataFrame, document: str, item: str) -> DataFrame:
+    """``basket_items`` with documents as text that is never null: the null document is one basket."""
+    key = F.coalesce(F.concat(F.lit("+"), F.col("document").cast("string")), F.lit("-"))
+    return basket_items(df, document, item).select(key.alias("document"), "item")
 
 
 def relative_support(min_count: int, transactions: int) -> float:
@@ -47,7 +46,7 @@ def _frequent(pairs: DataFrame, min_count: int) -> DataFrame:
 
 
 def _pruned_baskets(df: DataFrame, document: str, item: str, min_count: int) -> DataFrame:
-    pairs = written(basket_items(df, document, item), "pairs")
+    pairs = written(_keyed(df, document, item), "pairs")
     kept = pairs.join(_frequent(pairs, min_count).select("item"), "item", "left_semi")
     return kept.groupBy("document").agg(F.collect_set("item").alias("items"))
 
@@ -93,7 +92,7 @@ def pair_rules(
     looking up the baskets of both items. Wide baskets beyond that number are paired in
     pieces, so that no task pairs a whole one.
     """
-    pairs = written(basket_items(df, document, item), "pairs")
+    pairs = written(_keyed(df, document, item), "pairs")
     counts = written(_frequent(pairs, min_count), "counts")
     kept = written(pairs.join(counts.select("item"), "item", "left_semi"), "frequent")
     widths = kept.groupBy("document").agg(F.count(F.lit(1)).alias("width")).filter(F.col("width") > wide)

@@ -169,10 +169,15 @@ def density(df: DataFrame, column: str, points: int = 512) -> DataFrame:
     """Gaussian kernel density on a regular grid, rule-of-thumb bandwidth.
 
     Each value is shared linearly between its two neighbouring grid points in one
-    aggregation, so the smoothing afterwards works on ``points`` rows whatever the data size.
+    aggregation, so the smoothing afterwards works on ``points`` rows whatever the data size. The
+    bandwidth's spread is the smaller of standard deviation and scaled quartile distance; where that is 0, in
+    turn the standard deviation, the smallest absolute value, and 1. No values give no rows.
     """
     summary = describe(df, [column]).select("n", "min", "max", "sd", "iqr").first()
-    spread = min(summary["sd"], summary["iqr"] / 1.34) if summary["iqr"] else summary["sd"]
+    if summary is None or not summary["n"]:
+        return df.sparkSession.createDataFrame([], "point int, x double, density double")
+    deviation = float(summary["sd"] or 0.0)
+    spread = min(deviation, float(summary["iqr"] or 0.0) / 1.34) or deviation or abs(float(summary["min"])) or 1.0
     bandwidth = 0.9 * spread * summary["n"] ** -0.2
     low, high = summary["min"] - 3 * bandwidth, summary["max"] + 3 * bandwidth
     step = (high - low) / (points - 1)

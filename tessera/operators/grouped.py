@@ -11,7 +11,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
+
+GROUP = "_group"
 
 
 def complete_groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
@@ -47,7 +49,9 @@ def map_groups(
 ) -> DataFrame:
     """Apply ``function(block, starts)`` to blocks of complete groups sorted by ``order``."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block, starts in complete_groups(batches, key):
+        for block, starts in complete_groups(batches, GROUP):
             yield function(block, starts)
 
-    return df.repartition(key).sortWithinPartitions(key, *order).mapInPandas(work, schema)
+    # Groups are told apart by a text that is never null: a null number would reach pandas as NaN, unequal to itself.
+    marked = df.withColumn(GROUP, F.coalesce(F.concat(F.lit("+"), F.col(key).cast("string")), F.lit("-")))
+    return marked.repartition(GROUP).sortWithinPartitions(GROUP, *order).mapInPandas(work, schema)

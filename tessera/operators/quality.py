@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, StringType
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,6 +46,14 @@ def join_cardinality(fact: DataFrame, dimensions: Mapping[str, tuple[DataFrame,
     return reduce(DataFrame.unionByName, reports)
 
 
+def _common_type(left: DataFrame, right: DataFrame) -> DataType:
+    """The type in which keys of both columns compare; text if one side is text and the other is not."""
+    kinds = [df.schema[0].dataType for df in (left, right)]
+    if kinds[0] != kinds[1] and StringType() in kinds:
+        return StringType()
+    return left.toDF("k").union(right.toDF("k")).schema["k"].dataType
+
+
 def relationship_check(
     tables: Mapping[str, DataFrame], edges: Sequence[tuple[str, str, str, str, str]]
 ) -> DataFrame:
@@ -70,10 +79,10 @@ def relationship_check(
                 F.lit("column not found").alias("note"),
             ))
             continue
-        side = []
+        side, kind = [], _common_type(tables[table1].select(column1), tables[table2].select(column2))
         for table, column, out in ((table1, column1, "_n1"), (table2, column2, "_n2")):
             side.append(
-                tables[table].select(F.col(column).cast("string").alias("_key")).filter("_key is not null")
+                tables[table].select(F.col(column).cast(kind).alias("_key")).filter("_key is not null")
                 .groupBy("_key").agg(F.count(F.lit(1)).alias(out))
             )
         seen = side[0].join(side[1], "_key", "full").agg(

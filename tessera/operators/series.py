@@ -84,37 +84,66 @@ def _lags(x: np.ndarray, steps: Sequence[int]) -> np.ndarray:
     return np.column_stack([np.concatenate([np.zeros(k), x[:-k]]) for k in steps]) if steps else np.empty((len(x), 0))
 
 
-def _steps(plain: int, seasonal: int, season: int) -> list[int]:
-    return sorted(set(range(1, plain + 1)) | {season * i for i in range(1, seasonal + 1)})
-
-
-def _least_squares(w, shocks, order, season):
-    ar, ma = _steps(order[0], order[2], season), _steps(order[1], order[3], season)
-    design = np.hstack([_lags(w, ar), _lags(shocks, ma)])
-    beta = np.linalg.lstsq(design, w, rcond=None)[0] if design.shape[1] else np.zeros(0)
-    residual = w - design @ beta
+def _seen(x: np.ndarray, coefficients: Sequence[float], step: int) -> np.ndarray:
+    """The sum of ``x`` at ``step``, ``2 step``, ... earlier, weighted."""
+    steps = [step * (i + 1) for i in range(len(coefficients))]
+    return _lags(x, steps) @ np.asarray(coefficients, dtype=float) if steps else np.zeros(len(x))
+
+
+def _half(w, shocks, other_ar, other_ma, other_step, counts, step):
+    """Least squares of one pair of polynomials (plain or seasonal) while the other pair is fixed."""
+    past_w = w - _seen(w, other_ar, other_step)
+    past_shocks = shocks + _seen(shocks, other_ma, other_step)
+    lags = [[step * (i + 1) for i in range(n)] for n in counts]
+    design = np.hstack([_lags(past_w, lags[0]), _lags(past_shocks, lags[1])])
+    if not design.shape[1]:
+        return np.zeros(0), np.zeros(0)
+    beta = np.linalg.lstsq(design, past_w - (past_shocks - shocks), rcond=None)[0]
+    return beta[:counts[0]], beta[counts[0]:]
+
+
+def _product(plain: np.ndarray, seasonal: np.ndarray, season: int) -> np.ndarray:
+    """Coefficients by lag, from lag 0, of ``(1 + plain)(1 + seasonal)``."""
+    second = np.zeros(season * len(seasonal) + 1)
+    second[0], second[season::season] = 1.0, seasonal
+    return np.convolve(np.concatenate([[1.0], plain]), second)
+
+
+def _least_squares(w, shocks, order, season, rounds: int = 8):
+    """Fit ``(1 - ar)(1 - seasonal ar) w = (1 + ma)(1 + seasonal ma) e`` by alternating least squares."""
+    p, q, seasonal_p, seasonal_q = order
+    ar, ma, seasonal_ar, seasonal_ma = (np.zeros(n) for n in order)
+    both = p + q > 0 and seasonal_p + seasonal_q > 0
+    for _ in range(rounds if both else 1):
+        ar, ma = _half(w, shocks, seasonal_ar, seasonal_ma, season, (p, q), 1)
+        seasonal_ar, seasonal_ma = _half(w, shocks, ar, ma, 1, (seasonal_p, seasonal_q), season)
+    on_w = -_product(-ar, -seasonal_ar, season)[1:]
+    on_shocks = _product(ma, seasonal_ma, season)[1:]
+    residual = w - _seen(w, on_w, 1) - _seen(shocks, on_shocks, 1)
     n = len(w)
-    aic = n * np.log(max(residual @ residual / n, 1e-12)) + 2 * (len(beta) + 1)
-    return aic, ar, ma, beta, residual
+    aic = n * np.log(max(residual @ residual / n, 1e-12)) + 2 * (sum(order) + 1)
+    return aic, on_w, on_shocks, residual
 
 
-def seasonal_arima_forecast(values: np.ndarray, periods: int, season: int = 7, largest: int = 7) -> np.ndarray:
-    """Forecast with one plain and one seasonal difference; orders chosen stepwise by AIC.
+def seasonal_arima_forecast(
+    values: np.ndarray, periods: int, season: int = 7, largest: int = 7,
+) -> tuple[np.ndarray, str]:
+    """Forecast with one plain and one seasonal difference, and the method used.
 
-    Shocks come from a long autoregression, coefficients from least squares on lagged
-    values and shocks. Falls back to the last season when the series is too short or the
-    fitted recursion diverges.
+    Plain and seasonal polynomials are multiplied; their orders are chosen stepwise by AIC among those that leave
+    degrees of freedom. Shocks come from a long autoregression, coefficients from least squares on lagged
+    values and shocks. The method is ``seasonal arima``, or ``seasonal naive`` (the last season again) for a series
+    with fewer than three differences or a fitted recursion that diverges.
     """
     y = np.asarray(values, dtype=float)
-    naive = np.array([y[len(y) - season + h % season] if len(y) >= season else y[-1] for h in range(periods)])
-    if len(y) < 5 * season:
+    naive = np.array([y[len(y) - season + h % season] if len(y) >= season else y[-1] for h in range(periods)]), "seasonal naive"
+    if len(y) < season + 4:
         return naive
     once = np.diff(y)
     w = once[season:] - once[:-season]
-    long_steps = list(range(1, min(2 * season + 1, len(w) // 4) + 1))
-    long_design = _lags(w, long_steps)
-    shocks = w - long_design @ np.linalg.lstsq(long_design, w, rcond=None)[0]
-    order, best = (0, 0, 0, 0), None
+    long_design = _lags(w, list(range(1, min(2 * season + 1, len(w) // 4) + 1)))
+    shocks = w - long_design @ np.linalg.lstsq(long_design, w, rcond=None)[0] if long_design.shape[1] else w
+    order = (0, 0, 0, 0)
     best = _least_squares(w, shocks, order, season)
     tried, improved = {order}, True
     while improved:
@@ -122,44 +151,44 @@ def seasonal_arima_forecast(values: np.ndarray, periods: int, season: int = 7, l
         for position in range(4):
             for change in (1, -1):
                 candidate = tuple(o + change * (i == position) for i, o in enumerate(order))
-                if candidate in tried or min(candidate) < 0 or max(candidate) > largest:
+                reach = max(candidate[0] + season * candidate[2], candidate[1] + season * candidate[3])
+                if candidate in tried or min(candidate) < 0 or max(candidate) > largest or reach + sum(candidate) >= len(w) // 2:
                     continue
                 tried.add(candidate)
                 fit = _least_squares(w, shocks, candidate, season)
                 if fit[0] < best[0] - 1e-9:
                     order, best, improved = candidate, fit, True
-    _, ar, ma, beta, residual = best
+    _, on_w, on_shocks, residual = best
     path, errors, levels = list(w), list(residual), list(y)
     for _ in range(periods):
-        terms = [path[-k] if k <= len(path) else 0.0 for k in ar] + [errors[-k] if k <= len(errors) else 0.0 for k in ma]
-        step = float(np.dot(beta, terms)) if len(beta) else 0.0
-        path.append(step)
+        step = sum(c * path[-k] for k, c in enumerate(on_w, 1)) + sum(c * errors[-k] for k, c in enumerate(on_shocks, 1))
+        path.append(float(step))
         errors.append(0.0)
         levels.append(step + levels[-1] + levels[-season] - levels[-season - 1])
     out = np.array(levels[-periods:])
     reach = np.abs(y).max() * 10 + 1
-    return out if np.isfinite(out).all() and np.abs(out).max() <= reach else naive
+    return (out, "seasonal arima") if np.isfinite(out).all() and np.abs(out).max() <= reach else naive
 
 
 def forecast(daily: DataFrame, periods: int, by: Sequence[str], season: int = 7) -> DataFrame:
-    """Seasonal ARIMA forecast of every series: ``by..., date, predicted_sales``.
+    """Seasonal ARIMA forecast of every series: ``by..., date, predicted_sales, method``.
 
     A series is at most one row per day of the trailing year, so one task can hold it;
     many series run in parallel.
     """
     by = list(by)
     schema = T.StructType([*[daily.schema[b] for b in by], T.StructField("date", T.DateType()),
-                           T.StructField("predicted_sales", T.DoubleType())])
+                           T.StructField("predicted_sales", T.DoubleType()), T.StructField("method", T.StringType())])
 
     def one_series(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("date")
-        predicted = seasonal_arima_forecast(rows["total_amount"].to_numpy(dtype=float), periods, season)
+        predicted, method = seasonal_arima_forecast(rows["total_amount"].to_numpy(dtype=float), periods, season)
         start = pd.Timestamp(rows["date"].iloc[-1])
         out = pd.DataFrame({"date": [(start + pd.Timedelta(days=h + 1)).date() for h in range(periods)],
-                            "predicted_sales": predicted})
+                            "predicted_sales": predicted, "method": method})
         for name, value in zip(by, key):
             out[name] = value
-        return out[[*by, "date", "predicted_sales"]]
+        return out[[*by, "date", "predicted_sales", "method"]]
 
     numeric = daily.withColumn("total_amount", F.col("total_amount").cast("double"))
     return numeric.select(*by, "date", "total_amount").groupBy(*by).applyInPandas(one_series, schema)

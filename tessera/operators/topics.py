@@ -11,6 +11,7 @@ def fit_topics(
     df: DataFrame, tokens: str, topics: int, passes: int = 10, min_documents: float = 3, max_share: float = 0.25,
     vocabulary_size: int = 100_000, seed: int = 42,
 ) -> tuple[CountVectorizerModel, LDAModel]:
+    """Topics over the ``vocabulary_size`` most frequent terms, as large as the studied dictionary may grow."""
     counter = CountVectorizer(
         inputCol=tokens, outputCol="features", minDF=min_documents, maxDF=max_share, vocabSize=vocabulary_size).fit(df)
     counts = counter.transform(df).select("features").persist()
@@ -41,18 +42,21 @@ def topic_vectors(model: LDAModel) -> DataFrame:
 def cosine_distances(vectors: DataFrame) -> DataFrame:
     """Distance of every pair of vectors, from (vector, term, weight) rows.
 
-    Meant for a handful of vectors such as topics or class centres: the number of pairs
-    per term is the square of their number, never of the number of documents.
+    Meant for a handful of vectors such as topics or class centres: the result has the square of their number
+    of rows, never of the number of documents. The distance is null where a vector has no length.
     """
     norms = vectors.groupBy("vector").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     left = vectors.select(F.col("vector").alias("first"), "term", F.col("weight").alias("_a"))
     right = vectors.select(F.col("vector").alias("second"), "term", F.col("weight").alias("_b"))
     dots = left.join(right, "term").filter("first < second").groupBy("first", "second").agg(
         F.sum(F.col("_a") * F.col("_b")).alias("_dot"))
-    a = norms.select(F.col("vector").alias("first"), F.col("norm").alias("_na"))
-    b = norms.select(F.col("vector").alias("second"), F.col("norm").alias("_nb"))
-    return dots.join(a, "first").join(b, "second").select(
-        "first", "second", (1 - F.try_divide(F.col("_dot"), F.col("_na") * F.col("_nb"))).alias("distance"))
+    # Vectors that share no term have a product of 0 and still are a pair.
+    names = norms.agg(F.array_sort(F.collect_list(F.struct("vector", "norm"))).alias("all"))
+    pairs = names.select("all", F.posexplode("all").alias("at", "a")).select(
+        "a", F.explode(F.slice("all", F.col("at") + 2, F.size("all"))).alias("b"))
+    pairs = pairs.select(F.col("a.vector").alias("first"), F.col("b.vector").alias("second"), (F.col("a.norm") * F.col("b.norm")).alias("_norms"))
+    cosine = F.try_divide(F.coalesce("_dot", F.lit(0.0)), F.col("_norms"))
+    return pairs.join(dots, ["first", "second"], "left").select("first", "second", (1 - cosine).alias("distance"))
 
 
 def mean_distance(vectors: DataFrame) -> DataFrame:

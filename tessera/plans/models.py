@@ -23,7 +23,7 @@ def corpus(spark, d):
 @query("mail_classifier_report")
 def mail_classifier_report(spark, d):
     train, test = balance.stratified_split(corpus(spark, d), "doc_id", "toxic", 0.2)
-    model = classify.fit_mail_classifier(written(train, "train"), "tokens", "toxic", 100)
+    model = classify.fit_mail_classifier(written(train, "train"), "tokens", "toxic")
     scored = model.transform(test).select(F.col("toxic").alias("y"), F.col("predicted").cast("int").alias("predicted"))
     return rounded(evaluate.class_report(scored))
 
@@ -33,7 +33,7 @@ def label_models_report(spark, d):
     train, test = balance.random_split(corpus(spark, d), "doc_id", 0.3)
     train = written(train, "train")
     weights = {r["label"]: r["weight"] or 1.0 for r in class_weights(train, LABELS).collect()}
-    model = classify.fit_label_models(train, "words", weights, 1 << 14, 30)
+    model = classify.fit_label_models(train, "words", weights)
     flags = classify.label_flags(model, test, LABELS)
     entries = F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("y"), F.col(f"{c}_flag").alias("predicted")) for c in LABELS])
     return rounded(evaluate.label_report(flags.select(F.inline(entries))))
@@ -42,7 +42,7 @@ def label_models_report(spark, d):
 @query("saved_label_models")
 def saved_label_models(spark, d):
     rows = corpus(spark, d)
-    model = classify.fit_label_models(rows, "words", {"toxic": 4.0, "quality": 1.0}, 1 << 12, 10)
+    model = classify.fit_label_models(rows, "words", {"toxic": 4.0, "quality": 1.0})
     path = fresh_path(spark, "model")
     save_model(model, path, {"toxic": 0.4, "quality": 0.6}, spark)
     loaded, thresholds = load_model(path, spark)
@@ -53,7 +53,7 @@ def saved_label_models(spark, d):
 def linear_svm_confusion(spark, d):
     rows = load_spread(spark, d, "embeddings", "vec_id").withColumn("y", (F.col("label") >= 5).cast("int"))
     train, test = balance.random_split(rows, "vec_id", 0.2)
-    model = classify.fit_linear_svm(train, "embedding", "y", 30)
+    model = classify.fit_linear_svm(train, "embedding", "y", 10_000)
     return evaluate.confusion(classify.apply_linear_svm(model, test, "embedding"))
 
 
@@ -74,8 +74,9 @@ def topic_mean_distance(spark, d):
 
 CENTRES = """c as (select label, i, avg(cast(v as double)) as w from (select label, unnest(embedding) as v,
   unnest(range(len(embedding))) as i from embeddings) group by 1, 2), n as (select label, sqrt(sum(w * w)) as n from c group by 1),
-p as (select a.label as first, b.label as second, 1 - sum(a.w * b.w) / (any_value(x.n) * any_value(y.n)) as distance
-  from c a join c b on a.i = b.i and a.label < b.label join n x on x.label = a.label join n y on y.label = b.label group by 1, 2)"""
+d as (select a.label as la, b.label as lb, sum(a.w * b.w) as dot from c a join c b on a.i = b.i and a.label < b.label group by 1, 2),
+p as (select x.label as first, y.label as second, 1 - coalesce(dot, 0) / (x.n * y.n) as distance
+  from n x join n y on x.label < y.label left join d on la = x.label and lb = y.label)"""
 
 
 @query("centroid_distances", f"with {CENTRES} select first, second, round(distance, 6) as distance from p")
@@ -90,6 +91,6 @@ def mean_centroid_distance(spark, d):
 
 @query("streamed_comment_flags")
 def streamed_comment_flags(spark, d):
-    model = classify.fit_label_models(corpus(spark, d), "words", {"toxic": 4.0, "quality": 1.0}, 1 << 12, 10)
+    model = classify.fit_label_models(corpus(spark, d), "words", {"toxic": 4.0, "quality": 1.0})
     stream = runs.table_stream(spark, d, "documents").select("doc_id", "text")
     return scoring.flag_available(stream, "text", model, LABELS).drop("text")

@@ -43,7 +43,7 @@ c as (select item, count(*) as n from i group by 1)"""
 
 
 @query("baskets", """
-select l_orderkey as document, cast(0 as integer) as part, list_sort(list(distinct p_brand)) as items
+select l_orderkey as document, list_sort(list(distinct p_brand)) as items
 from lineitem left join part on l_partkey = p_partkey group by 1""")
 def all_baskets(spark, d):
     return baskets.baskets(invoice_lines(spark, d), "l_orderkey", "p_brand")
@@ -71,21 +71,24 @@ def brand_pair_rules(spark, d):
     return rounded(baskets.pair_rules(invoice_lines(spark, d), "l_orderkey", "p_brand", MIN_COUNT, MIN_CONFIDENCE))
 
 
-@query("brand_pair_rules_from_miner", PAIR_SQL.format(low=50))
+@query("brand_pair_rules_from_miner", PAIR_SQL.format(low=MIN_COUNT))
 def brand_pair_rules_from_miner(spark, d):
-    return rounded(baskets.mined_pair_rules(invoice_lines(spark, d), "l_orderkey", "p_brand", 50, MIN_CONFIDENCE))
+    return rounded(baskets.mined_pair_rules(invoice_lines(spark, d), "l_orderkey", "p_brand", MIN_COUNT, MIN_CONFIDENCE))
 
 
-@query("frequent_itemsets", f"""with {ITEMS}
-select [item] as items, n from c where n >= 30
-union all select [a.item, b.item], count(*) from i a join i b on a.doc = b.doc and a.item < b.item
-group by 1 having count(*) >= 30
-union all select [a.item, b.item, e.item], count(*) from i a join i b on a.doc = b.doc and a.item < b.item
-join i e on a.doc = e.doc and b.item < e.item group by 1 having count(*) >= 30
-union all select [a.item, b.item, e.item, f.item], count(*) from i a join i b on a.doc = b.doc and a.item < b.item
-join i e on a.doc = e.doc and b.item < e.item join i f on a.doc = f.doc and e.item < f.item group by 1 having count(*) >= 30""")
+def _itemsets_sql(largest: int) -> str:
+    """Itemsets of up to ``largest`` items by joins of the distinct pairs."""
+    parts = [f"select [item] as items, n from c where n >= {MIN_COUNT}"]
+    for size in range(2, largest + 1):
+        joins = " ".join(f"join i i{k} on i{k}.doc = i1.doc and i{k - 1}.item < i{k}.item" for k in range(2, size + 1))
+        items = ", ".join(f"i{k}.item" for k in range(1, size + 1))
+        parts.append(f"select [{items}], count(*) from i i1 {joins} group by 1 having count(*) >= {MIN_COUNT}")
+    return f"with {ITEMS} " + " union all ".join(parts)
+
+
+@query("frequent_itemsets", _itemsets_sql(7))
 def frequent_itemsets(spark, d):
-    return baskets.frequent_itemsets(invoice_lines(spark, d), "l_orderkey", "p_brand", 30)
+    return baskets.frequent_itemsets(invoice_lines(spark, d), "l_orderkey", "p_brand", MIN_COUNT)
 
 
 @query("top_pair_rules", PAIR_SQL.format(low=MIN_COUNT) + " order by confidence desc, antecedent, consequent limit 25")

@@ -7,12 +7,12 @@ from tessera.operators import vocabulary as voc
 from tessera.plans.registry import query, rounded
 from tessera.session import load, load_spread
 
-CLEAN = r"""trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(text), 'https?://\S+|www\.\S+', '', 'g'),
-  chr(10), ' '), '[^a-z\s]', '', 'g'), '\s+', ' ', 'g'))"""
+CLEAN = f"""regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(lower(text), 'https?://[^{text.SPACE}]+', '', 'g'),
+  chr(10), ' '), '[^a-z{text.SPACE}]', '', 'g'), ' +', ' ', 'g'), '^[{text.SPACE}]+|[{text.SPACE}]+$', '', 'g')"""
 STOPS = ", ".join("'" + w.replace("'", "''") + "'" for w in text.ENGLISH_STOP_WORDS)
 MAIL = rf"""list_filter(regexp_split_to_array(regexp_replace(lower(text), '[!-/:-@\[-`{{-~]', ' ', 'g'), '\s+'),
   lambda w: regexp_full_match(w, '\p{{L}}{{2,}}') and not list_contains([{STOPS}], w))"""
-WORDS = f"w as (select doc_id, list_filter(string_split({CLEAN}, ' '), lambda w: w <> '') as tokens from documents)"
+WORDS = f"w as (select doc_id, list_filter(regexp_split_to_array({CLEAN}, '[{text.SPACE}]+'), lambda w: w <> '') as tokens from documents)"
 TOKENS = """t as (select doc_id, unnest(tokens) as token, unnest(range(len(tokens))) as pos from w)"""
 RANKED = """c as (select token, count(*) as n, min((doc_id, pos)) as first from t group by 1),
 v as (select token, n, row_number() over (order by n desc, first) as rank from c)"""
@@ -76,7 +76,7 @@ def vocabulary_cutoff(spark, d):
     return voc.coverage_cutoff(voc.coverage(counts), [0.99, 0.97])
 
 
-NUM_WORDS, LENGTH = 2000, 200
+NUM_WORDS, LENGTH = 30_000, 200
 
 
 @query("padded_sequences", f"""with {WORDS}, {TOKENS}, {RANKED},

@@ -63,15 +63,21 @@ def test_relative_support_survives_rounding():
         baskets.relative_support(10, 0)
 
 
-def test_baskets_are_whole_when_split(spark):
+def test_baskets_are_one_row_per_document(spark):
     df = spark.createDataFrame(basket_rows(), "d long, i string")
     assert baskets.basket_count(df, "d").first()[0] == 155
-    whole = {r["document"]: r["items"] for r in baskets.baskets(df, "d", "i").collect()}
-    assert whole[999] == [] and len(whole[903]) == 12
-    parts = {}
-    for r in baskets.baskets(df, "d", "i", part_size=3).collect():
-        parts.setdefault(r["document"], []).extend(r["items"])
-    assert {d: sorted(i) for d, i in parts.items()} == {d: sorted(i) for d, i in whole.items()}
+    rows = baskets.baskets(df, "d", "i").collect()
+    whole = {r["document"]: r["items"] for r in rows}
+    assert len(rows) == len(whole) == 155 and whole[999] == [] and len(whole[903]) == 12
+
+
+def test_the_null_document_is_a_basket(spark):
+    df = spark.createDataFrame([(d, i) for d in (1, 2, None) for i in "ab"], "d long, i string")
+    for least in (2, 3):
+        for rules in (baskets.pair_rules(df, "d", "i", least, 0.1), baskets.mined_pair_rules(df, "d", "i", least, 0.1)):
+            found = {(r["antecedent"], r["consequent"]): (r["confidence"], r["lift"], r["support"]) for r in rules.collect()}
+            assert set(found) == {("a", "b"), ("b", "a")}
+            assert np.allclose(list(found.values()), 1.0)
 
 
 def sales_rows():
@@ -99,14 +105,37 @@ def test_series_is_regular_and_covers_one_year(spark):
 def test_forecast_follows_a_weekly_pattern_and_trend():
     t = np.arange(200)
     y = 100 + 0.5 * t + 20 * (t % 7 == 5)
-    out = series.seasonal_arima_forecast(y, 7)
+    out, method = series.seasonal_arima_forecast(y, 7)
+    assert method == "seasonal arima"
     future = np.arange(200, 207)
     assert np.allclose(out, 100 + 0.5 * future + 20 * (future % 7 == 5), atol=1.0)
 
 
-def test_short_series_repeat_the_last_week():
-    assert series.seasonal_arima_forecast(np.arange(10.0), 9).tolist() == [3, 4, 5, 6, 7, 8, 9, 3, 4]
-    assert series.seasonal_arima_forecast(np.array([4.0]), 2).tolist() == [4, 4]
+def test_very_short_series_repeat_the_last_week_and_say_so():
+    out, method = series.seasonal_arima_forecast(np.arange(10.0), 9)
+    assert (out.tolist(), method) == ([3, 4, 5, 6, 7, 8, 9, 3, 4], "seasonal naive")
+    assert series.seasonal_arima_forecast(np.array([4.0]), 2)[0].tolist() == [4, 4]
+
+
+@pytest.mark.parametrize("days", [11, 20, 34, 35, 60])
+def test_a_straight_line_goes_on_at_any_length(days):
+    out, method = series.seasonal_arima_forecast(np.arange(1.0, days + 1), 3)
+    assert np.allclose(out, [days + 1, days + 2, days + 3]) and method == "seasonal arima"
+
+
+def test_plain_and_seasonal_terms_are_multiplied():
+    """A known process: (1 - 0.6 B)(1 - 0.5 B^7) w = e has a lag 8 with the product of both coefficients."""
+    rng = np.random.default_rng(0)
+    w = np.zeros(3000)
+    noise = rng.standard_normal(3000)
+    for t in range(8, 3000):
+        w[t] = 0.6 * w[t - 1] + 0.5 * w[t - 7] - 0.3 * w[t - 8] + noise[t]
+    _, on_w, on_shocks, _ = series._least_squares(w, noise, (1, 0, 1, 0), 7)
+    assert np.allclose([on_w[0], on_w[6], on_w[7]], [0.6, 0.5, -0.3], atol=0.05) and not on_shocks.any()
+    moving = noise.copy()
+    moving[8:] += 0.4 * noise[7:-1] + 0.3 * noise[1:-7] + 0.12 * noise[:-8]
+    _, _, on_shocks, _ = series._least_squares(moving, noise, (0, 1, 0, 1), 7)
+    assert np.allclose([on_shocks[0], on_shocks[6], on_shocks[7]], [0.4, 0.3, 0.12], atol=0.03)
 
 
 def test_refresh_job(spark):
