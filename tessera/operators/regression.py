@@ -232,16 +232,32 @@ def durbin_watson(df: DataFrame, fit: Fit, order: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame([(row["d"], dist.normal_upper(row["z"]))], "d double, p_value double")
 
 
-def mean_filled(df: DataFrame, columns: Sequence[str], given: Mapping[str, float]) -> DataFrame:
-    """One row of regressors: the given values, and the mean of the others (missing values ignored)."""
-    return df.agg(*[
-        F.lit(float(given[c])).alias(c) if c in given else F.avg(c).alias(c) for c in columns
-    ])
-
-
-def effect_curve(df: DataFrame, fit: Fit, columns: Sequence[str], varied: str, values: Sequence[float]) -> DataFrame:
-    """Expected value with its band over a range of one column, the others at their means."""
-    others = [c for c in columns if c != varied]
-    base = mean_filled(df, others, {}) if others else df.sparkSession.range(1).drop("id")
-    grid = base.withColumn(varied, F.explode(F.array(*[F.lit(float(v)) for v in values])))
+def mean_filled(
+    df: DataFrame, columns: Sequence[str], given: Mapping[str, float | str], factors: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """One row of regressors: the given values, the mean of the other numbers (missing values ignored), and the
+    baseline (the first level) of the other ``factors``, which map a text column to its levels."""
+    factors = factors or {}
+
+    def value(column: str) -> Column:
+        if column in factors:
+            level = given.get(column, factors[column][0])
+            if level not in factors[column]:
+                raise ValueError(f"{column} has no level {level}")
+            return F.lit(level)
+        return F.lit(float(given[column])) if column in given else F.avg(column)
+
+    return df.agg(*[value(c).alias(c) for c in columns])
+
+
+def effect_curve(
+    df: DataFrame, fit: Fit, columns: Sequence[str], varied: str, values: Sequence[float | str],
+    given: Mapping[str, float | str] | None = None, factors: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """Expected value with its band over a range of one column (for a factor: over levels), the others given, at
+    their means or at their baseline; see ``mean_filled``."""
+    factors, others = factors or {}, [c for c in columns if c != varied]
+    base = mean_filled(df, others, given or {}, factors) if others else df.sparkSession.range(1).drop("id")
+    entries = [F.lit(v if varied in factors else float(v)) for v in values]
+    grid = base.withColumn(varied, F.explode(F.array(*entries)))
     return fit.with_band(grid).select(varied, "predicted", "standard_error", "low", "high")

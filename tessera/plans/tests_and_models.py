@@ -40,15 +40,32 @@ def welch_t(spark, d):
     return out.withColumn("df", F.round("df", 4))
 
 
-@query("test_p_values")
+def _t_tail(name: str) -> str:
+    """Two-sided p-value of ``t`` and ``df`` in a one-row table, by Simpson's rule on the density up to 12."""
+    return f"""(select 1 - 2 * sum(case when i in (0, 4000) then 1 when i % 2 = 1 then 4 else 2 end
+  * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi() * df) * (1 + (w * i) ** 2 / df) ** (-(df + 1) / 2)) * any_value(w) / 3
+  from (select i, df, least(abs(t), 12) / 4000 as w from {name}, range(0, 4001) as r(i)))"""
+
+
+@query("test_p_values", f"""
+with one as (select (avg({X}) - 25) / (stddev_samp({X}) / sqrt(count({X}))) as t, cast(count({X}) - 1 as double) as df from lineitem),
+g as (select l_linestatus, avg({Y}) as m, var_samp({Y}) / count(*) as s, count(*) as n from lineitem group by 1),
+two as (select (a.m - b.m) / sqrt(a.s + b.s) as t, (a.s + b.s) ** 2 / (a.s ** 2 / (a.n - 1) + b.s ** 2 / (b.n - 1)) as df
+  from (select * from g where l_linestatus = 'F') a, (select * from g where l_linestatus = 'O') b),
+c as (select l_returnflag as a, l_linestatus as b, count(*) as o from lineitem group by 1, 2),
+e as (select o, sum(o) over (partition by a) * sum(o) over (partition by b) / sum(o) over () as e from c)
+select 'one_sample' as test, round({_t_tail("one")}, 6) as p_value
+union all select 'welch', round({_t_tail("two")}, 6)
+union all select 'chi_square', round((select exp(-sum((o - e) ** 2 / e) / 2) from e), 6)""")
 def test_p_values(spark, d):
+    """Three by two classes leave two degrees of freedom, whose upper tail is exp(-x / 2)."""
     data = lines(spark, d)
     one = hypothesis.with_t_p_value(hypothesis.t_one_sample(data, X, 25.0), "mean")
     two = hypothesis.with_t_p_value(hypothesis.t_welch(data, Y, "l_linestatus"), ("mean_a", "mean_b"))
     chi = hypothesis.with_chi_square_p_value(hypothesis.chi_square(data, "l_returnflag", "l_linestatus"))
-    return (one.select(F.lit("one_sample").alias("test"), "p_value")
-            .unionByName(two.select(F.lit("welch").alias("test"), "p_value"))
-            .unionByName(chi.select(F.lit("chi_square").alias("test"), "p_value")))
+    return rounded(one.select(F.lit("one_sample").alias("test"), "p_value")
+                   .unionByName(two.select(F.lit("welch").alias("test"), "p_value"))
+                   .unionByName(chi.select(F.lit("chi_square").alias("test"), "p_value")))
 
 
 @query("normality_shape", """
@@ -228,6 +245,24 @@ def effect_curve(spark, d):
     return rounded(regression.effect_curve(data, fit, [X, "l_tax"], X, range(1, 51)))
 
 
+@query("factor_effect_curve", f"""
+with g as (select l_returnflag, avg({X}) as mx, avg({Y}) as my, regr_sxx({Y}, {X}) as sxx, regr_sxy({Y}, {X}) as sxy
+  from lineitem group by 1),
+b as (select sum(sxy) / sum(sxx) as slope from g)
+select l_returnflag, cast(x as double) as {X}, round(my + slope * (x - mx), 4) as predicted
+from g, b, range(1, 51) as r(x) where l_returnflag in ('A', 'R')""")
+def factor_effect_curve(spark, d):
+    """The curve at the baseline level and at a given one."""
+    data, factors = lines(spark, d), {"l_returnflag": ["A", "N", "R"]}
+    terms = {X: F.col(X), **regression.dummies("l_returnflag", factors["l_returnflag"])}
+    fit = regression.moments(data, F.col(Y), terms).fit()
+    curves = [
+        regression.effect_curve(data, fit, [X, "l_returnflag"], X, range(1, 51), given, factors).select(
+            F.lit(level).alias("l_returnflag"), X, "predicted")
+        for level, given in (("A", {}), ("R", {"l_returnflag": "R"}))]
+    return rounded(curves[0].unionByName(curves[1]), 4)
+
+
 @query("simple_effect_curve", f"""with {BASE}
 select cast(x as double) as {X}, round(start + slope * x, 4) as predicted, round(sqrt(v * (1 / n + (x - mx) ** 2 / sxx)), 4) as standard_error
 from s, range(1, 51) as r(x)""")
