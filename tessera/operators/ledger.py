@@ -34,14 +34,29 @@ def _edges(block: pd.DataFrame, starts: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _fold(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    """Accept lines in order while stock lasts; cumulative sums find the next refusal, so only refusals cost a step."""
     quantity, stock = block["quantity"].to_numpy(), block["stock"].to_numpy()
     available, accepted = np.empty(len(block), dtype=np.int64), np.empty(len(block), dtype=bool)
     for start, end in _edges(block, starts):
-        left = int(stock[start])
-        for i in range(start, end):
-            available[i], accepted[i] = left, quantity[i] <= left
-            if accepted[i]:
-                left -= int(quantity[i])
+        wanted = quantity[start:end].astype(np.int64)
+        asked = np.cumsum(wanted)
+        refused, at = 0, 0  # quantity refused so far
+        taken = np.ones(len(wanted), dtype=bool)
+        skipped = np.empty(len(wanted), dtype=np.int64)
+        while at < len(wanted):
+            left = int(stock[start]) + refused
+            stop = at + int(np.searchsorted(asked[at:], left, side="right"))  # the next line that does not fit
+            skipped[at:stop + 1] = refused
+            if stop == len(wanted):
+                break
+            taken[stop] = False
+            refused += int(wanted[stop])
+            at = stop + 1
+            if left == asked[stop] - wanted[stop]:  # sold out
+                taken[at:] = False
+                skipped[at:] = refused + asked[at:] - wanted[at:] - asked[stop]
+                break
+        available[start:end], accepted[start:end] = int(stock[start]) - (asked - wanted - skipped), taken
     return pd.DataFrame({"product": block["product"], "line": block["line"], "available": available, "accepted": accepted})
 
 

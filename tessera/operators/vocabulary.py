@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tessera.functions.text import name_mentions
@@ -67,25 +66,12 @@ def coverage_cutoff(covered: DataFrame, shares: Sequence[float]) -> DataFrame:
     return covered.agg(F.array(*entries).alias("_c")).select(F.inline("_c"))
 
 
-def encode(
-    df: DataFrame, document: str, tokens: str, ranked: DataFrame, num_words: int, shipped_words: int = 200_000
-) -> DataFrame:
+def encode(df: DataFrame, document: str, tokens: str, ranked: DataFrame, num_words: int) -> DataFrame:
     """Token ids per document; 1 stands for words outside the vocabulary or its cap.
 
-    The capped vocabulary has fewer than ``num_words`` rows. Up to ``shipped_words`` of them
-    travel to the tasks as one lookup table, so that documents are neither unfolded nor
-    shuffled. A larger cap joins unfolded tokens; documents are then placed by id first, so
-    that folding them again needs no further shuffle.
+    Documents are placed by id before their tokens are looked up, so that folding them again needs no further shuffle.
     """
     known = written(ranked.filter(F.col("rank") + 1 < num_words).select("token", (F.col("rank") + 1).cast("int").alias("_id")), "vocabulary")
-    if num_words <= shipped_words:
-        lookup = {r["token"]: r["_id"] for r in known.collect()}
-
-        @F.pandas_udf("array<int>")
-        def numbers(column: pd.Series) -> pd.Series:
-            return column.map(lambda words: None if words is None else [lookup.get(w, 1) for w in words])
-
-        return df.select(document, numbers(F.coalesce(F.col(tokens), F.array().cast("array<string>"))).alias("ids"))
     placed = df.select(F.col(document).alias(document), F.col(tokens).alias("_tokens")).repartition(document)
     tokens_of = placed.select(document, F.posexplode_outer("_tokens").alias("_p", "token"))
     joined = tokens_of.join(small(known), "token", "left")
@@ -157,3 +143,22 @@ def mentions(df: DataFrame, document: str, text: str) -> DataFrame:
 
 def mention_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("mention").agg(F.count(F.lit(1)).alias("n"))
+
+
+def plural_lemmas(words: DataFrame) -> DataFrame:
+    """``word, lemma`` by rule, for want of a dictionary: a token with a final s whose form without it occurs as well."""
+    ending = words.filter(F.col("token").endswith("s") & (F.length("token") > 3)).select(
+        F.col("token").alias("word"), F.expr("left(token, length(token) - 1)").alias("lemma"))
+    return ending.join(words.select(F.col("token").alias("lemma")).distinct(), "lemma", "left_semi").select("word", "lemma").distinct()
+
+
+def lemmatised(df: DataFrame, document: str, tokens: str, lemmas: DataFrame) -> DataFrame:
+    """``document, tokens`` with the words of a dictionary (``word, lemma``, a word once) replaced by their lemmas.
+
+    Stop words are to be taken out afterwards. The dictionary is joined to the tokens; Spark broadcasts it if it is small.
+    """
+    placed = df.select(document, F.col(tokens).alias("_tokens")).repartition(document)
+    words = placed.select(document, F.posexplode_outer("_tokens").alias("_p", "word"))
+    entry = F.when(F.col("_p").isNotNull(), F.struct("_p", F.coalesce("lemma", "word").alias("_w")))
+    return words.join(lemmas, "word", "left").groupBy(document).agg(F.array_sort(F.collect_list(entry)).alias("_e")).select(
+        document, F.transform("_e", lambda e: e["_w"]).alias(tokens))

