@@ -237,12 +237,28 @@ def mean_filled_prediction(spark, d):
     return row.select(F.round(simple_fit(spark, d).predicted(), 4).alias("predicted"))
 
 
-@query("effect_curve")
+@query("effect_curve", f"""
+with v as (select {X} as x, {X} * {X} as q, l_tax as t, {Y} as y from lineitem),
+s as (select count(*) as n, avg(x) as mx, avg(q) as mq, avg(y) as my, count(*) * covar_pop(x, x) as a11, count(*) * covar_pop(x, q) as a12,
+  count(*) * covar_pop(x, t) as a13, count(*) * covar_pop(q, q) as a22, count(*) * covar_pop(q, t) as a23, count(*) * covar_pop(t, t) as a33,
+  count(*) * covar_pop(x, y) as b1, count(*) * covar_pop(q, y) as b2, count(*) * covar_pop(t, y) as b3, count(*) * covar_pop(y, y) as yy from v),
+i as (select *, a11 * (a22 * a33 - a23 ** 2) - a12 * (a12 * a33 - a13 * a23) + a13 * (a12 * a23 - a13 * a22) as det from s),
+c as (select *, (a22 * a33 - a23 ** 2) / det as c11, (a13 * a23 - a12 * a33) / det as c12, (a12 * a23 - a13 * a22) / det as c13,
+  (a11 * a33 - a13 ** 2) / det as c22, (a12 * a13 - a11 * a23) / det as c23, (a11 * a22 - a12 ** 2) / det as c33 from i),
+k as (select *, c11 * b1 + c12 * b2 + c13 * b3 as k1, c12 * b1 + c22 * b2 + c23 * b3 as k2, c13 * b1 + c23 * b2 + c33 * b3 as k3 from c),
+f as (select *, (yy - k1 * b1 - k2 * b2 - k3 * b3) / (n - 4) as variance, 1.959963984540054 as z from k),
+p as (select cast(r.x as double) as x, my + k1 * (r.x - mx) + k2 * (r.x * r.x - mq) as predicted,
+  sqrt(variance * (1 / n + c11 * (r.x - mx) ** 2 + 2 * c12 * (r.x - mx) * (r.x * r.x - mq) + c22 * (r.x * r.x - mq) ** 2)) as error,
+  z + (z ** 3 + z) / (4 * (n - 4)) + (5 * z ** 5 + 16 * z ** 3 + 3 * z) / (96 * (n - 4) ** 2) as reach
+  from f, range(1, 51) as r(x))
+select x as {X}, round(predicted, 3) as predicted, round(error, 3) as standard_error, round(predicted - error * reach, 3) as low,
+  round(predicted + error * reach, 3) as high from p""")
 def effect_curve(spark, d):
+    """The reach of the band in SQL is the expansion of the t quantile for many degrees of freedom."""
     terms = {X: F.col(X), "quantity^2": F.col(X) * F.col(X), "l_tax": F.col("l_tax")}
     data = lines(spark, d)
     fit = regression.moments(data, F.col(Y), terms).fit()
-    return rounded(regression.effect_curve(data, fit, [X, "l_tax"], X, range(1, 51)))
+    return rounded(regression.effect_curve(data, fit, [X, "l_tax"], X, range(1, 51)), 3)
 
 
 @query("factor_effect_curve", f"""
