@@ -46,6 +46,7 @@ LETTER, NUMBER = (rf"[\p{{{name}}}--[{UNLISTED}]]" for name in "LN")
 PATTERN = (rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?{LETTER}+| ?{NUMBER}+| ?[^[{SPACE}]||{LETTER}||{NUMBER}]+"
            rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 CACHED = 400_000  # chunks that a worker remembers
+MARKS = frozenset(".,;:!?")
 
 
 def byte_characters() -> list[str]:
@@ -192,6 +193,13 @@ class Encoder:
 
     def missed(self, chunk: str) -> bytes:
         """The packed ids of a chunk that is not remembered."""
+        body = chunk[1:] if chunk[0] == " " else chunk
+        if body.isascii():  # a word, or a word and a mark: no need to ask the pattern
+            if body.isalpha():
+                return packed(self.pieces.to_ids(chunk.encode()))
+            if body[-1:] in MARKS and body[:-1].isalpha():
+                known = self.bare if body is chunk else self.after_blank
+                return known[body[:-1]] + self.pieces[body[-1]]
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk)))
 
     def encode(self, text: str) -> bytes:
