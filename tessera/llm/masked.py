@@ -78,39 +78,68 @@ class Network:
             at += n
         return out
 
-    def forward(self, parts: list[np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden values and log-probabilities for rows of numbers around the hidden token."""
-        places, bias, out, out_bias = parts
-        hidden = bias + sum(places[k][around[:, k]] for k in range(around.shape[1]))
-        hidden = np.tanh(hidden)
+    def hidden(self, parts: list[np.ndarray], around: np.ndarray) -> np.ndarray:
+        """Hidden values for rows of numbers around the hidden token."""
+        places, bias = parts[:2]
+        sums = places[0][around[:, 0]]
+        for k in range(1, around.shape[1]):
+            sums += places[k][around[:, k]]
+        sums += bias
+        return np.tanh(sums, out=sums)
+
+    def powers(self, parts: list[np.ndarray], hidden: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``exp`` of the shifted logits, their sum by row, and the log-probability of ``token``.
+
+        Hidden values lie within 1, so the largest weights bound the logits; only beyond that bound rows need shifting.
+        """
+        out, out_bias = parts[2:]
         logits = hidden @ out
         logits += out_bias
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return hidden, logits
+        if float((np.abs(out).sum(axis=0) + np.abs(out_bias)).max()) > 60:
+            logits -= logits.max(axis=1, keepdims=True)
+        wanted = logits[np.arange(len(token)), token]
+        np.exp(logits, out=logits)
+        total = logits.sum(axis=1)
+        return logits, total, wanted - np.log(total)
+
+    def forward(self, parts: list[np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden values and the log-probabilities of all numbers."""
+        hidden = self.hidden(parts, around)
+        powers, total, _ = self.powers(parts, hidden, np.zeros(len(hidden), np.int64))
+        return hidden, np.log(powers / total[:, None])
 
     def train(self, weights: np.ndarray, batches: Iterator[tuple[np.ndarray, np.ndarray]], rate: float) -> int:
         """Adam steps on batches of (around, token), in place; the number of examples."""
         first, second = np.zeros_like(weights), np.zeros_like(weights)
-        seen = steps = 0
+        gradient, seen, steps = np.zeros_like(weights), 0, 0
         parts = self.split(weights)
         for around, token in batches:
-            hidden, logits = self.forward(parts, around)
+            hidden = self.hidden(parts, around)
+            slope, total, _ = self.powers(parts, hidden, token)
             n, steps = len(token), steps + 1
-            slope = np.exp(logits)
-            slope[np.arange(n), token] -= 1
-            slope /= n
-            gradient = np.zeros_like(weights)
+            slope /= total[:, None] * n
+            slope[np.arange(n), token] -= 1 / n
+            gradient[:] = 0
             places, bias, out, out_bias = self.split(gradient)
             out[:] = hidden.T @ slope
             out_bias[:] = slope.sum(axis=0)
             back = (slope @ parts[2].T) * (1 - hidden * hidden)
             bias[:] = back.sum(axis=0)
             for k in range(around.shape[1]):
-                np.add.at(places[k], around[:, k], back)
-            first += 0.1 * (gradient - first)
-            second += 0.01 * (gradient * gradient - second)
-            weights -= rate * (first / (1 - 0.9 ** steps)) / (np.sqrt(second / (1 - 0.99 ** steps)) + 1e-6)
+                order = np.argsort(around[:, k], kind="stable")
+                numbers, starts = np.unique(around[order, k], return_index=True)
+                places[k][numbers] = np.add.reduceat(back[order], starts, axis=0)
+            first *= 0.9
+            first += np.float32(0.1) * gradient
+            second *= 0.99
+            gradient *= gradient
+            second += np.float32(0.01) * gradient
+            scale = np.sqrt(second)
+            scale *= 1 / np.sqrt(1 - 0.99 ** steps)
+            scale += 1e-6
+            np.divide(first, scale, out=scale)
+            scale *= rate / (1 - 0.9 ** steps)
+            weights -= scale
             seen += n
         return seen
 
@@ -142,8 +171,8 @@ class Scorer:
         found = np.zeros(len(at) + 1)
         for start in range(0, len(at), piece):
             here = at[start:start + piece]
-            logits = self.network.forward(parts, _around(stream, here))[1]
-            found[start:start + len(here)] = logits[np.arange(len(here)), stream[here]]
+            hidden = self.network.hidden(parts, _around(stream, here))
+            found[start:start + len(here)] = self.network.powers(parts, hidden, stream[here])[2]
         sums = np.concatenate([[0.0], np.cumsum(found[:-1])])
         ends = np.cumsum(lengths)
         return lengths, sums[ends] - sums[ends - lengths]
@@ -153,8 +182,8 @@ def fit(docs: DataFrame, own: int = 383, shared: int = 128, hidden: int = 24, ev
         rate: float = 0.01, step: int = 512, seed: int = 5) -> Scorer:
     """Count words and train over all rows of ``docs``.
 
-    The words of all texts are counted. In a round every text gives every ``every``-th of its places as an example, from
-    a place that moves with text and round. The driver gets ``own`` words and the weights, whose number the
+    The words of all texts are counted. In a round every ``every``-th place of the texts of a task is an example, counted
+    on from text to text, with another first place in every round. The driver gets ``own`` words and the weights, whose number the
     parameters fix; sums of weights are made by Spark.
     """
     counts = written(word_counts(docs), "words")
