@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -108,27 +108,36 @@ class Network:
         powers, total, _ = self.powers(parts, hidden, np.zeros(len(hidden), np.int64))
         return hidden, np.log(powers / total[:, None])
 
+    def with_bias(self, weights: np.ndarray) -> np.ndarray:
+        """The weights of the logits with their bias as last row, which lies behind them in the vector."""
+        hidden, size = self.shapes[2]
+        return weights[-(hidden + 1) * size:].reshape(hidden + 1, size)
+
     def train(self, weights: np.ndarray, batches: Iterator[tuple[np.ndarray, np.ndarray]], rate: float) -> int:
         """Adam steps on batches of (around, token), in place; the number of examples."""
         first, second = np.zeros_like(weights), np.zeros_like(weights)
         gradient, seen, steps = np.zeros_like(weights), 0, 0
         parts = self.split(weights)
         for around, token in batches:
-            hidden = self.hidden(parts, around)
-            slope, total, _ = self.powers(parts, hidden, token)
             n, steps = len(token), steps + 1
-            slope /= total[:, None] * n
-            slope[np.arange(n), token] -= 1 / n
             gradient[:] = 0
-            places, bias, out, out_bias = self.split(gradient)
-            out[:] = hidden.T @ slope
-            out_bias[:] = slope.sum(axis=0)
-            back = (slope @ parts[2].T) * (1 - hidden * hidden)
+            places, bias, *_ = self.split(gradient)
+            out, out_slope = self.with_bias(weights), self.with_bias(gradient)
+            hidden = np.ones((n, len(out)), weights.dtype)  # the last column meets the bias
+            hidden[:, :-1] = self.hidden(parts, around)
+            logits = hidden @ out
+            if float(np.abs(out).sum(axis=0).max()) > 60:
+                logits -= logits.max(axis=1, keepdims=True)
+            np.exp(logits, out=logits)
+            # The last column of the product is the sum of the powers; rows are divided by it outside the wide matrix.
+            back = logits @ np.ascontiguousarray(np.vstack([out[:-1], np.ones(out.shape[1], weights.dtype)]).T)
+            share = 1 / (back[:, -1:] * n)
+            np.matmul(np.ascontiguousarray((hidden * share).T), logits, out=out_slope)
+            _add(out_slope.T, token, hidden * weights.dtype.type(-1 / n))
+            back = (back[:, :-1] * share - out[:-1].T[token] / n) * (1 - hidden[:, :-1] ** 2)
             bias[:] = back.sum(axis=0)
             for k in range(around.shape[1]):
-                order = np.argsort(around[:, k], kind="stable")
-                numbers, starts = np.unique(around[order, k], return_index=True)
-                places[k][numbers] = np.add.reduceat(back[order], starts, axis=0)
+                _add(places[k], around[:, k], back)
             first *= 0.9
             first += np.float32(0.1) * gradient
             second *= 0.99
@@ -144,6 +153,13 @@ class Network:
         return seen
 
 
+def _add(table: np.ndarray, numbers: np.ndarray, rows: np.ndarray) -> None:
+    """Add ``rows`` to the rows ``numbers`` of ``table``; a number may come up many times."""
+    width = rows.shape[1]
+    cells = numbers[:, None] * width + np.arange(width)
+    table += np.bincount(cells.ravel(), rows.ravel(), len(table) * width).reshape(-1, width).astype(table.dtype)
+
+
 def _stream(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """All texts' numbers in a row with the window's reach of padding between them, and the number of tokens of each."""
     gap, parts, lengths = np.full(REACH, PAD, np.int32), [np.full(REACH, PAD, np.int32)], []
@@ -154,6 +170,19 @@ def _stream(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray
     return np.concatenate(parts), np.array(lengths, np.int64)
 
 
+def examples(vocabulary: Vocabulary, batches: Iterable[list[str | None]], every: int, turn: int,
+             step: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Steps of (around, token) for every ``every``-th place, counted on from batch to batch and beginning with ``turn``."""
+    passed = turn
+    for texts in batches:
+        stream, _ = _stream(vocabulary, texts)
+        at = np.flatnonzero(stream != PAD)
+        passed, at = passed + len(at), at[(np.arange(len(at)) + passed) % every == 0]
+        for start in range(0, len(at), step):
+            here = at[start:start + step]
+            yield _around(stream, here), stream[here]
+
+
 def _around(stream: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([stream[at + k] for k in range(-REACH, REACH + 1) if k], axis=1)
 
@@ -178,12 +207,12 @@ class Scorer:
         return lengths, sums[ends] - sums[ends - lengths]
 
 
-def fit(docs: DataFrame, own: int = 383, shared: int = 128, hidden: int = 24, every: int = 8, rounds: int = 2,
+def fit(docs: DataFrame, own: int = 383, shared: int = 128, hidden: int = 24, every: int = 1, rounds: int = 2,
         rate: float = 0.01, step: int = 512, seed: int = 5) -> Scorer:
     """Count words and train over all rows of ``docs``.
 
-    The words of all texts are counted. In a round every ``every``-th place of the texts of a task is an example, counted
-    on from text to text, with another first place in every round. The driver gets ``own`` words and the weights, whose number the
+    The words of all texts are counted. In a round every token of every text is an example; an ``every`` above 1 takes only
+    every ``every``-th place of the texts of a task, counted on from text to text, with another first place in every round. The driver gets ``own`` words and the weights, whose number the
     parameters fix; sums of weights are made by Spark.
     """
     counts = written(word_counts(docs), "words")
@@ -211,16 +240,8 @@ def _round(source: DataFrame, vocabulary: Vocabulary, network: Network, weights:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = weights.copy()
 
-        def examples() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for batch in batches:
-                stream, _ = _stream(vocabulary, batch["text"].to_pylist())
-                at = np.flatnonzero(stream != PAD)
-                at = at[(np.arange(len(at)) + turn) % every == 0]
-                for start in range(0, len(at), step):
-                    here = at[start:start + step]
-                    yield _around(stream, here), stream[here]
-
-        seen = network.train(mine, examples(), rate)
+        texts = (batch["text"].to_pylist() for batch in batches)
+        seen = network.train(mine, examples(vocabulary, texts, every, turn, step), rate)
         if seen:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(mine)), pa.int32()), pa.array(mine * float(seen), pa.float64()),

@@ -31,6 +31,27 @@ def test_gradients():
     assert loss(taken) < loss(weights)
 
 
+def test_every_token_is_a_target_in_each_round(spark, monkeypatch):
+    vocabulary, asked = masked.Vocabulary([b"the"], 50), []
+    monkeypatch.setattr(masked, "_round", lambda source, v, n, weights, every, turn, rate, step: asked.append((every, turn, step)) or weights)
+    masked.fit(documents(spark))
+    assert len(asked) == 2
+    texts = [t for _, t, *_ in TEXTS]
+    wanted = Counter(int(i) for t in texts for i in vocabulary.numbers(t))
+    for every, turn, step in asked:
+        found = Counter()
+        for _, token in masked.examples(vocabulary, [texts[:3], texts[3:]], every, turn, step):
+            found.update(token.tolist())
+        assert found == wanted
+
+
+def test_places_are_counted_on_between_batches():
+    vocabulary, texts = masked.Vocabulary([b"%d" % i for i in range(30)], 1), [" ".join(map(str, range(i, i + 5))) for i in (0, 5, 10, 15)]
+    whole = [t for _, token in masked.examples(vocabulary, [texts], 3, 1, 4) for t in token]
+    parts = [t for _, token in masked.examples(vocabulary, [[t] for t in texts], 3, 1, 4) for t in token]
+    assert parts == whole and len(whole) == 6
+
+
 def test_word_counts(spark):
     rows = {bytes(r.word): r.n for r in masked.word_counts(documents(spark)).collect()}
     wanted = Counter(w for _, t, *_ in TEXTS for w in masked.words(t))
