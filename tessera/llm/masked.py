@@ -1,14 +1,16 @@
 """Masked pseudo-likelihood: a small network predicts every token of a text from the tokens on both sides.
 
-Tokens are the lower-case words of a text without sentence marks. The most frequent ones of the corpus have numbers of
+Tokens are the lower-case words of a text without sentence marks. Words above a relative frequency have numbers of
 their own, all others share numbers by hash. The network adds up one embedding per place of the window, applies
-tanh, and gives a distribution over all numbers. It is trained on every document: each task goes through its rows with
-stochastic gradients from the common start, and the tasks' weights are averaged by the number of their examples. The
-score of a text is the sum of the logarithms of the probabilities of its tokens.
+tanh, and gives a distribution over groups of numbers and one over the numbers of each group. It is trained on every
+document: each task goes through its rows with stochastic gradients from the common start, and the tasks' weights are
+averaged by the number of their examples. The probability of a word is that of its number times the word's share in the
+counts of that number. The score of a text is the sum of the logarithms of the probabilities of its tokens.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -23,6 +25,7 @@ from tessera.session import written
 MARKS = b".,;:!?\"()"
 REACH = 2  # tokens on either side
 PAD = 0
+NEVER = -1e4  # the logit of a member beyond the last number
 
 
 def words(text: str | None) -> list[bytes]:
@@ -60,15 +63,25 @@ class Network:
     """Weights as one vector, so that tasks can average them."""
 
     def __init__(self, size: int, hidden: int):
-        self.shapes = ((2 * REACH, size, hidden), (hidden,), (hidden, size), (size,))
+        self.groups = math.ceil(math.sqrt(size) / 2)
+        self.members = math.ceil(size / self.groups)
+        self.size = size
+        # The last row of weights into logits is the bias. Number i is member i % members of group i // members.
+        self.shapes = ((2 * REACH, size, hidden), (hidden,), (hidden + 1, self.groups), (self.groups, hidden + 1, self.members))
         self.length = sum(int(np.prod(s)) for s in self.shapes)
 
     def start(self, frequency: np.ndarray, seed: int) -> np.ndarray:
-        """Small random weights; the last bias is the logarithm of the frequencies, so it begins as the unigram model."""
+        """Small random weights; the biases of the logits are logarithms of frequencies, so it begins as the unigram model."""
         rng = np.random.default_rng(seed)
-        parts = [rng.standard_normal(s) * 0.1 for s in self.shapes[:3]]
-        parts[1][:] = 0
-        return np.concatenate([p.ravel() for p in parts] + [np.log(frequency)]).astype(np.float32)
+        parts = [rng.standard_normal(s) * 0.1 for s in self.shapes]
+        places, bias, top, low = parts
+        bias[:] = 0
+        cells = np.zeros(self.groups * self.members)
+        cells[:self.size] = frequency
+        cells = cells.reshape(self.groups, self.members)
+        top[-1] = np.log(np.maximum(cells.sum(axis=1), 1e-30))
+        low[:, -1] = np.where(cells > 0, np.log(np.maximum(cells, 1e-30)), NEVER)
+        return np.concatenate([p.ravel() for p in parts]).astype(np.float32)
 
     def split(self, weights: np.ndarray) -> list[np.ndarray]:
         out, at = [], 0
@@ -79,87 +92,101 @@ class Network:
         return out
 
     def hidden(self, parts: list[np.ndarray], around: np.ndarray) -> np.ndarray:
-        """Hidden values for rows of numbers around the hidden token."""
+        """Hidden values for rows of numbers around the hidden token, and a last column of 1 for the bias."""
         places, bias = parts[:2]
+        out = np.ones((len(around), len(bias) + 1), bias.dtype)
         sums = places[0][around[:, 0]]
         for k in range(1, around.shape[1]):
             sums += places[k][around[:, k]]
         sums += bias
-        return np.tanh(sums, out=sums)
-
-    def powers(self, parts: list[np.ndarray], hidden: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``exp`` of the shifted logits, their sum by row, and the log-probability of ``token``.
+        np.tanh(sums, out=out[:, :-1])
+        return out
 
-        Hidden values lie within 1, so the largest weights bound the logits; only beyond that bound rows need shifting.
-        """
-        out, out_bias = parts[2:]
-        logits = hidden @ out
-        logits += out_bias
-        if float((np.abs(out).sum(axis=0) + np.abs(out_bias)).max()) > 60:
+    def runs(self, token: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Rows ordered by the group of their token, and (group, first, end) of each group's run."""
+        group = token // self.members
+        order = np.argsort(group, kind="stable")
+        ends = np.cumsum(np.bincount(group, minlength=self.groups)).tolist()
+        return order, [(g, a, b) for g, (a, b) in enumerate(zip([0, *ends], ends)) if b > a]
+
+    def chances(self, parts: list[np.ndarray], hidden: np.ndarray, token: np.ndarray,
+                runs: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probabilities of the groups and of the members of the token's group, for rows in runs, and the token's logarithm."""
+        top, low = parts[2:]
+        members = np.empty((len(token), self.members), hidden.dtype)
+        for group, a, b in runs:
+            np.matmul(hidden[a:b], low[group], out=members[a:b])
+        groups, rows, found = hidden @ top, np.arange(len(token)), 0
+        for logits, wanted in ((groups, token // self.members), (members, token % self.members)):
             logits -= logits.max(axis=1, keepdims=True)
-        wanted = logits[np.arange(len(token)), token]
-        np.exp(logits, out=logits)
-        total = logits.sum(axis=1)
-        return logits, total, wanted - np.log(total)
+            at = logits[rows, wanted]
+            np.exp(logits, out=logits)
+            total = logits.sum(axis=1)
+            logits *= (1 / total)[:, None]
+            found = found + at - np.log(total)
+        return groups, members, found
+
+    def logs(self, parts: list[np.ndarray], around: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """The log-probability of every token."""
+        order, runs = self.runs(token)
+        out = np.empty(len(token))
+        out[order] = self.chances(parts, self.hidden(parts, around[order]), token[order], runs)[2]
+        return out
 
     def forward(self, parts: list[np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden values and the log-probabilities of all numbers."""
         hidden = self.hidden(parts, around)
-        powers, total, _ = self.powers(parts, hidden, np.zeros(len(hidden), np.int64))
-        return hidden, np.log(powers / total[:, None])
-
-    def with_bias(self, weights: np.ndarray) -> np.ndarray:
-        """The weights of the logits with their bias as last row, which lies behind them in the vector."""
-        hidden, size = self.shapes[2]
-        return weights[-(hidden + 1) * size:].reshape(hidden + 1, size)
+        both = [hidden @ parts[2], np.einsum("nh,ghm->ngm", hidden, parts[3])]
+        for logits in both:
+            logits -= logits.max(axis=-1, keepdims=True)
+            logits -= np.log(np.exp(logits).sum(axis=-1, keepdims=True))
+        return hidden[:, :-1], (both[0][:, :, None] + both[1]).reshape(len(hidden), -1)[:, :self.size]
 
     def train(self, weights: np.ndarray, batches: Iterator[tuple[np.ndarray, np.ndarray]], rate: float) -> int:
         """Adam steps on batches of (around, token), in place; the number of examples."""
-        first, second = np.zeros_like(weights), np.zeros_like(weights)
+        first, second, scale = np.zeros_like(weights), np.zeros_like(weights), np.empty_like(weights)
         gradient, seen, steps = np.zeros_like(weights), 0, 0
-        parts = self.split(weights)
+        parts, slopes = self.split(weights), self.split(gradient)
+        top, low = parts[2:]
+        width = self.shapes[0][2]
         for around, token in batches:
             n, steps = len(token), steps + 1
-            gradient[:] = 0
-            places, bias, *_ = self.split(gradient)
-            out, out_slope = self.with_bias(weights), self.with_bias(gradient)
-            hidden = np.ones((n, len(out)), weights.dtype)  # the last column meets the bias
-            hidden[:, :-1] = self.hidden(parts, around)
-            logits = hidden @ out
-            if float(np.abs(out).sum(axis=0).max()) > 60:
-                logits -= logits.max(axis=1, keepdims=True)
-            np.exp(logits, out=logits)
-            # The last column of the product is the sum of the powers; rows are divided by it outside the wide matrix.
-            back = logits @ np.ascontiguousarray(np.vstack([out[:-1], np.ones(out.shape[1], weights.dtype)]).T)
-            share = 1 / (back[:, -1:] * n)
-            np.matmul(np.ascontiguousarray((hidden * share).T), logits, out=out_slope)
-            _add(out_slope.T, token, hidden * weights.dtype.type(-1 / n))
-            back = (back[:, :-1] * share - out[:-1].T[token] / n) * (1 - hidden[:, :-1] ** 2)
-            bias[:] = back.sum(axis=0)
+            order, runs = self.runs(token)
+            around, token, rows = around[order], token[order], np.arange(n)
+            hidden = self.hidden(parts, around)
+            groups, members, _ = self.chances(parts, hidden, token, runs)
+            groups[rows, token // self.members] -= 1
+            members[rows, token % self.members] -= 1
+            groups *= 1 / n
+            members *= 1 / n
+            np.matmul(hidden.T, groups, out=slopes[2])
+            slopes[3][:] = 0
+            back = groups @ top.T
+            for group, a, b in runs:
+                np.matmul(hidden[a:b].T, members[a:b], out=slopes[3][group])
+                back[a:b] += members[a:b] @ low[group].T
+            hidden = hidden[:, :-1]
+            back = back[:, :-1] * (1 - hidden * hidden)
+            slopes[1][:] = back.sum(axis=0)
             for k in range(around.shape[1]):
-                _add(places[k], around[:, k], back)
+                cells = around[:, k, None] * width + np.arange(width)
+                slopes[0][k].ravel()[:] = np.bincount(cells.ravel(), back.ravel(), self.size * width)
+            # Adam with rates 0.9 and 0.99; the factors 0.1 and 0.01 of new values are taken into the last lines.
             first *= 0.9
-            first += np.float32(0.1) * gradient
+            first += gradient
             second *= 0.99
             gradient *= gradient
-            second += np.float32(0.01) * gradient
-            scale = np.sqrt(second)
-            scale *= 1 / np.sqrt(1 - 0.99 ** steps)
-            scale += 1e-6
+            second += gradient
+            spread = 0.1 / math.sqrt(1 - 0.99 ** steps)
+            np.sqrt(second, out=scale)
+            scale += 1e-6 / spread
             np.divide(first, scale, out=scale)
-            scale *= rate / (1 - 0.9 ** steps)
+            scale *= 0.1 * rate / (1 - 0.9 ** steps) / spread
             weights -= scale
             seen += n
         return seen
 
 
-def _add(table: np.ndarray, numbers: np.ndarray, rows: np.ndarray) -> None:
-    """Add ``rows`` to the rows ``numbers`` of ``table``; a number may come up many times."""
-    width = rows.shape[1]
-    cells = numbers[:, None] * width + np.arange(width)
-    table += np.bincount(cells.ravel(), rows.ravel(), len(table) * width).reshape(-1, width).astype(table.dtype)
-
-
 def _stream(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """All texts' numbers in a row with the window's reach of padding between them, and the number of tokens of each."""
     gap, parts, lengths = np.full(REACH, PAD, np.int32), [np.full(REACH, PAD, np.int32)], []
@@ -188,49 +215,84 @@ def _around(stream: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    """A trained network with its vocabulary."""
+    """A trained network with its vocabulary, and what gives the share of a word in its number.
 
-    def __init__(self, vocabulary: Vocabulary, network: Network, weights: np.ndarray):
+    ``totals`` has the counts of the shared numbers, ``middle`` the log-shares of the more frequent of their words, and
+    ``counts`` is the table ``word, n`` of all others that come up more than once; it stays out of the tasks.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, network: Network, weights: np.ndarray, totals: np.ndarray,
+                 middle: dict[bytes, float], counts: DataFrame):
         self.vocabulary, self.network, self.weights = vocabulary, network, weights
+        self.totals, self.middle, self.counts = totals, middle, counts
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"counts": None}
+
+    def shares(self, texts: list[str | None]) -> tuple[list[float], list[list[bytes]]]:
+        """Summed log-shares of every text's words, where words neither frequent nor in ``middle`` count as met once, and these words."""
+        own, middle, shared, crc = self.vocabulary.own, self.middle, self.vocabulary.shared, zlib.crc32
+        once = (-np.log(self.totals + 1)).tolist()
+        sums, rare = [], []
+        for text in texts:
+            total, others = 0.0, []
+            for word in words(text):
+                if word not in own:
+                    share = middle.get(word)
+                    if share is None:
+                        share = once[crc(word) % shared]
+                        others.append(word)
+                    total += share
+            sums.append(total)
+            rare.append(others)
+        return sums, rare
 
     def scores(self, texts: list[str | None], piece: int = 1024) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens and summed log-probability of every text."""
+        """Tokens and summed log-probability of the numbers of every text."""
         stream, lengths = _stream(self.vocabulary, texts)
         at, parts = np.flatnonzero(stream != PAD), self.network.split(self.weights)
         found = np.zeros(len(at) + 1)
         for start in range(0, len(at), piece):
             here = at[start:start + piece]
-            hidden = self.network.hidden(parts, _around(stream, here))
-            found[start:start + len(here)] = self.network.powers(parts, hidden, stream[here])[2]
+            found[start:start + len(here)] = self.network.logs(parts, _around(stream, here), stream[here])
         sums = np.concatenate([[0.0], np.cumsum(found[:-1])])
         ends = np.cumsum(lengths)
         return lengths, sums[ends] - sums[ends - lengths]
 
 
-def fit(docs: DataFrame, own: int = 383, shared: int = 128, hidden: int = 24, every: int = 1, rounds: int = 2,
-        rate: float = 0.01, step: int = 512, seed: int = 5) -> Scorer:
+def fit(docs: DataFrame, own: int | None = None, shared: int = 128, hidden: int = 24, every: int = 1, rounds: int = 2,
+        rate: float = 0.01, step: int = 512, seed: int = 5, frequent: float = 1e-4, met: int = 20, known: float = 1e-5) -> Scorer:
     """Count words and train over all rows of ``docs``.
 
-    The words of all texts are counted. In a round every token of every text is an example; an ``every`` above 1 takes only
-    every ``every``-th place of the texts of a task, counted on from text to text, with another first place in every round. The driver gets ``own`` words and the weights, whose number the
-    parameters fix; sums of weights are made by Spark.
+    The words of all texts are counted. Those that make up ``frequent`` of all tokens, and come up ``met`` times, have numbers
+    of their own; ``own`` takes that many of the most frequent ones instead. In a round every token of every text is an example; an ``every`` above 1 takes only
+    every ``every``-th place of the texts of a task, counted on from text to text, with another first place in every round. The driver gets
+    the words above ``frequent`` and ``known`` of all tokens (at most 1 / ``known``) and the weights; the shares of all other
+    words stay in the table of counts. Sums of weights are made by Spark.
     """
     counts = written(word_counts(docs), "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(own).collect()
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    frequent_words = counts if own is not None else counts.filter(F.col("n") >= max(met, frequent * total))
+    frequent_words = frequent_words.orderBy(F.desc("n"), "word")
+    top = (frequent_words if own is None else frequent_words.limit(own)).collect()
     vocabulary = Vocabulary([bytes(row.word) for row in top], shared)
     frequency = np.ones(vocabulary.size)
     for row in top:
         frequency[vocabulary.own[bytes(row.word)]] += row.n
     rest = counts.join(counts.sparkSession.createDataFrame([(bytes(r.word),) for r in top], "word binary"), "word", "left_anti")
-    slot = F.pmod(F.crc32("word"), F.lit(shared))
+    slot, totals = F.pmod(F.crc32("word"), F.lit(shared)), np.zeros(shared)
     for row in rest.groupBy(slot.alias("slot")).agg(F.sum("n").alias("n")).collect():
-        frequency[vocabulary.first + row.slot] += row.n
+        totals[row.slot] = row.n
+    frequency[vocabulary.first:] += totals
+    middle = {bytes(r.word): math.log(r.n / (totals[r.slot] + 1))
+              for r in rest.filter(F.col("n") >= known * total).select("word", "n", slot.alias("slot")).collect()}
+    tail = rest.filter((F.col("n") > 1) & (F.col("n") < known * total))
     network = Network(vocabulary.size, hidden)
     weights = network.start(frequency / frequency.sum(), seed)
     source = only(docs, text="text")
     for turn in range(rounds):
         weights = _round(source, vocabulary, network, weights, every, turn, rate / (turn + 1), step)
-    return Scorer(vocabulary, network, weights)
+    return Scorer(vocabulary, network, weights, totals, middle, tail)
 
 
 def _round(source: DataFrame, vocabulary: Vocabulary, network: Network, weights: np.ndarray, every: int, turn: int,
@@ -261,9 +323,18 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
     A null or empty text has no tokens, a sum of 0 and no mean. Rows of one id stay separate rows.
     """
     def work(batch: pa.RecordBatch) -> dict:
-        lengths, sums = scorer.scores(batch["text"].to_pylist())
-        mean = pa.array(sums / np.maximum(lengths, 1), pa.float64(), mask=lengths == 0)
-        return {"doc_id": batch["doc_id"], "n_tokens": lengths, "log_likelihood": sums, "mean_log_likelihood": mean}
-
-    return map_arrow(only(docs, doc_id="doc_id", text="text"), work,
-                     "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+        texts = batch["text"].to_pylist()
+        lengths, sums = scorer.scores(texts)
+        shares, rare = scorer.shares(texts)
+        return {"doc_id": batch["doc_id"], "n_tokens": lengths, "known": sums + np.array(shares), "rare": rare}
+
+    rows = map_arrow(only(docs, doc_id="doc_id", text="text"), work,
+                     "doc_id long, n_tokens long, known double, rare array<binary>")
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "scores")
+    # A word that is in no count, or was met once, adds the logarithm of 1.
+    more = (rows.select("row", F.explode("rare").alias("word")).join(scorer.counts, "word")
+            .groupBy("row").agg(F.sum(F.log("n")).alias("more")))
+    total = F.col("known") + F.coalesce("more", F.lit(0.0))
+    return rows.join(more, "row", "left").select(
+        "doc_id", "n_tokens", total.alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"))

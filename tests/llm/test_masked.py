@@ -87,6 +87,36 @@ def test_training_beats_the_unigram_model_on_other_texts(spark):
     assert after.sum() / tokens.sum() > before.sum() / tokens.sum() + 0.02
 
 
+def test_words_of_one_number_differ_by_their_counts(spark):
+    rows = [(0, "x " * 50 + "a " * 12 + "b " * 3 + "c", "en", "s"), (1, "x a x", "en", "s"), (2, "x b x", "en", "s"), (3, "x c x", "en", "s"),
+            (4, "x b x b", "en", "s"), (4, "x", "en", "s")]
+    docs = documents(spark, rows)
+    counts = Counter(w for _, t, *_ in rows for w in masked.words(t))
+    found = {}
+    for known in (0.0, 0.1, 2.0):  # all shares in the tasks, some, none
+        scorer = masked.fit(docs, own=1, shared=1, hidden=4, known=known)
+        assert bool(scorer.middle) == (known < 1) and (scorer.counts.count() > 0) == (known > 0)
+        found[known] = sorted((r.doc_id, r.n_tokens, r.log_likelihood) for r in masked.score(docs, scorer).collect())
+        assert [f[:2] for f in found[known]] == sorted((d, len(masked.words(t))) for d, t, *_ in rows)
+        texts = [t for _, t, *_ in rows] + ["x unseen x"]
+        more = documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+        got = {r.doc_id: r.log_likelihood for r in masked.score(more, scorer).collect()}
+        total = sum(n for w, n in counts.items() if w != b"x") + 1
+        plain = scorer.scores(texts)[1]
+        for i, text in enumerate(texts):
+            share = sum(math.log((counts[w] or 1) / total) for w in masked.words(text) if w != b"x")
+            assert got[i] == pytest.approx(plain[i] + share, abs=1e-4)
+        assert got[1] > got[2] > got[3] > got[6]
+
+
+def test_vocabulary_follows_the_corpus(spark):
+    rows = [(i, " ".join(f"w{j}" for j in range(600) if i % (j // 100 + 1) == 0), "en", "s") for i in range(60)]
+    scorer = masked.fit(documents(spark, rows), rounds=0, hidden=2)
+    counts = Counter(w for _, t, *_ in rows for w in masked.words(t))
+    assert set(scorer.vocabulary.own) == {w for w, n in counts.items() if n >= 20} and len(scorer.vocabulary.own) == 300
+    assert len(masked.fit(documents(spark, rows), rounds=0, hidden=2, frequent=1 / 200).vocabulary.own) == 0
+
+
 def test_awkward_rows(spark):
     docs = documents(spark)
     rows = masked.score(docs, masked.fit(docs, own=20, shared=8, hidden=4)).collect()
