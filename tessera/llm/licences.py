@@ -6,13 +6,28 @@ digits of ASCII, lines that state a copyright, and spellings that are equivalent
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.llm.support import only
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A line that begins, after comment signs, with a copyright statement: a sign, a year or an owner must follow the word.
-COPYRIGHT = (r"\n[ \t\r*#/;>-]*((copyright[ \t]*)?(\(c\)|©)|copyright:?[ \t]+(by[ \t]|[12][0-9][0-9][0-9])|all rights reserved)"
+#: Words by which a line states terms, so that it is no mere copyright statement.
+_TERMS = (r"(?<![a-z0-9])(?:no|not|non|use|used|uses|using|commercial|noncommercial|licen[sc]e[sd]?|permit|permits|permitted|permissions?|"
+          r"prohibited|only|must|may|shall|without|you|your|redistribut[a-z]*|distribut[a-z]*|modif[a-z]*|warrant[a-z]*|notices?|terms|"
+          r"conditions?|granted|except|provided|subject|laws?|statements?|interests?|materials?|treaty|protection)(?![a-z0-9])")
+#: Words that follow ``copyright`` within a sentence, where a line is broken.
+_WITHIN = r"(?:holders?|owners?|and|or|in|of|to|is|are|for|as|on|by|that|which|works?)(?![a-z0-9])"
+_YEAR = r"(?:[12][0-9][0-9][0-9]|[<\[{])"  # or a place to put it in
+_WORDS = r"[^ \t\r\n]+(?:[ \t]+[^ \t\r\n]+){0,%d}[ \t\r]*(?![^\n])"
+#: A line that is, after comment signs, a copyright statement without terms: a year or an owner must stand beside the word or sign.
+COPYRIGHT = (r"\n[ \t\r*#/;>-]*(?:all rights reserved[ \t\r.!]*(?![^\n])|(?=copyright|\(c\)|©)(?![^\n]*" + _TERMS + r")(?:"
+             r"(?:copyright[ \t:]*)?(?:\(c\)|©)[ \t:,]*(?:by[ \t]+)?" + _YEAR + r"|(?:copyright[ \t:]*(?:\(c\)|©)|©)[ \t:,]*" + _WORDS % 9
+             + r"|\(c\)[ \t:,]*" + _WORDS % 3
+             + r"|copyright[ \t:]+(?:by[ \t]+)?(?:" + _YEAR + "|(?!" + _WITHIN + ")" + _WORDS % 9 + r"))[^\n]*)")
+#: What the SQL of the query takes as copyright statement. Its engine has no look-ahead.
+SQL_COPYRIGHT = (r"\n[ \t\r*#/;>-]*((copyright[ \t]*)?(\(c\)|©)|copyright:?[ \t]+(by[ \t]|[12][0-9][0-9][0-9])|all rights reserved)"
              r"[^\n]*")
 #: Fixed: spellings taken as equal, the first written as the second.
 SPELLINGS = (
@@ -58,7 +73,7 @@ redistribute it freely, subject to the following restrictions:
 this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
-#: Fixed: texts of well-known licences and of common one-line notices.
+#: Fixed: short texts of well-known licences and of common one-line notices.
 KNOWN = (
     ("MIT", _MIT_GRANT + """, subject to the following conditions:
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
@@ -80,6 +95,34 @@ granted, provided that the above copyright notice and this permission notice app
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 )
 
+#: Titles that may stand above the short texts.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)", "Expat License", "MIT", "License: MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC", "License: ISC"),
+    "0BSD": ("Zero-Clause BSD", "BSD Zero Clause License", "Zero-Clause BSD License", "BSD 0-Clause License", "Free Public License 1.0.0", "0BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License",
+                     "The 2-Clause BSD License", "2-Clause BSD License", "FreeBSD License", "BSD License", "The BSD License", "BSD-2-Clause"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License",
+                     "The 3-Clause BSD License", "3-Clause BSD License", "Modified BSD License", "Revised BSD License", "The New BSD License",
+                     "BSD License", "The BSD License", "BSD-3-Clause"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "Zlib"),
+    "BSL-1.0": ("Boost Software License", "The Boost Software License"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+#: Words after which a long text only tells how to apply it.
+_ENDS = ("END OF TERMS AND CONDITIONS",)
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """``licence, text``: the short texts with and without titles, and the files beside this module with and without what follows their terms."""
+    rows = list(KNOWN)
+    for path in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")):
+        name, text = path.stem, path.read_text("utf-8")
+        wholes = [text] + [text[:text.index(end) + kept] for end in _ENDS if end in text for kept in (0, len(end))]
+        rows += [(name, whole) for whole in wholes] + [(name, whole.replace("https://", "http://")) for whole in wholes if "https://" in whole]
+    rows += [(name, f"{title}\n\n{text}") for name, text in rows if len(text) > 500 for title in TITLES.get(name, ())]
+    return rows
+
 
 def canonical(text: Column) -> Column:
     """The normalised text; empty for null."""
@@ -104,22 +147,22 @@ def known_digests(licences: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, licences: DataFrame | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, digest, licence`` per row; ``licence`` is null for a text that is no known licence.
 
-    ``licences`` (``licence, text``) is by default the list of this module. Rows of one id stay separate rows.
+    ``licences`` (``licence, text``) is by default the list of ``known_texts``. Rows of one id stay separate rows.
     """
     if licences is None:
-        licences = docs.sparkSession.createDataFrame(list(KNOWN), "licence string, text string")
+        licences = docs.sparkSession.createDataFrame(known_texts(), "licence string, text string")
     rows = only(docs, doc_id=id_column, text=text_column).select("doc_id", digest(F.col("text")).alias("digest"))
     return rows.join(known_digests(licences), "digest", "left").select("doc_id", "digest", "licence")
 
 
 def sql() -> str:
-    """The scan of ``documents`` in SQL."""
+    """The scan of ``documents`` in SQL, by the short texts without titles and the plainer rule for copyright statements."""
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
     def normal(text: str) -> str:
         out = f"translate(chr(10) || coalesce({text}, ''), '{UPPER}', '{LOWER}')"
-        out = f"regexp_replace({out}, {quoted(COPYRIGHT)}, chr(10), 'g')"
+        out = f"regexp_replace({out}, {quoted(SQL_COPYRIGHT)}, chr(10), 'g')"
         out = f"regexp_replace({out}, '[^a-z0-9]+', ' ', 'g')"
         for other, usual in SPELLINGS:
             out = f"replace({out}, {quoted(other)}, {quoted(usual)})"

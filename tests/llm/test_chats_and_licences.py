@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 from frames import TEXTS, documents, empty
 
@@ -87,6 +88,27 @@ def test_equal_licences_and_others(spark):
         assert found[doc_id].digest == hashlib.sha256(slow_canonical(text).encode()).hexdigest()
 
 
+def test_titles_owners_and_full_texts(spark):
+    mit, isc, bsd = licences.KNOWN[0][1], dict(reversed(licences.KNOWN))["ISC"], dict(licences.KNOWN)["BSD-3-Clause"]
+    full = {p.stem: p.read_text("utf-8") for p in (Path(licences.__file__).parent / "licence_texts").glob("*.txt")}
+    cases = [("The MIT License (MIT)\n\nCopyright (c) 2020 A B\n\n" + mit, "MIT"), ("ISC License\n\nCopyright <YEAR> <HOLDER>\n\n" + isc, "ISC"),
+             ("BSD 3-Clause License\n\nCopyright The Foo Authors\nAll rights reserved.\n\n" + bsd, "BSD-3-Clause"),
+             ("# Copyright Jane Doe\n# (c) Foo, Inc.\n# © Foo\n" + mit, "MIT"), ("COPYRIGHT THE FOO AUTHORS\n" + mit.upper(), "MIT"),
+             ("(c) no commercial use\n" + mit, None), ("(c)\n(c) 2020 Foo. No commercial use.\n" + mit, None),
+             ("ISC License\n\n" + mit, None), ("All rights reserved, no use without a contract\n" + mit, None), ("MIT License", None),
+             (bsd.replace("HOLDERS AND CONTRIBUTORS", "\nHOLDERS AND CONTRIBUTORS"), "BSD-3-Clause"),
+             (bsd.replace("COPYRIGHT HOLDERS AND CONTRIBUTORS", "\nCOPYRIGHT HOLDERS AND CONTRIBUTORS\n"), "BSD-3-Clause"),
+             (full["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 Foo"), "Apache-2.0"),
+             (full["Apache-2.0"][:full["Apache-2.0"].index("APPENDIX")], "Apache-2.0"), (full["GPL-2.0"] + "\nand more", None)]
+    cases += [("\n  " + text.replace("\n", "\r\n ").upper(), name) for name, text in full.items()]
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= set(full)
+    docs = documents(spark, [(i, text, "en", "s") for i, (text, _) in enumerate(cases)])
+    found = {r.doc_id: r for r in licences.scan(docs).collect()}
+    assert [(found[i].licence, text[:60]) for i, (text, _) in enumerate(cases)] == [(name, text[:60]) for text, name in cases]
+    for i, (text, _) in enumerate(cases):
+        assert found[i].digest == hashlib.sha256(slow_canonical(text).encode()).hexdigest()
+
+
 def test_awkward_documents(spark):
     rows = licences.scan(documents(spark)).collect()
     wanted = sorted(((d, hashlib.sha256(slow_canonical(t).encode()).hexdigest(), None) for d, t, *_ in TEXTS), key=str)
