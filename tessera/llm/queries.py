@@ -57,8 +57,7 @@ def language_profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_quality_rules")
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    docs = load(spark, folder, "documents")
-    return rules.judge(docs, rules.references(docs))
+    return rules.judge_corpus(load(spark, folder, "documents"))
 
 
 @query("op6_token_files")

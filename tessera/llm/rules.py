@@ -3,7 +3,8 @@
 A reference holds two histograms of one language: classes of characters, and its most common words
 with all other words as one more bin. A text is compared by Jensen-Shannon distance (base 2, so 0
 to 1) with every reference; the one with the nearest words counts. A histogram of few
-characters or words says little, so each comparison is only made from a minimum length on.
+words is far from its language by chance, so from each squared distance a part is taken that shrinks with the
+number of words, and what is left is held against a limit from the quartiles of the whole corpus.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tessera.llm.support import map_arrow, only
 from tessera.session import written
@@ -23,8 +24,15 @@ BLANKS = " \t\n\x0b\x0c\r"
 MARKS = ".,;:!?'\"()-"  # taken off both ends of a word before it is looked up
 CLASSES = ("lower", "upper", "other letter", "digit", "white space", "mark", "symbol", "other")
 COMMON = 100
-MIN_CHARS, MIN_WORDS = 200, 50
-MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = 0.275, 0.5
+#: Of characters and words: the part of a squared distance that chance may give one word, and how many times the upper quartile's
+#: way from the median a text may be above the median.
+CHANCE = (3.0, 8.0)
+SPREADS = (5.0, 8.0)
+#: Limits where fewer than ``FEWEST`` texts can give any: those of 90,000 texts.
+LIMITS = (0.0264, 0.14)
+FEWEST = 1000
+MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = (limit ** 0.5 for limit in LIMITS)  # of long texts
+MIN_CHARS, MIN_WORDS = 0, 0  # no guard beside the base rule: limits widen for short texts
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -143,55 +151,93 @@ def references(docs: DataFrame, common: int = COMMON, text_column: str = "text",
     return {lang: Reference(characters[lang], words[lang], others[lang]) for lang in sorted(words)}
 
 
+def judged(text: str | None, known: dict[str, Reference]) -> tuple:
+    """The base counts, whether they fail, and the distances to the reference with the nearest words, 0 and 0 without any."""
+    text = text or ""
+    counts = base_counts(text)
+    characters, words = character_histogram(text), Counter(plain_words(text))
+    found = [r.distances(characters, words) for r in known.values()]
+    return (*counts, base_failed(counts[0], counts[4]), *min(found, key=lambda d: (d[1], d[0]), default=(0.0, 0.0)))
+
+
 class Rules:
-    """The verdict on a text, given references."""
+    """The verdict on a text, given references and the limits of long texts."""
 
     def __init__(self, known: dict[str, Reference], char_limit: float, word_limit: float, min_chars: int, min_words: int):
-        self.known, self.char_limit, self.word_limit = known, char_limit, word_limit
-        self.min_chars, self.min_words = min_chars, min_words
-
-    def distances(self, text: str) -> tuple[float, float]:
-        """To the reference with the nearest words; 0 and 0 when there is none."""
-        characters, words = character_histogram(text), Counter(plain_words(text))
-        found = [r.distances(characters, words) for r in self.known.values()]
-        return min(found, key=lambda d: (d[1], d[0]), default=(0.0, 0.0))
+        self.known, self.limits, self.least = known, (char_limit, word_limit), (min_chars, min_words)
 
     def __call__(self, text: str | None) -> tuple:
-        text = text or ""
-        counts = base_counts(text)
-        chars, words = self.distances(text)
-        failed = base_failed(counts[0], counts[4])
-        far = (len(text) >= self.min_chars and chars > self.char_limit) or (counts[0] >= self.min_words and words > self.word_limit)
-        return (*counts, failed, chars, words, not failed and not far)
+        found = judged(text, self.known)
+        lengths = len(text or ""), found[0]
+        far = any(n >= least and d * d - chance / max(found[0], 1) > limit * limit
+                  for d, chance, limit, n, least in zip(found[6:], CHANCE, self.limits, lengths, self.least))
+        return (*found, not found[5] and not far)
 
 
-def judge(docs: DataFrame, known: dict[str, Reference], char_limit: float = MOST_CHAR_DISTANCE,
-          word_limit: float = MOST_WORD_DISTANCE, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id``, the base counts, ``base_failed``, both distances and ``kept`` for every row.
+def excesses(n_words: Column, char_distance: Column, word_distance: Column) -> list[Column]:
+    """Squared distances without the part that chance may give a text of so many words."""
+    return [d * d - F.lit(chance) / F.greatest(n_words, F.lit(1)) for d, chance in zip((char_distance, word_distance), CHANCE)]
 
-    A null text counts as an empty one and so fails the base rule. Without references nothing but the base rule decides.
-    """
-    rules = Rules(known, char_limit, word_limit, min_chars, min_words)
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance",
-             "word_distance", "kept")
+
+def corpus_limits(n_words: Column, char_distance: Column, word_distance: Column, failed: Column, rows: DataFrame) -> tuple[float, float]:
+    """Limits of both excesses from the quartiles over all ``rows`` that pass the base rule."""
+    found = excesses(n_words, char_distance, word_distance)
+    row = rows.filter(~failed).agg(F.count("*"), *[F.percentile_approx(e, [0.5, 0.75], 10_000) for e in found]).first()
+    if row[0] < FEWEST:
+        return LIMITS
+    return tuple(half + k * (upper - half) for (half, upper), k in zip(row[1:], SPREADS))
+
+
+def _kept(n_words: Column, char_distance: Column, word_distance: Column, failed: Column, limits: tuple[float, float]) -> Column:
+    near = [e <= limit for e, limit in zip(excesses(n_words, char_distance, word_distance), limits)]
+    return ~failed & near[0] & near[1]
+
+
+def measured(docs: DataFrame, known: dict[str, Reference]) -> DataFrame:
+    """``doc_id``, the base counts, ``base_failed`` and both distances for every row."""
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance")
 
     def work(batch: pa.RecordBatch) -> dict:
-        found = list(zip(*map(rules, batch["text"].to_pylist()))) or [()] * len(names)
+        found = list(zip(*[judged(text, known) for text in batch["text"].to_pylist()])) or [()] * len(names)
         return {"doc_id": batch["doc_id"], **{name: list(c) for name, c in zip(names, found)}}
 
     return map_arrow(
         only(docs, doc_id="doc_id", text="text"), work,
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "base_failed boolean, char_distance double, word_distance double, kept boolean")
+        "base_failed boolean, char_distance double, word_distance double")
+
+
+def judge(docs: DataFrame, known: dict[str, Reference], limits: tuple[float, float] = LIMITS) -> DataFrame:
+    """``doc_id``, the base counts, ``base_failed``, both distances and ``kept`` for every row, under given limits.
+
+    A null text counts as an empty one and so fails the base rule. Without references nothing but the base rule decides.
+    """
+    rows = measured(docs, known)
+    return rows.withColumn("kept", _kept(*_measures(rows), limits))
+
+
+def judge_corpus(docs: DataFrame) -> DataFrame:
+    """Like ``judge``, by references and limits from ``docs`` themselves."""
+    rows = written(measured(docs, references(docs)), "judged")
+    return rows.withColumn("kept", _kept(*_measures(rows), corpus_limits(*_measures(rows), rows)))
+
+
+def _measures(rows: DataFrame, within: str = "") -> list[Column]:
+    return [F.col(within + name) for name in ("n_words", "char_distance", "word_distance", "base_failed")]
 
 
-def passing(docs: DataFrame, char_limit: float = MOST_CHAR_DISTANCE, word_limit: float = MOST_WORD_DISTANCE) -> DataFrame:
-    """The rows, all columns, that the rules keep."""
-    rules = Rules(references(docs), char_limit, word_limit, MIN_CHARS, MIN_WORDS)
+def passing(docs: DataFrame) -> DataFrame:
+    """The rows, all columns, that the rules keep, by references and limits from ``docs`` themselves."""
+    known = references(docs)
 
-    def good(texts):
+    def measures(texts):
         import pandas as pd
 
-        return pd.Series([rules(text)[-1] for text in texts], dtype=bool)
+        found = [judged(text, known) for text in texts]
+        return pd.DataFrame({"n_words": [f[0] for f in found], "char_distance": [f[6] for f in found],
+                             "word_distance": [f[7] for f in found], "base_failed": [f[5] for f in found]})
 
-    return docs.filter(F.pandas_udf(good, "boolean")(docs["text"]))
+    made = F.pandas_udf(measures, "n_words long, char_distance double, word_distance double, base_failed boolean")(docs["text"])
+    rows = written(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), made.alias("measure")), "judged")
+    found = _measures(rows, "measure.")
+    return rows.filter(_kept(*found, corpus_limits(*found, rows))).select("row.*")

@@ -142,3 +142,28 @@ def test_symbol_noise_fails_and_prose_passes(spark):
     noise = docs.filter("lang = 'en'").limit(20).selectExpr("doc_id + 100000 as doc_id", "replace(text, ' ', '%%% ') as text", "lang", "source", "n_chars")
     known = rules.references(docs)
     assert rules.judge(noise, known).filter("kept").count() == 0
+
+
+def test_limits_widen_for_short_texts_and_come_from_the_corpus(spark):
+    def verdicts(rows, limits=None):
+        frame = spark.createDataFrame(rows, "n_words long, char_distance double, word_distance double, base_failed boolean")
+        found = [F.col(c) for c in frame.columns]
+        limits = limits or rules.corpus_limits(*found, frame)
+        return limits, [r.kept for r in frame.select(rules._kept(*found, limits).alias("kept")).collect()]
+
+    assert rules.LIMITS == verdicts([(50, 0.1, 0.4, False)] * 10)[0]
+    short, long = [(52, 0.282, 0.48, False), (52, 0.1, 0.6, False), (52, 0.4, 0.4, False)], [(400, 0.28, 0.2, False), (400, 0.1, 0.45, False), (400, 0.1, 0.3, False), (400, 0.1, 0.3, True)]
+    assert verdicts(short + long, rules.LIMITS)[1] == [True, False, False, False, False, True, False]
+    near = [(200, 0.10 + i / 1e5, 0.30 + i / 2e4, False) for i in range(2000)]
+    far = [(200, 0.2 + i / 1e5, 0.45 + i / 2e4, False) for i in range(2000)]
+    assert verdicts(near)[0][0] < verdicts(far)[0][0] and verdicts(near)[0][1] < verdicts(far)[0][1]
+    assert all(verdicts(near)[1]) and all(verdicts(far)[1]) and not any(verdicts(far, verdicts(near)[0])[1])
+
+
+def test_corpus_verdicts_of_passing_and_judge_agree(spark):
+    docs = load(spark, SMALL, "documents")
+    kept = rules.judge_corpus(docs).filter("kept").select("doc_id").collect()
+    assert sorted(r.doc_id for r in rules.passing(docs).collect()) == sorted(r.doc_id for r in kept)
+    assert 0 < len(kept) < docs.count()
+    verdict = rules.Rules(rules.references(docs), rules.MOST_CHAR_DISTANCE, rules.MOST_WORD_DISTANCE, rules.MIN_CHARS, rules.MIN_WORDS)
+    assert sorted(r.doc_id for r in kept) == sorted(r.doc_id for r in docs.collect() if verdict(r.text)[-1])
