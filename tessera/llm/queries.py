@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bytepairs, chats, languages, licences, masked, mixing, rules, simhash, tokenfiles, vectors
+from tessera.llm import (audits, bytepairs, chats, languages, licences, masked, mixing, rules, simhash, tokenfiles, vectors)
 from tessera.plans.registry import query
 from tessera.session import load
 
@@ -84,3 +84,8 @@ def temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def masked_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
     return masked.score(docs, masked.fit(docs))
+
+
+@query("op11_filter_interactions", audits.SQL)
+def filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return audits.interactions(load(spark, folder, "documents"), load(spark, folder, "labels"))
