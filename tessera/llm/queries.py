@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import (audits, bytepairs, chats, languages, licences, masked, mixing, rules, simhash, tokenfiles, vectors)
+from tessera.llm import (
+    audits, bytepairs, chats, languages, licences, masked, mixing, periodic, rules, secret_scan, simhash, tokenfiles, vectors)
 from tessera.plans.registry import query
 from tessera.session import load
 
@@ -89,3 +90,13 @@ def masked_scores(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_filter_interactions", audits.SQL)
 def filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
     return audits.interactions(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
+@query("op12_secret_scan")
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.digests(load(spark, folder, "documents"))
+
+
+@query("op13_periodic_runs")
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.digests(load(spark, folder, "documents"))
