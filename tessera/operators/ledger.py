@@ -1,4 +1,4 @@
-"""Inventory ledger: sequential sale acceptance, stock upsert, listing and totals.
+"""Inventory ledger: sales and deliveries in order, stock upsert, listing and totals.
 
 ``stock`` has columns product, quantity, purchase_price, selling_price. ``sales`` has
 columns sale, line, product, quantity, where ``line`` is unique and gives the order.
@@ -8,19 +8,24 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessera.operators.grouped import map_groups
+from tessera.operators.stock_functions import ENDLESS, StockFunction, exact, fold, lower, upper
 from tessera.session import shuffle_width, written
 
-DECISION = "product {kind}, line {line}, available bigint, accepted boolean"
+LINE = "product {kind}, line {line}, available bigint, accepted boolean, relisted boolean, purchase double, selling double"
+SEGMENT = "product {kind}, slice int"
+FUNCTION = ", start array<bigint>, value array<bigint>, slope array<bigint>"
+BOUND_PIECES = 64  # of a stretch's upper bound, which may be rounded up
 
 
-def _with_stops(sales: DataFrame) -> DataFrame:
+def _with_stops(events: DataFrame) -> DataFrame:
     """Mark lines with a quantity that is not positive, and the later lines of their sale."""
     bad = F.col("quantity").isNull() | (F.col("quantity") <= 0)
-    first_bad = sales.filter(bad).groupBy(F.col("sale").alias("_sale")).agg(F.min("line").alias("_stop"))
-    joined = sales.join(first_bad, sales["sale"].eqNullSafe(first_bad["_sale"]), "left")
+    sold = ~F.col("delivered")
+    first_bad = events.filter(bad & sold).groupBy(F.col("sale").alias("_sale")).agg(F.min("line").alias("_stop"))
+    joined = events.join(first_bad, sold & events["sale"].eqNullSafe(first_bad["_sale"]), "left")
     return joined.withColumn(
         "_early", F.when(F.col("line") > F.col("_stop"), "aborted").when(bad, "bad_quantity")).drop("_sale", "_stop")
 
@@ -34,150 +39,214 @@ def _edges(block: pd.DataFrame, starts: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _fold(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-    """Accept lines in order while stock lasts; cumulative sums find the next refusal, so only refusals cost a step."""
-    quantity, stock = block["quantity"].to_numpy(), block["stock"].to_numpy()
+    """Decide the lines of each product of a slice; ``entry`` is the stock before its first line here.
+
+    A delivery of a product that is not listed sets its prices for the lines after it.
+    """
+    quantity, delivered = block["quantity"].to_numpy(np.int64), block["delivered"].to_numpy(bool)
     available, accepted = np.empty(len(block), dtype=np.int64), np.empty(len(block), dtype=bool)
+    priced = np.full(len(block), -1)
     for start, end in _edges(block, starts):
-        wanted = quantity[start:end].astype(np.int64)
-        asked = np.cumsum(wanted)
-        refused, at = 0, 0  # quantity refused so far
-        taken = np.ones(len(wanted), dtype=bool)
-        skipped = np.empty(len(wanted), dtype=np.int64)
-        while at < len(wanted):
-            left = int(stock[start]) + refused
-            stop = at + int(np.searchsorted(asked[at:], left, side="right"))  # the next line that does not fit
-            skipped[at:stop + 1] = refused
-            if stop == len(wanted):
-                break
-            taken[stop] = False
-            refused += int(wanted[stop])
-            at = stop + 1
-            if left == asked[stop] - wanted[stop]:  # sold out
-                taken[at:] = False
-                skipped[at:] = refused + asked[at:] - wanted[at:] - asked[stop]
-                break
-        available[start:end], accepted[start:end] = int(stock[start]) - (asked - wanted - skipped), taken
-    return pd.DataFrame({"product": block["product"], "line": block["line"], "available": available, "accepted": accepted})
+        available[start:end], accepted[start:end] = fold(
+            quantity[start:end], delivered[start:end], int(block["entry"].iloc[start]))
+        listing = delivered[start:end] & (available[start:end] == 0)
+        priced[start:end] = np.maximum.accumulate(np.where(listing, np.arange(start, end), -1))
+    known = priced >= 0
+    prices = {name: np.where(known, block[f"{name}_price"].to_numpy(float)[priced], np.nan) for name in ("purchase", "selling")}
+    return pd.DataFrame({"product": block["product"], "line": block["line"], "available": available,
+                         "accepted": accepted, "relisted": known, **prices})
+
+
+def _per_segment(block: pd.DataFrame, starts: np.ndarray, columns: list[str], function) -> pd.DataFrame:
+    """One row per product and slice: ``function`` of its rows, quantities and deliveries."""
+    quantity, delivered, rows = block["quantity"].to_numpy(np.int64), block["delivered"].to_numpy(bool), []
+    for start, end in _edges(block, starts):
+        first = block.iloc[start]
+        rows.append((first["product"], first["slice"], *function(first, quantity[start:end], delivered[start:end])))
+    return pd.DataFrame(rows, columns=["product", "slice", *columns])
 
 
-def _last_stock(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-    folded = _fold(block, starts)
-    ends = [end - 1 for _, end in _edges(block, starts)]
-    quantity = np.where(folded["accepted"], block["quantity"], 0)
-    return pd.DataFrame({"product": block["product"].iloc[ends], "slice": block["_slice"].iloc[ends],
-                         "exit": (folded["available"].to_numpy() - quantity)[ends]})
+def _listed(f: StockFunction | None) -> tuple:
+    return (f.start.tolist(), f.value.tolist(), f.slope.tolist()) if f is not None else (None, None, None)
 
 
-def _summary(block: pd.DataFrame, starts: np.ndarray, levels: int) -> pd.DataFrame:
-    quantity, rows = block["quantity"].to_numpy(), []
-    for start, end in _edges(block, starts):
-        q, sums, needs = quantity[start:end], [], []
-        for level in range(levels):
-            small = np.where(q < 1 << level, q, 0)
-            taken = np.cumsum(small)
-            big = q >= 1 << level
-            sums.append(int(taken[-1]))
-            needs.append(int((q + taken - small)[big].min()) if big.any() else None)
-        rows.append((block["product"].iloc[start], block["_slice"].iloc[start], sums, needs))
-    return pd.DataFrame(rows, columns=["product", "slice", "sums", "needs"])
-
-
-def _walk(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-    """Stock at the start of each slice, as far as it is known without looking into one."""
+def _bounds(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    return _per_segment(block, starts, ["taken", "floor", "start", "value", "slope"],
+                        lambda _, q, d: (*lower(q, d), *_listed(upper(q, d, BOUND_PIECES))))
+
+
+def _functions(block: pd.DataFrame, starts: np.ndarray, pieces: int) -> pd.DataFrame:
+    return _per_segment(
+        block, starts, ["high", "start", "value", "slope"],
+        lambda row, q, d: (row["high"], *_listed(exact(q, d, int(row["low"]), int(row["high"]), pieces))))
+
+
+def _function(row) -> StockFunction:
+    return StockFunction(*(np.array(row[name], np.int64) for name in ("start", "value", "slope")), int(row.get("high", ENDLESS)))
+
+
+def _intervals(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    """The least and the greatest stock with which a slice can begin."""
+    rows = []
+    for start, end in zip(starts, [*starts[1:], len(block)]):
+        low = high = int(block["stock"].iloc[start])
+        for _, row in block.iloc[start:end].iterrows():
+            rows.append((row["product"], row["slice"], low, high))
+            low, high = max(low - int(row["taken"]), int(row["floor"])), _function(row)(high)
+    return pd.DataFrame(rows, columns=["product", "slice", "low", "high"])
+
+
+def _entries(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    """Stock at the start of each slice; ``open`` ends a product where the next slice needs this one folded first."""
     rows = []
     for start, end in zip(starts, [*starts[1:], len(block)]):
         left = int(block["stock"].iloc[start])
-        for i in range(start, end):
-            product, number, known = block["product"].iloc[i], block["slice"].iloc[i], block["exit"].iloc[i]
-            rows.append((product, number, left, False))
-            if not pd.isna(known):
-                left = int(known)
-            elif left > 0:
-                level = left.bit_length() - 1
-                need = block["needs"].iloc[i][level]
-                rest = left - block["sums"].iloc[i][level]
-                if rest < 1 << level or (need is not None and not pd.isna(need) and left >= need):
-                    rows[-1] = (product, number, left, True)
-                    break
-                left = int(rest)
+        for at, (_, row) in enumerate(block.iloc[start:end].iterrows(), start + 1):
+            known = not pd.isna(row["exit"])
+            stuck = not known and row["start"] is None and at < end
+            rows.append((row["product"], row["slice"], left, stuck))
+            if stuck:
+                break
+            if at < end:
+                left = int(row["exit"]) if known else _function(row)(left)
     return pd.DataFrame(rows, columns=["product", "slice", "entry", "open"])
 
 
-def _in_slices(lines: DataFrame, kind: str, schema: str, slice_rows: int) -> DataFrame:
-    """Exact decisions for products with very many lines, without holding one in a task.
+def _exits(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    def left(row, q, d):
+        before, accepted = fold(q, d, int(row["entry"]))
+        return (int(before[-1] + (q[-1] if d[-1] else -q[-1] if accepted[-1] else 0)),)
+
+    return _per_segment(block, starts, ["exit"], left)
 
-    The lines of a product are cut into slices of consecutive lines. Let ``half`` be the
-    largest power of two within the stock at the start of a slice. If the quantities below
-    ``half`` leave at least ``half`` at the end, and no larger one fits on the way, then
-    exactly the smaller ones are accepted, which the slice's sums tell. Otherwise the slice
-    is folded line by line; that brings the stock below ``half``, so it happens at most
-    about log2(stock) times per product. At the end every slice knows its first stock, and
-    all slices are decided in parallel.
+
+def _slice_entries(cut: DataFrame, segments: DataFrame, kind: str, pieces: int) -> DataFrame:
+    """``product, slice, entry``: the stock before the first line of every product in every slice.
+
+    A product inside one slice begins with its stock. One that goes on over slices is worked out from the slices' stock
+    functions: first from their bounds, which give the least and the greatest stock before each slice, then exactly
+    between these. At most two products of a slice go on over its ends, so all tables here are small. A slice whose
+    function has too many pieces is folded as soon as the stock before it is known, in a round of its own.
     """
-    spark = lines.sparkSession
-    total, most = lines.agg(F.count(F.lit(1)), F.max("stock")).first()
-    width = max(shuffle_width(spark), -(-total // slice_rows))
-    cut = written(lines.repartitionByRange(width, "product", "line").withColumn("_slice", F.spark_partition_id()), "slices")
-    levels = max(int(most or 0).bit_length(), 1)
-    summaries = written(map_groups(
-        cut, "_slice", ["product", "line"], lambda block, starts: _summary(block, starts, levels),
-        f"product {kind}, slice int, sums array<bigint>, needs array<bigint>"), "summaries")
-    stocks = cut.select("product", "stock").distinct()
-    summaries = written(summaries.join(stocks, "product"), "summaries")
-    exits = spark.createDataFrame([], f"product {kind}, slice int, exit bigint")
+    spark = cut.sparkSession
+    several = segments.groupBy("product").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("product")
+    long = written(segments.join(several, "product", "left_semi"), "long")  # at most two rows per slice
+    single = segments.join(several, "product", "left_anti").select("product", "slice", F.col("stock").alias("entry"))
+    if long.isEmpty():
+        return single
+    order, at = ["product", "line"], ["product", "slice"]
+    schema = SEGMENT.format(kind=kind)
+    lines = cut.select("product", "slice", "line", "quantity", "delivered").join(F.broadcast(long.select(*at)), at)
+    bounds = written(map_groups(lines, "slice", order, _bounds, f"{schema}, taken bigint, floor bigint{FUNCTION}"), "bounds")
+    between = map_groups(bounds.join(long, at), "product", ["slice"], _intervals, f"{schema}, low bigint, high bigint")
+    within = cut.select("product", "slice", "line", "quantity", "delivered").join(F.broadcast(between), at)
+    functions = written(map_groups(
+        within, "slice", order, lambda block, starts: _functions(block, starts, pieces), f"{schema}, high bigint{FUNCTION}").join(long, at), "functions")
+    exits = spark.createDataFrame([], f"{schema}, exit bigint")
     while True:
         entries = written(map_groups(
-            summaries.join(exits, ["product", "slice"], "left"), "product", ["slice"], _walk,
-            f"product {kind}, slice int, entry bigint, open boolean"), "entries")
-        placed = cut.drop("stock").join(entries.select("product", F.col("slice").alias("_slice"), "entry", "open"), ["product", "_slice"])
-        rows = placed.withColumnRenamed("entry", "stock")
-        if entries.filter("open").isEmpty():
-            return map_groups(rows, "_slice", ["product", "line"], _fold, schema)
-        found = map_groups(rows.filter("open"), "_slice", ["product", "line"], _last_stock, f"product {kind}, slice int, exit bigint")
-        exits = exits.unionByName(written(found, "exits"))
-
-
-def accept_sales(
-    sales: DataFrame, stock: DataFrame, product_limit: int = 100_000, slice_rows: int = 1_000_000
-) -> DataFrame:
-    """Decide every sale line in order: status, stock before the line, gross and net profit.
-
-    A line is ``ok`` when its quantity is within the stock left by the lines accepted before
-    it, else ``insufficient`` and the stock stays. A product that is not listed, or was sold
-    out, is ``unknown_product``. A quantity that is not positive is ``bad_quantity`` and the
-    later lines of that sale are ``aborted``. A product with up to ``product_limit`` lines is
-    folded inside a task; one with more is decided in slices. Both give the same rows.
+            functions.join(exits, at, "left"), "product", ["slice"], _entries, f"{schema}, entry bigint, open boolean"), "entries")
+        stuck = entries.filter("open")
+        if stuck.isEmpty():
+            return single.unionByName(entries.drop("open"))
+        rows = lines.join(F.broadcast(stuck), at)
+        exits = written(exits.unionByName(map_groups(rows, "slice", order, _exits, f"{schema}, exit bigint")), "exits")
+
+
+def settle(events: DataFrame, stock: DataFrame, slice_rows: int = 1_000_000, pieces: int = 8192) -> DataFrame:
+    """Decide sale lines and deliveries in order: adds status, available, listing prices, gross and net profit.
+
+    ``events`` has columns sale, line, product, quantity, delivered (boolean), purchase_price, selling_price; ``line`` is
+    unique and gives the order over sales and deliveries alike. The prices are those of a delivery; they are replaced by
+    the prices that hold at the line. Columns besides these come back unchanged.
+
+    A sale line is ``ok`` if its quantity is within the stock left by the lines before it, else ``insufficient``,
+    and the stock stays. ``unknown_product`` is one that is not listed: never in stock, or sold out and not delivered
+    since. A delivery is ``added`` to a listed product, whose prices stay, or else ``listed`` with prices of its own. A
+    quantity that is null or not positive is ``bad_quantity``; in a sale it makes the later lines ``aborted``.
+
+    Lines are range-partitioned by product and line, so a product with most of all lines is spread over many slices;
+    ``_slice_entries`` tells the stock before each, and all slices are folded side by side. ``slice_rows`` and ``pieces``
+    (the most pieces of a slice's stock function) decide how the work is cut, never its result.
     """
-    kept = [c for c in sales.columns]
-    lines = written(_with_stops(sales), "lines")
-    priced = stock.select(F.col("product").alias("_product"), F.col("quantity").cast("long").alias("stock"),
-                          "purchase_price", "selling_price")
-    live = lines.filter("_early is null").select("product", "line", F.col("quantity").cast("long").alias("quantity")).join(
-        priced.select("_product", "stock"), F.col("product") == F.col("_product")).drop("_product")
-    live = written(live, "live")
-    hot = written(live.groupBy("product").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > product_limit), "hot")
-    kind = sales.schema["product"].dataType.simpleString()
-    schema = DECISION.format(kind=kind, line=sales.schema["line"].dataType.simpleString())
-    if hot.isEmpty():
-        decisions = map_groups(live, "product", ["line"], _fold, schema)
-    else:
-        folded = map_groups(live.join(hot, "product", "left_anti"), "product", ["line"], _fold, schema)
-        sliced = _in_slices(live.join(hot, "product", "left_semi"), kind, schema, slice_rows)
-        decisions = folded.unionByName(sliced)
-    named = decisions.select(F.col("line").alias("_line"), "available", "accepted")
-    out = lines.join(named, lines["line"] == named["_line"], "left").join(
-        priced.drop("stock"), lines["product"] == F.col("_product"), "left")
+    kept = [c for c in events.columns if c not in ("purchase_price", "selling_price")]
+    lines = written(_with_stops(events), "lines")
+    spark = events.sparkSession
+    listed = stock.select(
+        F.col("product").alias("_product"), F.greatest(F.col("quantity").cast("long"), F.lit(0)).alias("stock"),
+        F.col("purchase_price").alias("_purchase"), F.col("selling_price").alias("_selling"))
+    kind = events.schema["product"].dataType.simpleString()
+    good = lines.filter("_early is null and product is not null").select(
+        "product", "line", F.col("quantity").cast("long").alias("quantity"), "delivered",
+        F.col("purchase_price").cast("double").alias("purchase_price"), F.col("selling_price").cast("double").alias("selling_price"))
+    known = listed.select(F.col("_product").alias("product")).union(good.filter("delivered").select("product")).distinct()
+    live = written(good.join(known, "product", "left_semi"), "live")
+    width = max(shuffle_width(spark), -(-live.count() // slice_rows))
+    cut = written(live.repartitionByRange(width, "product", "line").withColumn("slice", F.spark_partition_id()), "slices")
+    segments = written(
+        cut.select("product", "slice").distinct().join(listed, F.col("product") == F.col("_product"), "left")
+        .select("product", "slice", F.coalesce("stock", F.lit(0)).cast("long").alias("stock")), "segments")
+    entries = written(_slice_entries(cut, segments, kind, pieces), "entries")
+    line_kind = events.schema["line"].dataType.simpleString()
+    decided = written(map_groups(
+        cut.join(entries, ["product", "slice"]), "slice", ["product", "line"], _fold_with_slice,
+        LINE.format(kind=kind, line=line_kind) + ", slice int"), "decided")
+    # prices set in an earlier slice: one row per slice of a product that is listed anew in it
+    newest = decided.filter("relisted").groupBy("product", "slice").agg(
+        F.max_by(F.struct("purchase", "selling"), "line").alias("last"))
+    before = W.partitionBy("product").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    carried = segments.join(newest, ["product", "slice"], "left").withColumn(
+        "carried", F.last("last", ignorenulls=True).over(before)).filter("carried is not null").select("product", "slice", "carried")
+    named = decided.join(carried, ["product", "slice"], "left").select(
+        F.col("line").alias("_line"), "available", "accepted", "relisted", "carried",
+        F.col("purchase").alias("_new_purchase"), F.col("selling").alias("_new_selling"))
+    out = lines.drop("purchase_price", "selling_price").join(named, lines["line"] == named["_line"], "left").join(
+        listed.drop("stock"), lines["product"] == F.col("_product"), "left")
+
+    def price(name):
+        return F.when(F.col("relisted"), F.col(f"_new_{name}")).when(F.col("carried").isNotNull(), F.col(f"carried.{name}")).otherwise(
+            F.col(f"_{name}"))
+
+    nothing = F.col("accepted").isNull() | (F.col("available") == 0)
     status = (
         F.when(F.col("_early").isNotNull(), F.col("_early"))
-        .when(F.col("accepted"), "ok")
-        .when(F.col("accepted").isNull() | (F.col("available") == 0), "unknown_product")
-        .otherwise("insufficient")
-    )
+        .when(F.col("delivered"), F.when(nothing, "listed").otherwise("added"))
+        .when(nothing, "unknown_product").when(F.col("accepted"), "ok").otherwise("insufficient"))
     gross = F.col("quantity") * F.col("selling_price")
     ok = F.col("status") == "ok"
     return out.withColumn("status", status).select(
-        *kept, "status", "available", F.when(ok, gross).alias("gross_profit"),
-        F.when(ok, gross - F.col("quantity") * F.col("purchase_price")).alias("net_profit"))
+        *kept, "status", "available", price("purchase").alias("purchase_price"), price("selling").alias("selling_price")).select(
+        "*", F.when(ok, gross).alias("gross_profit"), F.when(ok, gross - F.col("quantity") * F.col("purchase_price")).alias("net_profit"))
+
+
+def _fold_with_slice(block: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    return _fold(block, starts).assign(slice=block["slice"])
+
+
+def accept_sales(sales: DataFrame, stock: DataFrame, slice_rows: int = 1_000_000) -> DataFrame:
+    """``settle`` for sale lines alone: status, stock before the line, gross and net profit."""
+    none = F.lit(None).cast("double")
+    events = sales.withColumns({"delivered": F.lit(False), "purchase_price": none, "selling_price": none})
+    settled = settle(events, stock, slice_rows)
+    return settled.select(*sales.columns, "status", "available", "gross_profit", "net_profit")
+
+
+def closing_stock(stock: DataFrame, settled: DataFrame) -> DataFrame:
+    """Listed products after all settled lines, with the prices that hold then.
+
+    A product's last accepted line tells the stock; products without one are as before, products at 0 are not listed.
+    """
+    effect = F.when(F.col("delivered"), F.col("quantity")).otherwise(-F.col("quantity"))
+    last = settled.filter("status in ('ok', 'added', 'listed')").groupBy(F.col("product").alias("_product")).agg(F.max_by(
+        F.struct((F.col("available") + effect).cast("long").alias("quantity"), "purchase_price", "selling_price"), "line").alias("_last"))
+    joined = stock.join(last, F.col("product") == F.col("_product"), "full")
+
+    def latest(name):
+        return F.when(F.col("_last").isNotNull(), F.col(f"_last.{name}")).otherwise(F.col(name))
+
+    return joined.select(
+        F.coalesce("product", "_product").alias("product"), latest("quantity").cast("long").alias("quantity"),
+        latest("purchase_price").alias("purchase_price"), latest("selling_price").alias("selling_price")).filter("quantity > 0")
 
 
 def stop_list(sales: DataFrame) -> DataFrame:

@@ -1,50 +1,176 @@
-"""Sequential sale acceptance on a stream.
+"""Sales and deliveries as a stream, with the stock of every product in keyed state.
 
-Every batch is decided by the batch operator against the stock left by the batch before.
-Stock and decisions are written per batch number, so a batch that is repeated after a
-failure reads the same stock and overwrites its own output.
+Two operators follow each other. The first, keyed by sale, remembers the sales that a bad quantity has closed, and forgets
+them after a time limit. The second, keyed by product, holds stock and listing prices; a batch reads and
+writes the state of the products it touches and of no others. The rules are those of ``ledger.settle``.
+
+Lines must arrive in order, batch by batch; within a batch they are sorted here. A task folds the lines that one batch
+has of a product, so the trigger's size bounds what a hot product brings at once; histories are worked on by ``ledger.settle``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tessera.operators.stock_functions import fold
+from tessera.session import fresh_path
+
+#: Keyed state with variables needs this store; with a time limit, batches without input would never end.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+WEEK = 7 * 24 * 3600 * 1000  # milliseconds
+LINE = "sale {sale}, line long, product {product}, quantity long, delivered boolean"
+PRICES = ", purchase_price double, selling_price double"
+MARKED = LINE + PRICES + ", early string"
+MARKED_COLUMNS = [field.split()[0] for field in MARKED.split(", ")]
+DECIDED = LINE + ", status string, available long" + PRICES
+
+
+def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    return pd.concat(list(rows), ignore_index=True).sort_values("line", ignore_index=True)
+
+
+class SaleGate(StatefulProcessor):
+    """Marks bad quantities, and every line behind the first one of its sale. Deliveries pass, one key each."""
+
+    def __init__(self, limit_ms: int):
+        self.limit_ms = limit_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.closed = handle.getValueState("closed", "line long", self.limit_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        block = _sorted(rows)
+        bad = (block["quantity"].isna() | (block["quantity"] <= 0)).to_numpy(bool)
+        delivered = block["delivered"].to_numpy(bool)
+        early = np.where(bad, "bad_quantity", None)
+        if not delivered.all():
+            known = self.closed.exists()
+            behind = np.full(len(block), known)
+            stops = np.flatnonzero(bad)
+            if not known and len(stops):
+                behind[stops[0] + 1:] = True
+                self.closed.update((int(block["line"].iloc[stops[0]]),))
+            early = np.where(behind, "aborted", early)
+        yield block[MARKED_COLUMNS[:-1]].assign(early=early)
+
+    def close(self) -> None:
+        pass
 
-from tessera.operators.ledger import accept_sales, remaining_stock, stop_list
-from tessera.session import fresh_path, written
-from tessera.streaming.runs import drain
+
+class StockKeeper(StatefulProcessor):
+    """Decides the lines of one product against its stock; state stays at quantity 0 when it is sold out."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.stock = handle.getValueState("stock", "quantity long, purchase_price double, selling_price double")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        row = initialState.iloc[0]
+        self.stock.update((max(int(row["quantity"]), 0), *map(_price, (row["purchase_price"], row["selling_price"]))))
+
+    def handleInputRows(self, key, rows, timerValues):
+        block = _sorted(rows)
+        early = block["early"]
+        live = early.isna().to_numpy(bool)
+        state = self.stock.get() if self.stock.exists() else None
+        unknown = state is None
+        left, *prices = state if not unknown else (0, None, None)
+        status, available = early.to_numpy(object).copy(), np.full(len(block), None, object)
+        paid = [np.full(len(block), np.nan), np.full(len(block), np.nan)]
+        if key[0] is None:
+            status[live] = "unknown_product"
+        elif live.any():
+            quantity = block["quantity"].to_numpy(float)[live].astype(np.int64)
+            delivered = block["delivered"].to_numpy(bool)[live]
+            before, accepted = fold(quantity, delivered, left)
+            listing = delivered & (before == 0)
+            latest = np.maximum.accumulate(np.where(listing, np.arange(len(before)), -1))
+            ever = np.maximum.accumulate(delivered) if unknown else np.ones(len(before), bool)
+            status[live] = np.where(delivered, np.where(before == 0, "listed", "added"), np.where(
+                before == 0, "unknown_product", np.where(accepted, "ok", "insufficient")))
+            available[live] = np.where(ever, before, None)
+            for i, name in enumerate(("purchase_price", "selling_price")):
+                own = block[name].to_numpy(float)[live]
+                old = np.nan if prices[i] is None else prices[i]
+                column = np.where(latest >= 0, own[latest], old)
+                paid[i][live] = column
+                prices[i] = _price(column[-1])
+            change = np.where(delivered, quantity, np.where(accepted, -quantity, 0))
+            if not unknown or delivered.any():
+                self.stock.update((int(before[-1] + change[-1]), *prices))
+        yield pd.DataFrame({
+            "sale": block["sale"], "line": block["line"], "product": key[0], "quantity": block["quantity"],
+            "delivered": block["delivered"], "status": status,
+            "available": pd.array(available, "Int64"), "purchase_price": paid[0], "selling_price": paid[1]})
+
+    def close(self) -> None:
+        pass
+
+
+def _price(value) -> float | None:
+    return None if value is None or pd.isna(value) else float(value)
+
+
+def settled_stream(events: DataFrame, stock: DataFrame, limit_ms: int = WEEK) -> DataFrame:
+    """The stream of ``events`` (see ``ledger.settle``) with status, available, listing prices and profits.
+
+    ``stock`` is the stock before the first batch. A sale closed by a bad quantity is remembered for ``limit_ms``
+    milliseconds of processing time. ``available`` is null for a product that was never in stock or delivered before.
+    """
+    kinds = {name: events.schema[name].dataType.simpleString() for name in ("sale", "product")}
+    key = F.when(F.col("delivered"), F.concat(F.lit("+"), F.col("line").cast("string"))).otherwise(
+        F.coalesce(F.concat(F.lit("-"), F.col("sale").cast("string")), F.lit("")))
+    lines = events.select(
+        "sale", F.col("line").cast("long").alias("line"), "product", F.col("quantity").cast("long").alias("quantity"), "delivered",
+        F.col("purchase_price").cast("double").alias("purchase_price"), F.col("selling_price").cast("double").alias("selling_price"),
+        key.alias("_key"))
+    marked = lines.groupBy("_key").transformWithStateInPandas(
+        SaleGate(limit_ms), MARKED.format(**kinds), "append", "processingTime")
+    listed = stock.filter("product is not null").select(
+        F.col("product").cast(kinds["product"]).alias("product"), F.col("quantity").cast("long").alias("quantity"),
+        F.col("purchase_price").cast("double").alias("purchase_price"), F.col("selling_price").cast("double").alias("selling_price"))
+    decided = marked.groupBy("product").transformWithStateInPandas(
+        StockKeeper(), DECIDED.format(**kinds), "append", "processingTime", listed.groupBy("product"))
+    ok, gross = F.col("status") == "ok", F.col("quantity") * F.col("selling_price")
+    return decided.select("*", F.when(ok, gross).alias("gross_profit"),
+                          F.when(ok, gross - F.col("quantity") * F.col("purchase_price")).alias("net_profit"))
 
 
 class SalesStream:
-    """State and output folders of one ledger."""
+    """One ledger: its decided lines and checkpoint in a folder that all machines reach."""
 
-    def __init__(self, stock: DataFrame, sale_kind: str, folder: str | None = None, product_limit: int = 100_000):
-        self.spark = stock.sparkSession
+    def __init__(self, stock: DataFrame, folder: str | None = None, limit_ms: int = WEEK):
+        self.spark: SparkSession = stock.sparkSession
         self.folder = folder or fresh_path(self.spark, "ledger")
-        self.product_limit = product_limit
-        self.columns = stock.schema
-        self.listed = stock
-        stock.write.mode("overwrite").parquet(self._stock(0))
-        self.spark.createDataFrame([], f"sale {sale_kind}").write.mode("overwrite").parquet(self._stopped(0))
-
-    def _stock(self, version: int) -> str:
-        return f"{self.folder}/stock/version={version}"
-
-    def _stopped(self, version: int) -> str:
-        return f"{self.folder}/stopped/version={version}"
-
-    def decide(self, batch: DataFrame, batch_id: int) -> None:
-        stock = self.spark.read.schema(self.columns).parquet(self._stock(batch_id))
-        stopped = self.spark.read.parquet(self._stopped(batch_id))
-        batch = written(batch, "batch")
-        late = batch.join(stopped, "sale", "left_semi")
-        decided = accept_sales(batch.join(stopped, "sale", "left_anti").select(*batch.columns), stock, self.product_limit)
-        refused = late.select(*late.columns, F.lit("aborted").alias("status"))
-        path = f"{self.folder}/decided/batch={batch_id}"
-        decided.unionByName(refused, allowMissingColumns=True).write.mode("overwrite").parquet(path)
-        rows = self.spark.read.schema(decided.schema).parquet(path)
-        remaining_stock(stock, rows).write.mode("overwrite").parquet(self._stock(batch_id + 1))
-        stopped.unionByName(stop_list(batch)).distinct().write.mode("overwrite").parquet(self._stopped(batch_id + 1))
-
-    def run(self, sales: DataFrame) -> DataFrame:
-        drain(sales, self.decide, checkpoint=f"{self.folder}/checkpoint")
-        return self.spark.read.parquet(f"{self.folder}/decided").drop("batch")
+        self.stock, self.limit_ms = stock, limit_ms
+        self.touched: list[int] = []  # products whose state the last run wrote, by batch
+
+    def run(self, events: DataFrame) -> DataFrame:
+        """Decide everything that has arrived; a run after a failure, or with more input, goes on where the last one ended."""
+        decided = settled_stream(events, self.stock, self.limit_ms)
+        before = {name: self.spark.conf.get(name, None) for name in SETTINGS}
+        for name, value in SETTINGS.items():
+            self.spark.conf.set(name, value)
+        try:
+            query = decided.writeStream.format("parquet").option("path", f"{self.folder}/decided").option(
+                "checkpointLocation", f"{self.folder}/checkpoint").trigger(availableNow=True).start()
+            query.awaitTermination()
+            self.touched = [p.stateOperators[0].numRowsUpdated for p in query.recentProgress if p.stateOperators]
+        finally:
+            for name, value in before.items():
+                self.spark.conf.set(name, value) if value is not None else self.spark.conf.unset(name)
+        return self.spark.read.schema(decided.schema).parquet(f"{self.folder}/decided")
+
+    def state(self, batch: int | None = None) -> DataFrame:
+        """Stock and prices of every product seen so far, read from the state after the last or a given batch."""
+        reader = self.spark.read.format("statestore").option("operatorId", 0).option("stateVarName", "stock")
+        if batch is not None:
+            reader = reader.option("batchId", batch)
+        return reader.load(f"{self.folder}/checkpoint").select("key.*", "value.*")
