@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import boxes, vision
+from tessera.operators import boxes, graph, vision
 from tessera.sources.readers import read_images
 
 
@@ -22,6 +22,9 @@ def brute_suppress(rows, threshold):
     return kept
 
 
+BOX_SCHEMA = "image int, box long, x int, y int, w int, h int"
+
+
 def box_rows():
     rng = np.random.default_rng(4)
     rows = [(int(i % 3 == 0), i, int(rng.integers(-50, 600)), int(rng.integers(0, 600)), int(rng.integers(5, 90)), int(rng.integers(5, 90)))
@@ -29,30 +32,69 @@ def box_rows():
     return rows + [(5, 1000, 10, 10, 20, 20), (5, 1001, 10, 10, 20, 20), (6, 1002, 0, 0, 1, 1)]  # identical boxes
 
 
-@pytest.mark.parametrize("limit", [0, 100, 10_000])
-def test_suppression_both_ways(spark, limit):
+@pytest.mark.parametrize("front", [7, 60, 10_000])
+def test_suppression_does_not_depend_on_the_front(spark, front):
     rows = box_rows()
-    df = spark.createDataFrame(rows, "image int, box long, x int, y int, w int, h int")
-    got = {(r["image"], r["box"]) for r in boxes.suppress(df, 0.3, image_limit=limit, tile=64).collect()}
+    df = spark.createDataFrame([*rows, (None, 7, 1, 1, 5, 5), (None, 8, 1, 2, 5, 5), (0, 9, None, 1, 1, 1)], BOX_SCHEMA)
+    got = {(r["image"], r["box"]) for r in boxes.suppress(df, 0.3, front).collect()}
     wanted = {k[:2] for image in {r[0] for r in rows} for k in brute_suppress([r for r in rows if r[0] == image], 0.3)}
-    assert got == wanted
+    assert got == wanted | {(None, 8)}
     assert (5, 1001) in got and (5, 1000) not in got
 
 
-@pytest.mark.parametrize("tile", [16, 64, 4096])
-def test_overlap_pairs_do_not_depend_on_tiles(spark, tile):
-    rows = box_rows()
-    df = spark.createDataFrame(rows, "image int, box long, x int, y int, w int, h int")
-    got = sorted((r["first"], r["second"], r["shared"]) for r in boxes.overlaps(df, tile).collect())
-    wanted = []
-    for a in rows:
-        for b in rows:
-            if a[0] == b[0] and a[1] < b[1]:
-                w = min(a[2] + a[4], b[2] + b[4]) - max(a[2], b[2]) + 1
-                h = min(a[3] + a[5], b[3] + b[5]) - max(a[3], b[3]) + 1
-                if w > 0 and h > 0:
-                    wanted.append((a[1], b[1], w * h))
-    assert got == sorted(wanted)
+def test_suppression_of_a_chain_a_pile_and_mixed_sizes(spark):
+    """A chain of 1000 boxes, each covering half of the next; 600 boxes on one place; small boxes on large ones."""
+    rng = np.random.default_rng(9)
+    rows = [(0, i, 3 * i, 6 * i, 10, 10) for i in range(1000)]
+    rows += [(1, i, 40, 40, 30, 30) for i in range(600)] + [(1, 600 + i, 40 + i % 3, 40, 30, 30) for i in range(60)]
+    rows += [(2, i, int(rng.integers(0, 3000)), int(rng.integers(0, 3000)), s, s) for i in range(900) for s in [int(rng.choice([3, 40, 900]))]]
+    df = spark.createDataFrame(rows, BOX_SCHEMA)
+    wanted = {k[:2] for image in (0, 1, 2) for k in brute_suppress([r for r in rows if r[0] == image], 0.3)}
+    for front in (300, 5000):
+        assert {(r["image"], r["box"]) for r in boxes.suppress(df, 0.3, front).collect()} == wanted
+    assert boxes.suppress(df.limit(0), 0.3).count() == 0 and boxes.suppress(df, 1.0).count() == len(rows)
+
+
+def brute_pairs(a, b):
+    for p in a:
+        for q in b:
+            w = min(p[2] + p[4], q[2] + q[4]) - max(p[2], q[2]) + 1
+            h = min(p[3] + p[5], q[3] + q[5]) - max(p[3], q[3]) + 1
+            if p[0] == q[0] and w > 0 and h > 0:
+                yield p[1], q[1], w * h
+
+
+@pytest.mark.parametrize("block", [3, 50, 1000])
+def test_overlap_pairs_do_not_depend_on_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(boxes, "BLOCK", block)
+    rows = box_rows() + [(1, 2000 + i, 100, 100, s, s + i % 3) for i, s in enumerate([0, 1, 2, 3, 7, 8, 400, 1023, 1024, 5000])]
+    df = spark.createDataFrame(rows, BOX_SCHEMA)
+    got = sorted((r["first"], r["second"], r["shared"]) for r in boxes.overlaps(df).collect())
+    assert got == sorted(t for t in brute_pairs(rows, rows) if t[0] < t[1])
+    half = df.filter("box % 2 = 0"), df.filter("box % 2 = 1")
+    got = sorted((r["box_a"], r["box_b"], r["shared"]) for r in boxes.meetings(*half).collect())
+    assert got == sorted(brute_pairs([r for r in rows if r[1] % 2 == 0], [r for r in rows if r[1] % 2]))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_of_chains_stars_and_random_graphs(spark, seed):
+    rng = np.random.default_rng(seed)
+    pairs = [(i, i + 1) for i in range(300)] + [(1000, 1001 + i) for i in range(200)] + [(5000, 5000)]
+    pairs += [(int(a), int(b)) for a, b in rng.integers(2000, 2400, (260, 2))]
+    rng.shuffle(pairs)
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((root(int(a)), root(int(b))))
+        parent[b] = a
+    wanted = {x: root(x) for x in parent}
+    found = dict(map(tuple, graph.components(spark.createDataFrame([(int(a), int(b)) for a, b in pairs], "a long, b long")).collect()))
+    assert found == {x: r for x, r in wanted.items() if sum(v == r for v in wanted.values()) > 1}
 
 
 def test_no_window_fits_an_image_of_its_size(spark):
