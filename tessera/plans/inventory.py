@@ -7,7 +7,7 @@ from tessera.operators import ledger
 from tessera.plans.registry import query, rounded
 from tessera.session import load, written
 from tessera.streaming import runs
-from tessera.streaming.daily import refreshed_daily_totals
+from tessera.streaming.daily import DailyTotals
 from tessera.streaming.sales import SalesStream
 
 LINE = """select event_id as line, user_id * 1000 + dayofyear(ts) as sale,
@@ -180,6 +180,12 @@ def stock_after_deliveries(spark, d):
 @query("streamed_daily_totals", """
 select cast(ts as date) as date, cast(sum(cast(value as decimal(18,2))) as double) as total_amount from events group by 1""")
 def streamed_daily_totals(spark, d):
-    stream = runs.table_stream(spark, d, "events")
-    totals = refreshed_daily_totals(stream, F.to_date("ts"), money(F.col("value")))
+    """Every seventh event arrives two days late, every eleventh comes a second time a day after the first."""
+    events = load(spark, d, "events").select("event_id", "ts", "value")
+    delay = F.when(F.col("event_id") % 7 == 0, 2).otherwise(0)
+    day = F.unix_seconds(F.col("ts").cast("timestamp")) / 86400
+    once = events.withColumn("arrival", day + delay)
+    again = once.filter("event_id % 11 = 0").withColumn("arrival", F.col("arrival") + 1)
+    arriving = runs.ordered_stream(once.unionByName(again), "arrival", batches=5)
+    totals = DailyTotals(spark, late="5 days").run(arriving, "ts", money(F.col("value")), "event_id")
     return totals.withColumn("total_amount", F.col("total_amount").cast("double"))
