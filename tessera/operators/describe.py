@@ -8,36 +8,17 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.functions.scalar import safe_ratio
-from tessera.operators.ordered import percentiles, running
+from tessera.operators.ordered import running
+from tessera.operators.quantiles import QUARTILES, Ranked, percentiles, summary
 
-QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-
-
-def _moments(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Count, range, mean, sample deviation and population shape of all columns in one pass."""
-    entries = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        entries.append(F.struct(
-            F.lit(c).alias("variable"), F.count(x).alias("n"), F.min(x).alias("min"), F.avg(x).alias("mean"),
-            F.max(x).alias("max"), F.stddev_samp(x).alias("sd"), F.skewness(x).alias("skewness"),
-            F.kurtosis(x).alias("kurtosis"),
-        ))
-    return df.groupBy(*by).agg(F.array(*entries).alias("_m")).select(*by, F.inline("_m"))
-
-
-def _with_quartiles(df, columns, by):
-    left = _moments(df, columns, by)
-    right = percentiles(df, columns, QUARTILES, by)
-    keys = [*by, "variable"]
-    renamed = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *QUARTILES)
-    on = [left[k].eqNullSafe(renamed[f"_k{i}"]) for i, k in enumerate(keys)]
-    return left.join(renamed, on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+MOMENTS = {
+    "n": F.count, "min": F.min, "mean": F.avg, "max": F.max, "sd": F.stddev_samp, "skewness": F.skewness, "kurtosis": F.kurtosis}
+FENCE = 1.5  # quartile distances from the box to its fences
 
 
 def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Location, spread and shape. Kurtosis is the excess over a normal; sd is the sample one."""
-    return _with_quartiles(df, columns, by).select(
+    return summary(df, columns, MOMENTS, by).select(
         *by, "variable", "n", "min", "q1", "median", "mean", "q3", "max", "sd",
         (F.col("q3") - F.col("q1")).alias("iqr"),
         (safe_ratio(F.col("sd"), F.col("mean")) * 100).alias("cv_percent"), "skewness", "kurtosis",
@@ -45,31 +26,29 @@ def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
 
 
 def five_numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    return _with_quartiles(df, columns, by).select(
+    return summary(df, columns, {name: MOMENTS[name] for name in ("min", "mean", "max")}, by).select(
         *by, "variable", "min", "q1", "median", "mean", "q3", "max")
 
 
+def box_statistics(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+    """Quartiles, whiskers (furthest value within 1.5 IQR of the box) and outlier counts."""
+    ranked = Ranked(df, [column], QUARTILES, by, fence=FENCE)
+    kind = df.schema[column].dataType
+    return ranked.named(ranked.boxes(), *QUARTILES, "n", *[
+        F.col(name).cast(kind).alias(name) for name in ("low_whisker", "high_whisker")], "outliers").drop("variable")
+
+
 def _fenced(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     if not by:
         raise ValueError("name at least one grouping column")
     quartiles = percentiles(df, [column], QUARTILES, by)
     renamed = quartiles.select(*[F.col(b).alias(f"_k{i}") for i, b in enumerate(by)], *QUARTILES)
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    reach = FENCE * (F.col("q3") - F.col("q1"))
     joined = df.join(renamed, [df[b].eqNullSafe(renamed[f"_k{i}"]) for i, b in enumerate(by)])
     return joined.withColumn(
         "_inside", F.col(column).between(F.col("q1") - reach, F.col("q3") + reach))
 
 
-def box_statistics(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
-    """Quartiles, whiskers (furthest value within 1.5 IQR of the box) and outlier counts."""
-    return _fenced(df.filter(F.col(column).isNotNull()), column, by).groupBy(*by, "q1", "median", "q3").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.when(F.col("_inside"), F.col(column))).alias("low_whisker"),
-        F.max(F.when(F.col("_inside"), F.col(column))).alias("high_whisker"),
-        F.count_if(~F.col("_inside")).alias("outliers"),
-    )
-
-
 def outliers(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     return _fenced(df, column, by).filter(~F.col("_inside")).select(*df.columns)
 

@@ -1,4 +1,4 @@
-"""Running sums, ranks, lags and exact percentiles over a total order.
+"""Running sums, ranks and lags over a total order.
 
 A window without a partition key puts all rows into one task, and a window over a
 hot key puts that key into one task. Here rows are range-partitioned on
@@ -10,7 +10,6 @@ the totals of the slices before it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -110,93 +109,3 @@ def lagged(
         "*", *[F.lag(c, k).over(window).alias(name) for name, (c, k) in columns.items()]
     )
     return shifted.filter("_target = _block").drop("_rank", "_block", "_target")
-
-
-def percentiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float], by: Sequence[str] = (),
-    accuracy: int = 10_000, window_rows: int = 1_000_000,
-) -> DataFrame:
-    """Exact linearly interpolated percentiles, long form: ``by..., variable, <names>``.
-
-    First pass: a quantile sketch per group gives, for each percentile, two values that
-    are certain to enclose it (the sketch bounds its own rank error by ``1/accuracy``).
-    Then rows below the enclosures are only counted, and rows inside them, a few
-    ``1/accuracy`` of the group, are counted per distinct value and scanned in order.
-    No task sees a whole group, and almost nothing is shuffled.
-    """
-    groups_by, labels, probs = list(by), list(columns), list(probabilities.values())
-    margin = 3.0 / accuracy
-    edges = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
-    by, columns = [f"_g{i}" for i in range(len(groups_by))], [f"_v{i}" for i in range(len(labels))]
-    numeric = df.select(*[F.col(b).alias(g) for b, g in zip(groups_by, by)],
-                        *[F.col(c).cast("double").alias(v) for c, v in zip(labels, columns)])
-    sketch = numeric.groupBy(*by).agg(*[
-        F.struct(F.count(c).alias("size"), F.percentile_approx(c, edges, accuracy).alias("edges")).alias(f"_s_{i}")
-        for i, c in enumerate(columns)
-    ])
-    slots = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
-
-    def edge(i, place, whole):
-        # The margin must be worth at least three ranks; a smaller group is taken whole.
-        tiny = F.col(f"_s_{i}.size") * margin < 3
-        return F.when(tiny, F.lit(float(whole))).otherwise(F.col(f"_s_{i}.edges")[place])
-
-    limits = written(sketch.select(*by, F.array(*[
-        F.struct(F.col(f"_s_{i}.size").alias("size"), edge(i, j, "-inf").alias("low"),
-                 edge(i, j + len(probs), "inf").alias("high")) for i, j in slots
-    ]).cast("array<struct<size:bigint,low:double,high:double>>").alias("_limits")), "sketch")
-    largest, groups = limits.select(
-        F.max(F.array_max(F.transform("_limits", lambda e: e["size"]))), F.count(F.lit(1))).first()
-    names = [f"_by_{i}" for i in range(len(by))]
-    renamed = limits.select(*[F.col(b).alias(n) for b, n in zip(by, names)], "_limits")
-    if by:
-        side = F.broadcast(renamed) if groups <= 100_000 else renamed
-        rows = numeric.join(side, _same(numeric, renamed, by, names), "inner")
-    else:
-        rows = numeric.withColumn("_limits", limits.select("_limits").scalar())
-
-    def limit(slot, side):
-        return F.col("_limits")[slot][side]
-
-    def value_of(slot):
-        return F.col(columns[slots[slot][0]])
-
-    below = rows.groupBy(*by).agg(F.array(*[
-        F.struct(F.lit(i).alias("variable"), F.lit(j).alias("prob"), F.max(limit(slot, "size")).alias("size"),
-                 F.count_if(value_of(slot) < limit(slot, "low")).alias("below"))
-        for slot, (i, j) in enumerate(slots)
-    ]).alias("_b")).select(*[F.col(b).alias(n) for b, n in zip(by, names)], F.inline("_b")).select(
-        *names, F.col("variable").alias("_variable"), F.col("prob").alias("_prob"), "size", "below")
-    inside = [value_of(k).between(limit(k, "low"), limit(k, "high")) for k in range(len(slots))]
-    entries = F.array(*[
-        F.when(inside[slot], F.struct(F.lit(i).alias("variable"), F.lit(j).alias("prob"), value_of(slot).alias("value")))
-        for slot, (i, j) in enumerate(slots)
-    ])
-    counts = (
-        rows.filter(reduce(lambda a, b: a | b, inside)).select(*by, F.explode(entries).alias("_e"))
-        .filter("_e is not null").select(*by, "_e.*")
-        .groupBy(*by, "variable", "prob", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    keys = [*by, "variable", "prob"]
-    if 2 * margin * (largest or 0) <= window_rows:
-        order = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-        scanned = counts.withColumn("_upto", F.sum("n").over(order))
-    else:
-        scanned = running(counts, ["value"], keys, sums={"_upto": "n"})
-    placed = scanned.join(below, _same(scanned, below, keys, [*names, "_variable", "_prob"]), "inner").withColumn(
-        "upto", F.col("_upto") + F.col("below"))
-    share = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("prob") + 1)
-    position = (F.col("size") - 1) * share
-
-    def at(target):
-        return F.max(F.when((target >= F.col("upto") - F.col("n")) & (target < F.col("upto")), F.col("value")))
-
-    found = placed.groupBy(*keys).agg(
-        at(F.floor(position)).alias("low"), at(F.ceil(position)).alias("high"),
-        F.first(position - F.floor(position)).alias("part"))
-    value = F.col("low") + F.col("part") * (F.col("high") - F.col("low"))
-    wide = found.groupBy(*by, "variable").agg(
-        *[F.max(F.when(F.col("prob") == j, value)).alias(name) for j, name in enumerate(probabilities)])
-    return wide.select(
-        *[F.col(g).alias(b) for b, g in zip(groups_by, by)],
-        F.element_at(F.array(*[F.lit(c) for c in labels]), F.col("variable") + 1).alias("variable"), *probabilities)

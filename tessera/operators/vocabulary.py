@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tessera.functions.text import name_mentions
-from tessera.operators.ordered import percentiles, running
+from tessera.operators.ordered import running
+from tessera.operators.quantiles import percentiles
 from tessera.session import written
 
 BROADCAST_ROWS = 500_000

@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.ordered import lagged, percentiles, running
+from tessera.operators.ordered import lagged, running
+from tessera.operators.quantiles import QUARTILES, Ranked, percentiles
 
 
 def rows_with_hot_group(n=3000):
@@ -41,17 +43,51 @@ def test_lag_crosses_blocks_and_slices(spark):
         assert out[i] == ((i - 1) * 10 if i >= 1 else None, (i - 7) * 10 if i >= 7 else None)
 
 
-def test_percentiles_are_exact_on_both_ways(spark):
+def spread_groups():
     rng = np.random.default_rng(3)
-    data = [("hot", float(x)) for x in rng.normal(size=4000)] + [("one", 5.0)] + [("flat", 2.0)] * 50 + [("none", None)]
+    return ([("hot", float(x)) for x in rng.normal(size=4000)] + [("one", 5.0)] + [("flat", 2.0)] * 50 + [("none", None)]
+            + [("few", float(x)) for x in rng.integers(0, 4, 3000)] + [(None, float(x)) for x in rng.exponential(size=2500)]
+            + [("heavy", float(x)) for x in rng.standard_cauchy(size=3000)] + [("ends", x) for x in [0.0, -0.0, 1e300, -1e300] * 300])
+
+
+@pytest.mark.parametrize("accuracy", [100, 10_000])
+def test_percentiles_are_exact(spark, accuracy):
+    data = spread_groups()
     df = spark.createDataFrame(data, "g string, v double")
-    for window_rows in (0, 10**6):
-        out = {r["g"]: r for r in percentiles(df, ["v"], {"a": 0.25, "b": 0.99}, ["g"], accuracy=100, window_rows=window_rows).collect()}
-        hot = [v for g, v in data if g == "hot"]
-        assert abs(out["hot"]["a"] - np.percentile(hot, 25)) < 1e-12
-        assert abs(out["hot"]["b"] - np.percentile(hot, 99)) < 1e-12
-        assert out["one"]["a"] == 5.0 and out["flat"]["b"] == 2.0
-        assert "none" not in out
+    wanted = {"a": 0.25, "b": 0.99, "c": 0.0, "d": 1.0, "e": 0.251}
+    out = {r["g"]: r for r in percentiles(df, ["v"], wanted, ["g"], accuracy=accuracy).collect()}
+    for g in {g for g, v in data if v is not None}:
+        values = [v for h, v in data if h == g]
+        for name, p in wanted.items():
+            assert out[g][name] == pytest.approx(np.percentile(values, 100 * p), rel=1e-12, abs=1e-12)
+    assert "none" not in out
+
+
+@pytest.mark.parametrize("accuracy", [60, 10_000])
+def test_box_statistics_from_the_same_two_reads(spark, accuracy):
+    data = spread_groups()
+    ranked = Ranked(spark.createDataFrame(data, "g string, v double"), ["v"], QUARTILES, ["g"], accuracy, fence=1.5)
+    found = {r["g"]: r for r in ranked.named(ranked.boxes(), *QUARTILES, "n", "low_whisker", "high_whisker", "outliers").collect()}
+    for g in {g for g, v in data if v is not None}:
+        values = np.array([v for h, v in data if h == g])
+        q1, q3 = np.percentile(values, 25), np.percentile(values, 75)
+        inside = values[(values >= q1 - 1.5 * (q3 - q1)) & (values <= q3 + 1.5 * (q3 - q1))]
+        row = found[g]
+        assert (row["n"], row["outliers"]) == (len(values), len(values) - len(inside))
+        assert (row["low_whisker"], row["high_whisker"]) == (inside.min(), inside.max())
+    assert "none" not in found
+
+
+def test_two_reads_of_the_table_are_enough(spark, tmp_path):
+    """The plans of the two reads scan the table once each; nothing after them does."""
+    path = str(tmp_path / "fact")
+    spark.range(5000).selectExpr("id % 3 as g", "cast(id * 7 % 1000 as double) as v", "sqrt(id) as w").write.parquet(path)
+    fact = spark.read.parquet(path)
+    ranked = Ranked(fact, ["v", "w"], QUARTILES, ["g"], 100, {"n": F.count}, fence=1.5)
+    for frame in (ranked.percentiles(), ranked.boxes(), ranked.groups):
+        assert path not in frame._jdf.queryExecution().toString()
+    rows = ranked.entries.count()
+    assert rows < 1500  # of 10,000 values: those inside enclosures, and gaps
 
 
 def test_result_does_not_depend_on_partitioning(spark):
