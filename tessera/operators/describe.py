@@ -11,14 +11,12 @@ from tessera.functions.scalar import safe_ratio
 from tessera.operators.ordered import running
 from tessera.operators.quantiles import QUARTILES, Ranked, percentiles, summary
 
-MOMENTS = {
-    "n": F.count, "min": F.min, "mean": F.avg, "max": F.max, "sd": F.stddev_samp, "skewness": F.skewness, "kurtosis": F.kurtosis}
 FENCE = 1.5  # quartile distances from the box to its fences
 
 
 def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Location, spread and shape. Kurtosis is the excess over a normal; sd is the sample one."""
-    return summary(df, columns, MOMENTS, by).select(
+    return summary(df, columns, by).select(
         *by, "variable", "n", "min", "q1", "median", "mean", "q3", "max", "sd",
         (F.col("q3") - F.col("q1")).alias("iqr"),
         (safe_ratio(F.col("sd"), F.col("mean")) * 100).alias("cv_percent"), "skewness", "kurtosis",
@@ -26,7 +24,7 @@ def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
 
 
 def five_numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    return summary(df, columns, {name: MOMENTS[name] for name in ("min", "mean", "max")}, by).select(
+    return summary(df, columns, by).select(
         *by, "variable", "min", "q1", "median", "mean", "q3", "max")
 
 

@@ -17,6 +17,7 @@ from tessera.session import shuffle_width, written
 LINE = "product {kind}, line {line}, available bigint, accepted boolean, relisted boolean, purchase double, selling double"
 SEGMENT = "product {kind}, slice int"
 FUNCTION = ", start array<bigint>, value array<bigint>, slope array<bigint>"
+FEW = 20_000  # lines that are not worth another slice
 BOUND_PIECES = 64  # of a stretch's upper bound, which may be rounded up
 
 
@@ -129,9 +130,8 @@ def _slice_entries(cut: DataFrame, segments: DataFrame, kind: str, pieces: int)
     function has too many pieces is folded as soon as the stock before it is known, in a round of its own.
     """
     spark = cut.sparkSession
-    several = segments.groupBy("product").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("product")
-    long = written(segments.join(several, "product", "left_semi"), "long")  # at most two rows per slice
-    single = segments.join(several, "product", "left_anti").select("product", "slice", F.col("stock").alias("entry"))
+    long = segments.filter("several").select("product", "slice", "stock")  # at most two rows per slice
+    single = segments.filter("not several").select("product", "slice", F.col("stock").alias("entry"))
     if long.isEmpty():
         return single
     order, at = ["product", "line"], ["product", "slice"]
@@ -180,13 +180,15 @@ def settle(events: DataFrame, stock: DataFrame, slice_rows: int = 1_000_000, pie
         "product", "line", F.col("quantity").cast("long").alias("quantity"), "delivered",
         F.col("purchase_price").cast("double").alias("purchase_price"), F.col("selling_price").cast("double").alias("selling_price"))
     known = listed.select(F.col("_product").alias("product")).union(good.filter("delivered").select("product")).distinct()
-    live = written(good.join(known, "product", "left_semi"), "live")
-    width = max(shuffle_width(spark), -(-live.count() // slice_rows))
-    cut = written(live.repartitionByRange(width, "product", "line").withColumn("slice", F.spark_partition_id()), "slices")
+    total = lines.count()
+    width = max(-(-total // slice_rows), min(shuffle_width(spark), total // FEW), 1)
+    cut = written(good.join(known, "product", "left_semi").repartitionByRange(width, "product", "line").withColumn(
+        "slice", F.spark_partition_id()), "slices")
     segments = written(
-        cut.select("product", "slice").distinct().join(listed, F.col("product") == F.col("_product"), "left")
-        .select("product", "slice", F.coalesce("stock", F.lit(0)).cast("long").alias("stock")), "segments")
-    entries = written(_slice_entries(cut, segments, kind, pieces), "entries")
+        cut.select("product", "slice").distinct().withColumn("several", F.count("slice").over(W.partitionBy("product")) > 1)
+        .join(listed, F.col("product") == F.col("_product"), "left")
+        .select("product", "slice", "several", F.coalesce("stock", F.lit(0)).cast("long").alias("stock")), "segments")
+    entries = _slice_entries(cut, segments, kind, pieces)
     line_kind = events.schema["line"].dataType.simpleString()
     decided = written(map_groups(
         cut.join(entries, ["product", "slice"]), "slice", ["product", "line"], _fold_with_slice,

@@ -140,6 +140,7 @@ def outcome(settled):
 @pytest.mark.parametrize("slice_rows, pieces, seed", [(10**6, 8192, 3), (50, 8192, 4), (15, 8192, 5), (15, 1, 6), (40, 3, 7)])
 def test_deliveries_between_sales(spark, monkeypatch, slice_rows, pieces, seed):
     monkeypatch.setattr(stock_functions, "BLOCK", 7)
+    monkeypatch.setattr(ledger, "FEW", 10)
     rows = random_events(700, seed)
     stock = [r for r in STOCK if r[0] != "p4"]
     frames = spark.createDataFrame(rows, EVENT_SCHEMA), spark.createDataFrame(stock, STOCK_SCHEMA)

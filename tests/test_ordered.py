@@ -83,8 +83,8 @@ def test_two_reads_of_the_table_are_enough(spark, tmp_path):
     path = str(tmp_path / "fact")
     spark.range(5000).selectExpr("id % 3 as g", "cast(id * 7 % 1000 as double) as v", "sqrt(id) as w").write.parquet(path)
     fact = spark.read.parquet(path)
-    ranked = Ranked(fact, ["v", "w"], QUARTILES, ["g"], 100, {"n": F.count}, fence=1.5)
-    for frame in (ranked.percentiles(), ranked.boxes(), ranked.groups):
+    ranked = Ranked(fact, ["v", "w"], QUARTILES, ["g"], 100, fence=1.5)
+    for frame in (ranked.percentiles(), ranked.boxes(), ranked.moments()):
         assert path not in frame._jdf.queryExecution().toString()
     rows = ranked.entries.count()
     assert rows < 1500  # of 10,000 values: those inside enclosures, and gaps
