@@ -16,6 +16,7 @@ it, and is entered once.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import sys
@@ -26,7 +27,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tessera.llm.support import map_arrow, only
 
@@ -45,7 +46,7 @@ UNLISTED = (
 LETTER, NUMBER = (rf"[\p{{{name}}}--[{UNLISTED}]]" for name in "LN")
 PATTERN = (rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?{LETTER}+| ?{NUMBER}+| ?[^[{SPACE}]||{LETTER}||{NUMBER}]+"
            rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-CACHED = 400_000  # chunks that a worker remembers
+WORDS, PIECES, ARCS = 100_000, 20_000, 100_000  # entries that a worker remembers, in each of two generations
 MARKS = frozenset(".,;:!?")
 
 
@@ -132,6 +133,8 @@ class Automaton:
                 if stop not in dead:
                     arc = arcs.get(state * size + token)
                     if arc is None:
+                        if len(arcs) >= ARCS:
+                            arcs.clear()
                         arc = arcs[state * size + token] = self._has(state, token, self.last)
                     if arc:
                         break
@@ -253,41 +256,54 @@ class _Irregular(Exception):
     """White space that the quick split does not describe."""
 
 
-class _Pieces(dict):
-    """Packed ids of what the pattern cuts out; forgets everything when it is full."""
+class _Remembered(dict):
+    """Values by key in two generations: a full one becomes the old one, and what is asked for again moves to the new.
 
-    def __init__(self, to_ids: Callable[[bytes], list[int]]):
+    So it holds at most twice ``limit`` entries, and what is in use stays. Keys over 64 characters are not remembered.
+    """
+
+    def __init__(self, limit: int):
         super().__init__()
+        self.limit, self.old = limit, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.made(key)
+            if len(key) > 64:
+                return value
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class _Pieces(_Remembered):
+    """Packed ids of what the pattern cuts out."""
+
+    def __init__(self, to_ids: Callable[[bytes], list[int]]):
+        super().__init__(PIECES)
         self.to_ids = to_ids
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = packed(self.to_ids(piece.encode()))
-        if len(piece) <= 64:
-            if len(self) >= CACHED:
-                self.clear()
-            self[piece] = ids
-        return ids
+    def made(self, piece: str) -> bytes:
+        return packed(self.to_ids(piece.encode()))
 
 
-class _Chunks(dict):
-    """Packed ids of words, with or without a blank before them; forgets everything when it is full."""
+class _Chunks(_Remembered):
+    """Packed ids of words, with or without a blank before them."""
 
     def __init__(self, encoder: Encoder, before: str):
-        super().__init__()
+        super().__init__(WORDS if before else PIECES)
         self.encoder, self.before = encoder, before
 
-    def __missing__(self, chunk: str) -> bytes:
+    def made(self, chunk: str) -> bytes:
         space = self.encoder.space
         if chunk == "\n" and not self.before:
             return self.encoder.missed(chunk)
         if not chunk or chunk[0] in space or chunk[-1] in space:
             raise _Irregular
-        ids = self.encoder.missed(self.before + chunk)
-        if len(chunk) <= 64:
-            if len(self) >= CACHED:
-                self.clear()
-            self[chunk] = ids
-        return ids
+        return self.encoder.missed(self.before + chunk)
 
 
 def _library_pieces(path: str) -> _Pieces:
@@ -335,8 +351,19 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of a round trip through the automaton."""
-    both = decode(encode(docs, path, id_column, text_column), path)
-    return both.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of a round trip through the automaton.
+
+    Nulls, empty and long texts and repeated ids are as in ``encode``. Both ways are one pass of one worker, which holds
+    the ids and the decoded text of one document at a time.
+    """
+    def work(batch: pa.RecordBatch) -> dict:
+        coder, n_tokens, both = encoder(path), [], ([], [])
+        for text in batch["text"]:
+            ids = coder.encode(text.as_py() or "")
+            n_tokens.append(len(ids) // 4)
+            for out, data in zip(both, (ids, coder.decode(ids).encode())):
+                out.append(hashlib.sha256(data).hexdigest())
+        return {"doc_id": batch["doc_id"], "n_tokens": n_tokens, "ids_sha256": both[0], "decoded_sha256": both[1]}
+
+    return map_arrow(only(docs, doc_id=id_column, text=text_column), work,
+                     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -79,10 +79,27 @@ def test_automaton_of_random_merges():
 
 
 def test_forgetting_changes_nothing(monkeypatch, library):
-    monkeypatch.setattr(bytepairs, "CACHED", 3)
+    for name in ("WORDS", "PIECES", "ARCS"):
+        monkeypatch.setattr(bytepairs, name, 3)
     encoder = bytepairs.Encoder(vocabulary_file())
     for _, text, *_ in TEXTS[:3]:
         assert ids_of(encoder.encode(text)) == library.encode(text, add_special_tokens=False).ids
+        assert max(map(len, (encoder.after_blank, encoder.bare, encoder.pieces, encoder.after_blank.old))) <= 3
+
+
+def test_what_is_in_use_stays_in_memory():
+    class Counted(bytepairs._Remembered):
+        calls = 0
+
+        def made(self, key):
+            self.calls += 1
+            return key.encode()
+
+    memory = Counted(10)
+    for i in range(500):
+        assert memory["hot"] == b"hot" and memory[f"w{i}"] == f"w{i}".encode() and memory["x" * 65] == b"x" * 65
+        assert len(memory) <= 10 and len(memory.old) <= 10
+    assert memory.calls == 1 + 500 + 500
 
 
 def test_awkward_rows(spark, library):
