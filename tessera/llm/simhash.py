@@ -210,11 +210,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, limit:
 def without_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3,
                             id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row of each group, all its columns: the one with the smallest id, rows without an id last."""
-    names, found = docs.columns, groups(docs, shingle, distance, 1024, id_column, text_column)
+    found = groups(docs, shingle, distance, 1024, id_column, text_column)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest"))
     kept = found.groupBy("component").agg(first.alias("x")).select(
         F.col("x.doc_id").alias("_kept_id"), F.col("x.digest").alias("_kept_digest"))
     keys = {"_row_id": lambda i, d: F.coalesce(i, F.lit(0)), "_row_without": lambda i, d: i.isNull(), "_row_digest": lambda i, d: d}
     kept = kept.select(*[f(F.col("_kept_id"), F.col("_kept_digest")).alias(k) for k, f in keys.items()])
-    keyed = docs.withColumns({k: f(docs[id_column], F.xxhash64(docs[text_column])) for k, f in keys.items()})
-    return keyed.join(kept, list(keys), "left_semi").dropDuplicates(list(keys)).select(*names)
+    keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_all"), *[
+        f(docs[id_column], F.xxhash64(docs[text_column])).alias(k) for k, f in keys.items()])
+    return keyed.join(kept, list(keys), "left_semi").dropDuplicates(list(keys)).select("_all.*")

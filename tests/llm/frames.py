@@ -14,11 +14,13 @@ TEXTS = [
     (11, "a b c " * 50, None, "a"), (12, "<|endoftext|> it's  <|endoftext|>\n", "en", "a"),
 ]
 EXTRA = "digest string, component long, component_id string, score int, kept string, n_tokens string, code int, n string, key string, _c int"
+EXTRA += ", _key string, _row int, _block long, _passes int, _upto long, _whole string, _row_id long, _row_digest int, _row_without int, _all int"
+OWN = {"_key": "own", "_row": 5, "_block": 6, "_passes": 7, "_upto": 8, "_whole": "mine", "_row_id": 9, "_row_digest": 10, "_all": 12, "_c": 4}
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + EXTRA
 
 
 def documents(spark, rows=TEXTS):
-    more = ("x", 1, "y", 2, None, "z", 3, "w", "v", 4)
+    more = ("x", 1, "y", 2, None, "z", 3, "w", "v", 4, "own", 5, 6, 7, 8, "mine", 9, 10, 11, 12)
     return spark.createDataFrame([(*r, len(r[1] or ""), *more) for r in rows], SCHEMA)
 
 

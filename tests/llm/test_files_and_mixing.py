@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from frames import TEXTS, documents, empty
+from frames import OWN, TEXTS, documents, empty
 from tokenizers import Tokenizer
 
 from tessera.llm import mixing, tokenfiles
@@ -38,19 +38,51 @@ def test_flat_files(spark):
         assert b.base_tokens == a.base_tokens + a.n_tokens and b.base_docs == a.base_docs + a.n_docs
 
 
-def test_exponent_meets_its_target():
-    tokens = np.array([1000.0, 100, 10, 10])
+def slow_weights(tokens, entropy, repeats, budget):
+    """Weights by a plain search of the exponent, downwards for the entropy, then upwards for the repetitions."""
     share = tokens / tokens.sum()
 
-    def spread(x):
-        w = share ** x / (share ** x).sum()
-        return -(w * np.log(w)).sum() / math.log(4)
+    def weights(x):
+        return share ** x / (share ** x).sum()
 
-    assert spread(mixing.exponent_for(tokens, 0.9, None, None)) == pytest.approx(0.9)
-    limited = mixing.exponent_for(tokens, 0.9, 3.0, None)
-    assert (tokens.max() / tokens.min()) ** (1 - limited) == pytest.approx(3.0)
-    assert mixing.exponent_for(tokens, spread(1.0) / 2, None, None) == 1.0
-    assert mixing.exponent_for(np.array([5.0]), 0.9, 2.0, None) == 1.0
+    def spread(x):
+        w = weights(x)
+        return -(w * np.log(w)).sum() / math.log(len(w)) if len(w) > 1 else 1
+
+    def repeated(x):
+        ratio = weights(x) / tokens
+        return ratio.max() * (budget or 1 / ratio.min())
+
+    def search(low, high, holds):
+        for _ in range(80):
+            middle = (low + high) / 2
+            low, high = (middle, high) if holds(middle) else (low, middle)
+        return low
+
+    x = 1.0
+    if entropy is not None and spread(1.0) < entropy:
+        x = search(0, 1, lambda x: spread(x) >= entropy)
+    if repeats is not None and repeated(x) > repeats:
+        x = search(x, 1, lambda x: repeated(x) > repeats)
+    return x, weights(x)
+
+
+@pytest.mark.parametrize("tokens, entropy, repeats, budget", [
+    ([1000, 100, 10, 10], 0.9, None, None), ([1000, 100, 10, 10], 0.9, 3.0, None), ([1000, 100, 10, 10], 0.1, 9.0, None),
+    ([1000, 100, 10, 10], 1.0, 4.0, 5000.0), ([5], 0.9, 2.0, None), ([7, 7, 7], 0.9, 2.0, None), ([10**12, 1], 0.9, None, None),
+    (list(range(1, 400)), None, 2.0, 100_000.0), (list(range(1, 400)), 0.99, None, None)])
+def test_exponent_meets_its_target(spark, tokens, entropy, repeats, budget):
+    totals = spark.createDataFrame([(f"s{i}", n) for i, n in enumerate([*tokens, 0])], "_key string, _n long")
+    shares, counts = mixing.Shares(totals), np.array(tokens, float)
+    wanted, weights = slow_weights(counts, entropy, repeats, budget)
+    assert shares.exponent(entropy, repeats, budget) == pytest.approx(wanted, abs=1e-9)
+    rows = {r["_key"]: r for r in shares.plan(totals, entropy, repeats, budget).collect()}
+    whole = budget or (counts / weights).max()
+    for i, n in enumerate(tokens):
+        row = rows[f"s{i}"]
+        assert row["_weight"] == pytest.approx(weights[i], rel=1e-6)
+        assert row["_passes"] * n + row["_rest"] == pytest.approx(weights[i] * whole, rel=1e-6, abs=1 + 2e-6 * n)
+    assert tuple(rows[f"s{len(tokens)}"])[1:] == (0.0, 1, 0)
 
 
 def many(spark, n=3000):
@@ -72,7 +104,10 @@ def test_budgets_are_met_by_whole_passes_and_a_cut_one(spark, options):
         totals["-" if s is None else "+" + s] += length[d]
     settings = {"entropy": 0.9, "repeats": 4.0, "budget": None, **options}
     settings.pop("block_rows", None)
-    plan = {k: (passes, rest) for k, _, passes, rest in mixing.source_plan(sorted(totals.items()), **settings)}
+    keys, counts = sorted(totals), np.array([totals[k] for k in sorted(totals)], float)
+    weights = slow_weights(counts, **settings)[1]
+    shares = weights * (settings["budget"] or (counts / weights).max())
+    plan = {k: divmod(math.floor(s + 1e-6 * n), int(n)) for k, s, n in zip(keys, shares, counts)}
     used, times = Counter(), Counter()
     for r in rows:
         used["-" if r.source is None else "+" + r.source] += length[r.doc_id]
@@ -92,6 +127,7 @@ def test_mixing_awkward_rows(spark):
     docs = documents(spark)
     out = mixing.mixed(docs, repeats=2.0)
     assert out.columns == docs.columns
+    assert all(r[c] == v for r in out.collect() for c, v in OWN.items())
     times = Counter((r.doc_id, r.text) for r in out.collect())
     assert all(times[d, t] >= 1 for d, t, *_ in TEXTS)
     assert mixing.mixed(empty(spark)).count() == 0 and mixing.mix(empty(spark)).count() == 0

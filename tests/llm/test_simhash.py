@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from frames import TEXTS, documents, empty
+from frames import OWN, TEXTS, documents, empty
 
 from tessera.llm import simhash
 from tessera.llm.components import components
@@ -100,6 +100,7 @@ def test_one_row_of_each_group_stays(spark):
     docs = documents(spark)
     kept = simhash.without_near_duplicates(docs)
     assert kept.columns == docs.columns
+    assert all(r[c] == v for r in kept.collect() for c, v in OWN.items())
     groups = {}
     for (doc_id, text, *_), group in zip(TEXTS, slow_groups([slow_fingerprint(t) for _, t, *_ in TEXTS], 3)):
         groups.setdefault(group, []).append((doc_id is None, doc_id))
