@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from tessera.functions import text
 from tessera.operators import balance, classify, evaluate, topics
 from tessera.operators.describe import class_weights
+from tessera.operators.terms import TermClassifier
 from tessera.plans.registry import query, rounded
+from tessera.plans.texts import MAILS
 from tessera.session import fresh_path, load, load_spread, written
 from tessera.sources.writers import load_model, save_model
 from tessera.streaming import runs, scoring
@@ -23,9 +25,22 @@ def corpus(spark, d):
 @query("mail_classifier_report")
 def mail_classifier_report(spark, d):
     train, test = balance.stratified_split(corpus(spark, d), "doc_id", "toxic", 0.2)
-    model = classify.fit_mail_classifier(written(train, "train"), "tokens", "toxic")
-    scored = model.transform(test).select(F.col("toxic").alias("y"), F.col("predicted").cast("int").alias("predicted"))
-    return rounded(evaluate.class_report(scored))
+    model = TermClassifier.fit(written(train, "train"), "doc_id", "tokens", "toxic")
+    scored = model.transform(test, "doc_id", "tokens", ["toxic"])
+    return rounded(evaluate.class_report(scored.select(F.col("toxic").alias("y"), "predicted")))
+
+
+@query("mail_classifier_terms", f"""with {MAILS},
+c as (select doc_id, tokens from m join labels using (doc_id)), t as (select doc_id, unnest(tokens) as token from c),
+g as (select token, count(distinct doc_id) as documents, (select count(*) from c) as n from t group by 1)
+select token, documents, round(ln((1 + n) / (1 + documents)) + 1, 6) as idf, true as at_optimum from g
+where documents >= 3 and documents / n <= 0.3""")
+def mail_classifier_terms(spark, d):
+    """The classifier's dictionary, and whether the loss is stationary in each term's weight."""
+    rows = corpus(spark, d)
+    model = TermClassifier.fit(rows, "doc_id", "tokens", "toxic")
+    slopes = model.slopes(rows, "doc_id", "tokens", "toxic")
+    return rounded(slopes.select("token", "documents", "idf", (F.abs("slope") < 1e-6).alias("at_optimum")))
 
 
 @query("label_models_report")

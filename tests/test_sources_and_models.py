@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import classify, topics
+from tessera.operators.terms import TermClassifier
 from tessera.session import fresh_path
 from tessera.sources import profile, readers, writers
 from tessera.streaming import daily
@@ -64,13 +65,37 @@ def corpus(spark):
     return spark.createDataFrame(rows, "id long, tokens array<string>, toxic int, rude int")
 
 
-def test_mail_classifier_separates_and_weights_match_definition(spark):
+def test_mail_classifier_separates_and_its_vectors_match_the_definition(spark):
     df = corpus(spark)
-    model = classify.fit_mail_classifier(df, "tokens", "toxic", 50)
-    assert model.transform(df).filter(F.col("predicted") != F.col("toxic")).count() == 0
-    assert "hello" not in model.stages[0].vocabulary  # in every mail
-    vector = classify.fit_tfidf(df, "tokens", "f").transform(df).first()["f"]
-    assert np.linalg.norm(vector.toArray()) == pytest.approx(1)
+    model = TermClassifier.fit(df, "id", "tokens", "toxic")
+    assert model.transform(df, "id", "tokens", ["toxic"]).filter(F.col("predicted") != F.col("toxic")).count() == 0
+    table = {r["token"]: r for r in model.terms.table.collect()}
+    assert "hello" not in table and sorted(table) == [t for t, _ in sorted(table.items(), key=lambda x: x[1]["term_id"])]
+    odd = spark.createDataFrame([(1, ["w0", "w0", "m1", "new"]), (2, ["new"]), (3, []), (4, None)], "id long, tokens array<string>")
+    rows = {r["id"]: r["features"] for r in model.terms.vectors(odd, "id", "tokens").collect()}
+    raw = {t: n * (np.log(121 / (1 + table[t]["documents"])) + 1) for t, n in (("w0", 2), ("m1", 1))}
+    assert {table[t]["term_id"]: pytest.approx(v / np.hypot(*raw.values())) for t, v in raw.items()} == dict(
+        zip(rows[1].indices.tolist(), rows[1].values.tolist()))
+    assert all(rows[i].size == len(table) and not len(rows[i].indices) for i in (2, 3, 4))
+
+
+def test_mail_classifier_weights_are_those_of_an_independent_fit(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(i, [words[j] for j in rng.choice(12, 4)], int(rng.random() < 0.4)) for i in range(150)]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>, toxic int")
+    model = TermClassifier.fit(df, "id", "tokens", "toxic")
+    x = np.array([r["features"].toArray() for r in model.terms.vectors(df, "id", "tokens").orderBy("id").collect()])
+    x, y = np.c_[x, np.ones(len(x))], np.array([r[2] for r in rows])
+    beta, penalty = np.zeros(x.shape[1]), np.diag([1.0] * (x.shape[1] - 1) + [0.0])
+    for _ in range(40):  # Newton steps on half the squared weights plus the log losses
+        p = 1 / (1 + np.exp(-x @ beta))
+        beta -= np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (p - y) + penalty @ beta)
+    assert model.model.coefficients.toArray() == pytest.approx(beta[:-1], abs=1e-5)
+    assert model.model.intercept == pytest.approx(beta[-1], abs=1e-5)
+    assert model.slopes(df, "id", "tokens", "toxic").agg(F.max(F.abs("slope"))).first()[0] < 1e-7
+    with pytest.raises(ValueError):
+        TermClassifier.fit(df.limit(1), "id", "tokens", "toxic")
 
 
 def test_label_models_survive_saving(spark):
