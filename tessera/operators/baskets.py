@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, functions as F
 
+from tessera.operators.itemsets import mine
 from tessera.session import written
 
 
@@ -61,9 +62,8 @@ def _fitted(df, document, item, min_count, min_confidence):
 
 
 def frequent_itemsets(df: DataFrame, document: str, item: str, min_count: int) -> DataFrame:
-    """All itemsets in at least ``min_count`` baskets. Rare items leave the baskets first."""
-    return _fitted(df, document, item, min_count, 0.8)[0].freqItemsets.select(
-        F.array_sort("items").alias("items"), F.col("freq").alias("n"))
+    """``items, n``: all itemsets in at least ``min_count`` baskets."""
+    return mine(written(_keyed(df, document, item), "pairs"), min_count)
 
 
 def mined_pair_rules(df: DataFrame, document: str, item: str, min_count: int, min_confidence: float) -> DataFrame:

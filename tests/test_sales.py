@@ -2,13 +2,13 @@ import datetime
 import itertools
 import math
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import baskets, series
+from tessera.operators import baskets, itemsets, series
 from tessera.plans.sales import refresh_sales
 
 
@@ -48,6 +48,35 @@ def test_pair_rules_match_brute_force_whatever_counts_as_wide(spark, wide, min_c
         assert np.allclose(got[key], values)
 
 
+def brute_itemsets(rows, min_count):
+    held = defaultdict(set)
+    for d, i in rows:
+        held[i].add(d)
+    level = {(i,): d for i, d in held.items() if len(d) >= min_count}
+    out = {}
+    while level:
+        out.update({k: len(d) for k, d in level.items()})
+        level = {(*k, i): d & held[i] for k, d in level.items() for i in held if i > k[-1] and len(d & held[i]) >= min_count}
+    return out
+
+
+@pytest.mark.parametrize("matrix", [0, 12, itemsets.MATRIX])
+@pytest.mark.parametrize("min_count", [3, 12])
+def test_itemsets_wherever_they_are_mined(spark, matrix, min_count):
+    rows = sorted({r for r in basket_rows() if r[1] is not None})
+    found = itemsets.mine(spark.createDataFrame(rows, "document long, item string"), min_count, matrix).collect()
+    assert len(found) == len({tuple(r["items"]) for r in found})
+    assert {tuple(r["items"]): r["n"] for r in found} == brute_itemsets(rows, min_count)
+
+
+def test_itemsets_with_a_basket_of_thousands_of_items(spark):
+    rows = [(0, i) for i in range(5000)] + [(d, i) for d in range(1, 60) for i in range(d % 7, 5000, 700)]
+    df = spark.createDataFrame(rows, "d long, i int").union(spark.createDataFrame([(3, None), (None, 5)], "d long, i int"))
+    found = {tuple(r["items"]): r["n"] for r in baskets.frequent_itemsets(df, "d", "i", 7).collect()}
+    assert found == brute_itemsets([*rows, (-1, 5)], 7)
+    assert baskets.frequent_itemsets(df.limit(0), "d", "i", 2).count() == 0
+
+
 def test_pair_rules_equal_the_miner(spark):
     df = spark.createDataFrame(basket_rows(), "d long, i string")
     mined = {(r[0], r[1]): tuple(r)[2:] for r in baskets.mined_pair_rules(df, "d", "i", 10, 0.05).collect()}
