@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.operators import balance, classify, evaluate, topics
+from tessera.operators import balance, classify, evaluate, margins, topics
 from tessera.operators.describe import class_weights
 from tessera.operators.terms import TermClassifier
 from tessera.plans.registry import query, rounded
@@ -64,12 +64,29 @@ def saved_label_models(spark, d):
     return classify.label_flags(loaded, rows.select("doc_id", "words"), LABELS, thresholds).drop("words")
 
 
+def vectors_by_label(spark, d):
+    return load_spread(spark, d, "embeddings", "vec_id").withColumn("y", (F.col("label") >= 5).cast("int"))
+
+
 @query("linear_svm_confusion")
 def linear_svm_confusion(spark, d):
-    rows = load_spread(spark, d, "embeddings", "vec_id").withColumn("y", (F.col("label") >= 5).cast("int"))
-    train, test = balance.random_split(rows, "vec_id", 0.2)
-    model = classify.fit_linear_svm(train, "embedding", "y", 10_000)
-    return evaluate.confusion(classify.apply_linear_svm(model, test, "embedding"))
+    train, test = balance.random_split(vectors_by_label(spark, d), "vec_id", 0.2)
+    return evaluate.confusion(margins.fit(train, "embedding", "y").apply(test, "embedding"))
+
+
+@query("linear_svm_optimum", """select unnest(range(max(len(embedding)) + 1)) as feature, true as at_optimum from embeddings""")
+def linear_svm_optimum(spark, d):
+    """Whether the squared hinge loss is stationary in each weight (the last one is the intercept), from the weights alone."""
+    rows = vectors_by_label(spark, d).filter("label is not null")
+    model = margins.fit(rows, "embedding", "y")
+    weights = [*model.coefficients.tolist(), model.intercept]
+    x = F.concat(F.col("embedding").cast("array<double>"), F.array(F.lit(1.0)))
+    score = F.aggregate(F.zip_with(x, F.lit(weights), lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v)
+    sign = F.when(F.col("y") == 1, 1.0).otherwise(-1.0)
+    pull = rows.select(F.posexplode(x).alias("feature", "x"), sign.alias("sign"), score.alias("score")).groupBy("feature").agg(
+        F.sum(-2 * F.col("sign") * F.col("x") * F.greatest(1 - F.col("sign") * F.col("score"), F.lit(0.0))).alias("pull"))
+    slope = F.col("pull") + F.element_at(F.lit(weights), F.col("feature") + 1)
+    return pull.select(F.col("feature").cast("long").alias("feature"), (F.abs(slope) < 1e-5).alias("at_optimum"))
 
 
 def topic_model(spark, d, k):

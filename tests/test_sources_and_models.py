@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import classify, topics
+from tessera.operators import classify, margins, topics
 from tessera.operators.terms import TermClassifier
 from tessera.session import fresh_path
 from tessera.sources import profile, readers, writers
@@ -111,6 +111,26 @@ def test_label_models_survive_saving(spark):
     assert classify.label_flags(model, df, ["toxic", "rude"]).filter("toxic_flag <> toxic").count() == 0
 
 
+def test_squared_hinge_is_at_its_optimum(spark):
+    rng = np.random.default_rng(3)
+    for n, size, cost in ((300, 5, 1.0), (60, 80, 0.3), (200, 3, 50.0)):
+        x = rng.normal(size=(n, size)) * rng.choice([1, 10], size)
+        y = (x[:, 0] + rng.normal(size=n) > 0.3).astype(int)
+        df = spark.createDataFrame([(a.tolist(), int(b)) for a, b in zip(x, y)] + [(None, 1), (x[0].tolist(), None)], "v array<double>, y int")
+        model = margins.fit(df.repartition(10 if n == 60 else 2), "v", "y", cost)
+        ones, sign, w = np.c_[x, np.ones(n)], 2 * y - 1, np.append(model.coefficients, model.intercept)
+
+        def slope(w):
+            return w - 2 * cost * ones.T @ (sign * np.maximum(1 - sign * (ones @ w), 0))
+
+        assert np.abs(slope(w)).max() < 1e-6 * np.abs(slope(np.zeros_like(w))).max()
+        applied = model.apply(df.filter("v is not null and y is not null"), "v").collect()
+        assert [r["predicted"] for r in applied] == [int(np.dot(r["v"], w[:-1]) + w[-1] > 0) for r in applied]
+    for bad in ([], [([1.0], 1), ([1.0, 2.0], 0)]):
+        with pytest.raises(ValueError):
+            margins.fit(spark.createDataFrame(bad, "v array<double>, y int"), "v", "y")
+
+
 def test_topics(spark):
     counter, model = topics.fit_topics(corpus(spark), "tokens", 2, passes=5, max_share=0.9)
     terms = topics.leading_terms(counter, model, 3)
