@@ -46,7 +46,8 @@ UNLISTED = (
 LETTER, NUMBER = (rf"[\p{{{name}}}--[{UNLISTED}]]" for name in "LN")
 PATTERN = (rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?{LETTER}+| ?{NUMBER}+| ?[^[{SPACE}]||{LETTER}||{NUMBER}]+"
            rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-WORDS, PIECES, ARCS = 100_000, 20_000, 100_000  # entries that a worker remembers, in each of two generations
+WORDS, PIECES, STEPS = 120_000, 20_000, 300_000  # entries that a worker remembers; words and pieces in each of two generations
+LIBRARY_WORDS = 400_000  # the same for words where no automaton takes room
 MARKS = frozenset(".,;:!?")
 
 
@@ -87,23 +88,16 @@ class Automaton:
                 self.target[first] = state = len(users) - 1
             self.lost[state * size + second] = when
         self.last = len(merges)
-        self.arcs: dict[int, bool] = {}
-        self.trie: dict[int, int] = {}
-        self.ends: dict[int, int] = {}
+        self.steps: dict[int, int] = {}  # (state, token) -> the token itself or the next shorter one with an arc
         self.words = {label: token for label, token in tokens.items() if not self.dead[token]}
-        self.reach = max(map(len, self.words), default=0)
         self.shorter, self.length = [-1] * size, [0] * size  # the next shorter label that begins a label
-        nodes = 1
+        self.best: dict[bytes, int] = {}  # what a label begins with, of any length, to the longest label within it
         for label, token in sorted(self.words.items(), key=lambda item: len(item[0])):
-            node, self.length[token] = 0, len(label)
-            for byte in label:
-                step = node << 8 | byte
-                if step not in self.trie:
-                    self.trie[step] = nodes
-                    nodes += 1
-                node = self.trie[step]
-                self.shorter[token] = self.ends.get(node, self.shorter[token])
-            self.ends[node] = token
+            found, self.length[token] = -1, len(label)
+            for stop in range(1, len(label)):
+                found = self.best.setdefault(label[:stop], found)
+            self.shorter[token], self.best[label] = found, token
+        self.reach = max(map(len, self.words), default=0)
 
     def _has(self, state: int, token: int, when: int) -> bool:
         """Whether the state had an arc of the token after the gadget number ``when``."""
@@ -118,47 +112,53 @@ class Automaton:
             else:
                 when, token = self.made[token], self.left[token]
 
+    def _arc(self, key: int, state: int, token: int) -> int:
+        """The longest token with an arc out of the state among a token and the shorter ones it begins with, or -1."""
+        while token >= 0 and not self._has(state, token, self.last):
+            token = self.shorter[token]
+        if len(self.steps) >= STEPS:
+            self.steps.clear()
+        self.steps[key] = token
+        return token
+
     def encode(self, word: bytes) -> list[int]:
         whole = self.words.get(word)
         if whole is not None:
             return [whole]
-        size, arcs, target, shorter = self.size, self.arcs, self.target, self.shorter
-        length, longest = len(word), self._longest
+        size, steps, target, shorter, lengths, best = self.size, self.steps, self.target, self.shorter, self.length, self.best
+        length, reach = len(word), self.reach
         path, starts, dead = [], [], set()
-        at, token = 0, longest(word, 0)
+        at, token = 0, -2  # -2: to be looked up
         while at < length:
             state = target[path[-1]] if path else 0
+            if token == -2:
+                # Whatever begins a label also does so in part, so the longest beginning is found by bisection.
+                low, high = 1, min(length - at, reach) + 1
+                while high - low > 1:
+                    middle = low + high >> 1
+                    if word[at:at + middle] in best:
+                        low = middle
+                    else:
+                        high = middle
+                token = best.get(word[at:at + low], -1)
             while token >= 0:
-                stop = at + self.length[token]
-                if stop not in dead:
-                    arc = arcs.get(state * size + token)
-                    if arc is None:
-                        if len(arcs) >= ARCS:
-                            arcs.clear()
-                        arc = arcs[state * size + token] = self._has(state, token, self.last)
-                    if arc:
-                        break
+                key = state * size + token
+                taken = steps.get(key)
+                if taken is None:
+                    taken = self._arc(key, state, token)
+                token, stop = taken, at + lengths[taken]
+                if taken < 0 or stop not in dead:
+                    break
                 token = shorter[token]
             if token >= 0:
                 path.append(token)
                 starts.append(at)
-                at = stop
-                token = longest(word, at)
+                at, token = stop, -2
             else:  # no arc leads on from here, so this position is not on the path
                 dead.add(at)
                 token, at = shorter[path.pop()], starts.pop()
         return path
 
-    def _longest(self, word: bytes, at: int) -> int:
-        """The longest label that begins at a position of the word."""
-        trie, ends, node, found = self.trie, self.ends, 0, -1
-        for byte in word[at:at + self.reach]:
-            node = trie.get(node << 8 | byte)
-            if node is None:
-                break
-            found = ends.get(node, found)
-        return found
-
 
 def packed(ids: list[int]) -> bytes:
     """Little-endian unsigned 32-bit integers."""
@@ -172,9 +172,10 @@ class Encoder:
     """Text to packed token ids and back, for a byte-level vocabulary file.
 
     ``pieces`` makes, from the file, the map of what the pattern cuts out to packed ids; by default the automaton's.
+    ``words`` is the number of words in each generation that is remembered.
     """
 
-    def __init__(self, path: str, pieces: Callable[[str], dict[str, bytes]] | None = None):
+    def __init__(self, path: str, pieces: Callable[[str], dict[str, bytes]] | None = None, words: int | None = None):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.to_byte = {c: b for b, c in enumerate(byte_characters())}
@@ -192,7 +193,7 @@ class Encoder:
         self.runs = re.compile(f"[{SPACE}]+|[^{SPACE}]+")
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.space = frozenset(SPACE)
-        self.after_blank, self.bare = _Chunks(self, " "), _Chunks(self, "")
+        self.after_blank, self.bare = _Chunks(self, " ", words or WORDS), _Chunks(self, "", PIECES)
 
     def missed(self, chunk: str) -> bytes:
         """The packed ids of a chunk that is not remembered."""
@@ -293,8 +294,8 @@ class _Pieces(_Remembered):
 class _Chunks(_Remembered):
     """Packed ids of words, with or without a blank before them."""
 
-    def __init__(self, encoder: Encoder, before: str):
-        super().__init__(WORDS if before else PIECES)
+    def __init__(self, encoder: Encoder, before: str, limit: int):
+        super().__init__(limit)
         self.encoder, self.before = encoder, before
 
     def made(self, chunk: str) -> bytes:
@@ -323,7 +324,7 @@ def encoder(path: str) -> Encoder:
 @lru_cache(maxsize=2)
 def library_encoder(path: str) -> Encoder:
     """The same with the tokenizers library's merges in place of the automaton."""
-    return Encoder(path, _library_pieces)
+    return Encoder(path, _library_pieces, LIBRARY_WORDS)
 
 
 def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

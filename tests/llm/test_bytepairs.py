@@ -79,7 +79,7 @@ def test_automaton_of_random_merges():
 
 
 def test_forgetting_changes_nothing(monkeypatch, library):
-    for name in ("WORDS", "PIECES", "ARCS"):
+    for name in ("WORDS", "PIECES", "STEPS"):
         monkeypatch.setattr(bytepairs, name, 3)
     encoder = bytepairs.Encoder(vocabulary_file())
     for _, text, *_ in TEXTS[:3]:
