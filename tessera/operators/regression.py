@@ -1,19 +1,21 @@
-"""Linear regression from one aggregation.
+"""Linear regression from one triangular factor.
 
-``moments`` reads the data once and keeps counts, means and cross-products of all
-candidate terms: a matrix whose size depends on the number of terms only. Every model
-over a subset of the terms, every selection step and every variance inflation factor is
-then a small solve on the driver. Row-level results are column expressions.
+``moments`` reads the data once. Every task reduces its rows to the triangular factor of a QR decomposition, and factors
+are merged up a tree, so what is left is a matrix whose size depends on the number of terms only. Cross-products are never
+formed: they would square the condition number, which a term next to its own square does not bear. Every model
+over a subset of the terms, every selection step and every variance inflation factor is then a small decomposition on
+the driver. Row-level results are column expressions.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.functions import distributions as dist
@@ -29,8 +31,9 @@ class Fit:
     n: int
     coefficients: np.ndarray
     intercept: float
-    inverse: np.ndarray  # inverse of the centred cross-product matrix
+    root: np.ndarray  # inverse of the triangular factor of the centred terms
     means: np.ndarray
+    target_mean: float
     rss: float
     tss: float
 
@@ -63,8 +66,8 @@ class Fit:
         return 1 - self.rss / self.tss
 
     def table(self, spark: SparkSession) -> DataFrame:
-        errors = np.sqrt(self.variance * np.diag(self.inverse)) if len(self.terms) else np.zeros(0)
-        first = math.sqrt(self.variance * (1 / self.n + self.means @ self.inverse @ self.means))
+        errors = math.sqrt(self.variance) * np.linalg.norm(self.root, axis=1)
+        first = math.sqrt(self.variance * (1 / self.n + np.sum((self.means @ self.root) ** 2)))
         rows = []
         for name, estimate, error in zip(
             ["(intercept)", *self.terms], [self.intercept, *self.coefficients], [first, *errors]
@@ -82,22 +85,22 @@ class Fit:
               dist.f_upper(spark, f, p, self.freedom), self.aic, self.bic)],
             "n bigint, r2 double, adjusted_r2 double, sigma double, f double, df1 int, df2 bigint, p_value double, aic double, bic double")
 
+    def _gaps(self) -> list[Column]:
+        return [c.cast("double") - F.lit(float(m)) for c, m in zip(self.terms.values(), self.means)]
+
     def predicted(self) -> Column:
         return reduce(lambda a, b: a + b, [
-            c.cast("double") * F.lit(float(b)) for c, b in zip(self.terms.values(), self.coefficients)
-        ], F.lit(float(self.intercept)))
+            gap * F.lit(float(b)) for gap, b in zip(self._gaps(), self.coefficients)], F.lit(float(self.target_mean)))
 
     def residual(self) -> Column:
         return self.target.cast("double") - self.predicted()
 
     def leverage(self) -> Column:
         """Diagonal of the hat matrix."""
-        gaps = [c.cast("double") - F.lit(float(m)) for c, m in zip(self.terms.values(), self.means)]
-        out = F.lit(1.0 / self.n)
-        for i in range(len(gaps)):
-            for j in range(i, len(gaps)):
-                factor = float(self.inverse[i, j]) * (1 if i == j else 2)
-                out = out + gaps[i] * gaps[j] * F.lit(factor)
+        gaps, out = self._gaps(), F.lit(1.0 / self.n)
+        for k in range(len(gaps)):
+            side = reduce(lambda a, b: a + b, [gaps[i] * F.lit(float(self.root[i, k])) for i in range(k + 1)])
+            out = out + side * side
         return out
 
     def diagnostics(self, df: DataFrame) -> DataFrame:
@@ -125,39 +128,44 @@ class Fit:
 
 @dataclass
 class Moments:
-    """Counts, means and centred cross-products of all candidate terms and the target."""
+    """Count, means and the triangular factor of all centred candidate terms and the target."""
 
     terms: dict[str, Column]
     target: Column
     n: int
     mean: np.ndarray
-    cross: np.ndarray  # the last row and column belong to the target
+    factor: np.ndarray  # the last column belongs to the target
+    size: np.ndarray  # length of each column before centring
+
+    def _root(self, at: list[int]) -> tuple[np.ndarray, np.ndarray, float]:
+        """Inverse factor of the chosen terms, the target's part along them, and the length of the rest."""
+        columns = self.factor[:, at]
+        scale = np.linalg.norm(columns, axis=0)
+        if np.any(scale <= 1e-13 * self.size[at]):
+            raise ValueError("a term is constant")
+        small = np.linalg.qr(np.column_stack([columns / scale, self.factor[:, -1]]), mode="r")
+        k = len(at)
+        return np.linalg.inv(small[:k, :k]) / scale[:, None], small[:k, k], float(np.linalg.norm(small[k:, k]))
 
     def fit(self, names: Sequence[str] | None = None) -> Fit:
         names = list(self.terms) if names is None else list(names)
         at = [list(self.terms).index(name) for name in names]
-        xx, xy, yy = self.cross[np.ix_(at, at)], self.cross[at, -1], self.cross[-1, -1]
-        scale = np.sqrt(np.diag(xx))
-        if np.any(scale == 0):
-            raise ValueError("a term is constant")
-        inverse = np.linalg.inv(xx / np.outer(scale, scale)) / np.outer(scale, scale)
-        beta = inverse @ xy
-        means = self.mean[at]
+        root, along, rest = self._root(at)
+        beta, means = root @ along, self.mean[at]
         return Fit(
             terms={name: self.terms[name] for name in names}, target=self.target, n=self.n, coefficients=beta,
-            intercept=float(self.mean[-1] - means @ beta), inverse=inverse, means=means,
-            rss=float(max(yy - beta @ xy, 0.0)), tss=float(yy))
+            intercept=float(self.mean[-1] - means @ beta), root=root, means=means, target_mean=float(self.mean[-1]),
+            rss=rest ** 2, tss=float(np.sum(self.factor[:, -1] ** 2)))
 
     def without(self, *dropped: str) -> Fit:
         return self.fit([name for name in self.terms if name not in dropped])
 
     def inflation(self, names: Sequence[str] | None = None) -> dict[str, float]:
-        """Variance inflation factors: diagonal of the inverse correlation matrix."""
+        """Variance inflation factors: squared lengths of the scaled inverse factor's rows."""
         names = list(self.terms) if names is None else list(names)
         at = [list(self.terms).index(name) for name in names]
-        xx = self.cross[np.ix_(at, at)]
-        scale = np.sqrt(np.diag(xx))
-        return dict(zip(names, np.diag(np.linalg.inv(xx / np.outer(scale, scale))).tolist()))
+        scale = np.linalg.norm(self.factor[:, at], axis=0)
+        return dict(zip(names, ((np.linalg.norm(self._root(at)[0], axis=1) * scale) ** 2).tolist()))
 
     def compare(self, spark: SparkSession, models: Mapping[str, Sequence[str]]) -> DataFrame:
         rows = []
@@ -187,20 +195,50 @@ class Moments:
 
 def moments(df: DataFrame, target: Column, terms: Mapping[str, Column]) -> Moments:
     """The one pass over the data. Rows with a missing value in any term are left out."""
-    columns = [*terms.values(), target]
-    data = df.select(*[c.cast("double").alias(f"v{i}") for i, c in enumerate(columns)]).na.drop()
-    size = len(columns)
-    pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    row = data.agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(f"v{i}").alias(f"m{i}") for i in range(size)],
-        *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in pairs],
-    ).first()
-    if not row["n"]:
+    columns = [F.lit(1.0), *terms.values(), target]
+    names = [f"v{i}" for i in range(len(columns))]
+    data = df.select(*[c.cast("double").alias(v) for c, v in zip(columns, names)]).na.drop()
+    parts = data.mapInArrow(lambda batches: _factor(np.column_stack(
+        [b[v].to_numpy(zero_copy_only=False) for v in names]) for b in batches), "n bigint, factor binary")
+    width = math.isqrt(max(parts.rdd.getNumPartitions(), 1))
+    if width > 2:
+        parts = parts.repartition(width).mapInArrow(
+            lambda batches: _merged([r for b in batches for r in b.to_pylist()], len(names)), "n bigint, factor binary")
+    rows = [r.asDict() for r in parts.collect()]
+    n = sum(r["n"] for r in rows)
+    if not n:
         raise ValueError("no complete rows")
-    cross = np.zeros((size, size))
-    for i, j in pairs:
-        cross[i, j] = cross[j, i] = row[f"c{i}_{j}"] * row["n"]
-    return Moments(dict(terms), target, row["n"], np.array([row[f"m{i}"] for i in range(size)]), cross)
+    whole = _triangle([_unpacked(r["factor"], len(names)) for r in rows])
+    return Moments(dict(terms), target, n, whole[0, 1:] / whole[0, 0], whole[1:, 1:], np.linalg.norm(whole[:, 1:], axis=0))
+
+
+def _triangle(blocks: Sequence[np.ndarray]) -> np.ndarray:
+    """The square triangular factor of blocks of rows, with rows of 0 where there are too few."""
+    stacked = np.vstack(blocks)
+    found = np.linalg.qr(stacked, mode="r")
+    return np.vstack([found, np.zeros((max(stacked.shape[1] - len(found), 0), stacked.shape[1]))])
+
+
+def _unpacked(factor: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(factor).reshape(-1, size)
+
+
+def _row(n: int, factor: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64()), "factor": pa.array([factor.tobytes()], pa.binary())})
+
+
+def _factor(matrices: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    n, factor = 0, None
+    for rows in matrices:
+        if len(rows):
+            n, factor = n + len(rows), _triangle([rows] if factor is None else [factor, rows])
+    if n:
+        yield _row(n, factor)
+
+
+def _merged(rows: list[dict], size: int) -> Iterator[pa.RecordBatch]:
+    if rows:
+        yield _row(sum(r["n"] for r in rows), _triangle([_unpacked(r["factor"], size) for r in rows]))
 
 
 def dummies(column: str, levels: Sequence[str]) -> dict[str, Column]:

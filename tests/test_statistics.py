@@ -1,5 +1,6 @@
 import math
 import statistics
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -95,6 +96,37 @@ def test_least_squares_and_diagnostics(spark, sample):
     assert d["d"] == pytest.approx((np.diff(e) ** 2).sum() / (e @ e)) and 0 < d["p_value"] < 1
 
 
+def test_a_square_far_from_zero_keeps_its_digits(spark):
+    """Exact rational least squares on whole numbers; cross-products in doubles would keep about three digits here."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(19_000, 21_000, 600).tolist()
+    y = [3 * (v - 20_000) ** 2 + 5 * v + int(e) for v, e in zip(x, rng.integers(-900, 900, 600))]
+    rows = [[Fraction(1), Fraction(v), Fraction(v) ** 2] for v in x]
+    normal = [[sum(r[i] * r[j] for r in rows) for j in range(3)] + [sum(r[i] * t for r, t in zip(rows, y))] for i in range(3)]
+    for i in range(3):
+        normal[i] = [v / normal[i][i] for v in normal[i]]
+        for k in range(3):
+            if k != i:
+                normal[k] = [a - normal[k][i] * b for a, b in zip(normal[k], normal[i])]
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    terms = {"x": F.col("x"), "x^2": F.col("x") * F.col("x")}
+    for parts in (1, 12):
+        fit = regression.moments(df.repartition(parts), F.col("y"), terms).fit()
+        assert [fit.intercept, *fit.coefficients] == pytest.approx([float(r[3]) for r in normal], rel=1e-8)
+        residual = sum((t - sum(a * r[3] for a, r in zip(row, normal))) ** 2 for row, t in zip(rows, y))
+        assert fit.rss == pytest.approx(float(residual), rel=1e-8)
+        total = fit.diagnostics(df).agg(F.sum("leverage"), F.sum(F.col("residual") ** 2)).first()
+        assert total[0] == pytest.approx(3, rel=1e-8) and total[1] == pytest.approx(float(residual), rel=1e-8)
+
+
+def test_fewer_rows_than_terms(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 1.0, 5.0)], "a double, b double, y double")
+    fit = regression.moments(df, F.col("y"), {"a": F.col("a")}).fit()
+    assert fit.coefficients[0] == pytest.approx(2) and fit.rss == pytest.approx(0, abs=1e-20)
+    with pytest.raises(ValueError):
+        regression.moments(df.limit(0), F.col("y"), {"a": F.col("a")})
+
+
 def test_selection_drops_noise_and_inflation(spark, sample):
     df = sample[0].withColumn("noise", F.rand(3))
     terms = {"x1": F.col("x1"), "x2": F.col("x2"), "noise": F.col("noise"), **regression.dummies("g", ["u", "v", "w"])}
