@@ -47,7 +47,7 @@ LETTER, NUMBER = (rf"[\p{{{name}}}--[{UNLISTED}]]" for name in "LN")
 PATTERN = (rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?{LETTER}+| ?{NUMBER}+| ?[^[{SPACE}]||{LETTER}||{NUMBER}]+"
            rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 WORDS, PIECES, STEPS = 120_000, 20_000, 300_000  # entries that a worker remembers; words and pieces in each of two generations
-LIBRARY_WORDS = 400_000  # the same for words where no automaton takes room
+LIBRARY_WORDS = 550_000  # the same for words where no automaton takes room
 MARKS = frozenset(".,;:!?")
 
 
