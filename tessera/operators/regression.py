@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.functions import distributions as dist
 from tessera.operators.ordered import lagged
+from tessera.session import written
 
 
 @dataclass
@@ -256,18 +257,53 @@ def breusch_pagan(df: DataFrame, fit: Fit) -> DataFrame:
         [(statistic, freedom, dist.chi_square_upper(spark, statistic, freedom))], "statistic double, df int, p_value double")
 
 
-def durbin_watson(df: DataFrame, fit: Fit, order: Sequence[str]) -> DataFrame:
-    """Autocorrelation of residuals over an explicit total order.
+def durbin_watson(df: DataFrame, fit: Fit, order: Sequence[str], exact_below: int = 100) -> DataFrame:
+    """Autocorrelation of residuals over an explicit total order: ``d``, its mean and deviation, and a p-value.
 
-    The p-value against positive autocorrelation uses the large-sample normal law.
+    The mean and the deviation of ``d`` under independence are exact; they follow from first and second differences of
+    the terms, which are summed in the same pass as those of the residuals. The p-value against positive
+    autocorrelation comes from the normal law with these. Samples of fewer than ``exact_below`` rows, the limit of the
+    usual implementation, get the exact law of the ratio of quadratic forms.
     """
-    rows = df.select(*order, fit.residual().alias("e")).filter("e is not null")
-    pairs = lagged(rows, order, {"before": ("e", 1)})
-    step = F.col("e") - F.col("before")
-    d = F.try_divide(F.sum(step * step), F.sum(F.col("e") * F.col("e")))
-    z = (2 - d) * F.sqrt(F.count(F.lit(1))) / 2
-    row = pairs.agg(d.alias("d"), z.alias("z")).first()
-    return df.sparkSession.createDataFrame([(row["d"], dist.normal_upper(row["z"]))], "d double, p_value double")
+    gaps, p = fit._gaps(), len(fit.terms)
+    # terms made orthogonal and of unit length
+    axes = [reduce(lambda a, b: a + b, [gaps[i] * F.lit(float(fit.root[i, k])) for i in range(k + 1)]) for k in range(p)]
+    names = ["e", *[f"z{k}" for k in range(p)]]
+    rows = df.select(*order, *[c.alias(n) for c, n in zip([fit.residual(), *axes], names)]).filter("e is not null")
+    pairs = written(lagged(rows, order, {f"{n}_{k}": (n, k) for n in names for k in (1, 2)}), "pairs")
+    first = {n: F.col(n) - F.col(f"{n}_1") for n in names}
+    second = {n: F.col(n) - 2 * F.col(f"{n}_1") + F.col(f"{n}_2") for n in names}
+    cells = [(i, j) for i in range(p) for j in range(i, p)]
+    place = F.when(F.col("e_1").isNotNull(), F.struct(*order))
+    steps = F.array(*[first[f"z{k}"] for k in range(p)])
+    row = pairs.agg(
+        F.count("e").alias("n"), F.sum(first["e"] ** 2).alias("step"), F.sum(F.col("e") * F.col("e")).alias("length"),
+        F.min_by(steps, place).alias("head"), F.max_by(steps, place).alias("tail"),
+        *[F.sum(first[f"z{i}"] * first[f"z{j}"]).alias(f"a{i}_{j}") for i, j in cells],
+        *[F.sum(second[f"z{i}"] * second[f"z{j}"]).alias(f"b{i}_{j}") for i, j in cells]).first()
+    n, freedom = row["n"], row["n"] - p - 1
+    if n < 3 or not row["length"] or freedom < 1:
+        return df.sparkSession.createDataFrame([(None,) * 4], "d double, mean double, sd double, p_value double")
+    once, twice = np.zeros((p, p)), np.zeros((p, p))
+    for i, j in cells:
+        once[i, j] = once[j, i] = row[f"a{i}_{j}"] or 0.0
+        twice[i, j] = twice[j, i] = row[f"b{i}_{j}"] or 0.0
+    for end in (row["head"], row["tail"]):  # the outermost rows have one neighbour
+        twice += np.outer(end, end)
+    d = row["step"] / row["length"]
+    trace = 2 * (n - 1) - np.trace(once)
+    squares = 2 * (3 * n - 4) - 2 * np.trace(twice) + np.sum(once * once)
+    mean = float(trace / freedom)
+    sd = math.sqrt(max(2 * (squares - trace * mean) / (freedom * (freedom + 2)), 0.0))
+    if n < exact_below:
+        table = np.array([[r[name] for name in names[1:]] for r in rows.orderBy(*order).select(*names[1:]).collect()]).reshape(n, p)
+        basis = np.column_stack([np.full(n, n ** -0.5), table])
+        rest = np.eye(n) - basis @ basis.T
+        steps = np.diff(rest, axis=0)
+        below = dist.ratio_below(np.sort(np.linalg.eigvalsh(steps.T @ steps))[p + 1:], d)
+    else:
+        below = dist.normal_upper((mean - d) / sd) if sd else None
+    return df.sparkSession.createDataFrame([(float(d), mean, sd, below)], "d double, mean double, sd double, p_value double")
 
 
 def mean_filled(

@@ -204,6 +204,22 @@ def durbin_watson(spark, d):
     return rounded(regression.durbin_watson(orders, fit, ["o_orderkey"]).select("d"))
 
 
+@query("durbin_watson_law", """
+with b as (select regr_sxx(o_totalprice, o_custkey) as sxx, avg(o_custkey) as m, count(*) as n from orders),
+z as (select o_orderkey, (o_custkey - m) / sqrt(sxx) as z, n from orders, b),
+w as (select z, n, lag(z) over o as before, lead(z) over o as behind from z window o as (order by o_orderkey)),
+t as (select any_value(n) as n, sum((z - before) ** 2) as a,
+  sum((coalesce(z - before, 0) + coalesce(z - behind, 0)) ** 2) as b from w),
+m as (select n, a, b, (2 * (n - 1) - a) / (n - 2) as mean from t)
+select round(mean, 8) as mean,
+  round(sqrt(2 * (2 * (3 * n - 4) - 2 * b + a * a - (2 * (n - 1) - a) * mean) / ((n - 2) * n)), 8) as sd from m""")
+def durbin_watson_law(spark, d):
+    """Mean and deviation of the statistic under independence."""
+    orders = load(spark, d, "orders")
+    fit = regression.moments(orders, F.col("o_totalprice"), {"o_custkey": F.col("o_custkey")}).fit()
+    return rounded(regression.durbin_watson(orders, fit, ["o_orderkey"]).select("mean", "sd"), 8)
+
+
 @query("residual_diagnostics", """
 with g as (select o_orderkey, o_totalprice as y, cast(o_custkey as double) as x from orders),
 f as (select regr_slope(y, x) as slope, regr_intercept(y, x) as start, regr_sxx(y, x) as sxx, regr_avgx(y, x) as mx,

@@ -127,6 +127,51 @@ def test_fewer_rows_than_terms(spark):
         regression.moments(df.limit(0), F.col("y"), {"a": F.col("a")})
 
 
+@pytest.mark.parametrize("n, terms, low, high", [(15, 1, 1.08, 1.36), (20, 1, 1.20, 1.41), (50, 1, 1.50, 1.59), (40, 3, 1.34, 1.66), (100, 5, 1.57, 1.78)])
+def test_bounds_of_the_published_table(n, terms, low, high):
+    """At the 5 % bounds of Durbin and Watson the law with the smallest and the largest values gives 5 %."""
+    values = np.sort(2 - 2 * np.cos(np.pi * np.arange(1, n) / n))
+    for some, bound in ((values[:n - 1 - terms], low), (values[terms:], high)):
+        assert dist.ratio_below(some, bound - 0.006) < 0.05 < dist.ratio_below(some, bound + 0.006)
+
+
+def test_ratio_law_against_simulation_and_closed_form():
+    assert dist.ratio_below(np.array([0.0, 2.0]), 1.0) == pytest.approx(0.5, abs=1e-8)
+    assert dist.ratio_below(np.array([1.0, 1.0]), 0.5) == 0 and dist.ratio_below(np.array([1.0, 1.0]), 2.0) == 1
+    rng = np.random.default_rng(1)
+    z = rng.normal(size=(200_000, 6)) ** 2
+    values = np.array([0.1, 0.5, 1.0, 2.0, 3.0, 3.9])
+    for x in (0.5, 1.5, 2.5):
+        assert dist.ratio_below(values, x) == pytest.approx(((z @ values) < x * z.sum(1)).mean(), abs=0.005)
+
+
+@pytest.mark.parametrize("n", [30, 400])
+def test_durbin_watson_law(spark, n):
+    rng = np.random.default_rng(n)
+    x = np.c_[np.cumsum(rng.normal(size=n)), rng.normal(size=n) + 50]
+    e = rng.normal(size=n)
+    e[1:] += 0.3 * e[:-1]
+    y = 1 + x @ [2.0, -1.0] + e
+    df = spark.createDataFrame([(i, *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y))], "i long, a double, b double, y double")
+    fit = regression.moments(df, F.col("y"), {"a": F.col("a"), "b": F.col("b")}).fit()
+    found = regression.durbin_watson(df.repartition(5), fit, ["i"]).first()
+    design = np.column_stack([np.ones(n), x])
+    rest = np.eye(n) - design @ np.linalg.inv(design.T @ design) @ design.T
+    near = 2 * np.eye(n) - np.eye(n, k=1) - np.eye(n, k=-1)
+    near[0, 0] = near[-1, -1] = 1
+    both = rest @ near
+    m = n - 3
+    mean = np.trace(both) / m
+    sd = math.sqrt(2 * (np.trace(both @ both) - np.trace(both) * mean) / (m * (m + 2)))
+    r = rest @ y
+    assert (found["d"], found["mean"], found["sd"]) == pytest.approx((np.sum(np.diff(r) ** 2) / (r @ r), mean, sd))
+    normal = statistics.NormalDist(mean, sd).cdf(found["d"])
+    assert found["p_value"] == pytest.approx(normal, abs=1e-9 if n >= 100 else 0.02)
+    exact = regression.durbin_watson(df, fit, ["i"], exact_below=1000).first()["p_value"]
+    assert exact == pytest.approx(normal, abs=0.01)
+    assert regression.durbin_watson(df.limit(0), fit, ["i"]).first()["d"] is None
+
+
 def test_selection_drops_noise_and_inflation(spark, sample):
     df = sample[0].withColumn("noise", F.rand(3))
     terms = {"x1": F.col("x1"), "x2": F.col("x2"), "noise": F.col("noise"), **regression.dummies("g", ["u", "v", "w"])}
