@@ -77,6 +77,12 @@ def hog(windows: np.ndarray, cell: int = 8, block: int = 2) -> np.ndarray:
     number += (np.arange(count) * rows * columns)[:, None, None] * BINS + place[None] * BINS
     size = count * rows * columns * BINS
     cells = np.bincount(number.ravel(), np.hypot(gx, gy).ravel(), size).reshape(count, rows, columns, BINS) / cell**2
+    return _described(cells, block)
+
+
+def _described(cells: np.ndarray, block: int) -> np.ndarray:
+    """Blocks of cell histograms (count, rows, columns, bins), scaled, clipped and scaled again; one row each."""
+    count, rows, columns, _ = cells.shape
     down, across = rows - block + 1, columns - block + 1
     if down <= 0 or across <= 0:
         return np.zeros((count, 0))
@@ -89,6 +95,66 @@ def hog(windows: np.ndarray, cell: int = 8, block: int = 2) -> np.ndarray:
     return unit(np.minimum(unit(blocks), 0.2)).reshape(count, -1)
 
 
+class LevelHistograms:
+    """Cell histograms of all windows of one pyramid level, from running sums of each orientation over the level.
+
+    A pixel's gradient and orientation are worked out once, however many windows it is in. Inside a window they are those of
+    the level. On its outermost lines a window knows one neighbour only, so the gradient across the line is 0 there: what
+    is left along a column falls into the middle orientation, along a row into the first, and corners have none.
+    Running sums are kept for one band of rows at a time, of about ``BAND`` numbers.
+    """
+
+    BAND, CHUNK = 16_000_000, 2_000_000
+
+    def __init__(self, raster: np.ndarray, window: int, cell: int):
+        self.window, self.cell = window, cell
+        g = raster.astype(np.float32)
+        self.gx, self.gy = np.zeros_like(g), np.zeros_like(g)
+        self.gx[:, 1:-1] = g[:, 2:] - g[:, :-2]
+        self.gy[1:-1, :] = g[2:, :] - g[:-2, :]
+        self.number = np.minimum(np.rad2deg(np.arctan2(self.gy, self.gx)) % 180.0 // (180.0 / BINS), BINS - 1).astype(np.int8)
+        self.size = np.hypot(self.gx, self.gy)
+
+    def windows(self, ys: np.ndarray, xs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``(y, x, cells)`` of all windows, some at a time: corners and histograms (window, row, column, bin)."""
+        width = self.size.shape[1]
+        room = max(self.BAND // ((BINS + 2) * (width + 1)), self.window)
+        some = max(self.CHUNK // (BINS * (self.window // self.cell + 1) ** 2), 1)
+        start = 0
+        while start < len(ys):
+            stop = int(np.searchsorted(ys, ys[start] + room - self.window, "right"))
+            sums = self._sums(int(ys[start]), int(ys[stop - 1]) + self.window)
+            y, x = (a.ravel() for a in np.meshgrid(ys[start:stop], xs, indexing="ij"))
+            for at in range(0, len(y), some):
+                here = slice(at, at + some)
+                yield y[here], x[here], self._cells(sums, y[here] - int(ys[start]), x[here])
+            start = stop
+
+    def _sums(self, top: int, bottom: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Running sums over a band: per orientation from its corner, along rows, and down columns."""
+        band, width = slice(top, bottom), self.size.shape[1]
+        corner = np.zeros((BINS, bottom - top + 1, width + 1))
+        for k in range(BINS):
+            np.cumsum(np.where(self.number[band] == k, self.size[band], 0), axis=0, dtype=np.float64, out=corner[k, 1:, 1:])
+            np.cumsum(corner[k, 1:, 1:], axis=1, out=corner[k, 1:, 1:])
+        along = np.pad(np.cumsum(np.abs(self.gx[band]), axis=1, dtype=np.float64), ((0, 0), (1, 0)))
+        down = np.pad(np.cumsum(np.abs(self.gy[band]), axis=0, dtype=np.float64), ((1, 0), (0, 0)))
+        return corner, along, down
+
+    def _cells(self, sums: tuple[np.ndarray, np.ndarray, np.ndarray], y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        corner, along, down = sums
+        cell, last, n = self.cell, self.window - 1, self.window // self.cell
+        inner = np.clip(np.arange(n + 1) * cell, 1, last)  # without the outermost lines
+        r, c = y[:, None] + inner, x[:, None] + inner
+        found = np.diff(np.diff(corner[:, r[:, :, None], c[:, None, :]], axis=2), axis=3)
+        cells = np.ascontiguousarray(found.transpose(1, 2, 3, 0))
+        for line in {0, last}:
+            if line // cell < n:  # else the window is not a whole number of cells
+                cells[:, line // cell, :, 0] += np.diff(along[(y + line)[:, None], c], axis=1)
+                cells[:, :, line // cell, BINS // 2] += np.diff(down[r, (x + line)[:, None]], axis=1)
+        return cells / cell**2
+
+
 def _raster(row) -> np.ndarray:
     return np.frombuffer(row.pixels, dtype=np.uint8).reshape(row.height, row.width)
 
@@ -162,44 +228,36 @@ def detect(
 ) -> DataFrame:
     """Windows with a positive score, as boxes in the coordinates of the full image.
 
-    One row per image and pyramid level is spread over the tasks; a level's windows are
-    scored a chunk at a time inside the task and only the hits leave it.
+    A task walks an image's levels one after the other, each made from the last, and each level's pixels once: windows
+    take their histograms from running sums (``LevelHistograms``). Only the hits leave the task.
     """
-    path = F.filter("_path", lambda s: s["level"] <= F.col("_level"))
-    work_rows = images.withColumn("_path", level_path(scale, window)).withColumn(
-        "_level", F.explode(F.transform("_path", lambda s: s["level"]))
-    ).select(
-        "image", F.col("height").alias("full_height"), F.col("width").alias("full_width"), "pixels",
-        F.col("_level").alias("level"), F.transform(path, lambda s: s["height"]).alias("heights"),
-        F.transform(path, lambda s: s["width"]).alias("widths"))
+    rows = images.select("image", "height", "width", "pixels", F.transform(
+        level_path(scale, window), lambda s: F.struct(s["height"].alias("height"), s["width"].alias("width"))).alias("levels"))
     weights, offset = np.asarray(coefficients, dtype=np.float64), float(intercept)
-    chunk = max(1, 4_000_000 // window**2)  # windows held at once
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                raster = np.frombuffer(row.pixels, dtype=np.uint8).reshape(row.full_height, row.full_width)
-                for height, width in list(zip(row.heights, row.widths))[1:]:
-                    raster = resized(raster, int(height), int(width))
-                factor = row.full_width / raster.shape[1]
-                ys = np.arange(0, raster.shape[0] - window, step)
-                xs = np.arange(0, raster.shape[1] - window, step)
-                if not len(ys) or not len(xs):
-                    continue
-                views = np.lib.stride_tricks.sliding_window_view(raster, (window, window))
-                at_y, at_x = (a.ravel() for a in np.meshgrid(ys, xs, indexing="ij"))
-                for start in range(0, len(at_y), chunk):
-                    y, x = at_y[start:start + chunk], at_x[start:start + chunk]
-                    score = hog(views[y, x], cell, block) @ weights + offset
-                    hit = score > 0
-                    if hit.any():
-                        yield pd.DataFrame({
-                            "image": row.image, "level": row.level, "x": (x[hit] * factor).astype(int),
-                            "y": (y[hit] * factor).astype(int), "w": int(window * factor), "h": int(window * factor),
-                            "score": score[hit]})
+                raster = _raster(row)
+                for level, size in enumerate(row.levels):
+                    if level:
+                        raster = resized(raster, int(size["height"]), int(size["width"]))
+                    factor = row.width / raster.shape[1]
+                    ys = np.arange(0, raster.shape[0] - window, step)
+                    xs = np.arange(0, raster.shape[1] - window, step)
+                    if not len(ys) or not len(xs):
+                        continue
+                    for y, x, cells in LevelHistograms(raster, window, cell).windows(ys, xs):
+                        score = _described(cells, block) @ weights + offset
+                        hit = score > 0
+                        if hit.any():
+                            yield pd.DataFrame({
+                                "image": row.image, "level": level, "x": (x[hit] * factor).astype(int),
+                                "y": (y[hit] * factor).astype(int), "w": int(window * factor), "h": int(window * factor),
+                                "score": score[hit]})
 
     kind = images.schema["image"].dataType.simpleString()
-    return work_rows.mapInPandas(work, f"image {kind}, level int, x int, y int, w int, h int, score double")
+    return rows.mapInPandas(work, f"image {kind}, level int, x int, y int, w int, h int, score double")
 
 
 def patch_positions(images: DataFrame, window: int, per_image: int, seed: int = 42) -> DataFrame:

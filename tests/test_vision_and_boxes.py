@@ -165,6 +165,44 @@ def test_detection_visits_all_windows(spark):
     assert biggest["w"] > 32 and biggest["w"] == biggest["h"]
 
 
+@pytest.mark.parametrize("window, step, cell, band", [(32, 16, 8, 10**7), (32, 5, 8, 1), (30, 7, 8, 40_000), (24, 3, 4, 40_000)])
+def test_histograms_of_a_level_are_those_of_its_windows(monkeypatch, window, step, cell, band):
+    monkeypatch.setattr(vision.LevelHistograms, "BAND", band)
+    rng = np.random.default_rng(window)
+    raster = np.where(rng.random((90, 110)) < 0.5, rng.integers(0, 255, (90, 110)), 40).astype(np.uint8)
+    ys, xs = np.arange(0, 90 - window, step), np.arange(0, 110 - window, step)
+    monkeypatch.setattr(vision.LevelHistograms, "CHUNK", band)
+    seen = []
+    for y, x, cells in vision.LevelHistograms(raster, window, cell).windows(ys, xs):
+        seen += zip(y.tolist(), x.tolist())
+        views = np.stack([raster[a:a + window, b:b + window] for a, b in zip(y, x)])
+        assert np.allclose(vision._described(cells, 2), vision.hog(views, cell, 2), atol=1e-6)
+    assert seen == [(y, x) for y in ys.tolist() for x in xs.tolist()]
+
+
+def test_detection_scores_every_window_as_its_descriptor_does(spark):
+    df, rng = images(spark), np.random.default_rng(4)
+    size = vision.hog(np.zeros((1, 32, 32), np.uint8)).shape[1]
+    weights = rng.normal(size=size)
+    found = {(r["image"], r["level"], r["x"], r["y"]): r["score"] for r in vision.detect(df, weights, 0.0, 32, 16, 1.2).collect()}
+    wanted = {}
+    for r in df.collect():
+        raster, level, full = np.frombuffer(r["pixels"], np.uint8).reshape(r["height"], r["width"]), 0, r["width"]
+        while True:
+            for y in range(0, raster.shape[0] - 32, 16):
+                for x in range(0, raster.shape[1] - 32, 16):
+                    score = float((vision.hog(raster[None, y:y + 32, x:x + 32]) @ weights)[0])
+                    factor = full / raster.shape[1]
+                    if score > 0:
+                        wanted[r["image"], level, int(x * factor), int(y * factor)] = score
+            h, w = int(raster.shape[0] / 1.2), int(raster.shape[1] / 1.2)
+            if h < 32 or w < 32:
+                break
+            raster, level = vision.resized(raster, h, w), level + 1
+    assert found.keys() == wanted.keys() and len(wanted) > 5
+    assert all(found[k] == pytest.approx(v, abs=1e-6) for k, v in wanted.items())
+
+
 def write_bitmap(path, height, width, colour):
     row = bytes(colour) * width
     row += b"\0" * (-len(row) % 4)
