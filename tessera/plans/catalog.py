@@ -85,6 +85,17 @@ def json_records(spark, d):
     return readers.read_records(spark, path, records.schema, array_file=False)
 
 
+@query("json_arrays_round_trip", """
+select p_partkey as quantity, p_name as name, p_retailprice as purchase_price, p_brand as brand from part""")
+def json_arrays(spark, d):
+    path = fresh_path(spark, "records")
+    records = load(spark, d, "part").select(
+        F.col("p_partkey").alias("quantity"), F.col("p_name").alias("name"), F.col("p_retailprice").alias("purchase_price"),
+        F.col("p_brand").alias("brand"))
+    writers.save_record_arrays(records, path)
+    return readers.read_records(spark, path, records.schema).select(*records.columns)
+
+
 @query("replaced_table", """
 select c_mktsegment, count(*) as customers, cast(sum(cast(c_acctbal as decimal(18,2))) as double) as balance
 from customer group by 1""")

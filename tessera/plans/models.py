@@ -68,6 +68,32 @@ def vectors_by_label(spark, d):
     return load_spread(spark, d, "embeddings", "vec_id").withColumn("y", (F.col("label") >= 5).cast("int"))
 
 
+def _agreement(flags, thresholds, *keep):
+    """One row per document and label: whether the flag is 1 exactly where the score is above the label's threshold."""
+    entries = F.array(*[F.struct(
+        F.lit(c).alias("label"), ((F.col(f"s_{c}") > thresholds[c]).cast("int") == F.col(f"{c}_flag")).alias("agrees")) for c in LABELS])
+    return flags.select("doc_id", *keep, F.inline(entries))
+
+
+@query("flags_of_saved_models", """select doc_id, unnest(['quality', 'toxic']) as label, true as agrees, true as same_score
+from documents join labels using (doc_id)""")
+def flags_of_saved_models(spark, d):
+    """Scores and flags of a model that was saved and loaded, against its own thresholds and the model before saving."""
+    rows, limits = corpus(spark, d), {"toxic": 0.4, "quality": 0.6}
+    model = classify.fit_label_models(rows, "words", {"toxic": 4.0, "quality": 1.0})
+    path = fresh_path(spark, "model")
+    save_model(model, path, limits, spark)
+    loaded, thresholds = load_model(path, spark)
+    before = classify.label_flags(model, rows.select("doc_id", "words"), LABELS, limits).select(
+        F.col("doc_id").alias("_doc"), *[F.col(f"s_{c}").alias(f"_{c}") for c in LABELS])
+    after = classify.label_flags(loaded, rows.select("doc_id", "words"), LABELS, thresholds)
+    same = F.lit(True)
+    for c in LABELS:
+        same = same & (F.col(f"s_{c}") == F.col(f"_{c}"))
+    joined = after.join(before, F.col("doc_id") == F.col("_doc")).withColumn("same_score", same)
+    return _agreement(joined, limits, "same_score")
+
+
 @query("linear_svm_confusion")
 def linear_svm_confusion(spark, d):
     train, test = balance.random_split(vectors_by_label(spark, d), "vec_id", 0.2)
@@ -104,6 +130,32 @@ def topic_mean_distance(spark, d):
     return rounded(topics.mean_distance(topics.topic_vectors(topic_model(spark, d, 5)[1])))
 
 
+JUNK = f"""{MAILS}, c as (select doc_id, tokens from m join labels using (doc_id) where toxic = 1 or quality = 0),
+t as (select doc_id, unnest(tokens) as token from c), g as (select token, count(distinct doc_id) as documents from t group by 1)"""
+
+
+@query("ten_topics", f"""with {JUNK} select cast(topic as integer) as topic,
+  (select count(*) from g where documents >= 3 and documents <= 0.25 * (select count(*) from c)) as terms, 1::double as total
+from range(10) as r(topic)""")
+def ten_topics(spark, d):
+    """Every topic is a distribution over the whole dictionary."""
+    vectors = topics.topic_vectors(topic_model(spark, d, 10)[1])
+    return rounded(vectors.groupBy(F.col("vector").alias("topic")).agg(
+        F.count(F.lit(1)).alias("terms"), F.sum("weight").alias("total")))
+
+
+@query("ten_topics_leading_terms", f"""with {JUNK} select topic, position, true as known
+from range(10) as r(topic), range(10) as s(position)""")
+def ten_topics_leading_terms(spark, d):
+    """Ten leading terms of each topic, and whether they are in the dictionary."""
+    counter, model = topic_model(spark, d, 10)
+    leading = topics.leading_terms(counter, model)
+    known = corpus(spark, d).filter("toxic = 1 or quality = 0").select(F.explode("tokens").alias("term")).distinct().withColumn("known", F.lit(True))
+    return leading.join(known, "term", "left").select(
+        F.col("topic").cast("long").alias("topic"), F.col("position").cast("long").alias("position"),
+        F.coalesce("known", F.lit(False)).alias("known"))
+
+
 CENTRES = """c as (select label, i, avg(cast(v as double)) as w from (select label, unnest(embedding) as v,
   unnest(range(len(embedding))) as i from embeddings) group by 1, 2), n as (select label, sqrt(sum(w * w)) as n from c group by 1),
 d as (select a.label as la, b.label as lb, sum(a.w * b.w) as dot from c a join c b on a.i = b.i and a.label < b.label group by 1, 2),
@@ -126,3 +178,19 @@ def streamed_comment_flags(spark, d):
     model = classify.fit_label_models(corpus(spark, d), "words", {"toxic": 4.0, "quality": 1.0})
     stream = runs.table_stream(spark, d, "documents").select("doc_id", "text")
     return scoring.flag_available(stream, "text", model, LABELS).drop("text")
+
+
+@query("streamed_flags_agree", """select doc_id, unnest(['quality', 'toxic']) as label, true as agrees, true as same_score
+from documents where text is not null""")
+def streamed_flags_agree(spark, d):
+    """Flags of the stream, in several batches, against their scores and against scoring all documents at once."""
+    model = classify.fit_label_models(corpus(spark, d), "words", {"toxic": 4.0, "quality": 1.0})
+    documents = load(spark, d, "documents").filter("text is not null").select("doc_id", "text")
+    streamed = scoring.flag_available(runs.ordered_stream(documents, "doc_id", batches=3), "text", model, LABELS)
+    whole = scoring.flag_comments(documents, "text", model, LABELS).select(
+        F.col("doc_id").alias("_doc"), *[F.col(f"s_{c}").alias(f"_{c}") for c in LABELS])
+    same = F.lit(True)
+    for c in LABELS:
+        same = same & (F.col(f"s_{c}") == F.col(f"_{c}"))
+    joined = streamed.join(whole, F.col("doc_id") == F.col("_doc")).withColumn("same_score", same)
+    return _agreement(joined, dict.fromkeys(LABELS, 0.5), "same_score")

@@ -154,3 +154,21 @@ def test_windowed_totals_leave_open_days_pending(spark, tmp_path):
     closed = spark.read.schema(out.schema).parquet(str(tmp_path / "out"))
     assert 7 <= closed.count() < 10
     assert closed.orderBy("window").first()["total_amount"] == 0 + 1 + 2 + 3
+
+
+def test_record_arrays_and_bitmaps(spark, tmp_path):
+    records = spark.range(25).selectExpr("id", "if(id % 3 = 0, null, concat('n,\"', id)) as name")
+    path = str(tmp_path / "arrays")
+    writers.save_record_arrays(records, path, 4)
+    back = readers.read_records(spark, path, records.schema).select("id", "name")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, records.collect()))
+    assert 4 <= len(list((tmp_path / "arrays").glob("part=*/*.txt"))) <= 7
+    writers.save_record_arrays(records.limit(0), str(tmp_path / "none"))
+
+    rng = np.random.default_rng(1)
+    rows = [(f"a b/{k}", h, w, bytearray(rng.integers(0, 256, h * w).astype(np.uint8).tobytes())) for k, (h, w) in enumerate([(3, 5), (1, 1), (40, 64)])]
+    folder = str(tmp_path / "images")
+    images = spark.createDataFrame(rows, "image string, height int, width int, pixels binary")
+    assert writers.save_bitmaps(images, folder) == 3
+    found = {(r["height"], r["width"]): bytes(r["pixels"]) for r in readers.read_images(spark, folder).collect()}
+    assert found == {(h, w): bytes(p) for _, h, w, p in rows}
