@@ -153,13 +153,22 @@ def identify(docs: DataFrame, size: int = PROFILE) -> DataFrame:
         "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-def with_known_language(docs: DataFrame, size: int = PROFILE, least_score: float = 0.1) -> DataFrame:
-    """The rows, all columns, whose text has a language: not ``und`` and a score of ``least_score`` or more."""
+def with_known_language(docs: DataFrame, size: int = PROFILE, share: float = 0.5) -> DataFrame:
+    """The rows, all columns, whose text has a language: not ``und``, and a score of ``share`` of the usual one or more.
+
+    The usual score is the median over the rows that were learned from, whatever their number. Every text is scored once; rows
+    go to the shared folder with their scores, since the median is known only after all of them. Letters at random and
+    texts in other languages of the same script score about a third of the usual score.
+    """
     judge = Judge(profiles(docs, size), size)
 
-    def speaks(texts):
+    def scored(texts):
         import pandas as pd
 
-        return pd.Series([lang != UNKNOWN and score >= least_score for lang, score in map(judge, texts)])
+        return pd.Series([score if lang != UNKNOWN else None for lang, score in map(judge, texts)], dtype="float64")
 
-    return docs.filter(F.pandas_udf(speaks, "boolean")(docs["text"]))
+    learned = F.coalesce(~held_out(docs["doc_id"]) & docs["lang"].isNotNull(), F.lit(False))
+    rows = written(docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), learned.alias("learned"),
+                               F.pandas_udf(scored, "double")(docs["text"]).alias("score")), "scored")
+    usual = rows.filter("learned").agg(F.percentile_approx("score", 0.5, 10_000)).first()[0]
+    return rows.filter(F.col("score") >= F.lit(share * (usual or 0.0))).select("row.*")

@@ -4,7 +4,8 @@ A reference holds two histograms of one language: classes of characters, and its
 with all other words as one more bin. A text is compared by Jensen-Shannon distance (base 2, so 0
 to 1) with every reference; the one with the nearest words counts. A histogram of few
 words is far from its language by chance, so from each squared distance a part is taken that shrinks with the
-number of words, and what is left is held against a limit from the quartiles of the whole corpus.
+number of words, and what is left is held against a limit from the quartiles of the whole corpus. Texts under a
+minimum length are not held against it.
 """
 
 from __future__ import annotations
@@ -24,15 +25,13 @@ BLANKS = " \t\n\x0b\x0c\r"
 MARKS = ".,;:!?'\"()-"  # taken off both ends of a word before it is looked up
 CLASSES = ("lower", "upper", "other letter", "digit", "white space", "mark", "symbol", "other")
 COMMON = 100
-#: Of characters and words: the part of a squared distance that chance may give one word, and how many times the upper quartile's
-#: way from the median a text may be above the median.
+#: Of characters and words: the part of a squared distance that chance may give one word; how many times the upper quartile's way
+#: from the median a text may be above the median; and what quartiles of one text could be off, which shrinks with the square
+#: root of the number of texts.
 CHANCE = (3.0, 8.0)
 SPREADS = (5.0, 8.0)
-#: Limits where fewer than ``FEWEST`` texts can give any: those of 90,000 texts.
-LIMITS = (0.0264, 0.14)
-FEWEST = 1000
-MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = (limit ** 0.5 for limit in LIMITS)  # of long texts
-MIN_CHARS, MIN_WORDS = 0, 0  # no guard beside the base rule: limits widen for short texts
+QUARTILE_ERROR = (0.25, 1.0)
+MIN_CHARS, MIN_WORDS = 300, 60  # shorter texts are not held against the limit of characters, of words
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -160,36 +159,26 @@ def judged(text: str | None, known: dict[str, Reference]) -> tuple:
     return (*counts, base_failed(counts[0], counts[4]), *min(found, key=lambda d: (d[1], d[0]), default=(0.0, 0.0)))
 
 
-class Rules:
-    """The verdict on a text, given references and the limits of long texts."""
-
-    def __init__(self, known: dict[str, Reference], char_limit: float, word_limit: float, min_chars: int, min_words: int):
-        self.known, self.limits, self.least = known, (char_limit, word_limit), (min_chars, min_words)
-
-    def __call__(self, text: str | None) -> tuple:
-        found = judged(text, self.known)
-        lengths = len(text or ""), found[0]
-        far = any(n >= least and d * d - chance / max(found[0], 1) > limit * limit
-                  for d, chance, limit, n, least in zip(found[6:], CHANCE, self.limits, lengths, self.least))
-        return (*found, not found[5] and not far)
-
-
 def excesses(n_words: Column, char_distance: Column, word_distance: Column) -> list[Column]:
     """Squared distances without the part that chance may give a text of so many words."""
     return [d * d - F.lit(chance) / F.greatest(n_words, F.lit(1)) for d, chance in zip((char_distance, word_distance), CHANCE)]
 
 
-def corpus_limits(n_words: Column, char_distance: Column, word_distance: Column, failed: Column, rows: DataFrame) -> tuple[float, float]:
-    """Limits of both excesses from the quartiles over all ``rows`` that pass the base rule."""
-    found = excesses(n_words, char_distance, word_distance)
-    row = rows.filter(~failed).agg(F.count("*"), *[F.percentile_approx(e, [0.5, 0.75], 10_000) for e in found]).first()
-    if row[0] < FEWEST:
-        return LIMITS
-    return tuple(half + k * (upper - half) for (half, upper), k in zip(row[1:], SPREADS))
+def corpus_limits(measures: list[Column], rows: DataFrame) -> tuple[float, float]:
+    """Limits of both excesses from the quartiles over all ``rows`` that pass the base rule, however many there are."""
+    found = excesses(*measures[:3])
+    row = rows.filter(~measures[3]).agg(F.count("*"), *[F.percentile_approx(e, [0.5, 0.75], 10_000) for e in found]).first()
+    if not row[0]:
+        return (0.0, 0.0)  # no text to be judged
+    return tuple(half + k * (upper - half) + error / row[0] ** 0.5
+                 for (half, upper), k, error in zip(row[1:], SPREADS, QUARTILE_ERROR))
 
 
-def _kept(n_words: Column, char_distance: Column, word_distance: Column, failed: Column, limits: tuple[float, float]) -> Column:
-    near = [e <= limit for e, limit in zip(excesses(n_words, char_distance, word_distance), limits)]
+def verdict(measures: list[Column], limits: tuple[float, float]) -> Column:
+    """Passes the base rule, and is within both limits or too short for them."""
+    n_words, _, _, failed, n_chars = measures
+    near = [(e <= limit) | (n < least) for e, limit, n, least in zip(
+        excesses(*measures[:3]), limits, (n_chars, n_words), (MIN_CHARS, MIN_WORDS))]
     return ~failed & near[0] & near[1]
 
 
@@ -207,23 +196,20 @@ def measured(docs: DataFrame, known: dict[str, Reference]) -> DataFrame:
         "base_failed boolean, char_distance double, word_distance double")
 
 
-def judge(docs: DataFrame, known: dict[str, Reference], limits: tuple[float, float] = LIMITS) -> DataFrame:
-    """``doc_id``, the base counts, ``base_failed``, both distances and ``kept`` for every row, under given limits.
+def judge_corpus(docs: DataFrame) -> DataFrame:
+    """``doc_id``, the base counts, ``base_failed``, both distances and ``kept`` for every row.
 
-    A null text counts as an empty one and so fails the base rule. Without references nothing but the base rule decides.
+    References and limits come from ``docs`` themselves. A null text counts as an empty one and so fails the base rule.
+    Without references nothing but the base rule decides.
     """
-    rows = measured(docs, known)
-    return rows.withColumn("kept", _kept(*_measures(rows), limits))
-
-
-def judge_corpus(docs: DataFrame) -> DataFrame:
-    """Like ``judge``, by references and limits from ``docs`` themselves."""
     rows = written(measured(docs, references(docs)), "judged")
-    return rows.withColumn("kept", _kept(*_measures(rows), corpus_limits(*_measures(rows), rows)))
+    measures = _measures(rows)
+    return rows.withColumn("kept", verdict(measures, corpus_limits(measures, rows)))
 
 
 def _measures(rows: DataFrame, within: str = "") -> list[Column]:
-    return [F.col(within + name) for name in ("n_words", "char_distance", "word_distance", "base_failed")]
+    """Words, distances, whether the base rule fails, and code points in words."""
+    return [F.col(within + name) for name in ("n_words", "char_distance", "word_distance", "base_failed", "word_chars")]
 
 
 def passing(docs: DataFrame) -> DataFrame:
@@ -234,10 +220,11 @@ def passing(docs: DataFrame) -> DataFrame:
         import pandas as pd
 
         found = [judged(text, known) for text in texts]
-        return pd.DataFrame({"n_words": [f[0] for f in found], "char_distance": [f[6] for f in found],
-                             "word_distance": [f[7] for f in found], "base_failed": [f[5] for f in found]})
+        return pd.DataFrame({"n_words": [f[0] for f in found], "word_chars": [f[1] for f in found],
+                             "char_distance": [f[6] for f in found], "word_distance": [f[7] for f in found],
+                             "base_failed": [f[5] for f in found]})
 
-    made = F.pandas_udf(measures, "n_words long, char_distance double, word_distance double, base_failed boolean")(docs["text"])
-    rows = written(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), made.alias("measure")), "judged")
+    made = F.pandas_udf(measures, "n_words long, word_chars long, char_distance double, word_distance double, base_failed boolean")
+    rows = written(docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), made(docs["text"]).alias("measure")), "judged")
     found = _measures(rows, "measure.")
-    return rows.filter(_kept(*found, corpus_limits(*found, rows))).select("row.*")
+    return rows.filter(verdict(found, corpus_limits(found, rows))).select("row.*")

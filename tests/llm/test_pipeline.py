@@ -1,11 +1,14 @@
+import math
+import zlib
 from collections import Counter
 
 import corpus_pipeline
 from frames import TEXTS, documents, empty
 from test_bytepairs import ids_of
+from test_languages_and_rules import slow_quality
 from test_simhash import slow_fingerprint, slow_groups
 
-from tessera.llm import bytepairs, languages, mixing, rules
+from tessera.llm import bytepairs, languages, mixing
 from tessera.llm.queries import vocabulary_file
 
 SMALL = "/root/testdata/sf0.001"
@@ -19,10 +22,11 @@ def test_pipeline_against_its_rules_row_by_row(spark):
     docs = load(spark, SMALL, "documents")
     rows = docs.collect()
     judge = languages.Judge(languages.profiles(docs), languages.PROFILE)
-    rows = [r for r in rows if judge(r.text)[0] != "und" and judge(r.text)[1] >= 0.1]
-    left = spark.createDataFrame(rows, docs.schema)
-    verdict = rules.Rules(rules.references(left), rules.MOST_CHAR_DISTANCE, rules.MOST_WORD_DISTANCE, rules.MIN_CHARS, rules.MIN_WORDS)
-    rows = [r for r in rows if verdict(r.text)[-1]]
+    scores = sorted(judge(r.text)[1] for r in rows if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2)
+    usual = scores[math.ceil(len(scores) / 2) - 1]
+    rows = [r for r in rows if judge(r.text)[0] != "und" and judge(r.text)[1] >= usual / 2]
+    good = set(slow_quality([(r.doc_id, r.text, r.lang) for r in rows]))
+    rows = [r for r in rows if r.doc_id in good]
     groups = {}
     for r, g in zip(rows, slow_groups([slow_fingerprint(r.text) for r in rows], 3)):
         groups[g] = min(groups.get(g, r), r, key=lambda x: x.doc_id)
