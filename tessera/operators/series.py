@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from tessera.session import written
+
 
 def trailing_year(df: DataFrame, day: str) -> DataFrame:
     """Rows of the last year of the data, counted back from its own newest day."""
@@ -20,7 +22,11 @@ def daily_totals(df: DataFrame, day: str, amount: Column, by: Sequence[str] = ()
 
 
 def fill_gaps(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row per day between the first and the last day of the data; missing totals are 0."""
+    """One row per day between the first and the last day of the data; missing totals are 0.
+
+    The totals are written once; limits, keys and the join read that table.
+    """
+    daily = written(daily, "daily")
     if by:
         first, last = daily.agg(F.min("date")).scalar(), daily.agg(F.max("date")).scalar()
         days = F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date")

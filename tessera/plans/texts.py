@@ -106,8 +106,10 @@ e as (select doc_id, list(coalesce(case when rank + 1 < {NUM_WORDS} then cast(ra
 select doc_id, list_concat(coalesce(ids, []), list_transform(range({LENGTH}), lambda x: 0))[1:{LENGTH}] as ids
 from w left join e using (doc_id)""")
 def padded_sequences(spark, d):
-    tokens = comment_tokens(spark, d)
-    encoded = voc.encode(tokens, "doc_id", "tokens", voc.vocabulary(tokens, "doc_id", "tokens"), NUM_WORDS)
+    tokens = written(comment_tokens(spark, d), "tokens")  # cleaned once
+    ranked = voc.vocabulary(tokens, "doc_id", "tokens")
+    ahead = tokens.withColumn("tokens", F.slice("tokens", 1, LENGTH))  # what padding would cut off is not looked up
+    encoded = voc.encode(ahead, "doc_id", "tokens", ranked, NUM_WORDS)
     return encoded.withColumn("ids", voc.padded(F.col("ids"), LENGTH))
 
 
