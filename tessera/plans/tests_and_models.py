@@ -1,5 +1,7 @@
 """Hypothesis tests and linear regression on the line table."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from tessera.operators import hypothesis, regression
@@ -181,6 +183,26 @@ def model_comparison(spark, d):
     return out.select("model", "parameters", F.round("r2", 6).alias("r2"), F.round("aic", 3).alias("aic"), F.round("bic", 3).alias("bic"))
 
 
+@query("stepwise_of_two", f"""
+with m as (select count(*) as n, regr_syy({Y}, {X}) as tss, corr({Y}, {X}) as a, corr({Y}, l_tax) as b, corr({X}, l_tax) as c from lineitem),
+e as (select *, (a * a + b * b - 2 * a * b * c) / (1 - c * c) as ab from m),
+s as (select n, unnest([
+  {{'model': '', 'r2': 0.0, 'parameters': 1}}, {{'model': '{X}', 'r2': a * a, 'parameters': 2}},
+  {{'model': 'l_tax', 'r2': b * b, 'parameters': 2}}, {{'model': '{X} + l_tax', 'r2': ab, 'parameters': 3}}], recursive := true), tss from e),
+v as (select model, r2, parameters, n * ln(tss * (1 - r2) / n) + ln(n) * parameters as score from s),
+one as (select * from v where parameters = 2 order by score limit 1),
+last as (select v.* from v, one where v.parameters = 3 and v.score <= one.score
+  union all select one.* from one, v where v.parameters = 3 and v.score > one.score and one.score <= (select score from v where parameters = 1)
+  union all select w.* from v w, one, v where v.parameters = 3 and v.score > one.score and w.parameters = 1 and one.score > w.score)
+select model, cast(parameters as integer) as parameters, round(r2, 8) as r2, round(score, 3) as score from last""")
+def stepwise_of_two(spark, d):
+    """Two candidate terms, so that every model the steps can reach has a closed form."""
+    fit = regression.moments(lines(spark, d), F.col(Y), {X: F.col(X), "l_tax": F.col("l_tax")}).step()
+    score = fit.n * math.log(fit.rss / fit.n) + math.log(fit.n) * fit.parameters
+    return spark.createDataFrame(
+        [(" + ".join(fit.terms), fit.parameters, round(fit.r2, 8), round(score, 3))], "model string, parameters int, r2 double, score double")
+
+
 @query("stepwise_selection")
 def stepwise_selection(spark, d):
     return rounded(candidates(spark, d).step().table(spark))
