@@ -47,7 +47,7 @@ LETTER, NUMBER = (rf"[\p{{{name}}}--[{UNLISTED}]]" for name in "LN")
 PATTERN = (rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?{LETTER}+| ?{NUMBER}+| ?[^[{SPACE}]||{LETTER}||{NUMBER}]+"
            rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 WORDS, PIECES, STEPS = 120_000, 20_000, 300_000  # entries that a worker remembers; words and pieces in each of two generations
-LIBRARY_WORDS = 550_000  # the same for words where no automaton takes room
+LIBRARY_WORDS = 400_000  # the same for words where no automaton takes room
 MARKS = frozenset(".,;:!?")
 
 
@@ -200,7 +200,7 @@ class Encoder:
         body = chunk[1:] if chunk[0] == " " else chunk
         if body.isascii():  # a word, or a word and a mark: no need to ask the pattern
             if body.isalpha():
-                return packed(self.pieces.to_ids(chunk.encode()))
+                return packed(self.pieces.plain_ids(chunk))
             if body[-1:] in MARKS and body[:-1].isalpha():
                 known = self.bare if body is chunk else self.after_blank
                 return known[body[:-1]] + self.pieces[body[-1]]
@@ -290,6 +290,10 @@ class _Pieces(_Remembered):
     def made(self, piece: str) -> bytes:
         return packed(self.to_ids(piece.encode()))
 
+    def plain_ids(self, chunk: str) -> list[int]:
+        """The ids of a word of ASCII letters, with or without a blank before it."""
+        return self.to_ids(chunk.encode())
+
 
 class _Chunks(_Remembered):
     """Packed ids of words, with or without a blank before them."""
@@ -307,12 +311,19 @@ class _Chunks(_Remembered):
         return self.encoder.missed(self.before + chunk)
 
 
-def _library_pieces(path: str) -> _Pieces:
+class _LibraryPieces(_Pieces):
     """The merges of the tokenizers library, on pieces already cut by its pattern."""
-    from tokenizers import Tokenizer
 
-    model, printed = Tokenizer.from_file(path).model, str.maketrans(dict(enumerate(byte_characters())))
-    return _Pieces(lambda piece: [t.id for t in model.tokenize(piece.decode("latin-1").translate(printed))])
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        characters = byte_characters()
+        self.tokenize, self.blank = Tokenizer.from_file(path).model.tokenize, characters[ord(" ")]
+        printed = str.maketrans(dict(enumerate(characters)))
+        super().__init__(lambda piece: [t.id for t in self.tokenize(piece.decode("latin-1").translate(printed))])
+
+    def plain_ids(self, chunk: str) -> list[int]:
+        return [t.id for t in self.tokenize(chunk.replace(" ", self.blank))]
 
 
 @lru_cache(maxsize=2)
@@ -324,7 +335,7 @@ def encoder(path: str) -> Encoder:
 @lru_cache(maxsize=2)
 def library_encoder(path: str) -> Encoder:
     """The same with the tokenizers library's merges in place of the automaton."""
-    return Encoder(path, _library_pieces, LIBRARY_WORDS)
+    return Encoder(path, _LibraryPieces, LIBRARY_WORDS)
 
 
 def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

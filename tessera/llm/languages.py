@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tessera.llm.support import map_arrow, only
+from tessera.llm.support import give_back, map_arrow, only
 from tessera.session import written
 
 WIDTH = 21  # bits of a character
@@ -165,7 +165,9 @@ def with_known_language(docs: DataFrame, size: int = PROFILE, share: float = 0.5
     def scored(texts):
         import pandas as pd
 
-        return pd.Series([score if lang != UNKNOWN else None for lang, score in map(judge, texts)], dtype="float64")
+        found = [score if lang != UNKNOWN else None for lang, score in map(judge, texts)]
+        give_back()
+        return pd.Series(found, dtype="float64")
 
     learned = F.coalesce(~held_out(docs["doc_id"]) & docs["lang"].isNotNull(), F.lit(False))
     rows = written(docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), learned.alias("learned"),

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tessera.llm.support import map_arrow, only
+from tessera.llm.support import give_back, map_arrow, only
 from tessera.session import written
 
 SYMBOLS = "#*$%&|<>"
@@ -220,6 +220,7 @@ def passing(docs: DataFrame) -> DataFrame:
         import pandas as pd
 
         found = [judged(text, known) for text in texts]
+        give_back()
         return pd.DataFrame({"n_words": [f[0] for f in found], "word_chars": [f[1] for f in found],
                              "char_distance": [f[6] for f in found], "word_distance": [f[7] for f in found],
                              "base_failed": [f[5] for f in found]})

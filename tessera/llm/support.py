@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Mapping
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +32,24 @@ def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], Mapping], sche
             columns = function(batch)
             yield pa.RecordBatch.from_arrays(
                 [_array(columns[field.name], field.type) for field in target], schema=target)
+            del columns
+            give_back()
 
     return df.mapInArrow(work, schema)
 
 
+def give_back() -> None:
+    """Hand memory that is free again to the system, where the C library can, so that a waiting worker does not hold it."""
+    trim = _trim()
+    if trim is not None:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def _array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessera.llm.bytepairs import library_encoder
-from tessera.llm.support import only
+from tessera.llm.support import give_back, only
 from tessera.session import fresh_path, shuffle_width, written
 
 MANIFEST = "part int, name string, width int, n_docs long, n_tokens long"
@@ -66,6 +66,8 @@ def write(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, id_col
             files["doc"].write(batch["doc_id"].fill_null(0).to_numpy().astype("<i8").tobytes())
             files["nul"].write(batch["doc_id"].is_null().to_numpy(zero_copy_only=False).astype("u1").tobytes())
             n_docs, n_tokens = n_docs + len(packed), n_tokens + len(ids)
+            del packed, ids
+            give_back()
         for file in files.values():
             file.close()
         if encoder is not None:
