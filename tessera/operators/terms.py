@@ -84,7 +84,7 @@ class TermClassifier:
             raise ValueError("no term is within the limits")
         rows = terms.vectors(train.withColumn(label, F.col(label).cast("double")), document, tokens, [label])
         model = LogisticRegression(
-            featuresCol="features", labelCol=label, maxIter=max_iterations, regParam=1.0 / max(terms.documents, 1), tol=1e-9,
+            featuresCol="features", labelCol=label, maxIter=max_iterations, regParam=1.0 / max(terms.documents, 1), tol=1e-13,
             standardization=False, aggregationDepth=3, predictionCol="predicted", probabilityCol="probability").fit(rows)
         return cls(terms, model)
 
