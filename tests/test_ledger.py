@@ -2,9 +2,11 @@ import random
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tessera.operators import ledger, stock_functions
+from tessera.streaming import sales
 from tessera.streaming.sales import SalesStream
 
 
@@ -237,3 +239,43 @@ def test_closed_sales_are_forgotten_after_the_limit(spark, tmp_path):
         time.sleep(0.1)
         found = runner.run(arriving(spark, later, folder, 5)).collect()
         assert {r["line"]: r["status"] for r in found} == {1: "bad_quantity", 2: "aborted", 3: "ok", 4: wanted}
+
+
+def test_products_with_few_lines_are_folded_whole(spark, monkeypatch):
+    def cut(*_):
+        raise AssertionError("no product has so many lines")
+
+    monkeypatch.setattr(ledger, "FEW", 1)
+    monkeypatch.setattr(ledger, "_slice_entries", cut)
+    rows = random_events(300, 9)
+    settled = ledger.settle(spark.createDataFrame(rows, EVENT_SCHEMA), spark.createDataFrame(STOCK, STOCK_SCHEMA), 300)
+    assert outcome(settled) == brute_events(rows, STOCK)[0]
+
+
+class MapState(dict):
+    containsKey, getValue, updateValue = dict.__contains__, dict.get, dict.__setitem__
+
+    def exists(self):
+        return bool(self)
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_one_call_decides_a_bucket_of_sales_and_products(monkeypatch, few):
+    monkeypatch.setattr(sales, "FEW", few)
+    gate, keeper = sales.SaleGate(1000), sales.StockKeeper()
+    gate.closed, keeper.stock = MapState({("-7",): (0,)}), MapState()
+    keeper.handleInitialState((5,), pd.DataFrame(
+        [("1", 4, 1.0, 2.0), ("2", 1, 1.0, 2.0)], columns=["product", "quantity", "purchase_price", "selling_price"]), None)
+    lines = [("7", 1, "1", 1.0, False), ("8", 2, "1", 3.0, False), ("9", 3, "2", 0.0, False), ("9", 4, "1", 1.0, False),
+             (None, 5, "2", 1.0, False), ("8", 6, "1", 2.0, False), ("8", 7, "3", 1.0, False)]
+    block = pd.DataFrame(lines, columns=["sale", "line", "product", "quantity", "delivered"]).assign(
+        purchase_price=np.nan, selling_price=np.nan, closing=["" if r[0] is None else "-" + r[0] for r in lines])
+    marked = pd.concat(gate.handleInputRows((3,), iter([block.iloc[::-1]]), None))
+    assert marked["early"].tolist() == ["aborted", None, "bad_quantity", "aborted", None, None, None]
+    assert gate.closed == {("-7",): (0,), ("-9",): (3,)}
+    decided = pd.concat(keeper.handleInputRows((5,), iter([marked]), None))
+    assert decided["status"].tolist() == ["aborted", "ok", "bad_quantity", "aborted", "ok", "insufficient", "unknown_product"]
+    assert {k: v[0] for k, v in keeper.stock.items()} == {("1",): 1, ("2",): 0}
