@@ -2,6 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from tessera.streaming import runs
 from tessera.streaming.daily import DailyTotals
 
 SCHEMA = "id long, ts timestamp_ntz, amount long"
@@ -55,3 +56,13 @@ def test_a_repeated_batch_overwrites_its_days(spark, tmp_path):
     (tmp_path / "state/checkpoint/commits/.0.crc").unlink(missing_ok=True)
     arrive(spark, folder, [(3, at(1), 4)])
     assert totals(daily.run(source, "ts", F.col("amount"))) == {1: 1, 2: 6}
+
+
+def test_batches_of_an_ordered_stream_are_shared_by_tasks(spark, monkeypatch):
+    monkeypatch.setattr(runs, "ROWS_PER_FILE", 50)
+    stream = runs.ordered_stream(spark.range(1000), "id", batches=2)
+    seen = []
+    runs.drain(stream, lambda batch, _: seen.append(batch.agg(
+        F.count_distinct(F.input_file_name()), F.min("id"), F.max("id")).first()))
+    assert [files for files, *_ in seen] == [8, 8]
+    assert seen[0][1] == 0 and seen[0][2] + 1 == seen[1][1] and seen[1][2] == 999

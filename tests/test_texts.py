@@ -75,3 +75,11 @@ def test_dictionary_limits(spark):
     assert [r["token"] for r in voc.filter_extremes(frequency, 2, 0.5, 1).collect()] == ["a"]
     bag = voc.bag_of_words(documents(spark), "doc", "tokens", voc.filter_extremes(frequency, 2, 0.5))
     assert sorted(tuple(r) for r in bag.collect()) == [(1, 0, 1), (1, 1, 2), (2, 0, 1), (4, 1, 1)]
+
+
+def test_words_of_comments_without_cleaning_spaces(spark):
+    rows = [("See HTTP://a.b/C?d=1 NOW!\nÉté  www.x.it ok",), ("",), (None,), (" \t\n",), ("a b  c\x1cd-e\r\n9 9 f'g ",), ("123",)]
+    df = spark.createDataFrame(rows, "t string")
+    plain, short = text.words(text.cleaned_comment(F.col("t"))), text.comment_words(F.col("t"))
+    for a, b in df.select(plain, short).collect():
+        assert a == b
