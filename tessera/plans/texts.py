@@ -22,7 +22,7 @@ f as (select token, count(distinct doc_id) as documents, count(distinct doc_id)
 
 def comment_tokens(spark, d):
     return load_spread(spark, d, "documents", "doc_id").select(
-        "doc_id", text.words(text.cleaned_comment(F.col("text"))).alias("tokens"))
+        "doc_id", text.comment_words(F.col("text")).alias("tokens"))
 
 
 def mails(spark, d):
@@ -84,7 +84,8 @@ def lemmatised_mails(spark, d):
     tokens = load_spread(spark, d, "documents", "doc_id").select("doc_id", text.mail_tokens(F.col("text"), [""]).alias("tokens"))
     tokens = written(tokens, "tokens")
     words = voc.unfolded(tokens, [], "tokens", "token").distinct()
-    lemmas = voc.lemmatised(tokens, "doc_id", "tokens", voc.plural_lemmas(words))
+    dictionary = voc.small(written(voc.plural_lemmas(words), "lemmas"))  # else all tokens would be shuffled to meet it
+    lemmas = voc.lemmatised(tokens, "doc_id", "tokens", dictionary)
     kept = F.filter("tokens", lambda w: ~w.isin(*text.ENGLISH_STOP_WORDS))
     return lemmas.select("doc_id", F.array_join(kept, " ").alias("mail"))
 
