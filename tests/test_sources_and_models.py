@@ -172,3 +172,10 @@ def test_record_arrays_and_bitmaps(spark, tmp_path):
     assert writers.save_bitmaps(images, folder) == 3
     found = {(r["height"], r["width"]): bytes(r["pixels"]) for r in readers.read_images(spark, folder).collect()}
     assert found == {(h, w): bytes(p) for _, h, w, p in rows}
+
+
+def test_many_small_images_share_tasks(spark, tmp_path):
+    images = spark.createDataFrame([(str(k), 2, 2, bytearray(4)) for k in range(700)], "image string, height int, width int, pixels binary")
+    writers.save_bitmaps(images, str(tmp_path / "images"))
+    found = readers.read_images(spark, str(tmp_path / "images"))
+    assert found.count() == 700 and found.rdd.getNumPartitions() <= 16
