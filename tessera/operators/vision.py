@@ -272,13 +272,9 @@ def patch_positions(images: DataFrame, window: int, per_image: int, seed: int =
 
 
 def random_patches(images: DataFrame, window: int, per_image: int, seed: int = 42) -> DataFrame:
-    """Cropped patches ``image, patch, x, y, height, width, pixels``."""
-    def crop(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            cut = [_raster(r)[r.y:r.y + window, r.x:r.x + window].tobytes() for r in batch.itertuples(index=False)]
-            yield pd.DataFrame({"image": batch["image"], "patch": batch["patch"], "x": batch["x"], "y": batch["y"],
-                                "height": window, "width": window, "pixels": cut})
-
-    kind = images.schema["image"].dataType.simpleString()
-    return patch_positions(images, window, per_image, seed).mapInPandas(
-        crop, f"image {kind}, patch int, x int, y int, height int, width int, pixels binary")
+    """Cropped patches ``image, patch, x, y, height, width, pixels``, put together from pieces of the image's rows."""
+    first = F.col("y") * F.col("width") + F.col("x") + 1
+    rows = [F.substring("pixels", first + i * F.col("width"), F.lit(window)) for i in range(window)]
+    side = F.lit(window)
+    return patch_positions(images, window, per_image, seed).select(
+        "image", "patch", "x", "y", side.alias("height"), side.alias("width"), F.concat(*rows).alias("pixels"))

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from tessera.plans.models import corpus
 
 FOLDER = "/root/testdata/sf0.001"
 CHECKED = [
@@ -37,3 +38,17 @@ def test_filters_reach_the_files(spark, capsys):
 def test_tokens_are_computed_once_per_pass(spark):
     plan = plan_of(entry.queries()["token_counts"](spark, FOLDER))
     assert plan.count("regexp_replace(lower(") <= 1
+
+
+def test_dictionary_of_lemmas_meets_tokens_where_they_are(spark):
+    plan = plan_of(entry.queries()["lemmatised_mails"](spark, FOLDER))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_patches_are_cut_without_python(spark):
+    assert plan_of(entry.queries()["random_patches"](spark, FOLDER)).count("MapInPandas") == 1
+
+
+def test_corpus_takes_only_what_is_asked_for(spark):
+    assert set(corpus(spark, FOLDER, "words").columns) >= {"doc_id", "words", "toxic"}
+    assert not {"tokens", "text"} & set(corpus(spark, FOLDER, "words").columns)
