@@ -62,7 +62,7 @@ def test_batches_of_an_ordered_stream_are_shared_by_tasks(spark, monkeypatch):
     monkeypatch.setattr(runs, "ROWS_PER_FILE", 50)
     stream = runs.ordered_stream(spark.range(1000), "id", batches=2)
     seen = []
-    runs.drain(stream, lambda batch, _: seen.append(batch.agg(
-        F.count_distinct(F.input_file_name()), F.min("id"), F.max("id")).first()))
+    runs.drain(stream, lambda batch, _: seen.append(batch.withColumn("file", F.input_file_name()).agg(
+        F.count_distinct("file"), F.min("id"), F.max("id")).first()))
     assert [files for files, *_ in seen] == [8, 8]
     assert seen[0][1] == 0 and seen[0][2] + 1 == seen[1][1] and seen[1][2] == 999
