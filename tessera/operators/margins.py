@@ -2,7 +2,8 @@
 
 The loss is ``|w|^2 / 2 + C sum max(0, 1 - y f(x))^2`` with the intercept as the weight of a constant feature. Rows stay
 where they are; a pass gives one vector per task (a gradient, or the Hessian times a direction), and vectors are added
-up in two levels, so the driver gets about the square root of the number of tasks. The Hessian itself is never formed.
+up in two levels, so the driver gets about the square root of the number of tasks. Up to ``FORMED`` weights a pass also sums
+the Hessian, and a Newton step is two passes however hard the rows are to separate; beyond, only its products are formed.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tessera.session import written
 
+FORMED = 512  # weights up to which the Hessian is a sum of its own: 2 MB a task
 STEPS = 2.0 ** -np.arange(12)  # lengths that one pass tries along a direction
 Rows = tuple[np.ndarray, np.ndarray]  # features with a constant 1 behind them, signs of the label
 
@@ -74,16 +76,21 @@ def fit(train: DataFrame, values: str, label: str, cost: float = 1.0, max_iterat
     if sizes[0] is None or sizes[0] != sizes[1]:
         raise ValueError("there must be rows, with arrays of one length")
     size = sizes[0] + 1
+    formed = size <= FORMED
     w, passes, start = np.zeros(size), 0, None
     for _ in range(max_iterations):
         at = w.copy()
 
         def slope(x: np.ndarray, y: np.ndarray) -> np.ndarray:
             short = np.maximum(1 - y * (x @ at), 0)
-            return np.append(x.T @ (-2 * cost * y * short), cost * short @ short)
-
-        found, passes = _summed(rows, slope, size + 1), passes + 1
-        gradient, loss = found[:-1] + w, found[-1] + w @ w / 2
+            parts = [x.T @ (-2 * cost * y * short), [cost * short @ short]]
+            if formed:
+                active = x[short > 0]
+                parts.append((2 * cost * (active.T @ active)).ravel())
+            return np.concatenate(parts)
+
+        found, passes = _summed(rows, slope, size + 1 + formed * size * size), passes + 1
+        gradient, loss = found[:size] + w, found[size] + w @ w / 2
         norm = float(np.linalg.norm(gradient))
         start = norm if start is None else start
         if norm <= tolerance * start or norm == 0:
@@ -96,7 +103,10 @@ def fit(train: DataFrame, values: str, label: str, cost: float = 1.0, max_iterat
 
             return _summed(rows, partial, size) + direction
 
-        step, used = _conjugate(curved, -gradient, min(0.1, math.sqrt(norm / start)) * norm)
+        if formed:
+            step, used = np.linalg.solve(found[size + 1:].reshape(size, size) + np.eye(size), -gradient), 0
+        else:
+            step, used = _conjugate(curved, -gradient, min(0.1, math.sqrt(norm / start)) * norm)
 
         def losses(x: np.ndarray, y: np.ndarray) -> np.ndarray:
             here, along = y * (x @ at), y * (x @ step)

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 BINS = 9
+HITS = 10_000  # found windows that a task holds before it hands them on
 
 
 def gradients(df: DataFrame, image: str, values: str, height: int, width: int) -> DataFrame:
@@ -112,7 +113,7 @@ class LevelHistograms:
         self.gx, self.gy = np.zeros_like(g), np.zeros_like(g)
         self.gx[:, 1:-1] = g[:, 2:] - g[:, :-2]
         self.gy[1:-1, :] = g[2:, :] - g[:-2, :]
-        self.number = np.minimum(np.rad2deg(np.arctan2(self.gy, self.gx)) % 180.0 // (180.0 / BINS), BINS - 1).astype(np.int8)
+        self.number = np.minimum(np.rad2deg(np.arctan2(self.gy, self.gx)) % 180.0 // (180.0 / BINS), BINS - 1).astype(np.int64)
         self.size = np.hypot(self.gx, self.gy)
 
     def windows(self, ys: np.ndarray, xs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -132,13 +133,15 @@ class LevelHistograms:
 
     def _sums(self, top: int, bottom: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Running sums over a band: per orientation from its corner, along rows, and down columns."""
-        band, width = slice(top, bottom), self.size.shape[1]
-        corner = np.zeros((BINS, bottom - top + 1, width + 1))
-        for k in range(BINS):
-            np.cumsum(np.where(self.number[band] == k, self.size[band], 0), axis=0, dtype=np.float64, out=corner[k, 1:, 1:])
-            np.cumsum(corner[k, 1:, 1:], axis=1, out=corner[k, 1:, 1:])
-        along = np.pad(np.cumsum(np.abs(self.gx[band]), axis=1, dtype=np.float64), ((0, 0), (1, 0)))
-        down = np.pad(np.cumsum(np.abs(self.gy[band]), axis=0, dtype=np.float64), ((1, 0), (0, 0)))
+        band, height, width = slice(top, bottom), bottom - top, self.size.shape[1]
+        corner = np.zeros((BINS, height + 1, width + 1))
+        place = np.arange(1, height + 1)[:, None] * (width + 1) + np.arange(1, width + 1)
+        corner.ravel()[self.number[band] * ((height + 1) * (width + 1)) + place] = self.size[band]
+        np.cumsum(corner, axis=1, out=corner)
+        np.cumsum(corner, axis=2, out=corner)
+        along, down = np.zeros((height, width + 1)), np.zeros((height + 1, width))
+        np.cumsum(np.abs(self.gx[band]), axis=1, dtype=np.float64, out=along[:, 1:])
+        np.cumsum(np.abs(self.gy[band]), axis=0, dtype=np.float64, out=down[1:])
         return corner, along, down
 
     def _cells(self, sums: tuple[np.ndarray, np.ndarray, np.ndarray], y: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -229,32 +232,43 @@ def detect(
     """Windows with a positive score, as boxes in the coordinates of the full image.
 
     A task walks an image's levels one after the other, each made from the last, and each level's pixels once: windows
-    take their histograms from running sums (``LevelHistograms``). Only the hits leave the task.
+    take their histograms from running sums (``LevelHistograms``). Only the hits leave the task, ``HITS`` or more at a time.
     """
     rows = images.select("image", "height", "width", "pixels", F.transform(
         level_path(scale, window), lambda s: F.struct(s["height"].alias("height"), s["width"].alias("width"))).alias("levels"))
     weights, offset = np.asarray(coefficients, dtype=np.float64), float(intercept)
 
+    def found(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for row in batch.itertuples(index=False):
+            raster = _raster(row)
+            for level, size in enumerate(row.levels):
+                if level:
+                    raster = resized(raster, int(size["height"]), int(size["width"]))
+                factor = row.width / raster.shape[1]
+                ys = np.arange(0, raster.shape[0] - window, step)
+                xs = np.arange(0, raster.shape[1] - window, step)
+                if not len(ys) or not len(xs):
+                    continue
+                for y, x, cells in LevelHistograms(raster, window, cell).windows(ys, xs):
+                    score = _described(cells, block) @ weights + offset
+                    hit = score > 0
+                    if hit.any():
+                        yield pd.DataFrame({
+                            "image": row.image, "level": level, "x": (x[hit] * factor).astype(int),
+                            "y": (y[hit] * factor).astype(int), "w": int(window * factor), "h": int(window * factor),
+                            "score": score[hit]})
+
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                raster = _raster(row)
-                for level, size in enumerate(row.levels):
-                    if level:
-                        raster = resized(raster, int(size["height"]), int(size["width"]))
-                    factor = row.width / raster.shape[1]
-                    ys = np.arange(0, raster.shape[0] - window, step)
-                    xs = np.arange(0, raster.shape[1] - window, step)
-                    if not len(ys) or not len(xs):
-                        continue
-                    for y, x, cells in LevelHistograms(raster, window, cell).windows(ys, xs):
-                        score = _described(cells, block) @ weights + offset
-                        hit = score > 0
-                        if hit.any():
-                            yield pd.DataFrame({
-                                "image": row.image, "level": level, "x": (x[hit] * factor).astype(int),
-                                "y": (y[hit] * factor).astype(int), "w": int(window * factor), "h": int(window * factor),
-                                "score": score[hit]})
+            held, count = [], 0
+            for hits in found(batch):
+                held.append(hits)
+                count += len(hits)
+                if count >= HITS:
+                    yield pd.concat(held, ignore_index=True)
+                    held, count = [], 0
+            if held:
+                yield pd.concat(held, ignore_index=True)
 
     kind = images.schema["image"].dataType.simpleString()
     return rows.mapInPandas(work, f"image {kind}, level int, x int, y int, w int, h int, score double")

@@ -179,3 +179,18 @@ def test_many_small_images_share_tasks(spark, tmp_path):
     writers.save_bitmaps(images, str(tmp_path / "images"))
     found = readers.read_images(spark, str(tmp_path / "images"))
     assert found.count() == 700 and found.rdd.getNumPartitions() <= 16
+
+
+def test_a_summed_hessian_needs_few_passes_and_finds_the_same_optimum(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 40)) * np.logspace(0, 3, 40)  # hard for steps that know only products of the Hessian
+    y = (x[:, 0] + x[:, 39] / 1000 + rng.normal(size=400) > 0).astype(int)
+    df = spark.createDataFrame([(a.tolist(), int(b)) for a, b in zip(x, y)], "v array<double>, y int").repartition(2)
+    formed = margins.fit(df, "v", "y")
+    assert formed.passes <= 40
+    monkeypatch.setattr(margins, "FORMED", 0)
+    products = margins.fit(df, "v", "y", max_iterations=3)
+    assert products.passes > formed.passes
+    ones, sign, w = np.c_[x, np.ones(400)], 2 * y - 1, np.append(formed.coefficients, formed.intercept)
+    slope = lambda w: w - 2 * ones.T @ (sign * np.maximum(1 - sign * (ones @ w), 0))
+    assert np.abs(slope(w)).max() < 1e-6 * np.abs(slope(np.zeros_like(w))).max()

@@ -219,3 +219,25 @@ def test_image_folder(spark, tmp_path):
     assert sorted((r["height"], r["width"]) for r in rows) == [(20, 20), (20, 21)]
     only = read_images(spark, str(tmp_path), 20, 20).collect()
     assert len(only) == 1 and set(only[0]["pixels"]) == {round(10 * 0.114 + 100 * 0.587 + 200 * 0.299)}
+
+
+def test_hits_leave_a_task_together(spark, monkeypatch):
+    monkeypatch.setattr(vision, "HITS", 5)
+    taken = {}
+
+    class Rows:
+        schema = {"image": images(spark).schema["image"]}
+
+        def select(self, *columns):
+            return self
+
+        def mapInPandas(self, work, schema):
+            taken["work"] = work
+
+    vision.detect(Rows(), np.zeros(vision.hog(np.zeros((1, 32, 32), np.uint8)).shape[1]), 1.0, 32, 16, 1.2)
+    batch = images(spark).toPandas()
+    batch["levels"] = [[{"height": h, "width": w}] for h, w in zip(batch["height"], batch["width"])]
+    sizes = [len(part) for part in taken["work"](iter([batch, batch]))]
+    assert sum(sizes) == 2 * 3 * 12 and len(sizes) == 6  # 12 windows at a time
+    monkeypatch.setattr(vision, "HITS", 30)
+    assert [len(part) for part in taken["work"](iter([batch, batch]))] == [36, 36]
