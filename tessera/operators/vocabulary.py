@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -12,6 +13,7 @@ from tessera.operators.quantiles import percentiles
 from tessera.session import written
 
 BROADCAST_ROWS = 500_000
+TASK_TOKENS = 500_000  # tokens of whole documents that a task takes apart
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -114,7 +116,14 @@ def numbered(kept: DataFrame) -> DataFrame:
 
 
 def _term_counts(df: DataFrame, document: str, tokens: str, kept: DataFrame, columns: Sequence[str]) -> DataFrame:
-    placed = df.select(document, F.col(tokens).alias("_tokens")).repartition(document)
+    """Counts of a document's terms; ``df`` is read twice, so it should be a written table.
+
+    Token arrays pack well and take ten times their shuffled size as rows, so the number of tasks follows from the number
+    of tokens: each counts and sorts about ``TASK_TOKENS`` in memory.
+    """
+    amount = df.agg(F.sum(F.size(tokens))).first()[0] or 0
+    width = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(amount / TASK_TOKENS))
+    placed = df.select(document, F.col(tokens).alias("_tokens")).repartition(width, document)
     return unfolded(placed, [document], "_tokens", "token").join(small(kept), "token").groupBy(document, "token", *columns).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -127,8 +136,9 @@ def bag_of_words(df: DataFrame, document: str, tokens: str, kept: DataFrame) ->
 def tfidf(df: DataFrame, document: str, tokens: str, min_documents: int = 3, max_share: float = 0.3) -> DataFrame:
     """Smoothed TF-IDF with unit length per document, long form.
 
-    ``idf = ln((1+n)/(1+df)) + 1`` and the raw count as ``tf``.
+    ``idf = ln((1+n)/(1+df)) + 1`` and the raw count as ``tf``. Tokens are written once.
     """
+    df = written(df.select(document, tokens), "tokens")
     kept = filter_extremes(document_frequency(df, tokens), min_documents, max_share)
     total = df.agg(F.count(F.lit(1))).scalar()
     idf = (F.log((1 + total) / (1 + F.col("documents"))) + 1).alias("idf")

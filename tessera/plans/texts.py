@@ -137,7 +137,7 @@ def filtered_dictionary(spark, d):
 k as (select token, row_number() over (order by token) - 1 as token_id from f where documents >= 3 and share <= 0.25)
 select doc_id, token_id, count(*) as n from u join k using (token) group by 1, 2""")
 def bag_of_words(spark, d):
-    tokens = mails(spark, d)
+    tokens = written(mails(spark, d), "tokens")
     kept = voc.filter_extremes(voc.document_frequency(tokens, "tokens"), 3, 0.25, 100_000)
     return voc.bag_of_words(tokens, "doc_id", "tokens", kept)
 

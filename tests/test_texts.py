@@ -83,3 +83,13 @@ def test_words_of_comments_without_cleaning_spaces(spark):
     plain, short = text.words(text.cleaned_comment(F.col("t"))), text.comment_words(F.col("t"))
     for a, b in df.select(plain, short).collect():
         assert a == b
+
+
+def test_tasks_of_term_counts_follow_the_tokens(spark, monkeypatch):
+    rows = [(i % 50, [f"w{(i + j) % 7}" for j in range(20)]) for i in range(100)] + [(None, ["w1", "w1"]), (3, None), (4, [])]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    few = {tuple(r) for r in voc.tfidf(df, "id", "tokens", 1, 1.0).collect()}
+    monkeypatch.setattr(voc, "TASK_TOKENS", 40)
+    weights = voc.tfidf(df, "id", "tokens", 1, 1.0)
+    assert weights.rdd.getNumPartitions() == 51  # 2002 tokens, and no fewer tasks after the shuffle
+    assert {tuple(r) for r in weights.collect()} == few and sum(r[2] for r in few) == 2002
