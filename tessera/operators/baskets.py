@@ -69,16 +69,22 @@ def frequent_itemsets(df: DataFrame, document: str, item: str, min_count: int) -
 def mined_pair_rules(df: DataFrame, document: str, item: str, min_count: int, min_confidence: float) -> DataFrame:
     """One-to-one rules out of the itemset miner; ``pair_rules`` gives the same rows at scale.
 
-    Support and lift are restored to the number of all baskets, since the miner sees only
-    baskets with a frequent item.
+    The miner mines anew for each use of its itemsets, and its own rules use them twice and join all of them. So they
+    are mined once, their pairs and single items are written, and the rules of the pairs are made from these counts.
+    Support and lift refer to the number of all baskets, while the miner sees only baskets with a frequent item.
     """
-    model, mined = _fitted(df, document, item, min_count, min_confidence)
+    model, _ = _fitted(df, document, item, min_count, min_confidence)
     total = basket_count(df, document).scalar()
-    one_to_one = model.associationRules.filter("size(antecedent) = 1 and size(consequent) = 1")
-    return one_to_one.select(
-        F.element_at("antecedent", 1).alias("antecedent"), F.element_at("consequent", 1).alias("consequent"),
-        "confidence", (F.col("lift") / mined * total).alias("lift"),
-        (F.col("support") * mined / total).alias("support"))
+    found = written(model.freqItemsets.filter(F.size("items") <= 2), "itemsets")
+    single = found.filter(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
+    pairs = found.filter(F.size("items") == 2)
+    directed = pairs.select("freq", F.inline(F.array(*[
+        F.struct(F.col("items")[i].alias("antecedent"), F.col("items")[1 - i].alias("consequent")) for i in (0, 1)])))
+    confidence = F.col("freq") / F.col("_na")
+    return directed.join(single.select(F.col("item").alias("antecedent"), F.col("freq").alias("_na")), "antecedent").join(
+        single.select(F.col("item").alias("consequent"), F.col("freq").alias("_nc")), "consequent").select(
+        "antecedent", "consequent", confidence.alias("confidence"), (confidence / (F.col("_nc") / total)).alias("lift"),
+        (F.col("freq") / total).alias("support")).filter(F.col("confidence") >= min_confidence)
 
 
 def pair_rules(

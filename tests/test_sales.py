@@ -176,3 +176,28 @@ def test_refresh_job(spark):
     assert rules.filter("insert_timestamp is null").isEmpty()
     dates = sorted(r["date"] for r in ahead.collect())
     assert dates == [datetime.date(2024, 6, 19) + datetime.timedelta(days=i) for i in range(7)]
+
+
+def test_the_miner_is_read_once(spark, monkeypatch):
+    rows = [(i % 40, f"b{(i * i + i // 7) % 9}") for i in range(300)] + [(None, "b1"), (None, "b2"), (3, None)]
+    df = spark.createDataFrame(rows, "doc long, item string")
+    reads = []
+    fitted = baskets._fitted
+
+    class Once:
+        def __init__(self, model):
+            self.model = model
+
+        @property
+        def freqItemsets(self):
+            reads.append(1)
+            return self.model.freqItemsets
+
+    def counted(*args):
+        model, found = fitted(*args)
+        return Once(model), found
+
+    monkeypatch.setattr(baskets, "_fitted", counted)
+    mined = baskets.mined_pair_rules(df, "doc", "item", 3, 0.1)
+    close = lambda df: sorted((r[0], r[1], *(round(x, 9) for x in r[2:])) for r in df.collect())
+    assert close(mined) == close(baskets.pair_rules(df, "doc", "item", 3, 0.1)) != [] and len(reads) == 1
