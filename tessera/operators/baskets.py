@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.operators.itemsets import mine
 from tessera.session import written
 
+TASK_ROWS = 500_000  # items of whole baskets that a task pairs
+
 
 def basket_items(df: DataFrame, document: str, item: str) -> DataFrame:
     """Distinct (document, item) pairs; null items are left out."""
@@ -96,11 +100,13 @@ def pair_rules(
     out of the pairing: a pair found in ``min_count`` baskets must also occur in one that is
     not among the ``min_count - 1`` widest, so those only add to pairs found elsewhere, by
     looking up the baskets of both items. Wide baskets beyond that number are paired in
-    pieces, so that no task pairs a whole one.
+    pieces, so that no task pairs a whole one. Pairing is dealt to tasks by the number of rows, about ``TASK_ROWS`` each,
+    since rows to be sorted take many times their shuffled size.
     """
     pairs = written(_keyed(df, document, item), "pairs")
     counts = written(_frequent(pairs, min_count), "counts")
     kept = written(pairs.join(counts.select("item"), "item", "left_semi"), "frequent")
+    tasks = max(kept.sparkSession.sparkContext.defaultParallelism, math.ceil(kept.count() / TASK_ROWS))
     widths = kept.groupBy("document").agg(F.count(F.lit(1)).alias("width")).filter(F.col("width") > wide)
     looked_up = [r["document"] for r in widths.orderBy(F.desc("width"), "document").limit(min(min_count - 1, 1000)).collect()]
 
@@ -112,10 +118,11 @@ def pair_rules(
                           F.pmod(F.xxhash64("item"), F.col("pieces")).cast("int").alias("piece"))
         right = cut.select("document", F.col("item").alias("second"),
                            F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
-        met = left.join(right, ["document", "piece"])
+        met = left.repartition(tasks, "document", "piece").join(right.repartition(tasks, "document", "piece"), ["document", "piece"])
     else:
-        met = narrow.select("document", F.col("item").alias("first")).join(
-            narrow.select("document", F.col("item").alias("second")), "document")
+        dealt = narrow.repartition(tasks, "document")
+        met = dealt.select("document", F.col("item").alias("first")).join(
+            dealt.select("document", F.col("item").alias("second")), "document")
     together = met.filter("first < second").groupBy("first", "second").agg(F.count(F.lit(1)).alias("n"))
     if looked_up:
         together = together.filter(F.col("n") + len(looked_up) >= min_count)
