@@ -46,9 +46,14 @@ UNLISTED = (
 LETTER, NUMBER = (rf"[\p{{{name}}}--[{UNLISTED}]]" for name in "LN")
 PATTERN = (rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?{LETTER}+| ?{NUMBER}+| ?[^[{SPACE}]||{LETTER}||{NUMBER}]+"
            rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: The same pattern where all characters are ASCII, for the faster engine.
+ASCII_SPACE = r"\t\n\x0b\x0c\r "
+ASCII_PATTERN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^{ASCII_SPACE}A-Za-z0-9]+"
+                 rf"|[{ASCII_SPACE}]+(?![^{ASCII_SPACE}])|[{ASCII_SPACE}]+")
 WORDS, PIECES, STEPS = 120_000, 20_000, 300_000  # entries that a worker remembers; words and pieces in each of two generations
 LIBRARY_WORDS = 400_000  # the same for words where no automaton takes room
 MARKS = frozenset(".,;:!?")
+LATIN_END = "\u0250"  # below, a character is a letter to Python just where it is one to the pattern
 
 
 def byte_characters() -> list[str]:
@@ -189,7 +194,7 @@ class Encoder:
         self.labels = [b""] * top
         for label, token in [*tokens.items(), *((c.encode(), i) for c, i in self.special.items())]:
             self.labels[token] = label
-        self.pattern = regex.compile(PATTERN)
+        self.pattern, self.ascii_pattern = regex.compile(PATTERN), re.compile(ASCII_PATTERN)
         self.runs = re.compile(f"[{SPACE}]+|[^{SPACE}]+")
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.space = frozenset(SPACE)
@@ -198,12 +203,14 @@ class Encoder:
     def missed(self, chunk: str) -> bytes:
         """The packed ids of a chunk that is not remembered."""
         body = chunk[1:] if chunk[0] == " " else chunk
-        if body.isascii():  # a word, or a word and a mark: no need to ask the pattern
+        if body.isascii() or max(body) < LATIN_END:  # a word, or a word and a mark: no need to ask the pattern
             if body.isalpha():
                 return packed(self.pieces.plain_ids(chunk))
             if body[-1:] in MARKS and body[:-1].isalpha():
                 known = self.bare if body is chunk else self.after_blank
                 return known[body[:-1]] + self.pieces[body[-1]]
+        if chunk.isascii():
+            return b"".join(map(self.pieces.__getitem__, self.ascii_pattern.findall(chunk)))
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk)))
 
     def encode(self, text: str) -> bytes:
@@ -291,7 +298,7 @@ class _Pieces(_Remembered):
         return packed(self.to_ids(piece.encode()))
 
     def plain_ids(self, chunk: str) -> list[int]:
-        """The ids of a word of ASCII letters, with or without a blank before it."""
+        """The ids of a word of Latin letters, with or without a blank before it."""
         return self.to_ids(chunk.encode())
 
 
@@ -322,7 +329,14 @@ class _LibraryPieces(_Pieces):
         printed = str.maketrans(dict(enumerate(characters)))
         super().__init__(lambda piece: [t.id for t in self.tokenize(piece.decode("latin-1").translate(printed))])
 
+    def made(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable():  # these characters stand for themselves, but for the blank
+            return packed(self.plain_ids(piece))
+        return super().made(piece)
+
     def plain_ids(self, chunk: str) -> list[int]:
+        if not chunk.isascii():
+            return self.to_ids(chunk.encode())
         return [t.id for t in self.tokenize(chunk.replace(" ", self.blank))]
 
 

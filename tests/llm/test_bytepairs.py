@@ -112,3 +112,24 @@ def test_awkward_rows(spark, library):
                        hashlib.sha256(back.encode()).hexdigest()))
     assert sorted(map(tuple, rows), key=str) == sorted(wanted, key=str)
     assert bytepairs.digests(empty(spark), vocabulary_file()).count() == 0
+
+
+def test_words_that_need_no_pattern_are_cut_as_by_it(library):
+    encoder, rng = bytepairs.library_encoder(vocabulary_file()), random.Random(6)
+    calls = []
+
+    class Counted:
+        findall = staticmethod(lambda chunk, real=encoder.pattern: calls.append(chunk) or real.findall(chunk))
+
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    assert all(encoder.pattern.findall(c) == [c] for c in letters)
+    texts = ["".join(rng.choices(letters, k=9)) + rng.choice(["", ",", ".", "'s", "&&&", "ª1", "§"]) for _ in range(2000)]
+    texts += ["".join(rng.choices([chr(c) for c in range(128)], k=9)) for _ in range(2000)]
+    wanted = [library.encode(f"x {t}", add_special_tokens=False).ids for t in texts]
+    encoder.pattern, kept = Counted, encoder.pattern
+    try:
+        assert [ids_of(encoder.encode(f"x {t}")) for t in texts] == wanted
+        before = len(calls)
+        assert encoder.encode("x größenwahnzzq, thndntq%%%") and len(calls) == before
+    finally:
+        encoder.pattern = kept
