@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.support import map_arrow, only
@@ -26,12 +26,50 @@ MARKS = b".,;:!?\"()"
 REACH = 2  # tokens on either side
 PAD = 0
 NEVER = -1e4  # the logit of a member beyond the last number
+BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))  # where ``bytes.split`` splits
+BLOCK = 8 << 20  # characters of texts that are taken apart at once
 
 
 def words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "surrogatepass").translate(None, MARKS).split()
 
 
+def word_blocks(texts: list[str | None]) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The words of all texts as they follow one another, with the number of words of each text, for a few texts at a time."""
+    block, held = [], 0
+    for text in texts:
+        block.append(text or "")
+        held += len(block[-1])
+        if held >= BLOCK:
+            yield _block(block)
+            block, held = [], 0
+    if block:
+        yield _block(block)
+
+
+def _block(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    plain = [t.lower().encode("utf-8", "surrogatepass").translate(None, MARKS) for t in texts]
+    data = np.frombuffer(b" ".join([*plain, b""]), np.uint8)
+    blank = BLANK[data]
+    ends = np.flatnonzero(blank)
+    lengths = np.diff(ends, prepend=-1) - 1
+    real = lengths > 0  # no word ends at a blank after another
+    offsets = np.zeros(np.count_nonzero(real) + 1, np.int64)
+    np.cumsum(lengths[real], out=offsets[1:])
+    words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data[~blank])])
+    last = np.searchsorted(ends, np.cumsum([len(t) + 1 for t in plain]) - 1)
+    return words, np.diff(np.cumsum(real)[last], prepend=0)
+
+
+def distinct(words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    """The different words, and where each word is among them."""
+    coded = words.dictionary_encode()
+    known = coded.dictionary
+    # No word holds a blank, and splitting is several times faster than taking values one by one.
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, len(known)]), known), pa.scalar(b" ", known.type))
+    return joined[0].as_py().split(), coded.indices.to_numpy()
+
+
 class Vocabulary:
     """Numbers 1 to ``len(own)`` for frequent words, then ``shared`` numbers for all others; 0 is beyond the ends."""
 
@@ -43,18 +81,34 @@ class Vocabulary:
     def number(self, word: bytes) -> int:
         return self.own.get(word) or self.first + zlib.crc32(word) % self.shared
 
+    def every(self, words: list[bytes]) -> np.ndarray:
+        own, first, shared, crc = self.own.get, self.first, self.shared, zlib.crc32
+        return np.array([own(w) or first + crc(w) % shared for w in words], np.int32)
+
     def numbers(self, text: str | None) -> np.ndarray:
-        own, first, shared, crc = self.own, self.first, self.shared, zlib.crc32
-        return np.array([own.get(w) or first + crc(w) % shared for w in words(text)], np.int32)
+        return self.lists([text]).values.to_numpy()
+
+    def lists(self, texts: list[str | None]) -> pa.ListArray:
+        """The numbers of every text."""
+        found, lengths = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for words, counts in word_blocks(texts):
+            different, at = distinct(words)
+            found.append(self.every(different)[at])
+            lengths.append(counts)
+        return lists(np.concatenate(lengths), np.concatenate(found))
+
+
+def lists(lengths: np.ndarray, values: np.ndarray | pa.Array) -> pa.ListArray:
+    """Lists of these lengths that share out the values."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values if isinstance(values, pa.Array) else pa.array(values))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word, n`` over all texts (``word`` in bytes), counted inside tasks first."""
     def work(batch: pa.RecordBatch) -> dict:
-        counts: Counter = Counter()
-        for text in batch["text"].to_pylist():
-            counts.update(words(text))
-        return {"word": pa.array(list(counts), pa.binary()), "n": list(counts.values())}
+        blocks = [words for words, _ in word_blocks(batch["text"].to_pylist())]
+        counts = pa.chunked_array(blocks, pa.large_binary()).value_counts()
+        return {"word": counts.field("values"), "n": counts.field("counts")}
 
     return map_arrow(only(docs, text="text"), work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -92,50 +146,51 @@ class Network:
         return out
 
     def hidden(self, parts: list[np.ndarray], around: np.ndarray) -> np.ndarray:
-        """Hidden values for rows of numbers around the hidden token, and a last column of 1 for the bias."""
+        """Hidden values, one column per row of numbers around the hidden token, and a last row of 1 for the bias."""
         places, bias = parts[:2]
-        out = np.ones((len(around), len(bias) + 1), bias.dtype)
-        sums = places[0][around[:, 0]]
+        sums = places[0].take(around[:, 0], axis=0)
         for k in range(1, around.shape[1]):
-            sums += places[k][around[:, k]]
+            sums += places[k].take(around[:, k], axis=0)
         sums += bias
-        np.tanh(sums, out=out[:, :-1])
+        out = np.ones((len(bias) + 1, len(sums)), bias.dtype)
+        out[:-1] = np.tanh(sums, out=sums).T
         return out
 
     def runs(self, token: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-        """Rows ordered by the group of their token, and (group, first, end) of each group's run."""
+        """The order of rows by the group of their token, and (group, first, end) of each group's run."""
         group = token // self.members
-        order = np.argsort(group, kind="stable")
+        order = np.argsort(group.astype(np.int16), kind="stable")  # few enough groups for sorting by digits
         ends = np.cumsum(np.bincount(group, minlength=self.groups)).tolist()
         return order, [(g, a, b) for g, (a, b) in enumerate(zip([0, *ends], ends)) if b > a]
 
-    def chances(self, parts: list[np.ndarray], hidden: np.ndarray, token: np.ndarray,
-                runs: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probabilities of the groups and of the members of the token's group, for rows in runs, and the token's logarithm."""
-        top, low = parts[2:]
-        members = np.empty((len(token), self.members), hidden.dtype)
+    def logits(self, parts: list[np.ndarray], hidden: np.ndarray,
+               runs: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of the groups and of the members of the token's group, less the largest, one column per row in runs."""
+        top, low = parts[-2:]
+        members = np.empty((self.members, hidden.shape[1]), hidden.dtype)
         for group, a, b in runs:
-            np.matmul(hidden[a:b], low[group], out=members[a:b])
-        groups, rows, found = hidden @ top, np.arange(len(token)), 0
-        for logits, wanted in ((groups, token // self.members), (members, token % self.members)):
-            logits -= logits.max(axis=1, keepdims=True)
-            at = logits[rows, wanted]
-            np.exp(logits, out=logits)
-            total = logits.sum(axis=1)
-            logits *= (1 / total)[:, None]
-            found = found + at - np.log(total)
-        return groups, members, found
+            np.matmul(low[group].T, hidden[:, a:b], out=members[:, a:b])
+        groups = top.T @ hidden
+        for logits in (groups, members):
+            logits -= logits.max(axis=0)
+        return groups, members
 
     def logs(self, parts: list[np.ndarray], around: np.ndarray, token: np.ndarray) -> np.ndarray:
         """The log-probability of every token."""
         order, runs = self.runs(token)
+        token, rows, found = token[order], np.arange(len(token)), 0
+        both = self.logits(parts, self.hidden(parts, around[order]), runs)
+        for logits, wanted in zip(both, (token // self.members, token % self.members)):
+            at = logits[wanted, rows]
+            np.exp(logits, out=logits)
+            found = found + at - np.log(logits.sum(axis=0))
         out = np.empty(len(token))
-        out[order] = self.chances(parts, self.hidden(parts, around[order]), token[order], runs)[2]
+        out[order] = found
         return out
 
     def forward(self, parts: list[np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden values and the log-probabilities of all numbers."""
-        hidden = self.hidden(parts, around)
+        hidden = self.hidden(parts, around).T
         both = [hidden @ parts[2], np.einsum("nh,ghm->ngm", hidden, parts[3])]
         for logits in both:
             logits -= logits.max(axis=-1, keepdims=True)
@@ -147,30 +202,37 @@ class Network:
         first, second, scale = np.zeros_like(weights), np.zeros_like(weights), np.empty_like(weights)
         gradient, seen, steps = np.zeros_like(weights), 0, 0
         parts, slopes = self.split(weights), self.split(gradient)
-        top, low = parts[2:]
-        width = self.shapes[0][2]
+        places, bias, top, low = parts
+        kinds, size, width = places.shape
+        lows, low_slopes = list(low[:, :-1]), list(slopes[3])
+        value, cells = np.arange(width)[:, None], np.empty((kinds, width, 0), np.int64)
         for around, token in batches:
             n, steps = len(token), steps + 1
             order, runs = self.runs(token)
-            around, token, rows = around[order], token[order], np.arange(n)
+            around, token, rows = around.take(order, axis=0), token.take(order), np.arange(n)
             hidden = self.hidden(parts, around)
-            groups, members, _ = self.chances(parts, hidden, token, runs)
-            groups[rows, token // self.members] -= 1
-            members[rows, token % self.members] -= 1
-            groups *= 1 / n
-            members *= 1 / n
-            np.matmul(hidden.T, groups, out=slopes[2])
+            groups, members = self.logits(parts, hidden, runs)
+            for chances, wanted in ((groups, token // self.members), (members, token % self.members)):
+                np.exp(chances, out=chances)
+                chances *= (1 / n) / chances.sum(axis=0)
+                chances.reshape(-1)[wanted * n + rows] -= 1 / n
+            np.matmul(hidden, groups.T, out=slopes[2])
             slopes[3][:] = 0
-            back = groups @ top.T
+            back = np.empty((width, n), weights.dtype)
             for group, a, b in runs:
-                np.matmul(hidden[a:b].T, members[a:b], out=slopes[3][group])
-                back[a:b] += members[a:b] @ low[group].T
-            hidden = hidden[:, :-1]
-            back = back[:, :-1] * (1 - hidden * hidden)
-            slopes[1][:] = back.sum(axis=0)
-            for k in range(around.shape[1]):
-                cells = around[:, k, None] * width + np.arange(width)
-                slopes[0][k].ravel()[:] = np.bincount(cells.ravel(), back.ravel(), self.size * width)
+                chances = members[:, a:b]
+                np.matmul(hidden[:, a:b], chances.T, out=low_slopes[group])
+                np.matmul(lows[group], chances, out=back[:, a:b])
+            back += top[:-1] @ groups
+            hidden = hidden[:-1]
+            back *= 1 - hidden * hidden
+            slopes[1][:] = back.sum(axis=1)
+            if cells.shape[2] != n:
+                cells = np.empty((kinds, width, n), np.int64)
+            np.add((around.T.astype(np.int64) * width)[:, None], value, out=cells)
+            back = back.astype(np.float64).reshape(-1)
+            for k in range(kinds):
+                slopes[0][k].reshape(-1)[:] = np.bincount(cells[k].reshape(-1), back, size * width)
             # Adam with rates 0.9 and 0.99; the factors 0.1 and 0.01 of new values are taken into the last lines.
             first *= 0.9
             first += gradient
@@ -187,17 +249,20 @@ class Network:
         return seen
 
 
-def _stream(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts' numbers in a row with the window's reach of padding between them, and the number of tokens of each."""
-    gap, parts, lengths = np.full(REACH, PAD, np.int32), [np.full(REACH, PAD, np.int32)], []
-    for text in texts:
-        numbers = vocabulary.numbers(text)
-        parts += [numbers, gap]
-        lengths.append(len(numbers))
-    return np.concatenate(parts), np.array(lengths, np.int64)
+def _stream(vocabulary: Vocabulary, texts: list[str | None] | pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' numbers in a row with the window's reach of padding between them, and the number of tokens of each.
+
+    A list array holds the texts' numbers already.
+    """
+    rows = texts if isinstance(texts, pa.ListArray) else vocabulary.lists(texts)
+    ends = rows.offsets.to_numpy().astype(np.int64)
+    lengths, values = np.diff(ends), rows.flatten().to_numpy()
+    stream = np.full(len(values) + REACH * (len(lengths) + 1), PAD, np.int32)
+    stream[np.arange(len(values)) + np.repeat(REACH * np.arange(1, len(lengths) + 1), lengths)] = values
+    return stream, lengths
 
 
-def examples(vocabulary: Vocabulary, batches: Iterable[list[str | None]], every: int, turn: int,
+def examples(vocabulary: Vocabulary, batches: Iterable[list[str | None] | pa.ListArray], every: int, turn: int,
              step: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Steps of (around, token) for every ``every``-th place, counted on from batch to batch and beginning with ``turn``."""
     passed = turn
@@ -214,40 +279,54 @@ def _around(stream: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([stream[at + k] for k in range(-REACH, REACH + 1) if k], axis=1)
 
 
-class Scorer:
-    """A trained network with its vocabulary, and what gives the share of a word in its number.
+class Lexicon:
+    """Words by number, and what gives the share of a word in its number.
 
-    ``totals`` has the counts of the shared numbers, ``middle`` the log-shares of the more frequent of their words, and
-    ``counts`` is the table ``word, n`` of all others that come up more than once; it stays out of the tasks.
+    ``frequency`` has the counts of the numbers, ``totals`` those of the shared ones, ``middle`` the log-shares of the more frequent
+    of their words, and ``counts`` is the table ``word, n`` of all others that come up more than once; it stays out of the tasks.
     """
 
-    def __init__(self, vocabulary: Vocabulary, network: Network, weights: np.ndarray, totals: np.ndarray,
-                 middle: dict[bytes, float], counts: DataFrame):
-        self.vocabulary, self.network, self.weights = vocabulary, network, weights
-        self.totals, self.middle, self.counts = totals, middle, counts
+    def __init__(self, vocabulary: Vocabulary, frequency: np.ndarray, totals: np.ndarray, middle: dict[bytes, float], counts: DataFrame):
+        self.vocabulary, self.frequency, self.totals, self.middle, self.counts = vocabulary, frequency, totals, middle, counts
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"counts": None}
 
-    def shares(self, texts: list[str | None]) -> tuple[list[float], list[list[bytes]]]:
-        """Summed log-shares of every text's words, where words neither frequent nor in ``middle`` count as met once, and these words."""
-        own, middle, shared, crc = self.vocabulary.own, self.middle, self.vocabulary.shared, zlib.crc32
-        once = (-np.log(self.totals + 1)).tolist()
-        sums, rare = [], []
-        for text in texts:
-            total, others = 0.0, []
-            for word in words(text):
-                if word not in own:
-                    share = middle.get(word)
-                    if share is None:
-                        share = once[crc(word) % shared]
-                        others.append(word)
-                    total += share
-            sums.append(total)
-            rare.append(others)
-        return sums, rare
-
-    def scores(self, texts: list[str | None], piece: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    def columns(self, texts: list[str | None]) -> dict:
+        """Numbers of every text's words and their summed log-shares, where words neither frequent nor in ``middle`` count as met
+        once. The first text of a block has these words of the whole block, each with the places of its texts after the first."""
+        own, middle, first = self.vocabulary.own, self.middle, self.vocabulary.first
+        once = -np.log(self.totals + 1)
+        found = {"numbers": [], "share": [], "rare": []}
+        for words, lengths in word_blocks(texts):
+            known, at = distinct(words)
+            number = self.vocabulary.every(known)
+            share = np.array([0.0 if w in own else middle.get(w, 1.0) for w in known], float)  # no share's logarithm is above 0
+            rare = share > 0
+            share[rare] = once[number[rare] - first]
+            text = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+            found["numbers"].append(lists(lengths, number[at]))
+            found["share"].append(pa.array(np.bincount(text, share[at], len(lengths)), pa.float64()))
+            picked = rare[at]
+            text, at = text[picked], at[picked]
+            which = np.flatnonzero(rare)
+            places = lists(np.bincount(at, minlength=len(known))[which], text[np.argsort(at, kind="stable")])
+            met = pa.StructArray.from_arrays([pa.array([known[i] for i in which], pa.binary()), places], ["word", "places"])
+            found["rare"].append(lists(np.r_[len(which), np.zeros(len(lengths) - 1, np.int64)], met))
+        return {name: pa.chunked_array(parts) if parts else [] for name, parts in found.items()}
+
+
+class Scorer:
+    """A trained network with its lexicon."""
+
+    def __init__(self, lexicon: Lexicon, network: Network, weights: np.ndarray):
+        self.lexicon, self.network, self.weights = lexicon, network, weights
+        self.vocabulary, self.middle, self.counts = lexicon.vocabulary, lexicon.middle, lexicon.counts
+
+    def __getstate__(self) -> dict:
+        return {"network": self.network, "weights": self.weights, "vocabulary": None}  # numbers are given to tasks
+
+    def scores(self, texts: list[str | None] | pa.ListArray, piece: int = 2048) -> tuple[np.ndarray, np.ndarray]:
         """Tokens and summed log-probability of the numbers of every text."""
         stream, lengths = _stream(self.vocabulary, texts)
         at, parts = np.flatnonzero(stream != PAD), self.network.split(self.weights)
@@ -260,16 +339,7 @@ class Scorer:
         return lengths, sums[ends] - sums[ends - lengths]
 
 
-def fit(docs: DataFrame, own: int | None = None, shared: int = 128, hidden: int = 24, every: int = 1, rounds: int = 2,
-        rate: float = 0.01, step: int = 512, seed: int = 5, frequent: float = 1e-4, met: int = 20, known: float = 1e-5) -> Scorer:
-    """Count words and train over all rows of ``docs``.
-
-    The words of all texts are counted. Those that make up ``frequent`` of all tokens, and come up ``met`` times, have numbers
-    of their own; ``own`` takes that many of the most frequent ones instead. In a round every token of every text is an example; an ``every`` above 1 takes only
-    every ``every``-th place of the texts of a task, counted on from text to text, with another first place in every round. The driver gets
-    the words above ``frequent`` and ``known`` of all tokens (at most 1 / ``known``) and the weights; the shares of all other
-    words stay in the table of counts. Sums of weights are made by Spark.
-    """
+def lexicon(docs: DataFrame, own: int | None, shared: int, frequent: float, met: int, known: float) -> Lexicon:
     counts = written(word_counts(docs), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     frequent_words = counts if own is not None else counts.filter(F.col("n") >= max(met, frequent * total))
@@ -287,12 +357,52 @@ def fit(docs: DataFrame, own: int | None = None, shared: int = 128, hidden: int
     middle = {bytes(r.word): math.log(r.n / (totals[r.slot] + 1))
               for r in rest.filter(F.col("n") >= known * total).select("word", "n", slot.alias("slot")).collect()}
     tail = rest.filter((F.col("n") > 1) & (F.col("n") < known * total))
-    network = Network(vocabulary.size, hidden)
-    weights = network.start(frequency / frequency.sum(), seed)
-    source = only(docs, text="text")
+    return Lexicon(vocabulary, frequency, totals, middle, tail)
+
+
+def numbered(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``row, doc_id, numbers, share, rare`` per row of ``docs``, written once for all rounds and for the scores.
+
+    Rows of a task are counted on, so places of ``rare`` count from ``row``.
+    """
+    def work(batch: pa.RecordBatch) -> dict:
+        return {"doc_id": batch["doc_id"], **lexicon.columns(batch["text"].to_pylist())}
+
+    rows = map_arrow(only(docs, doc_id="doc_id", text="text"), work,
+                     "doc_id long, numbers array<int>, share double, rare array<struct<word: binary, places: array<int>>>")
+    return written(rows.withColumn("row", F.monotonically_increasing_id()), "numbers")
+
+
+def fit(docs: DataFrame, **parameters) -> Scorer:
+    """The scorer of ``fit_and_score``."""
+    return _fit(docs, **parameters)[0]
+
+
+def fit_and_score(docs: DataFrame, **parameters) -> DataFrame:
+    """Scores of all rows of ``docs`` by a network that is trained on them; texts are taken apart once for both."""
+    scorer, rows = _fit(docs, **parameters)
+    return _scored(rows, scorer)
+
+
+def _fit(docs: DataFrame, own: int | None = None, shared: int = 128, hidden: int = 24, every: int = 1, rounds: int = 2,
+         rate: float = 0.01, step: int = 512, seed: int = 5, frequent: float = 1e-4, met: int = 20,
+         known: float = 1e-5) -> tuple[Scorer, DataFrame]:
+    """Count words and train over all rows of ``docs``; also their numbers.
+
+    The words of all texts are counted. Those that make up ``frequent`` of all tokens, and come up ``met`` times, have numbers
+    of their own; ``own`` takes that many of the most frequent ones instead. In a round every token of every text is an example; an ``every`` above 1 takes only
+    every ``every``-th place of the texts of a task, counted on from text to text, with another first place in every round. The driver gets
+    the words above ``frequent`` and ``known`` of all tokens (at most 1 / ``known``) and the weights; the shares of all other
+    words stay in the table of counts. Sums of weights are made by Spark.
+    """
+    lexed = lexicon(docs, own, shared, frequent, met, known)
+    rows = numbered(docs, lexed)
+    network = Network(lexed.vocabulary.size, hidden)
+    weights = network.start(lexed.frequency / lexed.frequency.sum(), seed)
+    source = only(rows, numbers="numbers")
     for turn in range(rounds):
-        weights = _round(source, vocabulary, network, weights, every, turn, rate / (turn + 1), step)
-    return Scorer(vocabulary, network, weights, totals, middle, tail)
+        weights = _round(source, lexed.vocabulary, network, weights, every, turn, rate / (turn + 1), step)
+    return Scorer(lexed, network, weights), rows
 
 
 def _round(source: DataFrame, vocabulary: Vocabulary, network: Network, weights: np.ndarray, every: int, turn: int,
@@ -301,8 +411,7 @@ def _round(source: DataFrame, vocabulary: Vocabulary, network: Network, weights:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = weights.copy()
-
-        texts = (batch["text"].to_pylist() for batch in batches)
+        texts = (batch["numbers"] for batch in batches)
         seen = network.train(mine, examples(vocabulary, texts, every, turn, step), rate)
         if seen:
             yield pa.RecordBatch.from_arrays(
@@ -322,19 +431,20 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
     A null or empty text has no tokens, a sum of 0 and no mean. Rows of one id stay separate rows.
     """
+    return _scored(numbered(docs, scorer.lexicon), scorer)
+
+
+def _scored(rows: DataFrame, scorer: Scorer) -> DataFrame:
     def work(batch: pa.RecordBatch) -> dict:
-        texts = batch["text"].to_pylist()
-        lengths, sums = scorer.scores(texts)
-        shares, rare = scorer.shares(texts)
-        return {"doc_id": batch["doc_id"], "n_tokens": lengths, "known": sums + np.array(shares), "rare": rare}
+        lengths, sums = scorer.scores(batch["numbers"])
+        return {"row": batch["row"], "doc_id": batch["doc_id"], "n_tokens": lengths, "known": sums + batch["share"].to_numpy()}
 
-    rows = map_arrow(only(docs, doc_id="doc_id", text="text"), work,
-                     "doc_id long, n_tokens long, known double, rare array<binary>")
-    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "scores")
+    found = map_arrow(rows.select("row", "doc_id", "numbers", "share"), work, "row long, doc_id long, n_tokens long, known double")
     # A word that is in no count, or was met once, adds the logarithm of 1.
-    more = (rows.select("row", F.explode("rare").alias("word")).join(scorer.counts, "word")
-            .groupBy("row").agg(F.sum(F.log("n")).alias("more")))
+    more = (rows.select("row", F.inline("rare")).join(scorer.counts, "word")
+            .select("row", F.log("n").alias("share"), F.explode("places").alias("place"))
+            .groupBy((F.col("row") + F.col("place")).alias("row")).agg(F.sum("share").alias("more")))
     total = F.col("known") + F.coalesce("more", F.lit(0.0))
-    return rows.join(more, "row", "left").select(
+    return found.join(more, "row", "left").select(
         "doc_id", "n_tokens", total.alias("log_likelihood"),
         F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"))

@@ -83,8 +83,7 @@ def temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op10_masked_scores")
 def masked_scores(spark: SparkSession, folder: str) -> DataFrame:
-    docs = load(spark, folder, "documents")
-    return masked.score(docs, masked.fit(docs))
+    return masked.fit_and_score(load(spark, folder, "documents"))
 
 
 @query("op11_filter_interactions", audits.SQL)

@@ -127,3 +127,57 @@ def test_awkward_rows(spark):
     nothing = masked.fit(empty(spark))
     assert masked.score(empty(spark), nothing).count() == 0
     assert masked.score(docs, nothing).count() == len(TEXTS)
+
+
+def test_texts_are_taken_apart_once_for_rounds_and_scores(spark, monkeypatch):
+    asked, prepared = [], masked.numbered
+    monkeypatch.setattr(masked, "_round", lambda source, v, n, weights, *rest: asked.append(source.columns) or weights)
+    monkeypatch.setattr(masked, "numbered", lambda *a: asked.append("numbered") or prepared(*a))
+    found = masked.fit_and_score(documents(spark)).collect()
+    assert asked == ["numbered", ["numbers"], ["numbers"]]
+    assert sorted((str(r.doc_id), r.n_tokens) for r in found) == sorted((str(d), len(masked.words(t))) for d, t, *_ in TEXTS)
+
+
+@pytest.mark.parametrize("block", [1, 40, 1 << 20])
+def test_blocks_of_words(block, monkeypatch):
+    monkeypatch.setattr(masked, "BLOCK", block)
+    texts = [t for _, t, *_ in TEXTS] + ["  The river.\n a,b!", "\x1c\x1d x\x85 y \x0b\x0cz İSTANBUL ΑΣ", ".. !", "a b rare rare"]
+    wanted = [masked.words(t) for t in texts]
+    found = []
+    for words, lengths in masked.word_blocks(texts):
+        rest = iter(words.to_pylist())
+        found += [[next(rest) for _ in range(n)] for n in lengths]
+        assert next(rest, None) is None
+    assert found == wanted
+    vocabulary = masked.Vocabulary([b"the", b"a"], 5)
+    totals, middle = np.arange(5) + 3.0, {b"of": -0.5, b"b": 0.0}
+    lexicon = masked.Lexicon(vocabulary, np.ones(8), totals, middle, None)
+    columns = lexicon.columns(texts)
+    assert columns["numbers"].to_pylist() == [[vocabulary.number(w) for w in ws] for ws in wanted]
+    rare = [[w for w in ws if w not in vocabulary.own and w not in middle] for ws in wanted]
+    for ws, share in zip(wanted, columns["share"].to_pylist()):
+        assert share == pytest.approx(sum(0 if w in vocabulary.own else middle.get(w, -math.log(totals[vocabulary.number(w) - 3] + 1)) for w in ws))
+    met = Counter((row + place, word["word"]) for row, ws in enumerate(columns["rare"].to_pylist()) for word in ws for place in word["places"])
+    assert met == Counter((row, w) for row, ws in enumerate(rare) for w in ws)
+
+
+def test_steps_are_those_of_adam_on_the_mean_loss():
+    """Several steps from the same start, worked out from the probabilities of all numbers."""
+    network = masked.Network(9, 3)
+    rng = np.random.default_rng(2)
+    weights = network.start(np.full(9, 1 / 9), 1).astype(np.float64)
+    batches = [(rng.integers(0, 9, (n, 4)), rng.integers(0, 9, n)) for n in (6, 6, 4)]
+    taken = weights.copy()
+    assert network.train(taken, iter(batches), 0.01) == 16
+    first, second = np.zeros_like(weights), np.zeros_like(weights)
+    for step, (around, token) in enumerate(batches, 1):
+        gradient = np.empty_like(weights)
+        for i in range(len(weights)):
+            moved = [weights.copy(), weights.copy()]
+            moved[0][i] += 1e-6
+            moved[1][i] -= 1e-6
+            up, down = (-network.forward(network.split(w), around)[1][np.arange(len(token)), token].mean() for w in moved)
+            gradient[i] = (up - down) / 2e-6
+        first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient ** 2
+        weights -= 0.01 * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-6)
+    assert taken == pytest.approx(weights, abs=1e-4)
