@@ -1,21 +1,22 @@
 """TF-IDF vectors and a linear classifier over a vocabulary that stays a table.
 
 Term ids are ranks of a distributed dictionary, and vectors are assembled by joining tokens to it, so no task and no
-driver holds the terms. Of a fitted model the driver has one number per term.
+driver holds the terms. Of a fitted model the driver has a few numbers per term.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.functions import vector_to_array
+import pyarrow as pa
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tessera.operators import logistic
 from tessera.operators.ordered import running
-from tessera.operators.vocabulary import document_frequency, filter_extremes, small, unfolded
+from tessera.operators.vocabulary import TASK_TOKENS, document_frequency, filter_extremes, small, unfolded
 from tessera.session import fresh_path, written
 
 #: How Spark stores a sparse vector.
@@ -39,8 +40,13 @@ class Terms:
         return cls(table, table.count(), total)
 
     def weighted(self, df: DataFrame, document: str, tokens: str) -> DataFrame:
-        """``document, term_id, raw`` (occurrences times idf) for every known term of a document."""
-        placed = df.select(document, F.col(tokens).alias("_tokens")).repartition(document)
+        """``document, term_id, raw`` (occurrences times idf) for every known term of a document.
+
+        A task counts about ``TASK_TOKENS``; ``df`` is read twice, so it should be a written table.
+        """
+        amount = df.agg(F.sum(F.size(tokens))).first()[0] or 0
+        width = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(amount / TASK_TOKENS))
+        placed = df.select(document, F.col(tokens).alias("_tokens")).repartition(width, document)
         known = small(self.table.select("token", "term_id", "idf"))
         found = unfolded(placed, [document], "_tokens", "token").join(known, "token")
         return found.groupBy(document, "term_id").agg((F.count(F.lit(1)) * F.first("idf")).alias("raw"))
@@ -50,6 +56,12 @@ class Terms:
 
         A document's terms are put together in the task that holds the document.
         """
+        rows, path = self._rows(df, document, tokens, keep)
+        fields = [f for f in rows.schema if f.name != "features"]
+        return df.sparkSession.read.schema(StructType([*fields, StructField("features", VectorUDT())])).parquet(path)
+
+    def _rows(self, df: DataFrame, document: str, tokens: str, keep: Sequence[str] = ()) -> tuple[DataFrame, str]:
+        """``vectors`` as they are stored, with the columns of ``SPARSE``, and the folder they were written to."""
         entry = F.struct("term_id", "raw")
         folded = self.weighted(df, document, tokens).groupBy(document).agg(
             F.array_sort(F.collect_list(entry)).alias("_e"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_length"))
@@ -63,51 +75,60 @@ class Terms:
         rows = joined.select(document, *keep, sparse.cast(SPARSE).alias("features"))
         path = fresh_path(df.sparkSession, "vectors")
         rows.write.parquet(path)
-        fields = [f for f in rows.schema if f.name != "features"]
-        return df.sparkSession.read.schema(StructType([*fields, StructField("features", VectorUDT())])).parquet(path)
+        return df.sparkSession.read.schema(rows.schema).parquet(path), path
 
 
 class TermClassifier:
     """Logistic regression on the vectors of ``terms``."""
 
-    def __init__(self, terms: Terms, model: LogisticRegressionModel):
+    def __init__(self, terms: Terms, model: logistic.Logistic, train: DataFrame | None = None, rows: DataFrame | None = None):
         self.terms, self.model = terms, model
+        self._train, self._rows = train, rows  # what the model was fitted on, and its vectors
 
     @classmethod
     def fit(cls, train: DataFrame, document: str, tokens: str, label: str, max_iterations: int = 1000) -> TermClassifier:
         """The penalty on the weights, not the intercept, equals one over the number of training rows.
 
-        Gradients are summed up a tree of three levels.
+        Labels are 0 or 1; ``max_iterations`` bounds the passes over the rows.
         """
         terms = Terms.fit(train, tokens)
         if not terms.size:
             raise ValueError("no term is within the limits")
-        rows = terms.vectors(train.withColumn(label, F.col(label).cast("double")), document, tokens, [label])
-        model = LogisticRegression(
-            featuresCol="features", labelCol=label, maxIter=max_iterations, regParam=1.0 / max(terms.documents, 1), tol=1e-13,
-            standardization=False, aggregationDepth=3, predictionCol="predicted", probabilityCol="probability").fit(rows)
-        return cls(terms, model)
+        known = F.coalesce(F.col(label).isin(0, 1), F.lit(False))
+        if not train.filter(~known).isEmpty():
+            raise ValueError(f"{label} must be 0 or 1")
+        rows, _ = terms._rows(train.withColumn(label, F.col(label).cast("double")), document, tokens, [label])
+        return cls(terms, logistic.fit(rows, "features", label, terms.size, max_iterations), train, rows)
 
     def transform(self, df: DataFrame, document: str, tokens: str, keep: Sequence[str] = ()) -> DataFrame:
         """``document, keep..., score, predicted``."""
-        scored = self.model.transform(self.terms.vectors(df, document, tokens, keep))
-        return scored.select(document, *keep, vector_to_array("probability")[1].alias("score"), F.col("predicted").cast("int").alias("predicted"))
+        rows, _ = self.terms._rows(df, document, tokens, keep)
+        return self.model.score(rows, "features", "score").select(document, *keep, "score", (F.col("score") > 0.5).cast("int").alias("predicted"))
 
     def weights(self) -> DataFrame:
         """``token, term_id, documents, idf, weight``."""
-        spark = self.terms.table.sparkSession
-        values = spark.createDataFrame(list(enumerate(self.model.coefficients.toArray().tolist())), "term_id int, weight double")
-        return self.terms.table.join(values, "term_id").select("token", "term_id", "documents", "idf", "weight")
+        table = self.terms.table
+        shared = table.sparkSession.sparkContext.broadcast(self.model.coefficients.toArray())
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = shared.value[batch["term_id"].to_numpy()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, "weight"])
+
+        named = table.select("token", "term_id", "documents", "idf")
+        return named.mapInArrow(work, named.withColumn("weight", F.lit(0.0)).schema)
 
     def slopes(self, train: DataFrame, document: str, tokens: str, label: str) -> DataFrame:
         """``token, documents, idf, weight, slope``: the derivative of the penalised mean loss by each weight.
 
-        It is 0 at the optimum. Computed from scores and long-form weights, by joins, not by the solver.
+        It is 0 at the optimum. Computed from scores and long-form weights, by joins, not by the solver. The vectors of the
+        rows that the model was fitted on are made once.
         """
-        scored = self.transform(train, document, tokens, [label]).select(document, (F.col("score") - F.col(label)).alias("_miss"))
-        raw = self.terms.weighted(train, document, tokens)
-        length = raw.groupBy(document).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_length"))
-        pulled = raw.join(length, document).join(scored, document).groupBy("term_id").agg(
-            F.sum(F.col("raw") / F.col("_length") * F.col("_miss")).alias("_pull"))
+        rows = self._rows if train is self._train else self.terms._rows(train, document, tokens, [label])[0]
+        scored = self.model.score(rows, "features", "score").select(
+            (F.col("score") - F.col(label)).alias("_miss"), F.arrays_zip("features.indices", "features.values").alias("_e"))
+        entries = scored.select("_miss", F.explode("_e").alias("_e")).select(
+            F.col("_e.indices").alias("term_id"), (F.col("_e.values") * F.col("_miss")).alias("_part"))
+        pulled = entries.groupBy("term_id").agg(F.sum("_part").alias("_pull"))
         return self.weights().join(pulled, "term_id").select(
             "token", "documents", "idf", "weight", ((F.col("_pull") + F.col("weight")) / self.terms.documents).alias("slope"))

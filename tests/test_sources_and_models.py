@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import classify, margins, topics
+from tessera.operators import classify, logistic, margins, topics
 from tessera.operators.terms import TermClassifier
 from tessera.session import fresh_path
 from tessera.sources import profile, readers, writers
@@ -98,6 +98,27 @@ def test_mail_classifier_weights_are_those_of_an_independent_fit(spark):
         TermClassifier.fit(df.limit(1), "id", "tokens", "toxic")
 
 
+def test_mail_classifier_reaches_its_optimum_in_few_passes(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(1500):  # rare and common terms, toxic ones among them, some documents without a known term
+        words = np.minimum(rng.zipf(1.15, 0 if i % 200 == 0 else 60), 5000)
+        rows.append((i, [f"w{j}" for j in words], int(sum(words % 7 == 3) + rng.normal(0, 1) > 10)))
+    df = spark.createDataFrame(rows, "id long, tokens array<string>, toxic int").repartition(5).persist()
+    monkeypatch.setattr(logistic, "BLOCK", 1 << 12)
+    model = TermClassifier.fit(df, "id", "tokens", "toxic")
+    assert 0 < model.model.passes < 150
+    slopes = model.slopes(df, "id", "tokens", "toxic")
+    assert slopes.count() == model.terms.size > 500
+    assert slopes.agg(F.max(F.abs("slope"))).first()[0] < 2e-9
+    scored = {r["id"]: r["score"] for r in model.transform(df, "id", "tokens").collect()}
+    assert len(scored) == 1500 and scored[0] == scored[200] == pytest.approx(1 / (1 + np.exp(-model.model.intercept)))
+    alike = df.withColumn("toxic", F.lit(1))
+    assert TermClassifier.fit(alike, "id", "tokens", "toxic").transform(alike, "id", "tokens").filter("score = 1").count() == 1500
+    with pytest.raises(ValueError):
+        TermClassifier.fit(df.withColumn("toxic", F.lit(None).cast("int")), "id", "tokens", "toxic")
+
+
 def test_label_models_survive_saving(spark):
     df = corpus(spark)
     model = classify.fit_label_models(df, "tokens", {"toxic": 2.0, "rude": 1.0}, 1 << 8, 20)
