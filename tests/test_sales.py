@@ -77,6 +77,27 @@ def test_itemsets_with_a_basket_of_thousands_of_items(spark):
     assert baskets.frequent_itemsets(df.limit(0), "d", "i", 2).count() == 0
 
 
+def test_itemsets_of_classes_with_more_rows_than_a_task_takes(spark):
+    rows = sorted({r for r in basket_rows() if r[1] is not None})
+    rows += [(1000 + 7 * k + t, i) for k, items in enumerate([("a", "b"), ("a", "b", "zz"), ("zz", "yy")]) for t in range(3 + k) for i in items]
+    found = itemsets.mine(spark.createDataFrame(rows, "document long, item string"), 3, most=20).collect()
+    assert len(found) == len({tuple(r["items"]) for r in found})
+    assert {tuple(r["items"]): r["n"] for r in found} == brute_itemsets(rows, 3)
+
+
+def test_equal_baskets_are_one_with_a_weight(spark):
+    rows = [(d, i) for d in range(300) for i in ((1, 2, 3) if d < 37 else (1, 3) if d < 100 else (2,))]
+    alike = itemsets._alike(spark.createDataFrame(rows, "document long, item int")).collect()
+    weights = {}
+    for r in alike:
+        weights.setdefault((r["basket"], r["weight"]), []).append(r["item"])
+    assert sorted((sorted(items), w) for (_, w), items in weights.items()) == sorted(
+        [([1, 2, 3], w) for w in (1, 4, 32)] + [([1, 3], w) for w in (1, 2, 4, 8, 16, 32)])
+    places, words = itemsets._places(np.array([4] * 70 + [1, 4]))
+    assert len(set(places)) == 72 and words.tolist() == [1, 4, 4]
+    assert all(words[p // 64] == w for p, w in zip(places, [4] * 70 + [1, 4]))
+
+
 def test_pair_rules_equal_the_miner(spark):
     df = spark.createDataFrame(basket_rows(), "d long, i string")
     mined = {(r[0], r[1]): tuple(r)[2:] for r in baskets.mined_pair_rules(df, "d", "i", 10, 0.05).collect()}
