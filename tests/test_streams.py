@@ -1,7 +1,9 @@
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import classify
 from tessera.streaming import runs
 from tessera.streaming.daily import DailyTotals
 
@@ -66,3 +68,23 @@ def test_batches_of_an_ordered_stream_are_shared_by_tasks(spark, monkeypatch):
         F.count_distinct("file"), F.min("id"), F.max("id")).first()))
     assert [files for files, *_ in seen] == [8, 8]
     assert seen[0][1] == 0 and seen[0][2] + 1 == seen[1][1] and seen[1][2] == 999
+
+
+def test_files_of_a_batch_stay_small_and_come_together(spark):
+    stream = runs.ordered_stream(spark.range(1000), "id", batches=2, largest=10)
+    seen = []
+    runs.drain(stream, lambda batch, _: seen.append(batch.withColumn("file", F.input_file_name()).groupBy("file").agg(
+        F.count("id").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).agg(F.sum("n"), F.max("n"), F.min("low"), F.max("high")).first()))
+    assert len(seen) == 2 and sum(n for n, *_ in seen) == 1000
+    assert all(most <= 30 for _, most, *_ in seen)  # dealt out by row, not quite evenly; 62 with a file a core
+    assert seen[0][2] == 0 and seen[0][3] + 1 == seen[1][2] and seen[1][3] == 999
+
+
+def test_label_models_cache_no_vectors(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    monkeypatch.setattr(DataFrame, "persist", lambda *_: pytest.fail("vectors are cached"))
+    rows = [(i, ["good", "words", f"w{i % 5}"] if i % 2 else ["bad", "words", f"w{i % 3}"], i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, words array<string>, toxic int")
+    model = classify.fit_label_models(df, "words", {"toxic": 2.0}, 1 << 8, 20)
+    assert classify.label_flags(model, df, ["toxic"]).filter("toxic_flag <> toxic").isEmpty()
