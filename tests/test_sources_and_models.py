@@ -1,4 +1,5 @@
 import datetime
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -202,6 +203,21 @@ def test_many_small_images_share_tasks(spark, tmp_path):
     assert found.count() == 700 and found.rdd.getNumPartitions() <= 16
 
 
+def test_folders_of_many_images_are_listed_in_groups(spark, tmp_path, monkeypatch):
+    images = spark.createDataFrame([(str(k), 1 + k % 3, 2, bytearray([k % 256, 7] * (1 + k % 3))) for k in range(300)],
+                                   "image string, height int, width int, pixels binary")
+    folder = str(tmp_path / "images")
+    assert writers.save_bitmaps(images, folder) == 300
+    (tmp_path / "images" / "_hidden").mkdir()
+    at_once = sorted(map(tuple, readers.read_images(spark, folder).collect()))
+    monkeypatch.setattr(readers, "FOLDER_FILES", 100)
+    groups = readers._groups(spark, folder)
+    assert len(groups) >= 4 and sum(length for _, length in groups) == sum(f.stat().st_size for f in (tmp_path / "images").rglob("*.bmp"))
+    assert max(sum(1 for p in paths for _ in Path(p.removeprefix("file:")).glob("*")) for paths, _ in groups) <= 200  # with check sums
+    assert sorted(map(tuple, readers.read_images(spark, folder).collect())) == at_once and len(at_once) == 300
+    assert readers.read_images(spark, folder, 2, 2).count() == 100
+
+
 def test_a_summed_hessian_needs_few_passes_and_finds_the_same_optimum(spark, monkeypatch):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(400, 40)) * np.logspace(0, 3, 40)  # hard for steps that know only products of the Hessian
